@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .mixing import mix_sources
+from .packing import pack
+from .simhash import simhash_dedup
 from .suffix_dedup import suffix_dedup
 from .window_dedup import window_dedup
 
@@ -20,13 +23,33 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash_dedup(_table(spark, sf_dir, "documents"), radius=4)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = window_dedup(_table(spark, sf_dir, "documents"), window=50)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def tokenizer() -> dict[str, str]:
+    """Where the public byte-level BPE is installed, and its splitting pattern."""
+    import public_tokenizers
+
+    return {"ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
+
+
+def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), **tokenizer())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op6_window_dedup)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op3_mix_sources, op5_simhash_dedup, op6_window_dedup, op9_pack)}
 
 
 def oracle_sql() -> dict[str, str]:
