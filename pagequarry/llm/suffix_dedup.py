@@ -27,6 +27,8 @@ from .gsaca import suffix_array
 BASE = 0xD1342543DE82EF95
 #: Never part of a UTF-8 text; stands before and after each one.
 PAD = 0xFF
+#: Surroundings in one suffix array, at least; anchors with more of them get one of their own.
+PART = 250
 
 
 class Anchors:
@@ -115,18 +117,25 @@ def strings_in_order(rows: np.ndarray, ids: np.ndarray, flank: int, k: int) -> n
     ahead = _longest_shared(text[:, flank:], k)
     behind = _longest_shared(np.concatenate([text[:, flank : flank + k], text[:, :flank][:, ::-1]], axis=1), k)
     inside = np.flatnonzero((sizes[group] > 1) & (ahead + behind >= flank))
-    if len(inside):
+    inside = inside[np.argsort(group[inside], kind="stable")]
+    starts = np.flatnonzero(np.append(True, np.diff(group[inside]) != 0)) if len(inside) else []
+    parts, last = [], 0
+    for i in [*starts[1:], len(inside)]:
+        if i - last >= PART or i == len(inside):
+            parts.append(inside[last:i])
+            last = i
+    for part in parts if len(inside) else []:
         wide = 2 * flank + 2
-        full = np.zeros((len(inside), wide), np.int64)  # left, anchor, right, end
-        full[:, :flank] = text[inside, :flank].astype(np.int64) + 1
-        full[:, flank] = 258 + group[inside]
-        full[:, flank + 1 : wide - 1] = text[inside, flank + k :].astype(np.int64) + 1
+        full = np.zeros((len(part), wide), np.int64)  # left, anchor, right, end
+        full[:, :flank] = text[part, :flank].astype(np.int64) + 1
+        full[:, flank] = 258 + group[part] - group[part[0]]
+        full[:, flank + 1 : wide - 1] = text[part, flank + k :].astype(np.int64) + 1
         column = np.arange(wide)
-        used = (column >= (flank - behind[inside])[:, None]) & (column <= (flank + ahead[inside])[:, None])
+        used = (column >= (flank - behind[part])[:, None]) & (column <= (flank + ahead[part])[:, None])
         used[:, -1] = True
         row, column = np.nonzero(used)
         order = suffix_array(full[used])
-        order = order[column[order] <= np.minimum(flank, ahead[inside][row[order]])]
+        order = order[column[order] <= np.minimum(flank, ahead[part][row[order]])]
         flat = np.append(full[used], np.zeros(flank + 1, np.int64))
         same = np.ones(max(0, len(order) - 1), bool)
         for step in range(flank + 1):
@@ -134,11 +143,11 @@ def strings_in_order(rows: np.ndarray, ids: np.ndarray, flank: int, k: int) -> n
             same &= symbol[1:] == symbol[:-1]
         first = np.flatnonzero(np.append(True, ~same))
         row, column = row[order], column[order]
-        mine = least[inside[row]]
+        mine = least[part[row]]
         smallest = np.repeat(np.minimum.reduceat(mine, first), np.diff(np.append(first, len(order))))
-        marked[inside[row], column] = mine > smallest
-        reach = np.lib.stride_tricks.sliding_window_view(text[inside] == PAD, flank + k, axis=1)
-        marked[inside] &= ~reach.any(axis=2)
+        marked[part[row], column] = mine > smallest
+        reach = np.lib.stride_tricks.sliding_window_view(text[part] == PAD, flank + k, axis=1)
+        marked[part] &= ~reach.any(axis=2)
     return marked[back]
 
 
