@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import warc
+from .lattice_dedup import lattice_dedup
+from .media import image_copies, rendered
 from .mixing import mix_sources
 from .packing import pack
 from .simhash import simhash_dedup
@@ -23,10 +26,18 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup(_table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.query_audit(_table(spark, sf_dir, "pages"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_dedup(_table(spark, sf_dir, "documents"), radius=4)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -48,9 +59,13 @@ def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), **tokenizer())
 
 
+def op10_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return image_copies(rendered(_table(spark, sf_dir, "embeddings")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op3_mix_sources, op5_simhash_dedup, op6_window_dedup, op9_pack)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_lattice_dedup, op3_mix_sources, op4_warc_fixity, op5_simhash_dedup, op6_window_dedup, op9_pack, op10_image_copies)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_warc_fixity": warc.SQL}
