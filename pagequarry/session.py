@@ -17,6 +17,7 @@ def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
