@@ -14,6 +14,7 @@ from .mixing import mix_sources
 from .packing import pack
 from .simhash import simhash_dedup
 from .suffix_dedup import suffix_dedup
+from .toxicity import toxicity
 from .window_dedup import window_dedup
 
 
@@ -48,6 +49,10 @@ def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def tokenizer() -> dict[str, str]:
     """Where the public byte-level BPE is installed, and its splitting pattern."""
     import public_tokenizers
@@ -64,7 +69,7 @@ def op10_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_lattice_dedup, op3_mix_sources, op4_warc_fixity, op5_simhash_dedup, op6_window_dedup, op9_pack, op10_image_copies)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_lattice_dedup, op3_mix_sources, op4_warc_fixity, op5_simhash_dedup, op6_window_dedup, op7_toxicity, op9_pack, op10_image_copies)}
 
 
 def oracle_sql() -> dict[str, str]:
