@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import warc
+from .ctw import context_tree_scores
 from .lattice_dedup import lattice_dedup
 from .media import image_copies, rendered
 from .mixing import mix_sources
@@ -53,6 +54,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree_scores(_table(spark, sf_dir, "documents"))
+
+
 def tokenizer() -> dict[str, str]:
     """Where the public byte-level BPE is installed, and its splitting pattern."""
     import public_tokenizers
@@ -69,7 +74,7 @@ def op10_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_lattice_dedup, op3_mix_sources, op4_warc_fixity, op5_simhash_dedup, op6_window_dedup, op7_toxicity, op9_pack, op10_image_copies)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_lattice_dedup, op3_mix_sources, op4_warc_fixity, op5_simhash_dedup, op6_window_dedup, op7_toxicity, op8_context_tree, op9_pack, op10_image_copies)}
 
 
 def oracle_sql() -> dict[str, str]:
