@@ -27,7 +27,7 @@ from ..session import written
 from . import exchange as X
 from .words import Words
 
-DEPTH = 4
+DEPTH = 5
 HALF = math.log(0.5)
 WORDS, GRAMS = 1, 2
 _LOWER = np.arange(256, dtype=np.uint8)
