@@ -148,7 +148,8 @@ class Corpus:
     def __init__(self, table: pa.Table):
         self.block = b = X.Block(table)
         self.words = Words(b)
-        self.hash, self.word = np.unique(self.words.hashes(_LOWER[b.bytes]), return_inverse=True)
+        self.hash, word = np.unique(self.words.hashes(_LOWER[b.bytes]), return_inverse=True)
+        self.word = word.astype(np.int32)
         # each text behind DEPTH zero bytes of context and before a zero byte that ends it
         sizes = np.diff(b.at)
         self.begin = b.at[:-1] + (DEPTH + 1) * np.arange(b.n) + DEPTH
@@ -159,8 +160,10 @@ class Corpus:
             symbol[at : at + n + 1] = True
         place = np.flatnonzero(symbol).astype(np.int32)
         self.starts = np.append(0, np.cumsum(sizes + 1))
-        used, small = np.unique(wide, return_inverse=True)
-        small, base = small.astype(np.int32), len(used)
+        used = np.flatnonzero(np.bincount(wide, minlength=256))
+        number_of = np.zeros(256, np.int32)
+        number_of[used] = np.arange(len(used))
+        small, base = number_of[wide], len(used)
         ident = small[place - DEPTH] if len(place) else np.zeros(0, np.int32)
         count = base
         for back in range(DEPTH - 1, -1, -1):
@@ -187,28 +190,30 @@ class Corpus:
 
 ASKED = pa.schema([("g", pa.int32()), ("bucket", pa.int64()), ("stage", pa.int32()), ("rows", pa.binary()), ("counts", pa.binary())])
 ASKED_SQL = "g int, bucket long, stage int, rows binary, counts binary"
+#: A bucket in one row: what all groups ask of it, and the sums that the tops of the trees need.
+MET = pa.schema([("bucket", pa.int64()), *[(n, pa.list_(ASKED.field(n).type)) for n in ("g", "stage", "rows", "counts")], ("words", pa.list_(pa.float64())), ("key", pa.list_(pa.int64())), *[(n, pa.list_(pa.float64())) for n in ("zeros", "ones", "log")]])
+MET_SQL = "bucket long, g array<int>, stage array<int>, rows array<binary>, counts array<binary>, words array<double>, key array<long>, zeros array<double>, ones array<double>, log array<double>"
 
 
 def _read(table: pa.Table, stage: int) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The rows of a stage: (table, different keys, counts of each, key of each item, where each row's items begin)."""
     mine = table.filter(pc.equal(table.column("stage"), stage))
-    rows = [X.unsqueeze(r.as_py(), np.int64 if stage == GRAMS else np.uint64) for r in mine.column("rows")]
+    rows = [X.unsqueeze(r.as_py(), np.int64) if stage == GRAMS else X.from_low(np.frombuffer(r.as_py(), np.uint8).reshape(-1, 6)) for r in mine.column("rows")]
     counts = [X.unsqueeze(c.as_py(), np.uint32) for c in mine.column("counts")]
     if not rows:
         return mine, np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(1, np.int64)
     keys, back = np.unique(np.concatenate(rows), return_inverse=True)
-    return mine, keys, np.bincount(back, np.concatenate(counts), len(keys)), back, np.cumsum([0, *map(len, rows)])
+    return mine, keys, np.bincount(back, np.concatenate(counts), len(keys)), back.astype(np.int32), np.cumsum([0, *map(len, rows)])
 
 
-def _summed(table: pa.Table) -> pa.Table:
-    """What the top of the trees and the base score need of a bucket: kind 0: words (key unused: different, all); 1: nodes of one-byte contexts."""
+def _gather(table: pa.Table) -> pa.Table:
+    """One row of MET for a bucket."""
     _, _, words, _, _ = _read(table, WORDS)
     _, codes, counts, _, _ = _read(table, GRAMS)
-    out = [np.array([0, 0]), np.array([0, 0]), np.array([np.sum(words > 0), 0.0]), np.array([words.sum(), 0.0]), np.zeros(2)]
-    if len(codes):
-        key, zeros, ones, log = Trees(codes, counts).tops()
-        out = [np.append(a, b) for a, b in zip(out, (np.ones(len(key), int), key, zeros, ones, log))]
-    return pa.table(dict(zip(("kind", "key", "zeros", "ones", "log"), (out[0].astype(np.int32), out[1].astype(np.int64), *out[2:]))))
+    tops = Trees(codes, counts).tops() if len(codes) else [np.zeros(0)] * 4
+    out = {"bucket": [table.column("bucket")[0].as_py()]} | {n: [table.column(n).to_pylist()] for n in ("g", "stage", "rows", "counts")}
+    out |= {"words": [[float(np.sum(words > 0)), float(words.sum())]]} | {n: [v] for n, v in zip(("key", "zeros", "ones", "log"), tops)}
+    return pa.table(out, schema=MET)
 
 
 def context_tree_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc_id: str = "doc_id", text: str = "text", group_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
@@ -236,25 +241,28 @@ def context_tree_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc
             order, found, bounds = X.by_bucket(bucket)
             for b, lo, hi in zip(found, bounds, bounds[1:]):
                 at = order[lo:hi]
-                for name, value in zip(ASKED.names, (g, int(b), stage, X.squeeze(keys[at]), X.squeeze(counts[at].astype(np.uint32)))):
+                for name, value in zip(ASKED.names, (g, int(b), stage, X.squeeze(keys[at]) if stage == GRAMS else X.low_bytes(keys[at], 6).tobytes(), X.squeeze(counts[at].astype(np.uint32)))):
                     out[name].append(value)
         return pa.table(out, schema=ASKED)
 
-    asked = written(dealt.groupBy("g").applyInArrow(ask, ASKED_SQL))
-    sums = asked.groupBy("bucket").applyInArrow(_summed, "kind int, key long, zeros double, ones double, log double")
-    rows = sums.groupBy("kind", "key").agg(F.sum("zeros"), F.sum("ones"), F.sum("log")).collect()  # at most 1 + 256 * 255 rows
+    met = written(dealt.groupBy("g").applyInArrow(ask, ASKED_SQL).groupBy("bucket").applyInArrow(_gather, MET_SQL))
+    nodes = met.select(F.inline(F.arrays_zip("key", "zeros", "ones", "log"))).groupBy("key").agg(F.sum("zeros"), F.sum("ones"), F.sum("log"))
+    top = top_levels([tuple(r) for r in nodes.collect()])  # at most 256 * 255 rows
     ends = docs.select(F.col(doc_id).cast("long").alias("doc_id")).where(~held).count()
-    distinct, tokens = next(((int(r[2]), int(r[3])) for r in rows if r.kind == 0), (0, 0))
+    distinct, tokens = (int(x or 0) for x in met.agg(F.sum(F.col("words")[0]), F.sum(F.col("words")[1])).first())
     tokens, distinct = tokens + ends, distinct + (ends > 0)
-    top = top_levels([tuple(r)[1:] for r in rows if r.kind == 1])
 
-    def tell(table: pa.Table) -> pa.Table:
-        mine, _, counts, back, bounds = _read(table, WORDS)
-        parts = [X.answer(mine, WORDS, counts[back].astype(np.uint32), bounds)] if mine.num_rows else []
-        mine, codes, counts, back, bounds = _read(table, GRAMS)
-        if mine.num_rows:
-            parts.append(X.answer(mine, GRAMS, Trees(codes, counts).log_probability(top).astype(np.float32)[back], bounds))
-        return pa.concat_tables(parts)
+    def tell(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {n: batch.column(n)[k].values for n in ("g", "stage", "rows", "counts")}
+                table = pa.table(row | {"bucket": pa.array([batch.column("bucket")[k].as_py()] * len(row["g"]), pa.int64())})
+                mine, _, counts, back, bounds = _read(table, WORDS)
+                if mine.num_rows:
+                    yield from X.answer(mine, WORDS, counts[back].astype(np.uint32), bounds).to_batches()
+                mine, codes, counts, back, bounds = _read(table, GRAMS)
+                if mine.num_rows:
+                    yield from X.answer(mine, GRAMS, Trees(codes, counts).log_probability(top).astype(np.float32)[back], bounds).to_batches()
 
     def score(table: pa.Table, told: pa.Table) -> pa.Table:
         x = Corpus(table)
@@ -273,5 +281,5 @@ def context_tree_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc
         out = [x.block.raw_ids, held_ids(x.block.raw_ids), n_words + 1, known, np.full(x.block.n, tokens), base, total, -total * math.log2(10) / bits]
         return pa.table(dict(zip(("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"), out)))
 
-    told = asked.groupBy("bucket").applyInArrow(tell, X.ANSWER_SQL)
+    told = met.select("bucket", "g", "stage", "rows", "counts").mapInArrow(tell, X.ANSWER_SQL)
     return dealt.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 ARCHIVE = 1024
 FAN_OUT = 16
 
@@ -82,7 +84,7 @@ def audit(pages: DataFrame, replica: Column, **columns: str) -> DataFrame:
     Null columns are empty texts in a record; null ids come first in an archive; repeated rows are one
     record with a count; an empty table gives no rows; other columns are ignored.
     """
-    leaves = manifest(pages, replica, **columns)
+    leaves = written(manifest(pages, replica, **columns))
     height = height_of(leaves)
     one, other = levels(leaves, "digest", height), levels(leaves, "replica_digest", height)
     bad = damaged(one, other).withColumnRenamed("node", "position").withColumn("bad", F.lit(True))
