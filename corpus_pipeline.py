@@ -1,6 +1,79 @@
-STAGES = []
+"""From raw documents to packed training sequences, in five stages.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again
+as the docs of the next one. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pagequarry.llm.mixing import mix_sources
+from pagequarry.llm.packing import pack
+from pagequarry.llm.queries import tokenizer
+from pagequarry.llm.simhash import simhash_dedup
+from pagequarry.llm.suffix_dedup import suffix_dedup
+from pagequarry.llm.toxicity import clean
+from pagequarry.session import written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; the others stay as they are."""
+    return clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays, and all rows with a null id."""
+    grouped = simhash_dedup(docs)
+    copies = grouped.where("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 50 bytes that an earlier document holds are cut out; bytes of broken characters go with them.
+
+    All documents stay, with n_chars counted anew; a text of which nothing is left is empty.
+    """
+    carried = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
+    cut = suffix_dedup(docs, length=50, carry=carried)
+
+    def decode(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            at = batch.schema.get_field_index("kept")
+            text = pa.array([b.decode("utf-8", "ignore") for b in batch.column(at).to_pylist()], pa.string())
+            yield batch.set_column(at, "text", text)
+
+    columns = cut.select("doc_id", "kept", *carried)
+    schema = ", ".join(f"`{'text' if f.name == 'kept' else f.name}` {'string' if f.name == 'kept' else f.dataType.simpleString()}" for f in columns.schema)
+    text = columns.mapInArrow(decode, schema)
+    return text.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; those that it takes no words of go."""
+    copies = mix_sources(docs).where("taken > 0").groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("times"))
+    both = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("mixed_id")))
+    return both.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of sequences of 2048 tokens."""
+    return pack(docs, **tokenizer())
+
+
+STAGES = [("toxicity", drop_toxic), ("simhash_dedup", drop_near_copies), ("suffix_dedup", cut_repeats), ("mix_sources", mix), ("pack", pack_sequences)]
+
+#: Training and random rounding can't be written in SQL; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = written(docs)
+    return docs

@@ -32,18 +32,18 @@ def counts_for(n_bytes: int, group_bytes: int = 4 << 20, bucket_bytes: int = 16
     return max(1, math.ceil(n_bytes / group_bytes)), max(1, math.ceil(n_bytes / bucket_bytes))
 
 
-def grouped(docs: DataFrame, n_groups: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(g, doc_id, text), the shape in which all stages read the documents; a null text is empty."""
+def grouped(docs: DataFrame, n_groups: int, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(g, doc_id, text, carried columns), the shape in which all stages read the documents; a null text is empty."""
     ident, body = F.col(doc_id).cast("long"), F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.pmod(F.xxhash64(ident), F.lit(n_groups)).cast("int").alias("g"), ident.alias("doc_id"), body.alias("text"))
+    return docs.select(F.pmod(F.xxhash64(ident), F.lit(n_groups)).cast("int").alias("g"), ident.alias("doc_id"), body.alias("text"), *carry)
 
 
 class Block:
     """The documents of one group in a fixed order: ids, the bytes of all texts, where each begins."""
 
     def __init__(self, table: pa.Table):
-        table = table.select(["doc_id", "text"])
-        table = table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("text", "ascending")]))
+        self.order = pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("text", "ascending")])
+        table = table.select(["doc_id", "text"]).take(self.order)
         col = table.column("doc_id").combine_chunks()
         self.raw_ids = col
         self.ids = np.asarray(pc.fill_null(col, NULL_ID), dtype=np.int64)
