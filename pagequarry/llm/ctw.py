@@ -128,6 +128,16 @@ class Trees:
         return out
 
 
+def parts(codes: np.ndarray, most: int = 60_000):
+    """Cuts sorted codes into ranges of about so many, never within a context of two bytes."""
+    first = np.flatnonzero(np.append(True, np.diff(codes >> (8 * (DEPTH - 1))) != 0))
+    lo = 0
+    for hi in [*first[1:].tolist(), len(codes)]:
+        if hi - lo >= most or hi == len(codes):
+            yield slice(lo, hi)
+            lo = hi
+
+
 def top_levels(rows: list[tuple[int, float, float, float]]) -> list[tuple[np.ndarray, np.ndarray]]:
     """(trust, estimate) by node of depth 0, and by context and node of depth 1."""
     zeros, ones, below = (np.zeros(65536) for _ in range(3))
@@ -210,13 +220,14 @@ def _gather(table: pa.Table) -> pa.Table:
     """One row of MET for a bucket."""
     _, _, words, _, _ = _read(table, WORDS)
     _, codes, counts, _, _ = _read(table, GRAMS)
-    tops = Trees(codes, counts).tops() if len(codes) else [np.zeros(0)] * 4
+    tops = [Trees(codes[at], counts[at]).tops() for at in parts(codes)] if len(codes) else []
+    tops = [np.concatenate(v) for v in zip(*tops)] if tops else [np.zeros(0)] * 4
     out = {"bucket": [table.column("bucket")[0].as_py()]} | {n: [table.column(n).to_pylist()] for n in ("g", "stage", "rows", "counts")}
     out |= {"words": [[float(np.sum(words > 0)), float(words.sum())]]} | {n: [v] for n, v in zip(("key", "zeros", "ones", "log"), tops)}
     return pa.table(out, schema=MET)
 
 
-def context_tree_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc_id: str = "doc_id", text: str = "text", group_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+def context_tree_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc_id: str = "doc_id", text: str = "text", group_bytes: int = 3 << 20, bucket_bytes: int = 8 << 20) -> DataFrame:
     """Scores every text, learning from those whose fold (CRC-32 of the id as text, modulo folds) is not held_fold.
 
     Returns one row per row of docs: doc_id, held_out, n_tokens (words and one end), n_known (tokens met in
@@ -262,7 +273,7 @@ def context_tree_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc
                     yield from X.answer(mine, WORDS, counts[back].astype(np.uint32), bounds).to_batches()
                 mine, codes, counts, back, bounds = _read(table, GRAMS)
                 if mine.num_rows:
-                    yield from X.answer(mine, GRAMS, Trees(codes, counts).log_probability(top).astype(np.float32)[back], bounds).to_batches()
+                    yield from X.answer(mine, GRAMS, np.concatenate([Trees(codes[at], counts[at]).log_probability(top).astype(np.float32) for at in parts(codes)])[back], bounds).to_batches()
 
     def score(table: pa.Table, told: pa.Table) -> pa.Table:
         x = Corpus(table)
