@@ -1,9 +1,12 @@
 """Named queries over the driver's tables, each beside its SQL oracle."""
 
+from . import aggregates, guards, pages, ranks, relations, search, texts  # noqa: F401
+from .registry import ORACLES, QUERIES
+
 
 def queries():
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(ORACLES)
