@@ -36,20 +36,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     All documents stay, with n_chars counted anew; a text of which nothing is left is empty.
     """
     carried = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    cut = suffix_dedup(docs, length=50, carry=carried)
-
-    def decode(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            at = batch.schema.get_field_index("kept")
-            text = pa.array([b.decode("utf-8", "ignore") for b in batch.column(at).to_pylist()], pa.string())
-            yield batch.set_column(at, "text", text)
-
-    columns = cut.select("doc_id", "kept", *carried)
-    schema = ", ".join(f"`{'text' if f.name == 'kept' else f.name}` {'string' if f.name == 'kept' else f.dataType.simpleString()}" for f in columns.schema)
-    text = columns.mapInArrow(decode, schema)
-    return text.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    cut = suffix_dedup(docs, length=50, carry=carried, as_text=True).withColumnRenamed("kept", "text")
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

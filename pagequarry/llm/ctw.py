@@ -256,7 +256,7 @@ def context_tree_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc
                     out[name].append(value)
         return pa.table(out, schema=ASKED)
 
-    met = written(dealt.groupBy("g").applyInArrow(ask, ASKED_SQL).groupBy("bucket").applyInArrow(_gather, MET_SQL))
+    met = written(dealt.groupBy("g").applyInArrow(X.lean(ask), ASKED_SQL).groupBy("bucket").applyInArrow(X.lean(_gather), MET_SQL))
     nodes = met.select(F.inline(F.arrays_zip("key", "zeros", "ones", "log"))).groupBy("key").agg(F.sum("zeros"), F.sum("ones"), F.sum("log"))
     top = top_levels([tuple(r) for r in nodes.collect()])  # at most 256 * 255 rows
     ends = docs.select(F.col(doc_id).cast("long").alias("doc_id")).where(~held).count()
@@ -293,4 +293,4 @@ def context_tree_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc
         return pa.table(dict(zip(("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"), out)))
 
     told = met.select("bucket", "g", "stage", "rows", "counts").mapInArrow(tell, X.ANSWER_SQL)
-    return dealt.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+    return dealt.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(X.lean_pair(score), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")

@@ -10,6 +10,7 @@ The documents themselves are dealt by group once; every stage reads the same exc
 
 from __future__ import annotations
 
+import ctypes
 import math
 
 import numpy as np
@@ -38,6 +39,39 @@ def grouped(docs: DataFrame, n_groups: int, doc_id: str = "doc_id", text: str =
     return docs.select(F.pmod(F.xxhash64(ident), F.lit(n_groups)).cast("int").alias("g"), ident.alias("doc_id"), body.alias("text"), *carry)
 
 
+def release() -> None:
+    """Gives freed memory back to the system; Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not this C library
+        pass
+
+
+def lean(f):
+    """f, a function of one table, that gives back its memory when done."""
+
+    def run(table: pa.Table) -> pa.Table:
+        try:
+            return f(table)
+        finally:
+            release()
+
+    return run
+
+
+def lean_pair(f):
+    """As lean, for a function of two tables."""
+
+    def run(table: pa.Table, other: pa.Table) -> pa.Table:
+        try:
+            return f(table, other)
+        finally:
+            release()
+
+    return run
+
+
 class Block:
     """The documents of one group in a fixed order: ids, the bytes of all texts, where each begins."""
 

@@ -159,12 +159,12 @@ def _strings_met(table: pa.Table, flank: int, k: int) -> pa.Table:
     return X.answer(table, 2, bits, bounds)
 
 
-def suffix_dedup(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), group_bytes: int = 2 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), as_text: bool = False, group_bytes: int = 2 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """Removes each byte covered by a string of so many bytes that also starts in a document with a smaller id.
 
     Returns one row per row of docs: doc_id, n_bytes, n_removed, spans (removed runs of bytes, from and to),
-    kept (the remaining bytes), and the columns of docs named in
-    carry. Strings never cross documents and are judged on the input. A null text is
+    kept (the remaining bytes; as_text: decoded, bytes of
+    broken characters left out), and the columns of docs named in carry. Strings never cross documents and are judged on the input. A null text is
     empty; a null id counts as larger than all ids; rows that share an id are not earlier than one another;
     an empty table gives no rows; other columns are ignored.
     """
@@ -190,6 +190,8 @@ def suffix_dedup(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text
         small = pa.array([X.squeeze(np.frombuffer(v.as_py(), np.uint8)) for v in packed.column("rows")], pa.binary())
         return packed.set_column(packed.schema.get_field_index("rows"), "rows", small)
 
+    kind = pa.string() if as_text else pa.binary()
+
     def cut(table: pa.Table, told: pa.Table) -> pa.Table:
         x, flags, at = split(table, told)
         marks = np.zeros(len(x.bytes) + 1, np.int32)
@@ -220,14 +222,14 @@ def suffix_dedup(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text
             removed.append(n)
             spans.append([{"from": int(a), "to": int(b)} for a, b in zip(turn[::2], turn[1::2])])
             kept.append((body[~own] if n else body).tobytes())
-        out = pa.table({"doc_id": x.block.raw_ids, "n_bytes": x.sizes, "n_removed": removed, "spans": pa.array(spans, CUT.field("spans").type), "kept": pa.array(kept, pa.binary())}, schema=CUT)
+        out = pa.table({"doc_id": x.block.raw_ids, "n_bytes": x.sizes, "n_removed": removed, "spans": pa.array(spans, CUT.field("spans").type), "kept": pa.array([b.decode("utf-8", "ignore") for b in kept] if as_text else kept, kind)}, schema=CUT.set(4, pa.field("kept", kind)))
         for name in carry:
             out = out.append_column(table.schema.field(name), table.column(name).take(x.block.order))
         return out
 
-    told = dealt.groupBy("g").applyInArrow(anchors, X.PACKED_SQL).groupBy("bucket").applyInArrow(_surroundings_met, X.ANSWER_SQL)
-    more = dealt.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(surroundings, X.PACKED_SQL).groupBy("bucket").applyInArrow(lambda t: _strings_met(t, flank, k), X.ANSWER_SQL)
-    return dealt.groupBy("g").cogroup(told.unionByName(more).groupBy("g")).applyInArrow(cut, ", ".join(["doc_id long, n_bytes long, n_removed long, spans array<struct<from: long, to: long>>, kept binary", *extra]))
+    told = dealt.groupBy("g").applyInArrow(X.lean(anchors), X.PACKED_SQL).groupBy("bucket").applyInArrow(X.lean(_surroundings_met), X.ANSWER_SQL)
+    more = dealt.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(X.lean_pair(surroundings), X.PACKED_SQL).groupBy("bucket").applyInArrow(X.lean(lambda t: _strings_met(t, flank, k)), X.ANSWER_SQL)
+    return dealt.groupBy("g").cogroup(told.unionByName(more).groupBy("g")).applyInArrow(X.lean_pair(cut), ", ".join(["doc_id long, n_bytes long, n_removed long, spans array<struct<from: long, to: long>>", "kept string" if as_text else "kept binary", *extra]))
 
 
 CUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))), ("kept", pa.binary())])

@@ -130,9 +130,9 @@ def window_dedup(docs: DataFrame, window: int = 50, doc_id: str = "doc_id", text
             kept.append(b" ".join(words).decode())
         return pa.table({"doc_id": x.block.raw_ids, "n_words": np.diff(x.words.bound), "n_removed": n_removed, "spans": pa.array(spans, CUT.field("spans").type), "kept_text": kept}, schema=CUT)
 
-    told = dealt.groupBy("g").applyInArrow(halves, X.PACKED_SQL).groupBy("bucket").applyInArrow(_in_two_documents, X.ANSWER_SQL)
-    more = dealt.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(doubles, X.PACKED_SQL).groupBy("bucket").applyInArrow(_in_an_earlier_document, X.ANSWER_SQL)
-    return dealt.groupBy("g").cogroup(told.unionByName(more).groupBy("g")).applyInArrow(cut, "doc_id long, n_words long, n_removed long, spans array<struct<from: long, to: long>>, kept_text string")
+    told = dealt.groupBy("g").applyInArrow(X.lean(halves), X.PACKED_SQL).groupBy("bucket").applyInArrow(X.lean(_in_two_documents), X.ANSWER_SQL)
+    more = dealt.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(X.lean_pair(doubles), X.PACKED_SQL).groupBy("bucket").applyInArrow(X.lean(_in_an_earlier_document), X.ANSWER_SQL)
+    return dealt.groupBy("g").cogroup(told.unionByName(more).groupBy("g")).applyInArrow(X.lean_pair(cut), "doc_id long, n_words long, n_removed long, spans array<struct<from: long, to: long>>, kept_text string")
 
 
 CUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))), ("kept_text", pa.string())])
