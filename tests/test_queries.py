@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,9 +20,11 @@ FOLDER = "/root/testdata/sf0.001"
 
 def rows(frame):
     def plain(v):
-        if v is None or (isinstance(v, float) and np.isnan(v)):
+        if v is None or v is pd.NA or (isinstance(v, float) and np.isnan(v)):
             return None
-        return round(float(v), 6) if isinstance(v, (float, np.floating)) else int(v) if isinstance(v, (int, np.integer)) and not isinstance(v, bool) else v
+        if isinstance(v, (bool, np.bool_)):
+            return bool(v)
+        return round(float(v), 6) if isinstance(v, (int, float, np.number)) else v
 
     return sorted(repr([plain(v) for v in r]) for r in frame[sorted(frame.columns)].astype(object).itertuples(index=False))
 
