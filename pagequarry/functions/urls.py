@@ -66,3 +66,14 @@ def slug(title: Column, stop: list[str], words: int = 5) -> Column:
     parts = F.filter(F.split(F.lower(F.regexp_replace(F.split(title, ":")[0], r"[^A-Za-z0-9]+", " ")), " "), lambda w: w != "")
     kept = F.filter(parts, lambda w, i: (i == 0) | ~w.isin(stop))
     return F.array_join(F.slice(kept, 1, words), "-")
+
+
+def suffixes(host: Column) -> Column:
+    """A host and each domain above it: a.b.c, b.c, c."""
+    parts = F.split(host, r"\.")
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+
+
+def in_text(text: Column) -> Column:
+    """The URLs in running text, without full stops and commas behind them."""
+    return F.transform(F.regexp_extract_all(text, F.lit(r'https?://[^\s<>"()\[\]]+'), F.lit(0)), lambda u: F.rtrim(u, F.lit(".,")))

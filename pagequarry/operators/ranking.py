@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def top_n(df: DataFrame, keys: list[str], n: int, *order: Column, rank: str = "rn") -> DataFrame:
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= n)
@@ -20,12 +22,36 @@ def occurrence(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("occurrence", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def log_score(value: Column, floor: Column | float = 1.0) -> Column:
-    """log10 scaled to 0 to 1 between the least and the most of all rows; 0.5 where all are alike."""
-    every = Window.partitionBy()
+def log_score(df: DataFrame, value: Column, name: str, floor: float = 1.0) -> DataFrame:
+    """df with log10 of a value scaled to 0 to 1 between the least and the most of all rows; 0.5 where all are alike.
+
+    The bounds are one row, joined back, so rows stay where they are.
+    """
     logged = F.log10(F.greatest(value, F.lit(floor)))
-    lo, hi = F.min(logged).over(every), F.max(logged).over(every)
-    return F.when(hi - lo <= 1e-12, F.lit(0.5)).otherwise((logged - lo) / (hi - lo))
+    bounds = df.agg(F.min(logged).alias("_lo"), F.max(logged).alias("_hi"))
+    span = F.col("_hi") - F.col("_lo")
+    return df.join(F.broadcast(bounds)).withColumn(name, F.when(span <= 1e-12, F.lit(0.5)).otherwise((logged - F.col("_lo")) / span)).drop("_lo", "_hi")
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """Rows numbered from 1 within their keys, or over all rows if there are none, in this order.
+
+    Rows are dealt by ranges of keys and order and written, so the ranges hold; what is summed up is one
+    count for each range and key. Neither one order over all rows nor a key with most of them is one task.
+    """
+    spark = df.sparkSession
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    held = written(df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()))
+    counts = held.groupBy("_part", *keys).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    for k in keys:
+        offsets = offsets.withColumnRenamed(k, f"_{k}")
+    same = F.col("_part") == F.col("_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    inside = F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order))
+    return held.withColumn("_in", inside).join(offsets.withColumnRenamed("_part", "_at"), same).withColumn(name, F.col("_in") + F.col("_before")).select(*df.columns, name)
 
 
 def share(value: Column, keys: list[str]) -> Column:

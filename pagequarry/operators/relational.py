@@ -56,8 +56,19 @@ def exclusive(groups: DataFrame, key: str, group: str, universe: DataFrame, rest
     return first.select(key, F.col(group).cast("string").alias(group)).union(left)
 
 
+def subset_or_all(offered: DataFrame, picks: DataFrame, key: str, group: str) -> DataFrame:
+    """The offered rows that were picked; a group without any keeps all of its rows."""
+    marked = offered.join(picks.select(key).distinct().withColumn("_hit", F.lit(True)), key, "left")
+    some = marked.where("_hit").select(group).distinct().withColumn("_some", F.lit(True))
+    return marked.join(some, group, "left").where("_hit or _some is null").select(offered.columns)
+
+
 def survivors(df: DataFrame, body: str, row: str, *order: Column) -> DataFrame:
-    """Rows with the hash of their body and, for copies, the row that stands for them."""
+    """Rows with the hash of their body and, for copies, the row that stands for them: the least of `order`, all ascending.
+
+    One row for each hash is found by aggregation, partly before the shuffle, so that a body with very
+    many copies is no single task; joining it back is left to adaptive execution, which splits such a key.
+    """
     hashed = df.withColumn("sha", F.sha2(F.col(body), 256))
-    w = Window.partitionBy("sha").orderBy(*order)
-    return hashed.withColumn("survivor", F.first_value(row).over(w)).withColumn("copies", F.count("*").over(Window.partitionBy("sha")))
+    best = hashed.groupBy("sha").agg(F.min_by(row, F.struct(*order)).alias("survivor"), F.count("*").alias("copies"))
+    return hashed.join(best.withColumnRenamed("sha", "_sha"), F.col("sha").eqNullSafe(F.col("_sha"))).drop("_sha")

@@ -54,7 +54,8 @@ WITH s AS (SELECT p_partkey, log10(greatest(p_retailprice, 1)) AS v, p_size FROM
 SELECT p_partkey, round(0.7 * CASE WHEN hi - lo <= 1e-12 THEN 0.5 ELSE (v - lo) / (hi - lo) END + 0.3 * (1 - p_size / 50.0), 4) AS score FROM s, m""")
 def log_score(part: DataFrame) -> DataFrame:
     kept = part.where("p_size >= 5")
-    return kept.select("p_partkey", F.round(0.7 * K.log_score(F.col("p_retailprice")) + 0.3 * (1 - F.col("p_size") / 50.0), 4).alias("score"))
+    scored = K.log_score(kept.select("p_partkey", "p_size", "p_retailprice"), F.col("p_retailprice"), "v")
+    return scored.select("p_partkey", F.round(0.7 * F.col("v") + 0.3 * (1 - F.col("p_size") / 50.0), 4).alias("score"))
 
 
 @query("conversations", sql="""
@@ -79,7 +80,7 @@ def occurrence_cap(lineitem: DataFrame) -> DataFrame:
 
 @query("events", sql="SELECT event_id, event_type || '-' || row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS seq FROM events")
 def type_sequence(events: DataFrame) -> DataFrame:
-    n = K.occurrence(events.select("event_id", "event_type", "ts"), ["event_type"], F.col("ts"), F.col("event_id"))
+    n = K.numbered(events.select("event_id", "event_type", "ts"), ["event_type"], ["ts", "event_id"], "occurrence")
     return n.select("event_id", F.concat_ws("-", "event_type", "occurrence").alias("seq"))
 
 

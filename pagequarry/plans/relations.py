@@ -66,7 +66,7 @@ def anti_todo(documents: DataFrame, labels: DataFrame) -> DataFrame:
 @query("documents", sql="""
 SELECT doc_id, sha256(text) AS sha, first_value(doc_id) OVER (PARTITION BY sha256(text) ORDER BY n_chars DESC, doc_id) AS survivor, count(*) OVER (PARTITION BY sha256(text)) AS copies FROM documents""")
 def exact_body_dups(documents: DataFrame) -> DataFrame:
-    return R.survivors(documents, "text", "doc_id", F.desc("n_chars"), F.col("doc_id")).select("doc_id", "sha", "survivor", "copies")
+    return R.survivors(documents, "text", "doc_id", -F.col("n_chars"), F.col("doc_id")).select("doc_id", "sha", "survivor", "copies")
 
 
 @query("documents", sql="""
