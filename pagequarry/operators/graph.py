@@ -33,3 +33,64 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         seen = now
     roots = edge.select(F.col("lo").alias("node")).distinct()
     return edge.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(roots.select("node", F.col("node").alias("component")))
+
+
+def reach(links: DataFrame, roots: DataFrame, most: int) -> DataFrame:
+    """(node, depth): nodes at most so many links (src, dst) from the roots, by the fewest; each round follows the newest only."""
+    seen = written(roots.select("node").where("node is not null").distinct().withColumn("depth", F.lit(0)))
+    edges = written(links.select(F.col("src").alias("node"), "dst").distinct())
+    newest = seen
+    for depth in range(1, most + 1):
+        met = newest.join(edges, "node").select(F.col("dst").alias("node")).where("node is not null").distinct()
+        newest = written(met.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth)))
+        if newest.isEmpty():
+            break
+        seen = seen.union(newest)
+    return seen
+
+
+def depths_and_kept(tree: DataFrame) -> DataFrame:
+    """(node, depth, kept) of a tree (node, parent, full): kept if full or above a full node.
+
+    Pointers double their length each round, so rounds grow with the logarithm of the depth; a node without
+    a parent in the table is a root, and depth counts the known nodes above. Loops raise an error.
+    """
+    nodes = tree.select("node", F.coalesce("full", F.lit(False)).alias("full"), "parent")
+    known = nodes.select(F.col("node").alias("parent"))
+    up = nodes.join(known, "parent", "left_semi").select("node", F.col("parent").alias("up"), F.lit(1).cast("long").alias("steps"))
+    up = written(nodes.select("node", "full").join(up, "node", "left").select("node", "full", "up", F.coalesce("steps", F.lit(0).cast("long")).alias("steps")))
+    for _ in range(40):
+        if up.where("up is not null").isEmpty():
+            return up.select("node", F.col("steps").alias("depth"), F.col("full").alias("kept"))
+        higher = up.select(F.col("node").alias("at"), F.col("up").alias("next"), F.col("steps").alias("more"))
+        lifted = up.where("full and up is not null").select(F.col("up").alias("node"), F.lit(True).alias("lifted")).distinct()
+        grown = up.join(higher, F.col("up") == F.col("at"), "left").join(lifted, "node", "left")
+        up = written(grown.select("node", (F.col("full") | F.coalesce("lifted", F.lit(False))).alias("full"), F.col("next").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0).cast("long"))).alias("steps")))
+    raise ValueError("the tree has a loop")
+
+
+def apply_merges(pairs: DataFrame) -> DataFrame:
+    """(seq, keep, gone, done): decisions in order of seq, skipping those with an end that was merged away before.
+
+    Decisions depend on earlier ones that share an end, so each round settles those whose ends no open
+    earlier decision shares, many at once, and drops those whose ends are gone by then.
+    """
+    start = pairs.where("keep is not null and gone is not null")
+    open_, settled = written(start), []
+    while not open_.isEmpty():
+        ends = open_.select("seq", F.col("keep").alias("end")).union(open_.select("seq", "gone"))
+        first = ends.groupBy("end").agg(F.min("seq").alias("first"))
+        a, b = first.select(F.col("end").alias("keep"), F.col("first").alias("fa")), first.select(F.col("end").alias("gone"), F.col("first").alias("fb"))
+        now = written(open_.join(a, "keep").join(b, "gone").where("seq = fa and seq = fb").select("seq", "keep", "gone"))
+        settled.append(now.withColumn("done", F.lit(True)))
+        dead = now.select(F.col("gone").alias("end")).distinct()
+        left = open_.join(now.select("seq"), "seq", "left_anti")
+        hit = F.col("d1").isNotNull() | F.col("d2").isNotNull()
+        marked = left.join(dead.select(F.col("end").alias("keep"), F.lit(1).alias("d1")), "keep", "left").join(dead.select(F.col("end").alias("gone"), F.lit(1).alias("d2")), "gone", "left")
+        marked = written(marked.select("seq", "keep", "gone", hit.alias("skip")))
+        settled.append(marked.where("skip").select("seq", "keep", "gone", F.lit(False).alias("done")))
+        open_ = written(marked.where("not skip").select("seq", "keep", "gone"))
+    out = start.select("seq", "keep", "gone", F.lit(True).alias("done")).limit(0)
+    for part in settled:
+        out = out.union(part)
+    return out

@@ -87,3 +87,28 @@ def test_sources(spark, tmp_path):
     assert S.json_rows(spark, str(tmp_path / "none"), "a int").count() == 0
     with pytest.raises(ValueError, match="missing"):
         S.assert_shape(df, ["t", "a.b"])
+
+
+def test_merges_in_order(spark):
+    from pagequarry.operators.graph import apply_merges, depths_and_kept
+
+    rng = np.random.default_rng(1)
+    pairs = [(i, int(a), int(b)) for i, (a, b) in enumerate(rng.integers(0, 25, (60, 2))) if a != b]
+    gone, want = set(), {}
+    for seq, a, b in pairs:
+        want[seq] = a not in gone and b not in gone
+        if want[seq]:
+            gone.add(b)
+    got = apply_merges(spark.createDataFrame(pairs, "seq long, keep long, gone long")).collect()
+    assert {r.seq: r.done for r in got} == want and len(got) == len(want)
+    tree = spark.createDataFrame([(1, None, False), (2, 1, False), (3, 2, True), (4, 1, False), (9, 77, True)], "node long, parent long, full boolean")
+    assert {tuple(r) for r in depths_and_kept(tree).collect()} == {(1, 0, True), (2, 1, True), (3, 2, True), (4, 1, False), (9, 0, True)}
+
+
+def test_numbered_with_a_hot_key(spark):
+    from pagequarry.operators.ranking import numbered
+
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 3 == 0, (F.col("id") % 50).cast("string")).alias("k"), (F.col("id") * 7919 % 3001).alias("o"))
+    got = numbered(df.union(df.limit(1).select(F.lit(None).cast("string"), F.lit(5))), ["k"], ["o"], "n").toPandas()
+    for _, part in got.groupby("k", dropna=False):
+        assert list(part.sort_values("n").n) == list(range(1, len(part) + 1)) and part.sort_values("n").o.is_monotonic_increasing
