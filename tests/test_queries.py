@@ -112,3 +112,25 @@ def test_numbered_with_a_hot_key(spark):
     got = numbered(df.union(df.limit(1).select(F.lit(None).cast("string"), F.lit(5))), ["k"], ["o"], "n").toPandas()
     for _, part in got.groupby("k", dropna=False):
         assert list(part.sort_values("n").n) == list(range(1, len(part) + 1)) and part.sort_values("n").o.is_monotonic_increasing
+
+
+def test_urls_in_text(spark):
+    df = spark.createDataFrame([(1, "see https://a.b/C/, (http://x.y/z). and https://A.b/c"), (2, None), (3, "")], "doc_id long, text string")
+    from pagequarry.plans.filters import urls_in_text
+
+    assert {tuple(r) for r in urls_in_text(df).collect()} == {(1, "https://a.b/c", 2), (1, "http://x.y/z", 1)}
+
+
+def test_resume_and_lease(spark, tmp_path):
+    from pagequarry.streaming.queue import pending, resume
+
+    source, sink, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    for lo in (0, 5):
+        spark.range(lo, lo + 5).write.mode("append").parquet(source)
+        for _ in range(2):
+            resume(spark, source, "id long", sink, marks, lambda df: df.where("id % 2 = 0"))
+    assert sorted(r.id for r in spark.read.parquet(sink).collect()) == [0, 2, 4, 6, 8]
+    rows = [(1, None), (2, "2024-01-01 00:00:00"), (3, "2024-01-01 00:14:00"), (4, None)]
+    frontier = spark.createDataFrame(rows, "u long, c string").select("u", F.to_timestamp("c").alias("claimed_at"))
+    done = spark.createDataFrame([(4,)], "u long")
+    assert sorted(r.u for r in pending(frontier, done, "u", "2024-01-01 00:16:00").collect()) == [1, 2]
