@@ -2,14 +2,15 @@
 
 Each image gets corners at several scales (the strongest responses of a corner detector on a pyramid), an
 orientation for each from the intensity centroid of its patch, and a descriptor of 64 binary tests turned
-by that orientation. Descriptors meet in four Hamming tables of 16 bits each. Within a run of a table,
-descriptors are linked to leaders, the smallest image id first, and to the
-nearest one of another image, so a run of n copies gives a few n links and not n squared; leaders keep
-large groups of copies together, the nearest one finds small groups. Pairs of images then vote for rotation, scale and shift; a pair counts once enough
+by that orientation. Two descriptors meet if they agree in one of four Hamming tables of 16
+bits each; every pair that meets and differs in at most `radius` bits is a match, whatever the number of
+partners. The matches of two images vote for rotation, scale and shift; the images link once enough
 different corners agree on one.
 
-Images with the same pixels are one row until the end. Runs longer than TILE are cut by the rest of the
-descriptor's bits, so that only descriptors that also agree in another table share a task.
+Images with the same pixels are one row until the end. The others are dealt to blocks of BLOCK images by
+a hash, and each pair of blocks is a task that sees all matches of its pairs of images, so nothing is cut
+where many descriptors are alike and matches are never shuffled. The price: work grows with the square of
+the number of images, and each block is sent once for each other one. A task reports a spanning forest.
 """
 
 from __future__ import annotations
@@ -24,12 +25,13 @@ from pyspark.sql import functions as F
 from ..operators.graph import connected_components
 from ..session import written
 from .exchange import mix
+from .simhash import forest
 
-TILE = 4096
+#: Images of a block, and pairs of descriptors of equal table values that are compared at once.
+BLOCK = 4096
+CHUNK = 1 << 20
 #: Bits of a Hamming table.
 BAND = 16
-#: How many nearest descriptors of other images each descriptor of a run links to, besides its leader.
-NEAREST = 1
 _RNG = np.random.default_rng(11)
 #: Pairs of points within a patch of 15 x 15 that are compared.
 TESTS = np.clip(np.rint(_RNG.normal(0, 4.5, (64, 4))), -8, 8)
@@ -116,7 +118,9 @@ def describe(image: np.ndarray, per_scale: int = 24, scales: int = 3) -> tuple[n
 
 
 FEATURES = "image_id long, x int, y int, scale int, turn int, descriptor long"
-MATCHES = "one long, other long, x int, y int, spin int, grow int, dx float, dy float"
+CORNER = np.dtype([("image_id", "<i8"), ("x", "<i4"), ("y", "<i4"), ("scale", "<i4"), ("turn", "<i4"), ("descriptor", "<i8")])
+PACKED = "block int, corners binary"
+LINKS = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
 
 def features(images: DataFrame, per_scale: int = 24, scales: int = 3) -> DataFrame:
@@ -139,53 +143,103 @@ def features(images: DataFrame, per_scale: int = 24, scales: int = 3) -> DataFra
     return images.select("image_id", "image").mapInArrow(each, FEATURES)
 
 
-def _lead(table: pa.Table, radius: int) -> pa.Table:
-    """Links each descriptor of a run to the first earlier one within the radius that leads; those with none lead."""
-    table = table.sort_by([(c, "ascending") for c in ("tab", "value", "part", "image_id", "scale", "y", "x")])
-    c = {k: table.column(k).to_numpy() for k in ("tab", "value", "part", "image_id", "x", "y", "scale", "turn", "descriptor")}
-    d = c["descriptor"].view(np.uint64)
-    new = (np.diff(c["tab"]) != 0) | (np.diff(c["value"]) != 0) | (np.diff(c["part"]) != 0)
-    bounds = np.concatenate([[0], np.flatnonzero(new) + 1, [len(d)]])
-    lead, follow = [], []
-    for lo, hi in zip(bounds, bounds[1:]):
-        open_rows = np.arange(lo, hi)
-        while len(open_rows) > 1:
-            near = np.bitwise_count(d[open_rows] ^ d[open_rows[0]]) <= radius
-            near[0] = False
-            mine = open_rows[near]
-            lead.append(np.full(len(mine), open_rows[0]))
-            follow.append(mine)
-            open_rows = open_rows[1:][~near[1:]]
-        every = np.arange(lo, hi)
-        for x in range(lo, hi if hi - lo > 1 else lo, 256):
-            rows = every[x - lo : x - lo + 256]
-            far = np.bitwise_count(d[rows][:, None] ^ d[every][None]).astype(np.int16)
-            far[c["image_id"][rows][:, None] == c["image_id"][every][None]] = 99
-            for _ in range(NEAREST):
-                best = far.argmin(axis=1)
-                hit = far[np.arange(len(rows)), best] <= radius
-                one, two = rows[hit], every[best[hit]]
-                swap = c["image_id"][one] > c["image_id"][two]
-                lead.append(np.where(swap, two, one))
-                follow.append(np.where(swap, one, two))
-                far[np.arange(len(rows)), best] = 99
-    a, b = (np.concatenate(v).astype(np.int64) if v else np.zeros(0, np.int64) for v in (lead, follow))
-    a, b = a[c["image_id"][a] != c["image_id"][b]], b[c["image_id"][a] != c["image_id"][b]]
-    spin, grow = (c["turn"][b] - c["turn"][a]) % TURNS, c["scale"][b] - c["scale"][a]
+def _pack(table: pa.Table) -> pa.Table:
+    """One row of a block's corners, sorted by image."""
+    rows = np.empty(table.num_rows, CORNER)
+    for name in CORNER.names:
+        rows[name] = table.column(name).to_numpy()
+    rows = rows[np.argsort(rows["image_id"], kind="stable")]
+    return pa.table({"block": table.column("block")[:1], "corners": pa.array([rows.tobytes()], pa.binary())})
+
+
+def _bands(d: np.ndarray) -> list[np.ndarray]:
+    return [(d >> np.uint64(BAND * t) & np.uint64((1 << BAND) - 1)).astype(np.int64) for t in range(64 // BAND)]
+
+
+def _matches(one: np.ndarray, other: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of all descriptors of different images that agree in a table and differ in at most radius bits, each pair once."""
+    d, e = one["descriptor"].view(np.uint64), other["descriptor"].view(np.uint64)
+    left, right = [], []
+    for t, (v, w) in enumerate(zip(_bands(d), _bands(e))):
+        order = np.argsort(w, kind="stable")
+        w = w[order]
+        lo = np.searchsorted(w, v, "left")
+        n = np.searchsorted(w, v, "right") - lo
+        i = np.repeat(np.arange(len(v)), n)
+        j = order[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(len(i))]
+        differ = d[i] ^ e[j]
+        near = np.flatnonzero(np.bitwise_count(differ) <= radius)
+        differ, i, j = differ[near], i[near], j[near]
+        fresh = one["image_id"][i] != other["image_id"][j]
+        for u in range(t):  # pairs that agree in an earlier table were found there
+            fresh &= differ >> np.uint64(BAND * u) & np.uint64((1 << BAND) - 1) != 0
+        left.append(i[fresh])
+        right.append(j[fresh])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _compare(one: np.ndarray, other: np.ndarray, radius: int, votes: int, grid: float) -> list[np.ndarray]:
+    """Links (2, n) between the images of two lists of corners sorted by image, each list whole images."""
+    if not len(one) or not len(other):
+        return []
+    same = one is other
+    met = sum(int((np.bincount(v, minlength=1 << BAND) * np.bincount(w, minlength=1 << BAND)).sum()) for v, w in zip(_bands(one["descriptor"].view(np.uint64)), _bands(other["descriptor"].view(np.uint64))))
+    if met > CHUNK:
+        halves = []
+        for side in (one, other):
+            starts = np.flatnonzero(np.diff(side["image_id"])) + 1
+            cut = starts[len(starts) // 2] if len(starts) else 0
+            halves.append([side[:cut], side[cut:]] if cut else [side])
+        if same and len(halves[0]) == 2:
+            a, b = halves[0]
+            return [x for pair in ((a, a), (a, b), (b, b)) for x in _compare(*pair, radius, votes, grid)]
+        if not same and max(map(len, halves)) == 2:
+            x, y = halves if len(halves[0]) == len(halves[1]) else (halves[0], [other]) if len(halves[0]) == 2 else ([one], halves[1])
+            return [x for a in x for b in y for x in _compare(a, b, radius, votes, grid)]
+    if same and one["image_id"][0] == one["image_id"][-1]:
+        return []
+    i, j = _matches(one, other, radius)
+    if same:
+        i, j = i[i < j], j[i < j]
+    # only pairs of images with enough matches of about one rotation and scale can agree; counts of hashes never undercount
+    spin, grow = (other["turn"][j] - one["turn"][i]) % TURNS, other["scale"][j] - one["scale"][i]
+    key = mix(one["image_id"][i].view(np.uint64) * np.uint64(31) + mix(other["image_id"][j].view(np.uint64)) + grow.astype(np.int64).view(np.uint64))
+    most = np.zeros(len(i), bool)
+    bits = max(12, min(22, len(i).bit_length() + 2))
+    for turn in (0, 1):
+        at = ((key + ((spin + turn) // 2 % (TURNS // 2)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+        most |= np.bincount(at, minlength=1 << bits)[at] >= votes
+    a, b = one[i[most]], other[j[most]]
+    swap = a["image_id"] > b["image_id"]
+    a, b = np.where(swap, b, a), np.where(swap, a, b)
+    spin, grow = (b["turn"] - a["turn"]) % TURNS, b["scale"] - a["scale"]
     angle, by = _ANGLES[spin], 2.0**grow
-    x, y = c["x"][a] * by, c["y"][a] * by
-    dx, dy = c["x"][b] - (np.cos(angle) * x - np.sin(angle) * y), c["y"][b] - (np.sin(angle) * x + np.cos(angle) * y)
-    names = ["one", "other", "x", "y", "spin", "grow", "dx", "dy"]
-    values = [c["image_id"][a], c["image_id"][b], c["x"][a], c["y"][a], spin.astype(np.int32), grow.astype(np.int32), dx.astype(np.float32), dy.astype(np.float32)]
-    return pa.table(dict(zip(names, values)))
+    x, y = a["x"] * by, a["y"] * by
+    dx, dy = b["x"] - (np.cos(angle) * x - np.sin(angle) * y), b["y"] - (np.sin(angle) * x + np.cos(angle) * y)
+    found = _agree({"one": a["image_id"], "other": b["image_id"], "x": a["x"], "y": a["y"], "spin": spin, "grow": grow, "dx": dx.astype(np.float32), "dy": dy.astype(np.float32)}, votes, grid)
+    return [found] if found.shape[1] else []
 
 
-def _agree(table: pa.Table, votes: int, grid: float) -> pa.Table:
-    """Pairs of images of which enough different corners agree on rotation, scale and shift.
+def _link(table: pa.Table, radius: int, votes: int, grid: float) -> pa.Table:
+    """Links that span all those between two blocks, or within one."""
+    blocks = [np.frombuffer(x, CORNER) for x in table.column("corners").to_pylist()]
+    found = _compare(blocks[0], blocks[-1], radius, votes, grid)
+    if not found:
+        return LINKS.empty_table()
+    ids, ends = np.unique(np.concatenate(found, axis=1), return_inverse=True)
+    ends = ends.reshape(2, -1)
+    root = forest(ends[0], ends[1], len(ids))
+    held = np.flatnonzero(root != np.arange(len(ids)))
+    return pa.table({"src": ids[held], "dst": ids[root[held]]}, schema=LINKS)
+
+
+def _agree(c: dict[str, np.ndarray], votes: int, grid: float) -> np.ndarray:
+    """Pairs of images (2, n) of which enough different corners agree on rotation, scale and shift.
 
     A shift votes for the grid cell it lies in and, moved by half a cell, for another; so does a rotation.
     """
-    c = {k: table.column(k).to_numpy() for k in ("one", "other", "x", "y", "spin", "grow", "dx", "dy")}
+    if not len(c["one"]):
+        return np.zeros((2, 0), np.int64)
     corner = c["x"].astype(np.int64) << 32 | c["y"]
     hit = np.zeros(len(corner), bool)
     for half in (0, 1):
@@ -199,8 +253,7 @@ def _agree(table: pa.Table, votes: int, grid: float) -> pa.Table:
             first = np.flatnonzero(new)
             size = np.diff(np.append(first, len(h)))
             hit[order] |= np.repeat(np.add.reduceat(other.astype(np.int64), first) >= votes, size)
-    pairs = np.unique(np.stack([c["one"][hit], c["other"][hit]]), axis=1) if hit.any() else np.zeros((2, 0), np.int64)
-    return pa.table({"src": pairs[0], "dst": pairs[1]})
+    return np.unique(np.stack([c["one"][hit], c["other"][hit]]), axis=1) if hit.any() else np.zeros((2, 0), np.int64)
 
 
 def image_copies(images: DataFrame, radius: int = 10, votes: int = 5, grid: float = 12.0) -> DataFrame:
@@ -215,16 +268,12 @@ def image_copies(images: DataFrame, radius: int = 10, votes: int = 5, grid: floa
     keyed = rows.withColumn("sha", F.sha2("image", 256))
     whole = written(keyed.where("image_id is not null and image is not null").groupBy("sha").agg(F.min("image_id").alias("rep"), F.any_value("image").alias("image")))
     found = written(features(whole.select(F.col("rep").alias("image_id"), "image")))
-    bands = F.array(*[F.struct(F.lit(t).alias("tab"), F.shiftrightunsigned("descriptor", BAND * t).bitwiseAND(F.lit((1 << BAND) - 1)).alias("value")) for t in range(64 // BAND)])
-    runs = found.select("*", F.inline(bands))
-    crowded = written(runs.groupBy("tab", "value").count().where(F.col("count") > TILE))
-    rest = F.pmod(F.xxhash64(F.shiftrightunsigned(F.col("descriptor"), 16).bitwiseXOR(F.shiftleft(F.col("tab").cast("long"), 60))), F.ceil(F.col("count") / F.lit(TILE)))
-    runs = runs.join(crowded, ["tab", "value"], "left").withColumn("part", F.coalesce(rest, F.lit(0))).drop("count")
-    slots = max(1, math.ceil(found.count() * (64 // BAND) / 50_000))
-    matches = runs.withColumn("slot", F.pmod(F.xxhash64("tab", "value", "part"), F.lit(slots)).cast("int")).groupBy("slot").applyInArrow(lambda t: _lead(t, radius), MATCHES)
-    pair_slots = max(1, math.ceil(found.count() * 8 / 200_000))
-    voted = matches.withColumn("slot", F.pmod(F.xxhash64("one", "other"), F.lit(pair_slots)).cast("int")).groupBy("slot")
-    links = voted.applyInArrow(lambda t: _agree(t, votes, grid), "src long, dst long")
+    blocks = max(1, math.ceil(whole.count() / BLOCK))
+    dealt = found.withColumn("block", F.pmod(F.xxhash64("image_id"), F.lit(blocks)).cast("int"))
+    packed = written(dealt.groupBy("block").applyInArrow(_pack, PACKED))
+    mates = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda o: F.struct(F.least("block", o).alias("one"), F.greatest("block", o).alias("other")))
+    pairs = packed.select("corners", F.inline(mates)).groupBy("one", "other")
+    links = pairs.applyInArrow(lambda t: _link(t, radius, votes, grid), "src long, dst long")
     parts = connected_components(links)
     corners = found.groupBy("image_id").agg(F.count("*").alias("n_corners"))
     known = whole.select("sha", "rep").join(parts, whole.rep == parts.node, "left").join(corners, F.col("rep") == F.col("image_id"), "left")
