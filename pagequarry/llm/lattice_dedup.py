@@ -6,7 +6,7 @@ stands in its own cell and looks into the neighbouring cells whose lattice point
 that meet in a cell are compared by cosine in double precision, so no link is wrong; links between
 vectors that no table brings together are missed (recall is measured in the tests).
 
-Equal vectors are one row with a count. A pair is counted only where it meets first, by table and cell,
+Vectors of each number of components have a lattice of their own. Equal vectors are one row with a count. A pair is counted only where it meets first, by table and cell,
 which a task can tell from the two vectors alone; so tasks return counts and a spanning forest, never
 pairs. Cells of more than TILE rows are cut into tiles, each pair of tiles to a task of its own.
 """
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +78,11 @@ class Lattice:
         return out
 
 
+@lru_cache(maxsize=8)
+def lattice_of(dim: int, tables: int, probes: int, width: float) -> Lattice:
+    return Lattice(dim, tables, probes, width)
+
+
 def _unit(raw: list[bytes], dtype: str) -> np.ndarray:
     v = np.frombuffer(b"".join(raw), dtype).reshape(len(raw), -1).astype(np.float64)
     v /= np.abs(v).max(axis=1, keepdims=True)
@@ -140,8 +146,8 @@ def lattice_dedup(vectors: DataFrame, least: float = 0.9, tables: int = 5, probe
     """Links vectors whose cosine is at least `least`.
 
     Returns one row per row of vectors: vec_id, n_links (other rows linked directly), component_id (smallest
-    id reachable), kept (vec_id = component_id). Vectors that are null, empty, zero, hold null or non-finite
-    components or have another number of components than the longest link with nothing, as do rows with a
+    id reachable), kept (vec_id = component_id). Vectors of different numbers of components don't link; those
+    that are null, empty, zero or hold null or non-finite components link with nothing, as do rows with a
     null id (component null, kept null). Repeated rows link with each other; an empty table gives no rows.
     """
     v = F.col(embedding)
@@ -150,45 +156,45 @@ def lattice_dedup(vectors: DataFrame, least: float = 0.9, tables: int = 5, probe
     dtype = "<f4" if kind == "float" else "<f8"
     good = F.col("vec_id").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     checked = rows.withColumn("good", F.coalesce(good, F.lit(False)))
-    dim = checked.where("good").agg(F.max(F.size("v"))).first()[0] or 8
-    valid = checked.where(F.col("good") & (F.size("v") == dim)).select("vec_id", "v")
+    valid = checked.where("good").select("vec_id", "v")
     distinct = written(valid.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
-    lattice = Lattice(dim, tables, probes, width)
 
     def place(batches):
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            raw = [x.tobytes() for x in np.asarray(batch.column(0).flatten()).astype(dtype).reshape(n, dim)]
-            cells = lattice.cells(_unit(raw, dtype)).view(np.int64)
-            each = tables * (1 + probes)
-            which = np.repeat(np.arange(n), each)
-            yield pa.record_batch(
-                [
-                    pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), 1 + probes), n)),
-                    pa.array(cells.reshape(-1)),
-                    pa.array(np.tile(np.arange(1 + probes) == 0, n * tables)),
-                    batch.column(1).take(pa.array(which)),
-                    batch.column(2).take(pa.array(which)),
-                    pa.array(raw, pa.binary()).take(pa.array(which)),
-                ],
-                ["tab", "cell", "home", "rep", "copies", "vec"],
-            )
-
-    entries = distinct.mapInArrow(place, "tab int, cell long, home boolean, rep long, copies long, vec binary")
-    crowded = entries.groupBy("tab", "cell").count().where(F.col("count") > TILE)
+        for whole in batches:
+            sizes = pa.compute.list_value_length(whole.column(0))
+            for dim in pa.compute.unique(sizes).to_pylist():
+                batch = whole.filter(pa.compute.equal(sizes, dim))
+                n = batch.num_rows
+                raw = [x.tobytes() for x in np.asarray(batch.column(0).flatten()).astype(dtype).reshape(n, dim)]
+                cells = lattice_of(dim, tables, probes, width).cells(_unit(raw, dtype)).view(np.int64)
+                each = tables * (1 + probes)
+                which = np.repeat(np.arange(n), each)
+                yield pa.record_batch(
+                    [
+                        pa.array(np.full(n * each, dim, np.int32)),
+                        pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), 1 + probes), n)),
+                        pa.array(cells.reshape(-1)),
+                        pa.array(np.tile(np.arange(1 + probes) == 0, n * tables)),
+                        batch.column(1).take(pa.array(which)),
+                        batch.column(2).take(pa.array(which)),
+                        pa.array(raw, pa.binary()).take(pa.array(which)),
+                    ],
+                    ["dim", "tab", "cell", "home", "rep", "copies", "vec"],
+                )
+
+    entries = distinct.mapInArrow(place, "dim int, tab int, cell long, home boolean, rep long, copies long, vec binary")
+    crowded = entries.groupBy("dim", "tab", "cell").count().where(F.col("count") > TILE)
     tiles = F.coalesce(F.ceil(F.col("count") / F.lit(TILE)).cast("int"), F.lit(1))
     mine = F.pmod(F.xxhash64("rep"), tiles).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), tiles - 1), lambda o: F.struct(F.least(mine, o).alias("one"), F.greatest(mine, o).alias("other"), mine.alias("mine")))
-    tiled = entries.join(crowded, ["tab", "cell"], "left").select("tab", "cell", "home", "rep", "copies", "vec", F.inline(pairs))
+    tiled = entries.join(crowded, ["dim", "tab", "cell"], "left").select("dim", "tab", "cell", "home", "rep", "copies", "vec", F.inline(pairs))
     slots = max(1, math.ceil(distinct.count() * tables * (1 + probes) / 20_000))
     slot = F.pmod(F.xxhash64("tab", "cell", "one", "other"), F.lit(slots)).cast("int")
-    met = written(tiled.withColumn("slot", slot).groupBy("slot").applyInArrow(lambda t: _meet(t, lattice, least, dtype), "src long, dst long, n long"))
+    met = written(tiled.withColumn("slot", slot).groupBy("dim", "slot").applyInArrow(lambda t: _meet(t, lattice_of(t.column("dim")[0].as_py(), tables, probes, width), least, dtype), "src long, dst long, n long"))
     found = connected_components(met.where("n < 0").select("src", "dst"))
     linked = met.where("n > 0").groupBy("src").agg(F.sum("n").alias("near"))
     whole = distinct.join(linked, distinct.rep == linked.src, "left").join(found, distinct.rep == found.node, "left")
     whole = whole.select("v", (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     linking = valid.join(whole, "v").select("vec_id", "n_links", "component_id")
-    alone = checked.where(~(F.col("good") & (F.size("v") == dim))).select("vec_id", F.lit(0).cast("long"), F.col("vec_id"))
+    alone = checked.where(~F.col("good")).select("vec_id", F.lit(0).cast("long"), F.col("vec_id"))
     return linking.union(alone).select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))

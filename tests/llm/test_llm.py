@@ -107,6 +107,17 @@ def test_lattice(spark):
     assert lattice_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_lattice_sizes(spark):
+    """A longer or shorter vector leaves the links of the others alone; each size has its own."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.repeat(rng.normal(size=(20, 64)), 2, axis=0) * rng.uniform(1, 2, (40, 1)))]
+    long = [float(x) for x in rng.normal(size=65)]
+    rows += [(100, long), (101, [2 * x for x in long]), (102, [1.0, 2.0]), (103, [2.0, 4.0]), (104, [1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in lattice_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    want = {i: (1, i // 2 * 2, i % 2 == 0) for i in [*range(40), 100, 101, 102, 103]} | {104: (0, 104, True)}
+    assert got == want
+
+
 def test_mixing(spark, odd, none):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     got = mix_sources(docs).toPandas()
