@@ -1,7 +1,9 @@
 """Toxicity scores from a bidirectional gated recurrent network, trained in numpy.
 
 A word is a learned vector (if it was common in the training sample) beside the last states of a
-bidirectional GRU over its characters. A second bidirectional GRU reads the words of a window, attention
+bidirectional GRU over its characters. A word of more than LONGEST bytes becomes several, so that every byte
+is read: it is cut where letters, digits and non-ASCII bytes meet other bytes or a space that is none in
+ASCII, and what is still longer into overlapping pieces of LONGEST bytes. A second bidirectional GRU reads the words of a window, attention
 pools its states, and a logistic unit scores the window. A text is covered by overlapping windows of
 WINDOW words, and its score is that of its highest window.
 
@@ -34,6 +36,8 @@ _CLASS[ord("0") : ord("9") + 1] = np.arange(27, 37)
 _CLASS[list(b".,;:!?")] = 37
 _CLASS[list(b"*@$#%&")] = 38
 _CLASS[128:] = 41 + (np.arange(128) % 16)
+#: ASCII bytes other than letters and digits.
+_JOINT = (_CLASS >= 37) & (np.arange(256) < 128)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -190,20 +194,45 @@ class Net:
         return float(-(weight * (y * np.log(q + 1e-7) + (1 - y) * np.log(1 - q + 1e-7))).sum() / weight.sum())
 
 
+def pieces(words: Words, block: Block, data: np.ndarray) -> None:
+    """Cuts the words of more than LONGEST bytes, in place."""
+    long = words.ends - words.starts > LONGEST
+    if not long.any():
+        return
+    joint = _JOINT[data]
+    for space in (b"\xc2\xa0", b"\xe3\x80\x80"):  # no-break and ideographic spaces
+        width = len(space)
+        at = np.flatnonzero(np.logical_and.reduce([data[k : len(data) - width + 1 + k] == c for k, c in enumerate(space)]))
+        for k in range(width):
+            joint[at + k] = True
+    within = np.zeros(len(data) + 1, np.int32)
+    within[words.starts[long] + 1] += 1
+    within[words.ends[long]] -= 1
+    cuts = np.flatnonzero((np.cumsum(within)[1:-1] > 0) & (joint[1:] != joint[:-1])) + 1
+    starts, ends = np.sort(np.append(words.starts, cuts)), np.sort(np.append(words.ends, cuts))
+    half = LONGEST // 2
+    per = np.maximum(0, -(-(ends - starts - LONGEST) // half)) + 1
+    rank = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+    words.starts = np.repeat(starts, per) + rank * half
+    words.ends = np.minimum(words.starts + LONGEST, np.repeat(ends, per))
+    words.bound = np.searchsorted(words.starts, block.at)
+    words.of = np.repeat(np.arange(block.n), np.diff(words.bound))
+    words.n = len(words.starts)
+
+
 class Texts:
     """The windows of a block of texts: different words, and for each window the words in it."""
 
     def __init__(self, block: Block):
         data = _LOWER[block.bytes]
         words = Words(block)
+        pieces(words, block, data)
         self.hash, first, word = np.unique(words.hashes(data), return_index=True, return_inverse=True)
         word = word.astype(np.int32)
         start, length = words.starts[first].astype(np.int32), (words.ends - words.starts)[first].astype(np.int32)
         at = np.arange(LONGEST, dtype=np.int32)
-        # a longer word is its first and last halves
-        place = np.where((length[:, None] > LONGEST) & (at >= LONGEST // 2), length[:, None] - LONGEST + at, at)
-        inside = at < np.minimum(length, LONGEST)[:, None]
-        self.chars = np.where(inside, _CLASS[data[np.minimum(start[:, None] + place, max(0, len(data) - 1))]], np.uint8(0)) if len(data) else np.zeros((0, LONGEST), np.uint8)
+        inside = at < length[:, None]
+        self.chars = np.where(inside, _CLASS[data[np.minimum(start[:, None] + at, max(0, len(data) - 1))]], np.uint8(0)) if len(data) else np.zeros((0, LONGEST), np.uint8)
         n = np.diff(words.bound)
         per = np.maximum(1, -(-(n - WINDOW) // STRIDE) + 1)
         self.of = np.repeat(np.arange(block.n), per)

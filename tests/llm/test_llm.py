@@ -5,6 +5,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,6 +193,43 @@ def test_toxicity(spark, odd):
     assert toxicity.toxicity(docs.limit(0), labels.limit(0)).count() == 0
 
 
+def test_toxicity_long_words():
+    """Every byte of a word without spaces is read, and a term joined to others otherwise than by spaces is found."""
+    rng = np.random.default_rng(6)
+    parts = ["wa", "lo", "mi", "ter", "san", "pol", "ne"]
+
+    def words(n):
+        return ["".join(rng.choice(parts, 2)) for _ in range(n)]
+
+    texts, toxic = [], np.arange(240) % 4 == 0
+    for bad in toxic:
+        text = words(60)
+        if bad:
+            text[int(rng.integers(60))] = "grobble"
+        texts.append(" ".join(text))
+    params, known = toxicity.train(texts, toxic.astype(np.int64))
+    score = toxicity.Scorer(params, known)
+    for joint in ("_", ",", "\u00a0", "\u3000", "--"):
+        half = [joint.join(words(900)) for _ in (0, 1)]
+        clean, bad = (joint.join([half[0], middle, half[1]]) for middle in ("wami", "grobble"))
+        assert len(bad.encode()) >= 9_000
+        got = score.texts(pa.array([clean, bad]))
+        assert got[0] < 0.5 <= got[1], joint
+    one, two = ("".join(parts) * 330 + middle + "".join(parts) * 330 for middle in ("wami", "grobble"))
+    assert len(two) > 10_000 and np.ptp(score.texts(pa.array([one, two]))) > 0
+    table = pa.table({"doc_id": pa.array([0, 1, 2]), "text": pa.array([one, "short", "x" * 25 + "_y"])})
+    block = toxicity.Block(table)
+    data = toxicity._LOWER[block.bytes]
+    cut = toxicity.Words(block)
+    whole = list(zip(cut.starts, cut.ends))
+    toxicity.pieces(cut, block, data)
+    read = np.zeros(len(data), bool)
+    for lo, hi in zip(cut.starts, cut.ends):
+        assert 0 < hi - lo <= toxicity.LONGEST
+        read[lo:hi] = True
+    assert all(read[lo:hi].all() for lo, hi in whole) and len(cut.bound) == 4 and cut.bound[2] - cut.bound[1] == 1
+
+
 def test_gru_gradient():
     rng = np.random.default_rng(0)
     x, u, mask = rng.normal(size=(4, 3, 6)), rng.normal(size=(2, 6)), rng.random((4, 3)) < 0.8
