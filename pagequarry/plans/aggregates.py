@@ -123,3 +123,10 @@ SELECT word, array_to_string(list_sort(list(DISTINCT conv_id)), ' ') AS posts FR
 def posting_list(conversations: DataFrame) -> DataFrame:
     found = conversations.select("conv_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{12,}"), F.lit(0))).alias("word"))
     return found.groupBy("word").agg(F.array_join(F.array_sort(F.collect_set("conv_id")).cast("array<string>"), " ").alias("posts"))
+
+
+@query("conversations")
+def posting_list_all(conversations: DataFrame) -> DataFrame:
+    """posting_list over words of any length and letters; tested against Python, without SQL."""
+    found = conversations.select("conv_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))).alias("word"))
+    return found.groupBy("word").agg(F.array_join(F.array_sort(F.collect_set("conv_id")).cast("array<string>"), " ").alias("posts"))

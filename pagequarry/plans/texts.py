@@ -55,6 +55,19 @@ def phrase_counts(documents: DataFrame) -> DataFrame:
     return documents.where("lang = 'en'").select("doc_id", X.phrase_count(t, "of the").cast("long").alias("of_the"), X.phrase_count(t, "and").cast("long").alias("and_n"))
 
 
+@query("documents")
+def number_normalise_all(documents: DataFrame) -> DataFrame:
+    """number_normalise over all languages; tested against Python, without SQL."""
+    return documents.select("doc_id", F.md5(X.normal_number(F.col("text"))).alias("key"))
+
+
+@query("documents")
+def phrase_counts_all(documents: DataFrame) -> DataFrame:
+    """phrase_counts over all languages; tested against Python, without SQL."""
+    t = F.col("text")
+    return documents.select("doc_id", X.phrase_count(t, "of the").cast("long").alias("of_the"), X.phrase_count(t, "and").cast("long").alias("and_n"))
+
+
 @query("documents", sql="SELECT CASE WHEN length(text) < 250 THEN 'failed' WHEN length(text) < 400 THEN 'stub' ELSE 'ok' END AS status, lang, count(*) AS n FROM documents GROUP BY 1, 2")
 def body_status(documents: DataFrame) -> DataFrame:
     return documents.groupBy(X.body_status(F.col("text")).alias("status"), "lang").agg(F.count("*").alias("n"))

@@ -1,6 +1,8 @@
 """Every query with SQL against DuckDB on the smallest tables, and small cases worked by hand."""
 
+import hashlib
 import os
+import re
 
 import duckdb
 import numpy as np
@@ -44,6 +46,27 @@ def test_like_sql(spark, duck, name):
     assert rows(ours) == rows(theirs)
 
 
+def test_all_languages(spark):
+    """The queries over all rows and words against Python."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()}
+    norm = {r.doc_id: r.key for r in plans.queries()["number_normalise_all"](spark, FOLDER).collect()}
+    counts = {r.doc_id: (r.of_the, r.and_n) for r in plans.queries()["phrase_counts_all"](spark, FOLDER).collect()}
+    assert set(norm) == set(counts) == set(docs) and any(t and not t.isascii() for t in docs.values())
+    for k, t in docs.items():
+        if t is None:
+            assert norm[k] is None and counts[k] == (None, None)
+            continue
+        key = re.sub(r"[^a-z0-9%]+", " ", re.sub(r"([0-9]),([0-9])", r"\1\2", t.lower()))
+        assert norm[k] == hashlib.md5(key.encode()).hexdigest()
+        assert counts[k] == (len(re.findall(r"\bof[\s-]+the\b", t.lower())), len(re.findall(r"\band\b", t.lower())))
+    posts = {}
+    for r in spark.read.parquet(f"{FOLDER}/conversations.parquet").collect():
+        for word in re.findall(r"[^\W\d_]+", (r.text or "").lower()):
+            posts.setdefault(word, set()).add(r.conv_id)
+    got = {r.word: r.posts for r in plans.queries()["posting_list_all"](spark, FOLDER).collect()}
+    assert got == {w: " ".join(map(str, sorted(ids))) for w, ids in posts.items()} and any(len(w) < 12 for w in got)
+
+
 def value(spark, column):
     return spark.range(1).select(column.alias("v")).first().v
 
