@@ -323,12 +323,14 @@ def test_media(spark):
     assert media.image_copies(spark.createDataFrame([], "image_id long, image binary")).count() == 0
 
 
-def some_corners(rng, images, per=30, kinds=40):
-    """Corners whose descriptors are a few common ones with bits flipped, some images shifted copies of others."""
-    rows = np.empty(images * per, media.CORNER)
+def some_corners(rng, images, per=30, kinds=40, flips=True):
+    """Corners whose descriptors are a few common ones, with bits flipped or not, some images shifted copies of others."""
+    rows = np.empty(images * per, [("image_id", "<i8"), ("x", "<i4"), ("y", "<i4"), ("scale", "<i4"), ("turn", "<i4"), ("descriptor", "<i8")])
     rows["image_id"] = np.repeat(np.arange(images), per)
     common = rng.integers(0, 1 << 63, kinds)
-    rows["descriptor"] = common[rng.integers(0, kinds, len(rows))] ^ (np.int64(1) << rng.integers(0, 63, len(rows))) ^ (np.int64(1) << rng.integers(0, 63, len(rows)))
+    rows["descriptor"] = common[rng.integers(0, kinds, len(rows))]
+    if flips:
+        rows["descriptor"] ^= (np.int64(1) << rng.integers(0, 63, len(rows))) ^ (np.int64(1) << rng.integers(0, 63, len(rows)))
     rows["x"], rows["y"], rows["scale"], rows["turn"] = rng.integers(0, 300, len(rows)), rng.integers(0, 300, len(rows)), rng.integers(0, 3, len(rows)), rng.integers(0, 32, len(rows))
     for k in range(0, images - 1, 10):
         mine, theirs = rows[k * per : k * per + per], rows[(k + 1) * per : (k + 2) * per]
@@ -373,6 +375,37 @@ def test_media_crowded(monkeypatch):
         assert set(map(tuple, np.concatenate(found, axis=1).T.tolist())) == want
 
 
+@pytest.mark.parametrize("flips, tile", [(True, 8), (False, 4096)])
+def test_media_partners(spark, monkeypatch, flips, tile):
+    """The groups are those of all pairs of corners, however crowded, and though many of other images are as near."""
+    monkeypatch.setattr(media, "TILE", tile, raising=False)
+    rows = some_corners(np.random.default_rng(8), 60, flips=flips)
+    corners = spark.createDataFrame([tuple(int(r[c]) for c in ("image_id", "x", "y", "scale", "turn", "descriptor")) for r in rows], media.FEATURES)
+    monkeypatch.setattr(media, "features", lambda images: corners)
+    root = list(range(60))
+    for a, b in sorted(slow_links(rows)):
+        root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    images = spark.createDataFrame([(i, b"%d" % i) for i in range(60)], "image_id long, image binary")
+    got = {r.image_id: r.component_id for r in media.image_copies(images).collect()}
+    assert got == dict(enumerate(root)) and len(set(root)) > 1
+
+
+def test_media_groups(spark):
+    """Groups of 2, 20 and 1,000 different edits, amid unrelated images, are whole and apart."""
+    rng = np.random.default_rng(12)
+    rows, want = [], {}
+    for size in (1,) * 60 + (2, 20, 1000):
+        picture = np.kron(rng.uniform(20, 235, (16, 16)), np.ones((6, 6)))
+        first = len(rows)
+        for _ in range(size):
+            y, x = rng.integers(0, 17, 2)
+            edit = rng.uniform(0.7, 0.95) * picture[y : y + 80, x : x + 80] + rng.uniform(0, 10) + rng.normal(0, 1, (80, 80))
+            want[len(rows)] = first
+            rows.append((len(rows), media.encode_pgm(edit)))
+    got = {r.image_id: r.component_id for r in media.image_copies(spark.createDataFrame(rows, "image_id long, image binary")).collect()}
+    assert got == want
+
+
 def test_media_blocks(spark, monkeypatch):
     """Many blocks give the groups of one."""
     rng = np.random.default_rng(4)
