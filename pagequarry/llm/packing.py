@@ -28,13 +28,24 @@ PIECE_SQL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens lo
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str, pattern: str):
-    """The byte-level BPE whose ranks are at path; equal to the tokenizers file of the same vocabulary."""
+def encoder(path: str, pattern: str, special: tuple[tuple[str, int], ...] = ()):
+    """The byte-level BPE whose ranks are at path; equal to the tokenizers file of the same vocabulary.
+
+    special: strings that are one id of their own wherever they stand in a text.
+    """
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    tool = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
+    names = [name for name, _ in special]
+
+    def encode(text: str) -> list[int]:
+        if any(name in text for name in names):
+            return tool.encode(text, allowed_special="all")
+        return tool.encode_ordinary(text)
+
+    return encode
 
 
 class Pieces:
@@ -133,18 +144,19 @@ def _merge_step(size: int, level: int, last: bool):
     return lambda table: _merge(table, size, level, last)
 
 
-def pack(docs: DataFrame, ranks: str, pattern: str, size: int = 2048, windows: int = 64, end: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, ranks: str, pattern: str, special: tuple[tuple[str, int], ...] = (), size: int = 2048, windows: int = 64, end: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Returns one row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    ranks, pattern: the vocabulary file and the splitting pattern of a byte-level BPE. A document is its
-    ids and then `end`; strings of special tokens are ordinary text. A null text is empty, so its document
-    is the one id; a null id stays null; an empty table gives no rows; other columns are ignored.
-    Sequence ids depend on how the input is split into partitions.
+    ranks, pattern, special: the vocabulary file, the splitting pattern and the special strings of a
+    byte-level BPE. A document is its ids and then `end`. A null text is empty, so its document is the one
+    id; a very long text is cut over as many sequences as it fills; repeated rows are packed each on its
+    own; a null id stays null; an empty table gives no rows; other columns, whatever their names, are
+    ignored. Sequence ids depend on how the input is split into partitions.
     """
 
     def each(batches):
         part = TaskContext.get().partitionId()
-        encode, out = encoder(ranks, pattern), Pieces(part << 24)
+        encode, out = encoder(ranks, pattern, special), Pieces(part << 24)
         held = OpenWindows(size, windows, out)
         for batch in batches:
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

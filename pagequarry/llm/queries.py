@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,11 +59,13 @@ def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree_scores(_table(spark, sf_dir, "documents"))
 
 
-def tokenizer() -> dict[str, str]:
-    """Where the public byte-level BPE is installed, and its splitting pattern."""
+def tokenizer() -> dict:
+    """Where the public byte-level BPE is installed, its splitting pattern and its special strings."""
     import public_tokenizers
 
-    return {"ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    return {"ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN, "special": tuple((a["content"], a["id"]) for a in added)}
 
 
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
