@@ -1,7 +1,8 @@
 """Scoring texts by context-tree weighting over bytes.
 
 A byte is eight binary decisions, each with a tree of contexts of its own: the bits of the byte so far and
-the 0 to DEPTH bytes before it. Each node holds how often a 0 and a 1 followed in the training texts, and
+the 0 to DEPTH bytes before it. A text is the UTF-8 bytes with A-Z lower-cased, as for the words, and ends
+with the byte 255, which no UTF-8 text holds; the same byte stands before its first one as context. Each node holds how often a 0 and a 1 followed in the training texts, and
 its Krichevsky-Trofimov estimate; a node's weighted probability is the mean of its own estimate and of the
 product of its children's, so all depths are mixed, by how well each told the training texts. A text's
 score is the log of the product of its bytes' mixed probabilities, end of text included.
@@ -28,6 +29,10 @@ from . import exchange as X
 from .words import Words
 
 DEPTH = 5
+#: Stands before and behind each text; never part of UTF-8.
+EDGE = 255
+#: Bytes of the mask with which contexts are numbered; beyond that they are sorted.
+MASK = 1 << 27
 HALF = math.log(0.5)
 WORDS, GRAMS = 1, 2
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -160,13 +165,14 @@ class Corpus:
         self.words = Words(b)
         self.hash, word = np.unique(self.words.hashes(_LOWER[b.bytes]), return_inverse=True)
         self.word = word.astype(np.int32)
-        # each text behind DEPTH zero bytes of context and before a zero byte that ends it
+        # each text behind DEPTH bytes EDGE of context and before one that ends it
         sizes = np.diff(b.at)
         self.begin = b.at[:-1] + (DEPTH + 1) * np.arange(b.n) + DEPTH
-        wide = np.zeros(len(b.bytes) + (DEPTH + 1) * b.n, np.uint8)
+        lower = _LOWER[b.bytes]
+        wide = np.full(len(b.bytes) + (DEPTH + 1) * b.n, EDGE, np.uint8)
         symbol = np.zeros(len(wide), bool)
         for lo, n, at in zip(b.at.tolist(), sizes.tolist(), self.begin.tolist()):
-            wide[at : at + n] = b.bytes[lo : lo + n]
+            wide[at : at + n] = lower[lo : lo + n]
             symbol[at : at + n + 1] = True
         place = np.flatnonzero(symbol).astype(np.int32)
         self.starts = np.append(0, np.cumsum(sizes + 1))
@@ -177,11 +183,15 @@ class Corpus:
         ident = small[place - DEPTH] if len(place) else np.zeros(0, np.int32)
         count = base
         for back in range(DEPTH - 1, -1, -1):
-            ident = ident * np.int32(base) + small[place - back]
-            there = np.zeros(count * base, bool)
-            there[ident] = True
-            number = np.cumsum(there, dtype=np.int32) - np.int32(1)
-            ident, count = number[ident], int(number[-1]) + 1
+            if count * base <= MASK:
+                ident = ident * np.int32(base) + small[place - back]
+                there = np.zeros(count * base, bool)
+                there[ident] = True
+                number = np.cumsum(there, dtype=np.int32) - np.int32(1)
+                ident, count = number[ident], int(number[-1]) + 1
+            else:  # very long texts: the same numbers by sorting
+                known, ident = np.unique(ident.astype(np.int64) * base + small[place - back], return_inverse=True)
+                ident, count = ident.astype(np.int32), len(known)
         where = np.zeros(count, np.int32)
         where[ident] = place
         self.codes = np.zeros(count if len(place) else 0, np.int64)
@@ -232,8 +242,9 @@ def context_tree_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc
 
     Returns one row per row of docs: doc_id, held_out, n_tokens (words and one end), n_known (tokens met in
     training), train_tokens, base_score (log10, unigrams with one added), score (log10 of the text's
-    probability) and bits_per_byte. A null text is empty; a null id is trained on and not held out;
-    repeated rows count as often as they occur; an empty table gives no rows; other columns are ignored.
+    probability) and bits_per_byte. A null text is empty; a very long text is one task's work; a null id is
+    trained on and not held out; repeated rows count as often as they occur; an empty table gives no rows;
+    other columns, whatever their names, are ignored.
     """
     n_groups, n_buckets = X.counts_for(X.total_bytes(docs, text), group_bytes, bucket_bytes)
     held = F.coalesce(fold("doc_id", folds) == held_fold, F.lit(False))
