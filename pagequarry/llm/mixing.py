@@ -1,10 +1,10 @@
 """Mixing sources to target weights by pivotal rounding.
 
 A source's target over its size is how many copies of each of its documents the mix should hold. Whole
-copies are certain; the fractional rest is rounded by pivotal steps. A document and the pool of all
-documents after it, in descending order of size, hold fractional probabilities; words are moved between
-the two at random until one side is integral, in such a way that the expected copies of each and the sum
-of words stay what they were. What is left of a bucket is one small document that is still fractional.
+copies are certain; the fractional rest is rounded by pivotal steps. Two documents with fractional
+probabilities move words from one to the other at random until one of them is integral, in such a way that
+the expected copies of each and the sum of words stay what they were; the one that stays fractional meets
+the next, in descending order of size. What is left of a bucket is one document that is still fractional.
 These are combined in a tree of buckets, 64 to a node, until one is left for each source; it is rounded
 at random. So a source misses its target by less than that one document.
 """
@@ -60,34 +60,13 @@ def targets(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: flo
     return per.select("source", "n", "source_size", target.alias("target"))
 
 
-def pivot_pool(size: np.ndarray, q: float, draw) -> tuple[np.ndarray, int, float]:
-    """Rounds documents of these positive sizes, all of probability q, each against the pool of those behind it.
+def pivot_pairs(size: np.ndarray, p: np.ndarray, draw) -> tuple[np.ndarray, int]:
+    """Rounds documents of positive sizes two at a time; returns the probabilities and the index left fractional or -1.
 
-    Returns (copies, the index that stays fractional or -1, its probability). Each document's expected
-    copies and the sum of words are kept.
+    The expected value of each probability and the sum of sizes times probabilities stay what they were.
     """
-    copies = np.zeros(len(size), np.int64)
-    behind = np.append(np.cumsum(size[::-1])[::-1][1:], 0).tolist() if len(size) else []
-    for i, (s, pool) in enumerate(zip(size.tolist(), behind)):
-        if q <= 1e-12 or q >= 1 - 1e-12:
-            copies[i:] = round(q)
-            return copies, -1, 0.0
-        if not pool:
-            return copies, i, q
-        gain, lose = min((1 - q) * s, q * pool), min(q * s, (1 - q) * pool)
-        up = draw() * (gain + lose) < lose
-        if (up and gain < (1 - q) * s) or (not up and lose < q * s):  # the pool is the side that becomes integral
-            copies[i + 1 :] = 0 if up else 1
-            return copies, i, q + (gain if up else -lose) / s
-        copies[i] = up
-        q += -gain / pool if up else lose / pool
-    return copies, -1, 0.0
-
-
-def pivot_pairs(size: np.ndarray, p: np.ndarray, draw) -> tuple[np.ndarray, int]:
-    """Rounds documents of positive sizes two at a time; returns the probabilities and the index left fractional or -1."""
-    p, held = p.astype(float).tolist(), -1
-    for i, s in enumerate(size.tolist()):
+    p, size, held = p.astype(float).tolist(), size.tolist(), -1
+    for i, s in enumerate(size):
         if held >= 0:
             gain = min((1 - p[i]) * s, p[held] * size[held])
             lose = min(p[i] * s, (1 - p[held]) * size[held])
@@ -110,13 +89,12 @@ def _bucket(table: pa.Table) -> pa.Table:
     table = table.sort_by([("size", "descending"), ("doc_id", "ascending")])
     size, p = table.column("size").to_numpy(), table.column("p").to_numpy()
     filled = int((size > 0).sum())
-    q = float(p[0]) if filled else 0.0
-    copies, left, rest = pivot_pool(size[:filled], q, _draws(table.column("source")[0].as_py(), table.column("bucket")[0].as_py()))
+    rounded, left = pivot_pairs(size[:filled], p[:filled], _draws(table.column("source")[0].as_py(), table.column("bucket")[0].as_py()))
     whole = table.column("copies").to_numpy().copy()
-    whole[:filled] += copies
+    whole[:filled] += np.where(np.arange(filled) == left, 0, rounded).astype(np.int64)
     new = np.full(len(size), np.nan)
     if left >= 0:
-        new[left] = rest
+        new[left] = rounded[left]
     return table.set_column(4, "copies", pa.array(whole)).set_column(5, "p", pa.array(new, from_pandas=True)).cast(SCHEMA)
 
 
@@ -142,9 +120,11 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share:
 
     Returns one row per row of docs: doc_id, source, size (words), source_size, target (words of the source),
     copies, taken (copies times size). Copies are the source's target over its size, rounded down or up; a
-    document without words has 0 taken. A null text has no words; null sources are one source, the last;
-    repeated rows are rounded each on its own; an empty table gives no rows. Draws are seeded by source
-    and bucket, so reruns agree.
+    document without words has 0 taken. A null text has no words; a very long text is one document like any
+    other; null sources are one source, the last; repeated rows are rounded each on its own; an empty table
+    gives no rows; other columns, whatever their names, are ignored. Draws are seeded by source and bucket,
+    so reruns agree. Rows are dealt to buckets by id and size: rows that share an id spread by size, rows
+    that share both are one bucket.
     """
     sized = written(sizes(docs, doc_id, text, source))
     per = written(targets(sized, weights, share, most)).withColumnRenamed("source", "of")
@@ -152,7 +132,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share:
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = sized.join(per, F.col("source").eqNullSafe(F.col("of"))).select(
         "doc_id", "source", "size",
-        F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / F.lit(bucket_rows))).cast("long").alias("bucket"),
+        F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("n") / F.lit(bucket_rows))).cast("long").alias("bucket"),
         F.floor(rate).cast("long").alias("copies"), (rate - F.floor(rate)).alias("p"),
     )
     rounded = written(rows.groupBy("source", "bucket").applyInArrow(_bucket, ROWS))
