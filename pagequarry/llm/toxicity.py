@@ -356,18 +356,21 @@ def small_batches(docs: DataFrame, rows: int = 1000) -> None:
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 600, folds: int = 5, doc_id: str = "doc_id", text: str = "text") -> tuple[dict, np.ndarray]:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 600, folds: int = 5, doc_id: str = "doc_id", text: str = "text", longest: int = 12_000) -> tuple[dict, np.ndarray]:
     """Trains on at most `sample` toxic and 3 times as many other labelled texts, none of them in fold 0 of `folds`.
 
-    The fold of a document is the CRC-32 of its id as text. The sample is the first by a hash of the id;
-    texts of 12,000 bytes or more are not in it.
+    The fold of a document is the CRC-32 of its id as text. The sample is the first by a hash of the id. Texts
+    of `longest` bytes or more are not in it, which bounds what the driver holds; all texts are scored. Of
+    rows that share an id the smallest text counts, and of labels that contradict each other toxic. An epoch
+    takes at most 5,000 windows of either kind, half of them those that the net takes for the other kind.
     """
     ident = F.col(doc_id).cast("long")
-    short = docs.where((F.pmod(F.crc32(ident.cast("string")), F.lit(folds)) != 0) & (F.octet_length(text) < 12_000))
-    marked = labels.select(F.col("doc_id").cast("long").alias("marked_id"), F.col("toxic")).where("toxic is not null").dropDuplicates(["marked_id"])
+    short = docs.where((F.pmod(F.crc32(ident.cast("string")), F.lit(folds)) != 0) & (F.octet_length(text) < longest))
+    marked = labels.select(F.col("doc_id").cast("long").alias("marked_id"), F.col("toxic")).where("toxic is not null").groupBy("marked_id").agg(F.max("toxic").alias("toxic"))
     both = short.select(ident.alias("marked_id")).distinct().join(marked, "marked_id").withColumn("turn", F.xxhash64("marked_id"))
     chosen = [[r.marked_id for r in both.where(F.col("toxic") == k).orderBy("turn", "marked_id").limit(sample * (1 if k else 3)).select("marked_id").collect()] for k in (1, 0)]
-    parts = [short.where(ident.isin(ids)).orderBy(ident, text).select(F.col(text).alias("text"), F.lit(k).alias("toxic")).collect() if ids else [] for k, ids in zip((1, 0), chosen)]
+    one = lambda ids: short.where(ident.isin(ids)).groupBy(ident.alias("marked_id")).agg(F.min(text).alias("text")).orderBy("marked_id")
+    parts = [one(ids).select("text", F.lit(k).alias("toxic")).collect() if ids else [] for k, ids in zip((1, 0), chosen)]
     rows = [*parts[0], *parts[1]]
     if not parts[0] or not parts[1]:
         return Net(1).p | {"out": np.zeros(2 * H, np.float32), "out_b": np.array([9.0 if parts[0] else -9.0], np.float32)}, np.zeros(0, np.uint64)
@@ -380,8 +383,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 600, folds: int =
     """Returns one row per row of docs: doc_id, held_out (in fold 0, never trained on), score, predicted.
 
     score is 0 to 1; predicted is 1 from 0.5 on. A null text is empty; texts without words get the score of
-    an empty window; a null id is never held out or trained on; without labels of both kinds all scores are
-    alike; an empty table gives no rows; other columns are ignored.
+    an empty window; a very long text is scored whole, window by window; a null id is never held out or
+    trained on; repeated rows are scored alike; without labels of both kinds all scores are alike; an empty
+    table gives no rows; other columns, whatever their names, are ignored.
     """
     params, known = fit(docs, labels, sample, folds, doc_id, text)
 
