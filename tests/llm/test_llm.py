@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pagequarry.llm import ctw, media, queries, toxicity, warc
 from pagequarry.llm.gsaca import suffix_array
 from pagequarry.llm.lattice_dedup import ROOTS, lattice_dedup, nearest_e8
-from pagequarry.llm.mixing import mix_sources, pivot_pool
+from pagequarry.llm.mixing import mix_sources, pivot_pairs
 from pagequarry.llm.packing import pack
 from pagequarry.llm.simhash import compare_tiles, fingerprint, simhash_dedup
 from pagequarry.llm.suffix_dedup import suffix_dedup
@@ -132,11 +132,30 @@ def test_mixing(spark, odd, none):
     assert len(one) == odd.count() and mix_sources(none).count() == 0
     size, taken = np.array([50, 30, 9, 8, 2, 1]), np.zeros(6)
     for seed in range(4000):
-        copies, left, rest = pivot_pool(size, 0.3, np.random.default_rng(seed).random)
-        total = float((copies * size).sum()) + (rest * size[left] if left >= 0 else 0)
-        assert abs(total - 0.3 * size.sum()) < 1e-6
-        taken += copies + (np.arange(6) == left) * rest
+        p, left = pivot_pairs(size, np.full(6, 0.3), np.random.default_rng(seed).random)
+        assert abs((p * size).sum() - 0.3 * size.sum()) < 1e-6
+        assert all(x in (0, 1) or i == left for i, x in enumerate(p.tolist()))
+        taken += p
     assert abs(taken / 4000 - 0.3).max() < 0.04
+    # targets against a plain version: what exceeds twice a source's size is shared again until none does
+    for table in (docs, odd):
+        rows = table.select("source", "text").collect()
+        sizes = {}
+        for r in rows:
+            sizes[r.source] = sizes.get(r.source, 0) + len((r.text or "").encode().split())
+        order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+        weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+        want, left, free = {}, 1.5 * sum(sizes.values()), set(sizes)
+        while free:
+            full = {s for s in free if left * weight[s] / sum(weight[x] for x in free) > 2 * sizes[s]}
+            if not full:
+                want |= {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+                break
+            want |= {s: 2.0 * sizes[s] for s in full}
+            left -= sum(2.0 * sizes[s] for s in full)
+            free -= full
+        mixed = mix_sources(table).collect()
+        assert all(abs(r.target - want[r.source]) < 1e-6 * max(1, want[r.source]) and r.source_size == sizes[r.source] for r in mixed)
 
 
 def test_warc(spark):
@@ -248,11 +267,12 @@ def test_gru_gradient():
 
 def test_context_trees(spark, odd, none, monkeypatch):
     """Every weighted probability of a small corpus, by recursion over its nodes."""
-    docs = spark.createDataFrame([(3, "abab"), (4, "abba ab"), (6, None), (7, "ba")], "doc_id long, text string")
+    docs = spark.createDataFrame([(3, "aBab"), (4, "abba ab"), (6, None), (7, "ba"), (8, "A\0b"), (9, "a")], "doc_id long, text string")
+    text_of = {r.doc_id: bytes([ctw.EDGE]) * ctw.DEPTH + (r.text or "").lower().encode() + bytes([ctw.EDGE]) for r in docs.collect()}
     train = [r for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 7 != 2]
     counts = {}
     for r in train:
-        data = bytes(ctw.DEPTH) + (r.text or "").encode() + b"\0"
+        data = text_of[r.doc_id]
         for i in range(ctw.DEPTH, len(data)):
             for d in range(ctw.DEPTH + 1):
                 for b in range(8):
@@ -281,13 +301,20 @@ def test_context_trees(spark, odd, none, monkeypatch):
 
     got = {r.doc_id: r for r in ctw.context_tree_scores(docs).collect()}
     for r in docs.collect():
-        data, total = bytes(ctw.DEPTH) + (r.text or "").encode() + b"\0", 0.0
+        data, total = text_of[r.doc_id], 0.0
         for i in range(ctw.DEPTH, len(data)):
             for b in range(8):
                 p = one(data[i - ctw.DEPTH : i], b, data[i] >> (8 - b))
                 total += math.log10(p if data[i] >> (7 - b) & 1 else 1 - p)
         assert abs(got[r.doc_id].score - total) < 1e-4
     assert ctw.context_tree_scores(odd).count() == odd.count()
+    plain = {r.doc_id: r.score for r in ctw.context_tree_scores(odd).collect()}
+    monkeypatch.setattr(ctw, "MASK", 0)
+    table = pa.table({"doc_id": [1, 2], "text": ["abc abd " * 50, "xyz\0"]})
+    sorted_codes = ctw.Corpus(table)
+    monkeypatch.setattr(ctw, "MASK", 1 << 27)
+    masked = ctw.Corpus(table)
+    assert (sorted_codes.codes == masked.codes).all() and (sorted_codes.gram == masked.gram).all() and len(plain) == len(set(plain))
     assert ctw.context_tree_scores(none).count() == 0
 
 
@@ -297,7 +324,9 @@ def test_packing(spark, odd, none):
     import public_tokenizers
 
     tool = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tool.encode_special_tokens = True
+    special = spark.createDataFrame([(70, "a<|endoftext|> b <|endoftext|><|endoftext|>c<|endof"), (71, "<|endoftext|>")], "doc_id long, text string")
+    odd = odd.unionByName(special, allowMissingColumns=True)
+    assert 50256 in tool.encode("<|endoftext|>", add_special_tokens=False).ids
     ids = {r.doc_id: np.array([*tool.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4") for r in odd.collect()}
     rows = pack(odd, **queries.tokenizer()).toPandas()
     for k, part in rows.fillna({"doc_id": -1}).groupby("doc_id"):
