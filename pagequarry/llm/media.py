@@ -1,16 +1,18 @@
 """Copies of images by local descriptors.
 
 Each image gets corners at several scales (the strongest responses of a corner detector on a pyramid), an
-orientation for each from the intensity centroid of its patch, and a descriptor of 64 binary tests turned
-by that orientation. Two descriptors meet if they agree in one of four Hamming tables of 16
-bits each; every pair that meets and differs in at most `radius` bits is a match, whatever the number of
-partners. The matches of two images vote for rotation, scale and shift; the images link once enough
-different corners agree on one.
-
-Images with the same pixels are one row until the end. The others are dealt to blocks of BLOCK images by
-a hash, and each pair of blocks is a task that sees all matches of its pairs of images, so nothing is cut
-where many descriptors are alike and matches are never shuffled. The price: work grows with the square of
-the number of images, and each block is sent once for each other one. A task reports a spanning forest.
+orientation for each from the intensity centroid of its patch, and a descriptor of 256 binary tests turned
+by that orientation. The descriptor is four parts of 64 bits, each the key of a Hamming table: corners of
+two images match if they agree in a whole part. All images that share a key form a run. The matches of two
+images vote for rotation, scale and shift; the images link once enough different corners agree on one.
+
+Matches are made twice, so that a group of copies never makes all its pairs. First each run matches its
+images with the one of the smallest and the one of the largest id only: as these are the same in all runs
+that two copies share, their votes are whole, and a group of n copies costs 2 n matches for each run. Then
+runs whose images are still of several components match all pairs across components. A pair of images
+that shares a run is thus in one component, or has had all its votes counted: the components are those
+of all pairs. After the descriptors all of it is joins and aggregates, which split and combine crowded
+runs; nothing is cut. Images with the same pixels are one row until the end.
 """
 
 from __future__ import annotations
@@ -19,22 +21,21 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from ..session import written
-from .exchange import mix
-from .simhash import forest
-
-#: Images of a block, and pairs of descriptors of equal table values that are compared at once.
-BLOCK = 4096
-CHUNK = 1 << 20
-#: Bits of a Hamming table.
-BAND = 16
+
+#: Runs that are sent to all executors at most (some 100 bytes each); beyond that they are shuffled.
+SENT_RUNS = 200_000
+#: Half the side of a patch, and what is left free at the edges of an image.
+REACH = 13
+MARGIN = REACH + 3
+BITS = 256
 _RNG = np.random.default_rng(11)
-#: Pairs of points within a patch of 15 x 15 that are compared.
-TESTS = np.clip(np.rint(_RNG.normal(0, 4.5, (64, 4))), -8, 8)
+#: Pairs of points within a patch that are compared.
+TESTS = np.clip(_RNG.normal(0, 6.0, (BITS, 4)), -REACH, REACH)
 TURNS = 32
 _ANGLES = 2 * np.pi * np.arange(TURNS) / TURNS
 
@@ -78,24 +79,27 @@ def _box(a: np.ndarray, r: int) -> np.ndarray:
     return (p[k:, k:] - p[:-k, k:] - p[k:, :-k] + p[:-k, :-k]) / (k * k)
 
 
-def describe(image: np.ndarray, per_scale: int = 24, scales: int = 3) -> tuple[np.ndarray, ...]:
-    """(x, y, scale, turn, descriptor) of the corners of an image; x and y in its own pixels."""
+def _highest(a: np.ndarray, r: int = 2) -> np.ndarray:
+    """Maxima over squares of side 2r + 1, wrapped at the edges."""
+    for axis in (0, 1):
+        a = np.maximum.reduce([np.roll(a, d, axis) for d in range(-r, r + 1)])
+    return a
+
+
+def describe(image: np.ndarray, per_scale: int = 32, scales: int = 3) -> tuple[np.ndarray, ...]:
+    """(x, y, scale, turn, descriptor as rows of 32 bytes) of the corners of an image; x and y in its own pixels."""
     out, now = [], image.astype(np.float64)
     for scale in range(scales):
         h, w = now.shape
-        if min(h, w) < 24:
+        if min(h, w) < 2 * MARGIN + 4:
             break
         smooth = _box(now, 1)
         gy, gx = np.gradient(smooth)
         xx, yy, xy = _box(gx * gx, 2), _box(gy * gy, 2), _box(gx * gy, 2)
         response = xx * yy - xy * xy - 0.05 * (xx + yy) ** 2
         inner = np.zeros_like(response, bool)
-        inner[12:-12, 12:-12] = True
-        best = response.copy()
-        for dy in range(-2, 3):
-            for dx in range(-2, 3):
-                best = np.maximum(best, np.roll(np.roll(response, dy, 0), dx, 1))
-        y, x = np.nonzero(inner & (response == best) & (response > 1.0))
+        inner[MARGIN:-MARGIN, MARGIN:-MARGIN] = True
+        y, x = np.nonzero(inner & (response == _highest(response)) & (response > 1.0))
         keep = np.argsort(-response[y, x], kind="stable")[:per_scale]
         y, x = y[keep], x[keep]
         if len(x):
@@ -108,179 +112,106 @@ def describe(image: np.ndarray, per_scale: int = 24, scales: int = 3) -> tuple[n
             c, s = np.cos(_ANGLES[turn])[:, None], np.sin(_ANGLES[turn])[:, None]
             soft = _box(smooth, 2)
 
-            def at(px, py, soft=soft, x=x, y=y, c=c, s=s):
-                return soft[y[:, None] + np.rint(s * px + c * py).astype(np.int64), x[:, None] + np.rint(c * px - s * py).astype(np.int64)]
+            def at(px, py, soft=soft, x=x, y=y, c=c, s=s, h=h, w=w):
+                down = np.clip(y[:, None] + np.rint(s * px + c * py).astype(np.int64), 0, h - 1)
+                return soft[down, np.clip(x[:, None] + np.rint(c * px - s * py).astype(np.int64), 0, w - 1)]
 
             bits = at(TESTS[:, 0], TESTS[:, 1]) < at(TESTS[:, 2], TESTS[:, 3])
-            out.append((x << scale, y << scale, np.full(len(x), scale), turn, np.packbits(bits, axis=1).view(">u8").reshape(-1).astype(np.uint64)))
+            out.append((x << scale, y << scale, np.full(len(x), scale), turn, np.packbits(bits, axis=1)))
         now = now[: h // 2 * 2, : w // 2 * 2].reshape(h // 2, 2, w // 2, 2).mean(axis=(1, 3))
-    return tuple(map(np.concatenate, zip(*out))) if out else tuple(np.zeros(0, t) for t in (int, int, int, int, np.uint64))
+    return tuple(map(np.concatenate, zip(*out))) if out else (*np.zeros((4, 0), int), np.zeros((0, BITS // 8), np.uint8))
 
 
-FEATURES = "image_id long, x int, y int, scale int, turn int, descriptor long"
-CORNER = np.dtype([("image_id", "<i8"), ("x", "<i4"), ("y", "<i4"), ("scale", "<i4"), ("turn", "<i4"), ("descriptor", "<i8")])
-PACKED = "block int, corners binary"
-LINKS = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+CORNER = pa.struct([*[(n, pa.int32()) for n in ("x", "y", "scale", "turn")], ("parts", pa.list_(pa.int64()))])
+FEATURES = "image_id long, sha string, corners array<struct<x: int, y: int, scale: int, turn: int, parts: array<long>>>"
 
 
-def features(images: DataFrame, per_scale: int = 24, scales: int = 3) -> DataFrame:
-    """Corners of images (image_id, image: bytes of a PGM or PPM); images that can't be decoded have none."""
+def features(images: DataFrame, per_scale: int = 32, scales: int = 3) -> DataFrame:
+    """(image_id, sha, corners) of images (image_id, image: bytes of a PGM or PPM); those that can't be decoded have no corners."""
 
     def each(batches):
         for batch in batches:
-            rows = [[], [], [], [], [], []]
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            out, sizes = [], []
+            for raw in batch.column(2).to_pylist():
                 px = decode_pgm(raw)
-                if px is not None:
-                    got = describe(px, per_scale, scales)
-                    for column, values in zip(rows, (np.full(len(got[0]), k, np.int64), *got)):
-                        column.append(values)
-            flat = [np.concatenate(c) if c else np.zeros(0) for c in rows]
-            kinds = (np.int64, np.int32, np.int32, np.int32, np.int32, np.uint64)
-            flat = [c.astype(t) for c, t in zip(flat, kinds)]
-            yield pa.record_batch([*map(pa.array, flat[:5]), pa.array(flat[5].view(np.int64))], ["image_id", "x", "y", "scale", "turn", "descriptor"])
-
-    return images.select("image_id", "image").mapInArrow(each, FEATURES)
-
-
-def _pack(table: pa.Table) -> pa.Table:
-    """One row of a block's corners, sorted by image."""
-    rows = np.empty(table.num_rows, CORNER)
-    for name in CORNER.names:
-        rows[name] = table.column(name).to_numpy()
-    rows = rows[np.argsort(rows["image_id"], kind="stable")]
-    return pa.table({"block": table.column("block")[:1], "corners": pa.array([rows.tobytes()], pa.binary())})
-
-
-def _bands(d: np.ndarray) -> list[np.ndarray]:
-    return [(d >> np.uint64(BAND * t) & np.uint64((1 << BAND) - 1)).astype(np.int64) for t in range(64 // BAND)]
-
-
-def _matches(one: np.ndarray, other: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of all descriptors of different images that agree in a table and differ in at most radius bits, each pair once."""
-    d, e = one["descriptor"].view(np.uint64), other["descriptor"].view(np.uint64)
-    left, right = [], []
-    for t, (v, w) in enumerate(zip(_bands(d), _bands(e))):
-        order = np.argsort(w, kind="stable")
-        w = w[order]
-        lo = np.searchsorted(w, v, "left")
-        n = np.searchsorted(w, v, "right") - lo
-        i = np.repeat(np.arange(len(v)), n)
-        j = order[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(len(i))]
-        differ = d[i] ^ e[j]
-        near = np.flatnonzero(np.bitwise_count(differ) <= radius)
-        differ, i, j = differ[near], i[near], j[near]
-        fresh = one["image_id"][i] != other["image_id"][j]
-        for u in range(t):  # pairs that agree in an earlier table were found there
-            fresh &= differ >> np.uint64(BAND * u) & np.uint64((1 << BAND) - 1) != 0
-        left.append(i[fresh])
-        right.append(j[fresh])
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _compare(one: np.ndarray, other: np.ndarray, radius: int, votes: int, grid: float) -> list[np.ndarray]:
-    """Links (2, n) between the images of two lists of corners sorted by image, each list whole images."""
-    if not len(one) or not len(other):
-        return []
-    same = one is other
-    met = sum(int((np.bincount(v, minlength=1 << BAND) * np.bincount(w, minlength=1 << BAND)).sum()) for v, w in zip(_bands(one["descriptor"].view(np.uint64)), _bands(other["descriptor"].view(np.uint64))))
-    if met > CHUNK:
-        halves = []
-        for side in (one, other):
-            starts = np.flatnonzero(np.diff(side["image_id"])) + 1
-            cut = starts[len(starts) // 2] if len(starts) else 0
-            halves.append([side[:cut], side[cut:]] if cut else [side])
-        if same and len(halves[0]) == 2:
-            a, b = halves[0]
-            return [x for pair in ((a, a), (a, b), (b, b)) for x in _compare(*pair, radius, votes, grid)]
-        if not same and max(map(len, halves)) == 2:
-            x, y = halves if len(halves[0]) == len(halves[1]) else (halves[0], [other]) if len(halves[0]) == 2 else ([one], halves[1])
-            return [x for a in x for b in y for x in _compare(a, b, radius, votes, grid)]
-    if same and one["image_id"][0] == one["image_id"][-1]:
-        return []
-    i, j = _matches(one, other, radius)
-    if same:
-        i, j = i[i < j], j[i < j]
-    # only pairs of images with enough matches of about one rotation and scale can agree; counts of hashes never undercount
-    spin, grow = (other["turn"][j] - one["turn"][i]) % TURNS, other["scale"][j] - one["scale"][i]
-    key = mix(one["image_id"][i].view(np.uint64) * np.uint64(31) + mix(other["image_id"][j].view(np.uint64)) + grow.astype(np.int64).view(np.uint64))
-    most = np.zeros(len(i), bool)
-    bits = max(12, min(22, len(i).bit_length() + 2))
-    for turn in (0, 1):
-        at = ((key + ((spin + turn) // 2 % (TURNS // 2)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
-        most |= np.bincount(at, minlength=1 << bits)[at] >= votes
-    a, b = one[i[most]], other[j[most]]
-    swap = a["image_id"] > b["image_id"]
-    a, b = np.where(swap, b, a), np.where(swap, a, b)
-    spin, grow = (b["turn"] - a["turn"]) % TURNS, b["scale"] - a["scale"]
-    angle, by = _ANGLES[spin], 2.0**grow
-    x, y = a["x"] * by, a["y"] * by
-    dx, dy = b["x"] - (np.cos(angle) * x - np.sin(angle) * y), b["y"] - (np.sin(angle) * x + np.cos(angle) * y)
-    found = _agree({"one": a["image_id"], "other": b["image_id"], "x": a["x"], "y": a["y"], "spin": spin, "grow": grow, "dx": dx.astype(np.float32), "dy": dy.astype(np.float32)}, votes, grid)
-    return [found] if found.shape[1] else []
-
-
-def _link(table: pa.Table, radius: int, votes: int, grid: float) -> pa.Table:
-    """Links that span all those between two blocks, or within one."""
-    blocks = [np.frombuffer(x, CORNER) for x in table.column("corners").to_pylist()]
-    found = _compare(blocks[0], blocks[-1], radius, votes, grid)
-    if not found:
-        return LINKS.empty_table()
-    ids, ends = np.unique(np.concatenate(found, axis=1), return_inverse=True)
-    ends = ends.reshape(2, -1)
-    root = forest(ends[0], ends[1], len(ids))
-    held = np.flatnonzero(root != np.arange(len(ids)))
-    return pa.table({"src": ids[held], "dst": ids[root[held]]}, schema=LINKS)
-
-
-def _agree(c: dict[str, np.ndarray], votes: int, grid: float) -> np.ndarray:
-    """Pairs of images (2, n) of which enough different corners agree on rotation, scale and shift.
-
-    A shift votes for the grid cell it lies in and, moved by half a cell, for another; so does a rotation.
+                got = describe(px, per_scale, scales) if px is not None else None
+                sizes.append(0 if got is None else len(got[0]))
+                if sizes[-1]:
+                    out.append(got)
+            x, y, scale, turn, bits = map(np.concatenate, zip(*out)) if out else describe(np.zeros((1, 1)))
+            parts = np.ascontiguousarray(bits).view(">i8").astype(np.int64).reshape(-1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * (BITS // 64)), pa.array(parts))
+            corners = pa.StructArray.from_arrays([*[pa.array(np.asarray(c, np.int32)) for c in (x, y, scale, turn)], lists], fields=list(CORNER))
+            bounds = pa.array(np.cumsum([0, *sizes]).astype(np.int32))
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.ListArray.from_arrays(bounds, corners)], ["image_id", "sha", "corners"])
+
+    return images.select(F.col("image_id").cast("long").alias("image_id"), F.sha2("image", 256).alias("sha"), "image").mapInArrow(each, FEATURES)
+
+
+def linked(matches: DataFrame, votes: int, grid: float) -> DataFrame:
+    """(src, dst): images of which enough different corners agree on rotation, scale and shift.
+
+    matches: (one, other), structs of image_id, x, y, scale and turn. A shift votes for the grid cell it
+    lies in and, moved by half a cell, for another; so does a rotation.
     """
-    if not len(c["one"]):
-        return np.zeros((2, 0), np.int64)
-    corner = c["x"].astype(np.int64) << 32 | c["y"]
-    hit = np.zeros(len(corner), bool)
-    for half in (0, 1):
-        for turn in (0, 1):
-            h = np.zeros(len(corner), np.uint64)
-            for field in (c["one"], c["other"], c["grow"], (c["spin"] + turn) // 2 % (TURNS // 2), np.floor(c["dx"] / grid + half / 2), np.floor(c["dy"] / grid + half / 2)):
-                h = mix(h * np.uint64(31) + field.astype(np.int64).view(np.uint64))
-            order = np.lexsort((corner, h))
-            new = np.append(True, h[order][1:] != h[order][:-1])
-            other = new | np.append(True, corner[order][1:] != corner[order][:-1])
-            first = np.flatnonzero(new)
-            size = np.diff(np.append(first, len(h)))
-            hit[order] |= np.repeat(np.add.reduceat(other.astype(np.int64), first) >= votes, size)
-    return np.unique(np.stack([c["one"][hit], c["other"][hit]]), axis=1) if hit.any() else np.zeros((2, 0), np.int64)
-
-
-def image_copies(images: DataFrame, radius: int = 10, votes: int = 5, grid: float = 12.0) -> DataFrame:
+    spin = F.pmod(F.col("other.turn") - F.col("one.turn"), F.lit(TURNS))
+    grow = F.col("other.scale") - F.col("one.scale")
+    angle, by = spin * (2 * math.pi / TURNS), F.pow(F.lit(2.0), grow)
+    x, y = F.col("one.x") * by, F.col("one.y") * by
+    moved = matches.select(
+        F.col("one.image_id").alias("src"), F.col("other.image_id").alias("dst"), F.col("one.x").alias("x"), F.col("one.y").alias("y"), spin.alias("spin"), grow.alias("grow"),
+        (F.col("other.x") - (F.cos(angle) * x - F.sin(angle) * y)).alias("dx"), (F.col("other.y") - (F.sin(angle) * x + F.cos(angle) * y)).alias("dy"),
+    )
+
+    def cell(half: int, turn: int) -> Column:
+        down, right = (F.floor(F.col(c) / grid + half / 2).cast("int") for c in ("dx", "dy"))
+        return F.struct(F.lit(2 * half + turn).alias("way"), F.pmod(F.floor((F.col("spin") + turn) / 2).cast("int"), F.lit(TURNS // 2)).alias("bin"), down.alias("across"), right.alias("down"))
+
+    place = ["src", "dst", "grow", "way", "bin", "across", "down"]
+    cells = moved.select("src", "dst", "grow", "x", "y", F.inline(F.array(*[cell(h, t) for h in (0, 1) for t in (0, 1)])))
+    return cells.distinct().groupBy(*place).count().where(F.col("count") >= votes).select("src", "dst").distinct()
+
+
+def image_links(corners: DataFrame, votes: int = 5, grid: float = 12.0) -> DataFrame:
+    """(node, component) of images that link; corners: (image_id, x, y, scale, turn, parts), one row for each corner."""
+    corner = F.struct("image_id", "scale", "x", "y", "turn").alias("corner")
+    entries = corners.select(corner, F.posexplode("parts").alias("part", "value"))
+    ends = entries.groupBy("part", "value").agg(F.min("corner").alias("first"), F.max("corner").alias("last")).where("first.image_id != last.image_id")
+    ends = written(ends)
+    small = ends.count() <= SENT_RUNS
+    runs = written(entries.join(F.broadcast(ends) if small else ends, ["part", "value"]))
+    below = runs.where("corner.image_id != first.image_id").select(F.col("first").alias("one"), F.col("corner").alias("other"))
+    above = runs.where("corner.image_id != last.image_id").select(F.col("corner").alias("one"), F.col("last").alias("other"))
+    near = written(linked(below.union(above), votes, grid))
+    grouped = connected_components(near)
+    placed = runs.select("part", "value", "corner").join(grouped, F.col("corner.image_id") == F.col("node"), "left")
+    placed = placed.select("part", "value", "corner", F.coalesce("component", "corner.image_id").alias("of")).distinct()
+    mixed = placed.groupBy("part", "value").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo != hi").select("part", "value")
+    across = written(placed.join(mixed, ["part", "value"], "left_semi"))
+    one = across.select("part", "value", F.col("corner").alias("one"), F.col("of").alias("lo"))
+    other = across.select("part", "value", F.col("corner").alias("other"), F.col("of").alias("hi"))
+    rest = linked(one.join(other, ["part", "value"]).where("lo < hi").select("one", "other"), votes, grid)
+    return connected_components(near.union(rest))
+
+
+def image_copies(images: DataFrame, votes: int = 5, grid: float = 12.0, per_scale: int = 32, scales: int = 3) -> DataFrame:
     """Groups images (image_id, image) that are cropped or edited copies of one another.
 
     Returns one row per row of images: image_id, n_corners, component_id (smallest id that links reach). Two
     images link if at least `votes` different corners agree on rotation, scale and shift, shifts within
-    about `grid` pixels. Null or undecodable images have no corners and are alone; rows with a null id get a
-    null component; equal images are one group; an empty table gives no rows; other columns are ignored.
+    about `grid` pixels. Images of under 36 pixels have no corners; null or undecodable images have none
+    either; such images are alone but for those of equal bytes. Rows with a null id get a null component;
+    equal images are one group; very large images have no more corners than others; an empty table gives no
+    rows; other columns, whatever their names, are ignored.
     """
-    rows = images.select(F.col("image_id").cast("long").alias("image_id"), F.col("image"))
-    keyed = rows.withColumn("sha", F.sha2("image", 256))
-    whole = written(keyed.where("image_id is not null and image is not null").groupBy("sha").agg(F.min("image_id").alias("rep"), F.any_value("image").alias("image")))
-    found = written(features(whole.select(F.col("rep").alias("image_id"), "image")))
-    blocks = max(1, math.ceil(whole.count() / BLOCK))
-    dealt = found.withColumn("block", F.pmod(F.xxhash64("image_id"), F.lit(blocks)).cast("int"))
-    packed = written(dealt.groupBy("block").applyInArrow(_pack, PACKED))
-    mates = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda o: F.struct(F.least("block", o).alias("one"), F.greatest("block", o).alias("other")))
-    pairs = packed.select("corners", F.inline(mates)).groupBy("one", "other")
-    links = pairs.applyInArrow(lambda t: _link(t, radius, votes, grid), "src long, dst long")
-    parts = connected_components(links)
-    corners = found.groupBy("image_id").agg(F.count("*").alias("n_corners"))
-    known = whole.select("sha", "rep").join(parts, whole.rep == parts.node, "left").join(corners, F.col("rep") == F.col("image_id"), "left")
-    known = known.select("sha", F.coalesce("n_corners", F.lit(0)).cast("long").alias("n_corners"), F.coalesce("component", "rep").alias("component_id"))
-    out = keyed.select("image_id", "sha").join(known, "sha", "left")
+    found = written(features(images, per_scale, scales))
+    whole = written(found.where("image_id is not null and sha is not null").groupBy("sha").agg(F.min("image_id").alias("rep"), F.any_value("corners").alias("corners")))
+    corners = whole.select(F.col("rep").alias("image_id"), F.inline("corners"))
+    parts = image_links(corners, votes, grid)
+    known = whole.select("sha", "rep").join(parts, F.col("rep") == F.col("node"), "left").select("sha", F.coalesce("component", "rep").alias("component_id"))
+    out = found.select("image_id", "sha", F.size("corners").cast("long").alias("n_corners")).join(known, "sha", "left")
     component = F.when(F.col("image_id").isNotNull(), F.coalesce("component_id", "image_id"))
-    return out.select("image_id", F.coalesce("n_corners", F.lit(0)).cast("long").alias("n_corners"), component.alias("component_id"))
+    return out.select("image_id", "n_corners", component.alias("component_id"))
 
 
 def rendered(vectors: DataFrame, side: int = 96, crop: int = 76) -> DataFrame:
@@ -296,7 +227,7 @@ def rendered(vectors: DataFrame, side: int = 96, crop: int = 76) -> DataFrame:
         step = np.zeros((side, 16))
         step[np.arange(side), np.arange(side) * 16 // side] = 1
         spread = np.random.default_rng(5).normal(0, 1, (256, 64))
-        for batch in batches:
+        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
             ids, out = [], []
             for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids.append(None if k is None else 2 * k)
