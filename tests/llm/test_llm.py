@@ -354,69 +354,56 @@ def test_media(spark):
 
 def some_corners(rng, images, per=30, kinds=40, flips=True):
     """Corners whose descriptors are a few common ones, with bits flipped or not, some images shifted copies of others."""
-    rows = np.empty(images * per, [("image_id", "<i8"), ("x", "<i4"), ("y", "<i4"), ("scale", "<i4"), ("turn", "<i4"), ("descriptor", "<i8")])
-    rows["image_id"] = np.repeat(np.arange(images), per)
-    common = rng.integers(0, 1 << 63, kinds)
-    rows["descriptor"] = common[rng.integers(0, kinds, len(rows))]
-    if flips:
-        rows["descriptor"] ^= (np.int64(1) << rng.integers(0, 63, len(rows))) ^ (np.int64(1) << rng.integers(0, 63, len(rows)))
-    rows["x"], rows["y"], rows["scale"], rows["turn"] = rng.integers(0, 300, len(rows)), rng.integers(0, 300, len(rows)), rng.integers(0, 3, len(rows)), rng.integers(0, 32, len(rows))
-    for k in range(0, images - 1, 10):
-        mine, theirs = rows[k * per : k * per + per], rows[(k + 1) * per : (k + 2) * per]
-        theirs[:7] = mine[:7]
-        theirs["image_id"], theirs["x"][:7], theirs["y"][:7] = k + 1, mine["x"][:7] + 5, mine["y"][:7] - 3
-    return rows
-
-
-def slow_links(rows, radius=10, votes=5, grid=12.0):
+    out = []
+    common = rng.integers(0, 1 << 62, (kinds, 4))
+    for k in range(images):
+        rows = [[k, *map(int, rng.integers(0, 300, 2)), int(rng.integers(0, 3)), int(rng.integers(0, 32)), [int(v) for v in common[rng.integers(kinds)]]] for _ in range(per)]
+        if flips:
+            for r in rows:
+                for part in rng.choice(4, 3, replace=False):
+                    r[5][part] ^= 1 << int(rng.integers(0, 62))
+        if k % 10 in (1, 2) and out:  # copies of the image before, in a chain
+            before = out[-1]
+            rows[:7] = [[k, x + 5, y - 3, scale, turn, list(parts)] for _, x, y, scale, turn, parts in before[:7]]
+        out.append(rows)
+    return [tuple(r) for rows in out for r in rows]
+
+
+def slow_links(rows, votes=5, grid=12.0):
     """Each pair of images with all their matches, one pair after the other."""
-    out, images = set(), np.split(rows, np.flatnonzero(np.diff(rows["image_id"])) + 1)
-    for n, a in enumerate(images):
-        for b in images[n + 1 :]:
-            differ = a["descriptor"].view(np.uint64)[:, None] ^ b["descriptor"].view(np.uint64)[None]
-            band = np.any([differ >> np.uint64(s) & np.uint64(65535) == 0 for s in (0, 16, 32, 48)], axis=0)
+    images, out = {}, set()
+    for r in rows:
+        images.setdefault(r[0], []).append(r)
+    for a in images:
+        for b in images:
             cells = {}
-            for i, j in zip(*np.nonzero((np.bitwise_count(differ) <= radius) & band)):
-                spin, by = int(b["turn"][j] - a["turn"][i]) % 32, 2.0 ** int(b["scale"][j] - a["scale"][i])
-                c, s = math.cos(2 * math.pi * spin / 32), math.sin(2 * math.pi * spin / 32)
-                x, y = a["x"][i] * by, a["y"][i] * by
-                dx, dy = np.float32(b["x"][j] - (c * x - s * y)), np.float32(b["y"][j] - (s * x + c * y))
-                for half in (0, 0.5):
-                    for turn in (0, 1):
-                        cell = (half, turn, by, (spin + turn) // 2 % 16, math.floor(dx / grid + half), math.floor(dy / grid + half))
-                        cells.setdefault(cell, set()).add((int(a["x"][i]), int(a["y"][i])))
+            for _, ax, ay, ascale, aturn, aparts in images[a] if a < b else ():
+                for _, bx, by, bscale, bturn, bparts in images[b]:
+                    if any(p == q for p, q in zip(aparts, bparts)):
+                        spin, grow = (bturn - aturn) % 32, 2.0 ** (bscale - ascale)
+                        c, s = math.cos(spin * (2 * math.pi / 32)), math.sin(spin * (2 * math.pi / 32))
+                        x, y = ax * grow, ay * grow
+                        dx, dy = bx - (c * x - s * y), by - (s * x + c * y)
+                        for half in (0, 0.5):
+                            for turn in (0, 1):
+                                cell = (half, turn, grow, (spin + turn) // 2 % 16, math.floor(dx / grid + half), math.floor(dy / grid + half))
+                                cells.setdefault(cell, set()).add((ax, ay))
             if any(len(v) >= votes for v in cells.values()):
-                out.add((int(a["image_id"][0]), int(b["image_id"][0])))
+                out.add((a, b))
     return out
 
 
-def test_media_crowded(monkeypatch):
-    """However small the parts that are compared at once, the links are those of all pairs."""
-    rows = some_corners(np.random.default_rng(8), 60)
-    want = slow_links(rows)
-    assert len(want) >= 6
-    for chunk in (1 << 20, 500, 1):
-        monkeypatch.setattr(media, "CHUNK", chunk)
-        found = media._compare(rows, rows, 10, 5, 12.0)
-        assert set(map(tuple, np.concatenate(found, axis=1).T.tolist())) == want
-        cut = len(rows) // 2
-        found = [x for a, b in ((rows[:cut], rows[:cut]), (rows[cut:], rows[cut:])) for x in media._compare(a, a, 10, 5, 12.0)] + media._compare(rows[cut:], rows[:cut], 10, 5, 12.0)
-        assert set(map(tuple, np.concatenate(found, axis=1).T.tolist())) == want
-
-
-@pytest.mark.parametrize("flips, tile", [(True, 8), (False, 4096)])
-def test_media_partners(spark, monkeypatch, flips, tile):
-    """The groups are those of all pairs of corners, however crowded, and though many of other images are as near."""
-    monkeypatch.setattr(media, "TILE", tile, raising=False)
-    rows = some_corners(np.random.default_rng(8), 60, flips=flips)
-    corners = spark.createDataFrame([tuple(int(r[c]) for c in ("image_id", "x", "y", "scale", "turn", "descriptor")) for r in rows], media.FEATURES)
-    monkeypatch.setattr(media, "features", lambda images: corners)
-    root = list(range(60))
+@pytest.mark.parametrize("flips, sent", [(True, 200_000), (False, 200_000), (True, 0)])
+def test_media_partners(spark, monkeypatch, flips, sent):
+    """The groups are those of all pairs of corners, however crowded the runs."""
+    monkeypatch.setattr(media, "SENT_RUNS", sent)
+    rows = some_corners(np.random.default_rng(8), 40, per=14, flips=flips)
+    root = list(range(40))
     for a, b in sorted(slow_links(rows)):
         root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
-    images = spark.createDataFrame([(i, b"%d" % i) for i in range(60)], "image_id long, image binary")
-    got = {r.image_id: r.component_id for r in media.image_copies(images).collect()}
-    assert got == dict(enumerate(root)) and len(set(root)) > 1
+    corners = spark.createDataFrame(rows, "image_id long, x int, y int, scale int, turn int, parts array<long>")
+    got = dict(enumerate(range(40))) | {r.node: r.component for r in media.image_links(corners).collect()}
+    assert got == dict(enumerate(root)) and 1 < len(set(root)) < 40
 
 
 def test_media_groups(spark):
@@ -435,16 +422,6 @@ def test_media_groups(spark):
     assert got == want
 
 
-def test_media_blocks(spark, monkeypatch):
-    """Many blocks give the groups of one."""
-    rng = np.random.default_rng(4)
-    pictures = [np.kron(rng.uniform(20, 235, (16, 16)), np.ones((6, 6))) for _ in range(12)]
-    rows = [(2 * i, media.encode_pgm(p)) for i, p in enumerate(pictures)] + [(2 * i + 1, media.encode_pgm(0.9 * p[5:85, 9:89] + 10)) for i, p in enumerate(pictures)]
-    monkeypatch.setattr(media, "BLOCK", 5)
-    got = {r.image_id: r.component_id for r in media.image_copies(spark.createDataFrame(rows, "image_id long, image binary")).collect()}
-    assert got == {i: i // 2 * 2 for i in range(24)}
-
-
 def test_pipeline(spark, tmp_path):
     """Each stage against a plain version of what it decides."""
     import corpus_pipeline as P
