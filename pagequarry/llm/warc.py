@@ -1,18 +1,21 @@
 """WARC records and Merkle fixity audits.
 
-Pages become WARC records; equal records are stored once with a count. Records are spread over archives by
-digest, lie in each in order of page id, and so have offsets. The digests of 16 neighbours, an offset
-range, are hashed into a node, 16 nodes into one above, up to a root for each archive. An audit compares
-the roots of two replicas and goes down only below nodes that differ, a join for each level, to the
-records that are damaged. Only digests are shuffled, never texts, and no group holds more than 16 rows
-but the archives, of about ARCHIVE records each. All of it is built-in functions.
+Pages become WARC records; equal records are stored once with a count. A record's key is a hash of its id
+and its digest; the key says in which archive the record lies, and records lie in order of their keys, so
+they have offsets. The first two hex digits of the rest of the key name one of 256 offset ranges of an archive,
+the first digit one of 16 branches above. A range's node hashes the digests, lengths and offsets (from
+the start of the range) of its records, a branch's node its ranges, a root its branches. An audit holds
+the roots of two replicas, each a table of pages, against each other, goes down only below nodes that
+differ, and joins records only in ranges that differ: those that one replica lacks are missing or added,
+and a missing and an added one of the same id are one that was altered. A record that is lost, added or of
+another length moves the offsets of later ranges, not their hashes. Only digests are shuffled, never
+texts, and no group holds more than an archive of about ARCHIVE records. All of it is built-in functions.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -21,7 +24,6 @@ from pyspark.sql import functions as F
 from ..session import written
 
 ARCHIVE = 1024
-FAN_OUT = 16
 
 
 def record(page_id: Column, url: Column, html: Column) -> Column:
@@ -31,129 +33,174 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
     return F.concat(head, F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
-def manifest(pages: DataFrame, replica: Column | None = None, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(page_id, digest, length, copies, archive, position, offset, replica_digest), one row for each different record.
+def manifest(pages: DataFrame, archives: int | None = None, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """(page_id, digest, length, copies, archive, range, position, offset, start), one row for each different record.
 
-    replica: the text that a replica holds where the record should be; the record itself by default.
+    archives: how many there are, about ARCHIVE records to each by default. start: the offset within its range.
     """
     text = record(F.col(page_id), F.col(url), F.col(html))
-    held = text if replica is None else replica
-    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("length"), F.sha2(held, 256).alias("replica_digest"))
-    rows = rows.groupBy("page_id", "digest", "length", "replica_digest").agg(F.count("*").alias("copies"))
-    n = max(1, -(-rows.count() // ARCHIVE))
-    rows = rows.withColumn("archive", F.pmod(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long"), F.lit(n)))
-    order = Window.partitionBy("archive").orderBy(F.col("page_id").asc_nulls_first(), "digest", "replica_digest")
-    return rows.withColumn("position", (F.row_number().over(order) - 1).cast("long")).withColumn("offset", F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length"))
-
-
-def levels(leaves: DataFrame, digest: str, height: int) -> list[DataFrame]:
-    """Trees over (archive, position, digest): for each level from the leaves up, (archive, node, hash)."""
-    out = [leaves.select("archive", F.col("position").alias("node"), F.col(digest).alias("hash"))]
-    for _ in range(height):
-        node = F.floor(F.col("node") / FAN_OUT).cast("long")
-        inner = F.array_sort(F.collect_list(F.struct("node", "hash")))
-        below = out[-1].withColumn("up", node)
-        out.append(below.groupBy("archive", "up").agg(F.sha2(F.array_join(F.transform(inner, lambda x: x["hash"]), ""), 256).alias("hash")).withColumnRenamed("up", "node"))
-    return out
-
-
-def height_of(leaves: DataFrame) -> int:
-    """Levels above the leaves until one node holds the largest archive."""
-    most = (leaves.agg(F.max("position")).first()[0] or 0) + 1
-    height = 1
-    while FAN_OUT**height < most:
-        height += 1
-    return height
+    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("length"))
+    rows = written(rows.groupBy("page_id", "digest", "length").agg(F.count("*").alias("copies")))
+    n = archives or max(1, -(-rows.count() // ARCHIVE))
+    key = F.md5(F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("|"), F.col("digest")))
+    rows = rows.withColumn("key", key).withColumn("archive", F.pmod(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), F.lit(n)))
+    order = Window.partitionBy("archive").orderBy(F.substring("key", 9, 24), "key", F.col("page_id").asc_nulls_first(), "digest")
+    rows = rows.select(
+        "page_id", "digest", "length", "copies", "archive", F.substring("key", 9, 2).alias("range"), (F.row_number().over(order) - 1).cast("long").alias("position"),
+        (F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length")).alias("offset"),
+    )
+    return rows.withColumn("start", F.col("offset") - F.min("offset").over(Window.partitionBy("archive", "range")))
+
+
+def ranges(leaves: DataFrame) -> DataFrame:
+    """(archive, range, hash): the lowest nodes of the trees of a manifest."""
+    parts = F.array_sort(F.collect_list(F.struct("position", F.concat_ws(":", "start", "length", "digest").alias("said"))))
+    return leaves.groupBy("archive", "range").agg(F.sha2(F.array_join(F.transform(parts, lambda x: x["said"]), ","), 256).alias("hash"))
+
+
+def above(nodes: DataFrame, below: str, *by: str) -> DataFrame:
+    """The nodes over some others: (by, hash), their names and hashes joined in order."""
+    parts = F.array_sort(F.collect_list(F.concat_ws(":", below, "hash")))
+    return nodes.groupBy(*by).agg(F.sha2(F.array_join(parts, ","), 256).alias("hash"))
+
+
+def levels(leaves: DataFrame) -> list[DataFrame]:
+    """The trees from the ranges up to the roots."""
+    low = written(ranges(leaves))
+    middle = above(low.withColumn("branch", F.substring("range", 1, 1)), "range", "archive", "branch")
+    return [low, middle, above(middle, "branch", "archive")]
+
+
+def unlike(one: DataFrame, other: DataFrame, *by: str) -> DataFrame:
+    """The nodes that differ between two replicas, or that only one has."""
+    both = one.join(other.withColumnRenamed("hash", "held"), list(by), "full_outer")
+    return both.where(~F.col("hash").eqNullSafe(F.col("held"))).select(*by)
 
 
 def damaged(one: list[DataFrame], other: list[DataFrame]) -> DataFrame:
-    """(archive, node): leaves that differ, found from the roots down."""
-    open_nodes = None
-    for a, b in zip(reversed(one), reversed(other)):
-        if open_nodes is not None:
-            within = lambda t, held=open_nodes: t.withColumn("up", F.floor(F.col("node") / FAN_OUT).cast("long")).join(held, ["archive", "up"], "left_semi").drop("up")
-            a, b = within(a), within(b)
-        both = a.join(b.withColumnRenamed("hash", "held"), ["archive", "node"], "full_outer")
-        open_nodes = both.where(~F.col("hash").eqNullSafe(F.col("held"))).select("archive", F.col("node").alias("up"))
-    return open_nodes.withColumnRenamed("up", "node")
-
-
-def audit(pages: DataFrame, replica: Column, **columns: str) -> DataFrame:
-    """The manifest of pages, with `root` (of its archive) and `intact`: whether the replica holds the same record.
-
-    Null columns are empty texts in a record; null ids come first in an archive; repeated rows are one
-    record with a count; an empty table gives no rows; other columns are ignored.
+    """(archive, range): the ranges that differ, found from the roots down."""
+    roots = unlike(one[2], other[2], "archive")
+    held = [x[1].join(roots, "archive", "left_semi") for x in (one, other)]
+    branches = unlike(*held, "archive", "branch")
+    held = [x[0].withColumn("branch", F.substring("range", 1, 1)).join(branches, ["archive", "branch"], "left_semi") for x in (one, other)]
+    return unlike(*[x.drop("branch") for x in held], "archive", "range")
+
+
+def audit(pages: DataFrame, replica: DataFrame, **columns: str) -> DataFrame:
+    """Holds a replica, a table of pages like the first, against pages.
+
+    Returns the manifest of pages, with `root` (of its archive) and `state`: intact, altered (the replica
+    has another record of this id in its place) or missing; and the records that only the replica has, as
+    added, with null positions, offsets and roots. How often a record is repeated is not compared. Null columns are empty texts in
+    a record; null ids are ids like any other; very long texts are hashed like others; an empty table gives
+    no rows but those added; other columns, whatever their names, are ignored.
     """
-    leaves = written(manifest(pages, replica, **columns))
-    height = height_of(leaves)
-    one, other = levels(leaves, "digest", height), levels(leaves, "replica_digest", height)
-    bad = damaged(one, other).withColumnRenamed("node", "position").withColumn("bad", F.lit(True))
-    roots = one[-1].select("archive", F.col("hash").alias("root"))
-    return leaves.join(bad, ["archive", "position"], "left").join(roots, "archive").withColumn("intact", F.col("bad").isNull()).drop("bad", "replica_digest")
+    mine = written(manifest(pages, None, **columns))
+    count = (mine.agg(F.count("*")).first()[0] or 0)
+    theirs = written(manifest(replica, max(1, -(-count // ARCHIVE)), **columns))
+    one, other = levels(mine), levels(theirs)
+    bad = written(damaged(one, other))
+    record_of = ["archive", "range", "page_id", "digest"]
+    here, there = (x.select(*record_of, "length", "copies").join(bad, ["archive", "range"], "left_semi") for x in (mine, theirs))
+    same = lambda a, b: (a.archive == b.archive) & (a.range == b.range) & a.page_id.eqNullSafe(b.page_id) & (a.digest == b.digest)
+    lost = written(here.join(there, same(here, there), "left_anti"))
+    found = written(there.join(here, same(there, here), "left_anti"))
+    swapped = found.select(F.col("page_id").alias("id")).distinct().withColumn("altered", F.lit(True))
+    gone = lost.join(swapped, lost.page_id.eqNullSafe(swapped.id), "left").select("archive", F.col("digest").alias("of"), F.col("page_id").alias("id"), F.coalesce("altered", F.lit(False)).alias("altered"))
+    roots = one[2].select(F.col("archive").alias("a"), F.col("hash").alias("root"))
+    out = mine.join(gone, (mine.archive == gone.archive) & (mine.digest == gone.of) & mine.page_id.eqNullSafe(gone.id), "left").drop(gone.archive).join(roots, F.col("archive") == F.col("a"), "left")
+    state = F.when(F.col("of").isNull(), "intact").when(F.col("altered"), "altered").otherwise("missing")
+    names = ["page_id", "archive", "position", "offset", "length", "copies", "digest", "root", "state"]
+    out = out.withColumn("state", state).select(names)
+    known = lost.select(F.col("page_id").alias("id")).distinct()
+    added = found.join(known, found.page_id.eqNullSafe(known.id), "left_anti")
+    nothing = F.lit(None).cast("long")
+    return out.union(added.select("page_id", "archive", nothing, nothing, "length", "copies", "digest", F.lit(None).cast("string"), F.lit("added")))
 
 
 def archives(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(archive, content): the bytes of each archive, its records in order of their offsets."""
-    where = manifest(pages, None, page_id, url, html).select("digest", "page_id", "archive", "position")
+    """(archive, content): the bytes of each archive, its records in order of their offsets; about ARCHIVE pages are one task's text."""
+    where = manifest(pages, None, page_id, url, html).select("digest", "archive", "position")
     text = record(F.col(page_id), F.col(url), F.col(html))
     texts = pages.select(text.alias("text"), F.sha2(text, 256).alias("digest")).dropDuplicates(["digest"])
     content = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "text"))), lambda x: x["text"]), "")
     return where.join(texts, "digest").groupBy("archive").agg(F.encode(content, "UTF-8").alias("content"))
 
 
-def parse(content: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(offset, length, headers, body) of each record of an archive; stops at the first that is not well formed."""
-    at = 0
-    while at < len(content):
-        end = content.find(b"\r\n\r\n", at)
-        if not content.startswith(b"WARC/1.", at) or end < 0:
-            return
-        lines = content[at:end].decode("utf-8", "replace").split("\r\n")[1:]
-        headers = dict(line.split(": ", 1) for line in lines if ": " in line)
-        if not re.fullmatch(r"\d+", headers.get("Content-Length", "")):
-            return
-        body = content[end + 4 : (stop := end + 4 + int(headers["Content-Length"]))]
-        yield at, stop + 4 - at, headers, body
-        at = stop + 4
+def parse(content: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes]]:
+    """(offset, length, headers, body) of each record of an archive.
+
+    Header names are lower-cased. Bytes that are no whole record (junk between records, a header without a
+    length, a body that ends early) come back too, up to the next record, with headers None.
+    """
+    at, size = 0, len(content)
+    while at < size:
+        end = content.find(b"\r\n\r\n", at) if content.startswith(b"WARC/1.", at) else -1
+        lines = content[at:end].decode("utf-8", "replace").split("\r\n")[1:] if end >= 0 else []
+        headers = {k.strip().lower(): v.strip() for k, v in (line.split(":", 1) for line in lines if ":" in line)}
+        told = headers.get("content-length", "")
+        stop = end + 4 + int(told) if re.fullmatch(r"\d{1,18}", told) else -1
+        if end >= 0 and stop >= 0 and content.startswith(b"\r\n\r\n", stop):
+            yield at, stop + 4 - at, headers, content[end + 4 : stop]
+            at = stop + 4
+            continue
+        found = content.find(b"WARC/1.", at + 1)
+        after = found if found >= 0 else size
+        yield at, after - at, None, content[at:after]
+        at = after
 
 
 def read_archives(table: DataFrame, content: str = "content") -> DataFrame:
-    """(offset, length, record_id, url, html) of all records of archives of bytes, such as Spark's binaryFile source reads."""
-    schema = pa.schema([("offset", pa.int64()), ("length", pa.int64()), ("record_id", pa.string()), ("url", pa.string()), ("html", pa.string())])
+    """(offset, length, record_id, url, html, whole) of all records of archives of bytes, such as Spark's binaryFile source reads.
+
+    Stretches that are no record are rows too, with whole false and null id, URL and html.
+    """
+    schema = pa.schema([("offset", pa.int64()), ("length", pa.int64()), ("record_id", pa.string()), ("url", pa.string()), ("html", pa.string()), ("whole", pa.bool_())])
+
+    def row(at, n, h, body):
+        return (at, n, h.get("warc-record-id"), h.get("warc-target-uri"), body.decode("utf-8", "replace"), True) if h is not None else (at, n, None, None, None, False)
 
     def each(batches):
         for batch in batches:
-            rows = [(at, n, h.get("WARC-Record-ID"), h.get("WARC-Target-URI"), body.decode("utf-8", "replace")) for raw in batch.column(0).to_pylist() if raw for at, n, h, body in parse(raw)]
+            rows = [row(*r) for raw in batch.column(0).to_pylist() if raw for r in parse(raw)]
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
 
-    return table.select(content).mapInArrow(each, "offset long, length long, record_id string, url string, html string")
+    return table.select(content).mapInArrow(each, "offset long, length long, record_id string, url string, html string, whole boolean")
 
 
 def query_audit(pages: DataFrame) -> DataFrame:
-    """Audits pages against a replica in which every record whose digest ends in 00 has its last four bytes overwritten."""
-    text = record(F.col("page_id"), F.col("url"), F.col("html"))
-    rotten = F.concat(F.left(text, F.length(text) - 4), F.lit("####"))
-    return audit(pages, F.when(F.sha2(text, 256).endswith("00"), rotten).otherwise(text)).select("page_id", "archive", "position", "offset", "length", "copies", "digest", "root", "intact")
+    """Audits pages against a replica of its own.
+
+    In the replica, pages whose record's digest ends in 00 end in other bytes, those in 01 are left out, and
+    those in 02 stand a second time, under an id below zero.
+    """
+    sign = F.right(F.sha2(record(F.col("page_id"), F.col("url"), F.col("html")), 256), F.lit(2))
+    held = pages.select("page_id", "url", "html", sign.alias("sign"))
+    kept = held.where("sign != '01'").select("page_id", "url", F.when(F.col("sign") == "00", F.concat(F.coalesce("html", F.lit("")), F.lit("####"))).otherwise(F.col("html")).alias("html"))
+    twice = held.where("sign = '02'").select((-1 - F.col("page_id")).alias("page_id"), "url", "html")
+    return audit(pages.select("page_id", "url", "html"), kept.union(twice))
 
 
 def _sql() -> str:
-    node = lambda below, n: f"{n} AS (SELECT archive, node // {FAN_OUT} AS node, sha256(string_agg(hash, '' ORDER BY node)) AS hash FROM {below} GROUP BY archive, node // {FAN_OUT})"
+    line = "chr(13) || chr(10)"
+    text = f"""'WARC/1.1' || {line} || 'WARC-Type: response' || {line} || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>' || {line} || 'WARC-Target-URI: '
+  || coalesce(url, '') || {line} || 'Content-Type: text/html' || {line} || 'Content-Length: ' || strlen(coalesce(html, '')) || {line} || {line} || coalesce(html, '') || {line} || {line}"""
     return f"""
-WITH r AS (SELECT page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '')
-  || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: '
-  || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS t FROM pages),
-d AS (SELECT page_id, sha256(t) AS digest, strlen(t)::BIGINT AS length, count(*) AS copies FROM r GROUP BY ALL),
-a AS (SELECT *, ('0x' || substr(digest, 1, 8))::BIGINT % greatest(1, CAST(ceil((SELECT count(*) FROM d) / {ARCHIVE}.0) AS BIGINT)) AS archive FROM d),
-l AS (SELECT *, row_number() OVER w - 1 AS position, sum(length) OVER w - length AS "offset" FROM a WINDOW w AS (PARTITION BY archive ORDER BY page_id NULLS FIRST, digest ROWS UNBOUNDED PRECEDING)),
-n0 AS (SELECT archive, position AS node, digest AS hash FROM l),
-{", ".join(reduce(lambda got, k: [*got, node(f"n{k}", f"n{k + 1}")], range(4), []))},
-top AS (SELECT archive, CASE WHEN max(position) < {FAN_OUT} THEN 1 WHEN max(position) < {FAN_OUT**2} THEN 2 WHEN max(position) < {FAN_OUT**3} THEN 3 ELSE 4 END AS h FROM l GROUP BY 1),
-m AS (SELECT max(h) AS h FROM top)
-SELECT l.page_id, l.archive, l.position, l."offset"::BIGINT AS "offset", l.length, l.copies, l.digest,
-  CASE m.h WHEN 1 THEN n1.hash WHEN 2 THEN n2.hash WHEN 3 THEN n3.hash ELSE n4.hash END AS root, NOT ends_with(l.digest, '00') AS intact
-FROM l CROSS JOIN m
-LEFT JOIN n1 ON n1.archive = l.archive AND n1.node = 0 LEFT JOIN n2 ON n2.archive = l.archive AND n2.node = 0
-LEFT JOIN n3 ON n3.archive = l.archive AND n3.node = 0 LEFT JOIN n4 ON n4.archive = l.archive AND n4.node = 0
+WITH p AS (SELECT page_id, url, html, sha256({text}) AS digest, strlen({text})::BIGINT AS length FROM pages),
+d AS (SELECT page_id, digest, length, count(*) AS copies FROM p GROUP BY ALL),
+n AS (SELECT greatest(1, CAST(ceil(count(*) / {ARCHIVE}.0) AS BIGINT)) AS n FROM d),
+k AS (SELECT d.*, md5(coalesce(page_id::VARCHAR, '') || '|' || digest) AS key FROM d),
+a AS (SELECT k.*, ('0x' || substr(key, 1, 8))::BIGINT % n.n AS archive, substr(key, 9, 2) AS r FROM k CROSS JOIN n),
+l AS (SELECT *, row_number() OVER w - 1 AS position, sum(length) OVER w - length AS "offset" FROM a WINDOW w AS (PARTITION BY archive ORDER BY substr(key, 9, 24), key, page_id NULLS FIRST, digest ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT *, "offset" - min("offset") OVER (PARTITION BY archive, r) AS start FROM l),
+t0 AS (SELECT archive, r, sha256(string_agg(start::BIGINT || ':' || length || ':' || digest, ',' ORDER BY position)) AS hash FROM s GROUP BY 1, 2),
+t1 AS (SELECT archive, substr(r, 1, 1) AS b, sha256(string_agg(r || ':' || hash, ',' ORDER BY r)) AS hash FROM t0 GROUP BY 1, 2),
+t2 AS (SELECT archive, sha256(string_agg(b || ':' || hash, ',' ORDER BY b)) AS root FROM t1 GROUP BY 1),
+e AS (SELECT -1 - page_id AS page_id, replace({text}, '<urn:page:' || coalesce(page_id::VARCHAR, '') || '>', '<urn:page:' || (-1 - page_id) || '>') AS t FROM p WHERE ends_with(digest, '02')),
+f AS (SELECT page_id, sha256(t) AS digest, strlen(t)::BIGINT AS length, count(*) AS copies FROM e GROUP BY ALL)
+SELECT page_id, l.archive, position, "offset"::BIGINT AS "offset", length, copies, digest, root, CASE right(digest, 2) WHEN '00' THEN 'altered' WHEN '01' THEN 'missing' ELSE 'intact' END AS state FROM l JOIN t2 ON t2.archive = l.archive
+UNION ALL
+SELECT page_id, ('0x' || substr(md5(page_id::VARCHAR || '|' || digest), 1, 8))::BIGINT % n.n, NULL, NULL, length, copies, digest, NULL, 'added' FROM f CROSS JOIN n
 """
 
 
