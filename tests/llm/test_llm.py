@@ -158,14 +158,41 @@ def test_mixing(spark, odd, none):
         assert all(abs(r.target - want[r.source]) < 1e-6 * max(1, want[r.source]) and r.source_size == sizes[r.source] for r in mixed)
 
 
-def test_warc(spark):
-    pages = spark.createDataFrame([(1, "http://a", "<p>é</p>"), (2, None, None), (None, "u", ""), (1, "http://a", "<p>é</p>")], "page_id long, url string, html string")
-    got = warc.audit(pages, warc.record(F.col("page_id"), F.col("url"), F.when(F.col("page_id") == 1, "<p>x</p>").otherwise(F.col("html")))).collect()
-    assert len(got) == 3 and {(r.page_id, r.intact, r.copies) for r in got} == {(1, False, 2), (2, True, 1), (None, True, 1)}
+def test_warc(spark, monkeypatch):
+    kind = "page_id long, url string, html string, digest int, archive string, copies int, state int"
+    pages = spark.createDataFrame([(1, "http://a", "<p>é</p>", 0, "", 0, 0), (2, None, None, 1, "", 0, 0), (None, "u", "", 2, "", 0, 0), (1, "http://a", "<p>é</p>", 3, "", 0, 0), (3, "u", "x" * 100_000, 4, "", 0, 0)], kind)
+    replica = spark.createDataFrame([(1, "http://a", "<p>x</p>", 0, "", 0, 0), (2, "", "", 1, "", 0, 0), (9, "u", "", 2, "", 0, 0), (3, "u", "x" * 100_000, 4, "", 0, 0)], kind)
+    got = warc.audit(pages, replica).collect()
+    assert sorted((str(r.page_id), r.state, r.copies) for r in got) == [("1", "altered", 2), ("2", "intact", 1), ("3", "intact", 1), ("9", "added", 1), ("None", "missing", 1)]
     back = {(r.url, r.html) for r in warc.read_archives(warc.archives(pages)).collect()}
-    assert back == {("http://a", "<p>é</p>"), ("", ""), ("u", "")}
-    assert warc.audit(pages.limit(0), F.lit("")).count() == 0
-    assert list(warc.parse(b"junk")) == []
+    assert back == {("http://a", "<p>é</p>"), ("", ""), ("u", ""), ("u", "x" * 100_000)}
+    assert {r.state for r in warc.audit(pages, pages.limit(0)).collect()} == {"missing"} and warc.audit(pages.limit(0), pages.limit(0)).count() == 0
+    # many records: what was lost, added and changed is found, and only ranges that differ are gone into
+    monkeypatch.setattr(warc, "ARCHIVE", 256)
+    many = spark.range(3000).selectExpr("id AS page_id", "concat('http://h/', id) AS url", "repeat('ab', int(id % 50)) AS html")
+    other = many.where("page_id % 500 != 7").selectExpr("page_id", "url", "IF(page_id % 400 = 3, 'changed', html) AS html").union(many.where("page_id % 900 = 5").selectExpr("page_id + 10000", "url", "html"))
+    states = {r.page_id: r.state for r in warc.audit(many, other).collect()}
+    want = {i: "missing" if i % 500 == 7 else "altered" if i % 400 == 3 else "intact" for i in range(3000)} | {i + 10000: "added" for i in range(3000) if i % 900 == 5}
+    assert states == want
+    mine, theirs = warc.manifest(many), warc.manifest(other, 12)
+    bad = warc.damaged(warc.levels(mine), warc.levels(theirs)).count()
+    assert bad <= 6 + 2 * 8 + 4 and mine.where("start < 0 or start > offset").count() == 0
+
+
+def test_warc_parse():
+    def one(body, name=b"Content-Length", n=None):
+        return b"WARC/1.1\r\nWARC-Record-ID: <r>\r\n%s: %d\r\n\r\n%s\r\n\r\n" % (name, len(body) if n is None else n, body)
+
+    good, low, cut = one(b"body"), one(b"", b"content-length"), one(b"b", n=3)
+    assert list(warc.parse(b"junk")) == [(0, 4, None, b"junk")] and list(warc.parse(b"")) == []
+    got = list(warc.parse(good + b"junk" + low + cut + good))
+    assert [(h is not None, body) for _, _, h, body in got] == [(True, b"body"), (False, b"junk"), (True, b""), (False, cut), (True, b"body")]
+    at = 0
+    for offset, length, _, _ in got:
+        assert offset == at
+        at += length
+    assert at == len(good + b"junk" + low + cut + good)
+    assert [h is not None for _, _, h, _ in warc.parse(good[:-3])] == [False]
 
 
 def test_simhash(spark, odd, none):
