@@ -20,6 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from . import exchange as X
 from .gsaca import suffix_array
@@ -164,13 +165,16 @@ def suffix_dedup(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text
 
     Returns one row per row of docs: doc_id, n_bytes, n_removed, spans (removed runs of bytes, from and to),
     kept (the remaining bytes; as_text: decoded, bytes of
-    broken characters left out), and the columns of docs named in carry. Strings never cross documents and are judged on the input. A null text is
-    empty; a null id counts as larger than all ids; rows that share an id are not earlier than one another;
-    an empty table gives no rows; other columns are ignored.
+    broken characters left out), and the columns of docs named in carry, whose names must differ from those
+    and from g and text. Strings never cross documents and are judged on the input. A null text is empty; a
+    very long text is one task's work; a null id counts as larger than all ids; rows that share an id are not
+    earlier than one another; an empty table gives no rows; other columns, whatever their names, are ignored.
     """
     n_groups, n_buckets = X.counts_for(X.total_bytes(docs, text), group_bytes, bucket_bytes)
     dealt = X.grouped(docs, n_groups, doc_id, text, carry)
-    extra = [f"`{name}` {dealt.schema[name].dataType.simpleString()}" for name in carry]
+    result = StructType.fromDDL("doc_id long, n_bytes long, n_removed long, spans array<struct<from: long, to: long>>, kept " + ("string" if as_text else "binary"))
+    for name in carry:
+        result = result.add(dealt.schema[name])
     spread = max(1, length // 2)
     flank, k = spread - 1, length - spread + 1
 
@@ -229,7 +233,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text
 
     told = dealt.groupBy("g").applyInArrow(X.lean(anchors), X.PACKED_SQL).groupBy("bucket").applyInArrow(X.lean(_surroundings_met), X.ANSWER_SQL)
     more = dealt.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(X.lean_pair(surroundings), X.PACKED_SQL).groupBy("bucket").applyInArrow(X.lean(lambda t: _strings_met(t, flank, k)), X.ANSWER_SQL)
-    return dealt.groupBy("g").cogroup(told.unionByName(more).groupBy("g")).applyInArrow(X.lean_pair(cut), ", ".join(["doc_id long, n_bytes long, n_removed long, spans array<struct<from: long, to: long>>", "kept string" if as_text else "kept binary", *extra]))
+    return dealt.groupBy("g").cogroup(told.unionByName(more).groupBy("g")).applyInArrow(X.lean_pair(cut), result)
 
 
 CUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))), ("kept", pa.binary())])
