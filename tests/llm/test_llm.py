@@ -1,6 +1,5 @@
 """The training-data operators against brute force, and their edge cases."""
 
-import hashlib
 import math
 import zlib
 
@@ -16,7 +15,7 @@ from pagequarry.llm.mixing import mix_sources, pivot_pairs
 from pagequarry.llm.packing import pack
 from pagequarry.llm.simhash import compare_tiles, fingerprint, simhash_dedup
 from pagequarry.llm.suffix_dedup import suffix_dedup
-from pagequarry.llm.window_dedup import window_dedup
+from pagequarry.llm.window_dedup import lengths_to, window_dedup
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, g int, bucket string, fp string, copies int"
@@ -81,6 +80,12 @@ def test_window_dedup(spark, odd, none):
             assert (got[k].n_words, got[k].n_removed) == (len(words), sum(gone))
             assert got[k].kept_text.encode() == b" ".join(w for w, g in zip(words, gone) if not g)
     assert window_dedup(odd).count() == odd.count()
+    assert lengths_to(50) == [13, 25, 50] and lengths_to(7) == [7] and lengths_to(100) == [13, 25, 50, 100]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = sorted((r.doc_id, (r.text or "").encode().split()) for r in docs.select("doc_id", "text").collect())
+    for window in (9, 30, 120):  # one, three and five levels
+        got = {r.doc_id: r.n_removed for r in window_dedup(docs, window).collect()}
+        assert got == {k: sum(gone) for (k, _), gone in zip(rows, cover([w for _, w in rows], window))}
     assert window_dedup(none).count() == 0
 
 
@@ -450,7 +455,7 @@ def test_media_groups(spark):
 
 
 def test_pipeline(spark, tmp_path):
-    """Each stage against a plain version of what it decides."""
+    """Each stage, on what the one before kept, against a plain version of what it decides."""
     import corpus_pipeline as P
 
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
@@ -479,4 +484,42 @@ def test_pipeline(spark, tmp_path):
         else:
             assert sum(r.length for r in after) == sum(r.doc_tokens for r in after if r.start == 0)
         docs = out
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_pipeline_odd(spark, odd, none):
+    """Each stage over nulls, empty and long texts, repeated ids and clashing names, against plain versions of their own."""
+    import corpus_pipeline as P
+
+    extra = {"kept": F.lit(7), "time": F.lit(777), "times": F.lit(778), "row": F.lit("r"), "component_id": F.lit(-1), "carried": F.lit(0), "a b": F.lit(1)}
+    docs = odd.withColumns(extra).union(odd.where("doc_id = 3").withColumns(extra)).withColumnRenamed("copies", "mixed_id")
+    empty = none.withColumns(extra).withColumnRenamed("copies", "mixed_id")
+    stages = dict(P.STAGES)
+    texts = {r.doc_id: r.text for r in odd.collect()}
+    for name, stage in P.STAGES[:4]:
+        assert stage(spark, empty, FOLDER).count() == 0
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+        rows = out.collect()
+        assert all((r.kept, r.time, r.times, r.row, r.component_id, r["a b"]) == (7, 777, 778, "r", -1, 1) for r in rows)
+        ids = [r.doc_id for r in rows]
+        if name == "toxicity":
+            scores = {r.doc_id: r.predicted for r in toxicity.toxicity(odd, spark.read.parquet(f"{FOLDER}/labels.parquet")).collect()}
+            assert sorted(map(str, ids)) == sorted(str(r.doc_id) for r in docs.collect() if not scores[r.doc_id])
+        elif name == "simhash_dedup":
+            prints = {k: fingerprint((t or "").encode()) for k, t in texts.items() if k is not None}
+            low = dict(zip(prints, prints))
+            for _ in prints:
+                low = {i: min(low[j] for j in prints if (prints[i] ^ prints[j]).bit_count() <= 4) for i in prints}
+            assert sorted(map(str, ids)) == sorted(str(r.doc_id) for r in docs.collect() if r.doc_id is None or low[r.doc_id] == r.doc_id)
+        elif name == "suffix_dedup":
+            known = sorted((k for k in texts if k is not None)) + [None]
+            data = [(texts[k] or "").encode() for k in known]
+            want = {k: bytes(c for c, g in zip(t, gone) if not g).decode("utf-8", "ignore") for k, t, gone in zip(known, data, cover(data, 50))}
+            assert sorted((str(r.doc_id), r.text, r.n_chars) for r in rows) == sorted((str(r.doc_id), want[r.doc_id], len(want[r.doc_id])) for r in docs.collect())
+        else:
+            sizes = {k: len((t or "").encode().split()) for k, t in texts.items()}
+            assert all(sizes[k] for k in ids) and max(ids.count(k) for k in set(ids)) <= 4 and ids.count(3) in (0, 2, 4)
+            total = sum(sizes[r.doc_id] for r in docs.collect())
+            assert abs(sum(sizes[k] for k in ids) - 1.5 * total) <= 0.5 * total
+    packed = stages["pack"](spark, docs, FOLDER).collect()
+    assert sum(r.length for r in packed) == sum(r.doc_tokens for r in packed if r.start == 0) and stages["pack"](spark, empty, FOLDER).count() == 0
