@@ -27,10 +27,12 @@ def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir, or, on a local master alone, one of our own where it is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         held = spark.sparkContext.getCheckpointDir()
+        if not held and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = held or "file://" + os.path.join(tempfile.gettempdir(), "pagequarry-shared")
         if not held:
             spark.sparkContext.setCheckpointDir(path)
