@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import difflib
 import re
-import unicodedata
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -39,16 +38,31 @@ def normal_number(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(text), r"(\d),(\d)", "$1$2"), r"[^a-z0-9%]+", " ")
 
 
-def syllables(text: Column) -> Column:
-    """Runs of vowels, an e at the end of a word not counted, one at least for each word."""
-    each = F.transform(words(F.lower(text)), lambda w: F.greatest(F.lit(1), F.regexp_count(w, F.lit("[aeiouy]+")) - F.when(w.rlike("[^aeiouy]e[^a-z]*$"), 1).otherwise(0)))
-    return F.aggregate(each, F.lit(0), lambda a, b: a + b)
+def plain_words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit("[A-Za-z][A-Za-z'-]*"), F.lit(0))
+
+
+def syllables(word: Column) -> Column:
+    """Runs of vowels among the letters a-z of a word, without a silent e at its end, one at least; 0 without letters."""
+    w = F.lower(F.regexp_replace(word, "[^A-Za-z]", ""))
+    n = F.regexp_count(w, F.lit("[aeiouy]+"))
+    silent = F.endswith(w, F.lit("e")) & (n > 1) & ~F.endswith(w, F.lit("le")) & ~F.endswith(w, F.lit("ee"))
+    return F.when(w == "", 0).otherwise(F.greatest(F.lit(1), n - silent.cast("int")))
+
+
+def without_marks(text: Column) -> Column:
+    """Text without citation tags, links by their text."""
+    return F.regexp_replace(F.regexp_replace(text, TAG_BLOCK, ""), r"\[([^\]]*)\]\([^)\s]*\)", "$1")
 
 
 def reading_ease(text: Column) -> Column:
-    n_sentences, n_words = F.size(sentences(text)), word_count(text)
-    raw = 206.835 - 1.015 * n_words / F.nullif(n_sentences, F.lit(0)) - 84.6 * syllables(text) / F.nullif(n_words, F.lit(0))
-    return F.bround(raw, 1)
+    """Flesch reading ease over sentences of more than two words, to one decimal; 0 where there are none."""
+    bare = without_marks(text)
+    found = plain_words(bare)
+    n_sentences, n_words = F.size(sentences(bare, 3)), F.size(found)
+    sounds = F.aggregate(F.transform(found, syllables), F.lit(0), lambda a, b: a + b)
+    raw = 206.835 - 1.015 * (n_words / F.nullif(n_sentences, F.lit(0))) - 84.6 * (sounds / F.nullif(n_words, F.lit(0)))
+    return F.coalesce(F.bround(raw, 1), F.when(text.isNotNull(), 0.0))
 
 
 def chunk_starts(text: Column, size: int = 4800, overlap: int = 600) -> Column:
@@ -63,24 +77,102 @@ def body_status(text: Column, failed: int = 250, stub: int = 400) -> Column:
     return F.when(n < failed, "failed").when(n < stub, "stub").otherwise("ok")
 
 
-def title_key(title: Column, stop: list[str]) -> Column:
-    """Sorted different words, lower case, stop words and a final s out."""
-    parts = F.split(F.regexp_replace(F.lower(title), r"[^a-z0-9]+", " "), " ")
-    stems = F.transform(F.filter(parts, lambda w: (w != "") & ~w.isin(stop)), lambda w: F.when(F.length(w) > 3, F.regexp_replace(w, "s$", "")).otherwise(w))
-    return F.array_join(F.array_sort(F.array_distinct(stems)), " ")
+#: Words that a title's key leaves out.
+TITLE_STOP = ["the", "a", "an", "for", "of", "and", "with", "to", "in", "on", "your", "our", "free"]
+
+
+def title_key(title: Column, stop: list[str] = TITLE_STOP) -> Column:
+    """The words in order, lower case, stop words out, and a final s off words of over four letters."""
+    parts = F.regexp_extract_all(F.lower(title), F.lit("[a-z0-9]+"), F.lit(0))
+    stems = F.transform(F.filter(parts, lambda w: ~w.isin(stop)), lambda w: F.when(F.length(w) > 4, F.regexp_replace(w, "s$", "")).otherwise(w))
+    return F.array_join(F.array_sort(stems), " ")
+
+
+#: Citation tags such as [c1, c3-c5]: hyphens of any kind, the c of all but the first id may be missing.
+_DASH = r"[-\u2010-\u2015]"
+_ID = rf"\d+(?:\s*{_DASH}\s*[cC]?\s*\d+)?"
+TAG_BLOCK = rf"\[\s*[cC]\s*{_ID}(?:\s*,\s*[cC]?\s*{_ID})*\s*\]"
+
+
+def _spelled(piece: Column, most: int) -> Column:
+    lo = F.regexp_extract(piece, r"(\d+)", 1).try_cast("long")
+    hi = F.regexp_extract(piece, rf"\d+\s*{_DASH}\s*[cC]?\s*(\d+)", 1).try_cast("long")
+    run = (hi > lo) & (hi - lo <= most)
+    return F.when(hi.isNull(), F.array(lo)).when(run, F.sequence(lo, F.when(run, hi).otherwise(lo))).otherwise(F.array(lo, hi))
+
+
+def block_ids(block: Column, most: int = 60) -> Column:
+    """The ids of one tag or of a run of tags, in order: a range of at most `most` spelled out, others by their ends."""
+    pieces = F.filter(F.split(block, r"[,\[\]]"), lambda p: p.rlike(r"\d"))
+    return F.flatten(F.transform(pieces, lambda p: _spelled(p, most)))
 
 
 def tag_ids(text: Column, most: int = 60) -> Column:
-    """Ids of citation tags such as [c1, c3-c5], ranges of at most `most` spelled out, others by their ends."""
-    inner = F.array_join(F.regexp_extract_all(text, F.lit(r"\[((?:c\d+(?:\s*-\s*c\d+)?(?:\s*,\s*)?)+)\]"), F.lit(1)), ",")
-    pieces = F.filter(F.split(F.regexp_replace(inner, r"\s", ""), ","), lambda p: p != "")
+    """The ids of all citation tags of a text, in order, repeats included."""
+    return F.flatten(F.transform(F.regexp_extract_all(text, F.lit(TAG_BLOCK), F.lit(0)), lambda b: block_ids(b, most)))
+
+
+def _rewritten(text: Column, pattern: str, replace) -> Column:
+    """Text in which each match is replaced by replace(match)."""
+    found, rest = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    return F.array_join(F.flatten(F.transform(rest, lambda part, i: F.array(part, F.coalesce(replace(F.get(found, i)), F.lit(""))))), "")
+
+
+TAG_RUN = rf"{TAG_BLOCK}(?:\s*{TAG_BLOCK})*"
+
+
+def _tag(ids: Column) -> Column:
+    return F.when(F.size(ids) > 0, F.concat(F.lit("["), F.array_join(F.transform(ids, lambda i: F.concat(F.lit("c"), i.cast("string"))), ", "), F.lit("]"))).otherwise("")
+
+
+def merge_tags(text: Column) -> Column:
+    """Touching tags become one, each id once; single tags stay as they are."""
+    pattern = rf"{TAG_BLOCK}(?:\s*{TAG_BLOCK})+"
+    return _rewritten(text, pattern, lambda run: _tag(F.array_distinct(block_ids(run))))
+
+
+def drop_tags(text: Column, unwanted: Column) -> Column:
+    """Text without these ids: tags left empty go, spaces they leave close up, but never before a stop that a digit follows."""
+    merged = _rewritten(merge_tags(text), TAG_BLOCK, lambda b: _tag(F.filter(block_ids(b), lambda i: ~F.array_contains(unwanted, i))))
+    return F.trim(F.regexp_replace(F.regexp_replace(merged, r"[ \t]{2,}", " "), r"\s+([.,;:])(?!\d)", "$1"))
 
-    def spelled(p: Column) -> Column:
-        lo = F.regexp_extract(p, r"^c(\d+)", 1).cast("int")
-        hi = F.coalesce(F.regexp_extract(p, r"-c(\d+)$", 1).try_cast("int"), lo)
-        return F.when((hi >= lo) & (hi - lo <= most), F.sequence(lo, F.greatest(lo, hi))).otherwise(F.array(lo, hi))
 
-    return F.flatten(F.transform(pieces, spelled))
+def remove_citations(text: Column) -> Column:
+    return F.regexp_replace(text, r"\[\d+(?:,\s*\d+)*\]", "")
+
+
+def citation_indices(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(r"\[(\d+)\]"), F.lit(1)), lambda n: n.try_cast("long"))
+
+
+def remap_citations(text: Column, numbers: Column) -> Column:
+    """[n] by the new number in the map (from number as text to number); others stay."""
+    return _rewritten(text, r"\[\d+\]", lambda c: F.concat(F.lit("["), F.coalesce(numbers[F.regexp_replace(c, r"[\[\]]", "")].cast("string"), F.regexp_replace(c, r"[\[\]]", "")), F.lit("]")))
+
+
+def whole_sentences(text: Column) -> Column:
+    """Text up to the last stop and a citation behind it; [1, 2] becomes [1] [2], runs of citations are sorted, each once; as it is without a stop."""
+    single = _rewritten(text, r"\[[0-9, ]+\]", lambda g: F.array_join(F.transform(F.split(F.regexp_replace(g, r"[\[\]]", ""), ", "), lambda n: F.concat(F.lit("["), n, F.lit("]"))), " "))
+    ordered = _rewritten(
+        single, r"(?:\[\d+\])+",
+        lambda run: F.array_join(F.transform(F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(run, F.lit(r"\d+"), F.lit(0)), lambda n: n.try_cast("long")))), lambda n: F.concat(F.lit("["), n.cast("string"), F.lit("]"))), ""),
+    )
+    return F.when(ordered.rlike("[.!?]"), F.trim(F.regexp_extract(ordered, r"(?s)^(.*[.!?]\s*(?:\[\d+\])?)", 1))).otherwise(ordered)
+
+
+def has_figure(heading: Column) -> Column:
+    """Whether a heading has a figure other than one in a name such as ISO 27001 or Step 2."""
+    return F.regexp_replace(heading, r"(?i)(?:fortune|iso|type|tier|level|section|step|part|chapter|covid|gpt|g)[\s-]*\d+", "").rlike(r"\d")
+
+
+def flat(text: Column) -> Column:
+    return F.array_join(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0)), " ")
+
+
+def clipped(text: Column, n: int) -> Column:
+    """At most n characters of a text on one line, cut at the end of a word, with … where it was cut."""
+    line = F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.when(F.length(line) <= n, line).otherwise(F.concat(F.regexp_replace(F.substring(line, 1, n), r"\s+\S*$", ""), F.lit("…")))
 
 
 def phrase_count(text: Column, phrase: str) -> Column:
@@ -89,31 +181,52 @@ def phrase_count(text: Column, phrase: str) -> Column:
     return F.regexp_count(F.lower(text), F.lit(rf"\b{inner}\b"))
 
 
+#: Suffixes, of which the first that fits goes.
+SUFFIXES = ["ings", "ing", "ers", "er", "ed", "es", "s"]
+
+
 def stem(word: Column) -> Column:
-    """One common suffix off a word that stays at least three letters long."""
-    out = word
-    for suffix in ("ing", "ed", "es", "s"):
-        out = F.when(F.endswith(word, F.lit(suffix)) & (F.length(word) - len(suffix) >= 3) & (out == word), F.substring(word, F.lit(1), F.length(word) - len(suffix))).otherwise(out)
-    return out
+    """A lower-case word without one common suffix, if over two letters are left."""
+    out = F.lower(word)
+    rule = F.when(F.lit(False), out)
+    for suffix in SUFFIXES:
+        rule = rule.when(F.endswith(out, F.lit(suffix)) & (F.length(out) > len(suffix) + 2), F.left(out, F.length(out) - len(suffix)))
+    return rule.otherwise(out)
+
+
+#: Elements without text, and those that break lines.
+DROPPED = {"script", "style", "noscript", "svg", "iframe", "form", "nav", "header", "footer", "template"}
+BLOCKS = {
+    "p", "div", "section", "article", "li", "ul", "ol", "tr", "table", "h1", "h2", "h3", "h4", "h5", "h6", "br",
+    "blockquote", "figcaption", "dt", "dd", "main", "aside", "pre", "figure",
+}
+_VOID = {"br", "img", "input", "hr", "meta", "link", "source", "area", "base", "col", "embed", "track", "wbr"}
 
 
 class _Plain(HTMLParser):
-    HIDDEN, BREAKS = {"script", "style", "noscript", "template", "svg", "nav"}, {"p", "div", "br", "li", "tr", "section", "article", "h1", "h2", "h3", "h4", "ul", "ol", "table"}
+    """Collects text outside elements that are dropped or that the page hides."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.out, self.hidden = [], 0
+        self.out, self.hidden, self.depth = [], None, 0
 
     def handle_starttag(self, tag, attrs):
-        if tag in self.HIDDEN:
-            self.hidden += 1
-        elif tag in self.BREAKS and not self.hidden:
-            self.out.append("\n" + ("#" * int(tag[1]) + " " if re.fullmatch("h[1-4]", tag) else "- " if tag == "li" else ""))
+        if self.hidden:
+            self.depth += tag == self.hidden
+            return
+        told = dict(attrs)
+        style = (told.get("style") or "").replace(" ", "").lower()
+        unseen = "display:none" in style or "visibility:hidden" in style or "hidden" in told or (told.get("aria-hidden") or "").lower() == "true"
+        if (unseen or tag in DROPPED) and tag not in _VOID:
+            self.hidden, self.depth = tag, 1
+        elif tag in BLOCKS and not unseen:
+            self.out.append("\n" + ("- " if tag == "li" else "#" * int(tag[1]) + " " if tag in ("h1", "h2", "h3") else ""))
 
     def handle_endtag(self, tag):
-        if tag in self.HIDDEN:
-            self.hidden = max(0, self.hidden - 1)
-        elif tag in self.BREAKS:
+        if self.hidden:
+            self.depth -= tag == self.hidden
+            self.hidden = self.hidden if self.depth else None
+        elif tag in BLOCKS:
             self.out.append("\n")
 
     def handle_data(self, data):
@@ -126,8 +239,8 @@ def plain(html: str | None) -> str:
     parser = _Plain()
     parser.feed(html or "")
     parser.close()
-    lines = (" ".join(x.split()) for x in "".join(parser.out).split("\n"))
-    return "\n".join(x for x in lines if x and x not in ("-", "#", "##", "###", "####"))
+    text = re.sub(r"[ \t\r\xa0]+", " ", "".join(parser.out))
+    return re.sub(r"\n{3,}", "\n\n", re.sub(r" ?\n ?", "\n", text)).strip()
 
 
 @F.pandas_udf(StringType())
@@ -135,27 +248,36 @@ def html_to_text(html: pd.Series) -> pd.Series:
     return html.map(plain)
 
 
-#: Look-alikes and what stands for them.
-LOOKALIKES = {"‘": "'", "’": "'", "“": '"', "”": '"', "…": "...", "−": "-", "­": ""}
-
-
-def scrubbed(text: str | None) -> str:
-    """Plain spaces, quotes and dashes, no control characters; links and tags in brackets stay as they are; scrubbing twice changes nothing."""
-    kept = re.split(r"(https?://\S+|\[[^\]]*\])", text or "")
-    out = []
-    for i, part in enumerate(kept):
-        if i % 2 == 0:
-            part = "".join(LOOKALIKES.get(ch, " " if unicodedata.category(ch) == "Zs" else "" if unicodedata.category(ch) in ("Cc", "Cf") and ch not in "\n\t" else ch) for ch in part)
-            part = re.sub(r"(\d)\s*[–—]\s*(\d)", r"\1 to \2", part)
-            part = re.sub(r"\s*[–—]\s*", ", ", part)
-            part = re.sub(r" {2,}", " ", part)
-        out.append(part)
-    return "".join(out)
-
-
-@F.pandas_udf(StringType())
-def scrub(text: pd.Series) -> pd.Series:
-    return text.map(scrubbed)
+#: Spaces that become plain ones, and look-alikes of hyphen and slash.
+_SPACES = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+_LOOKALIKES, _PLAIN = "\u2010\u2011\u2012\u2212\u2044", "----/"
+_KEPT = r"\[[^\]]*\]\(\S+?\)|https?://\S+|\[\s*[cC]\s*\d+(?:\s*,\s*[cC]?\s*\d+)*\s*\]"
+
+
+def scrub(text: Column) -> Column:
+    """Plain spaces and hyphens, no invisible characters, ranges with "to", commas for long dashes, no stray spaces.
+
+    Links, URLs and tags are left as they are, and so are curly quotes. A stop that a digit follows keeps the
+    space before it. Scrubbing twice changes nothing more.
+    """
+    held = F.regexp_extract_all(text, F.lit(_KEPT), F.lit(0))
+    t = F.regexp_replace(F.replace(text, F.lit("\0"), F.lit("")), _KEPT, "\0")
+    t = F.translate(t, _SPACES + _LOOKALIKES, " " * len(_SPACES) + _PLAIN)
+    for pattern, to in (
+        (r"[\p{Cf}\p{Cc}\p{Co}\p{Cs}&&[^\n\t\x00]]", ""),
+        (r"(?<=\d)\s*[–—]\s*(?=\d)", " to "),
+        (r"\s*—\s*", ", "),
+        (r"\s*–\s*", "-"),
+        (r"(?<=\S)[ \t]{2,}(?=\S)", " "),
+        (r"[ \t]+([.,;:!?])(?!\d)", "$1"),
+        (r"(?<=\d)[ \t]+(?=%)", ""),
+        (r"(?md)[ \t]+$", ""),
+        (r"\n{3,}", "\n\n"),
+        (r",\s*,", ","),
+    ):
+        t = F.regexp_replace(t, pattern, to)
+    t = F.when(text.rlike(r"^\n") | text.rlike(r"\n\z"), F.trim(t, F.lit("\n"))).otherwise(t)
+    return F.array_join(F.flatten(F.transform(F.split(t, "\0", -1), lambda part, i: F.array(part, F.coalesce(F.get(held, i), F.lit(""))))), "")
 
 
 @F.pandas_udf(DoubleType())

@@ -5,45 +5,127 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Query parameters that only track; a leading part of a name for variants of one page.
-TRACKING = ["utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "gclid", "fbclid", "msclkid", "ref"]
-TRACKING_PREFIXES = ["utm_", "gclid", "fbclid", "msclkid", "ref"]
+#: Query parameters that only tell how a visitor came.
+TRACKING = [
+    "utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "utm_source_platform", "utm_creative_format",
+    "gclid", "gclsrc", "gbraid", "wbraid", "dclid", "fbclid", "igshid", "ttclid", "twclid", "li_fat_id",
+    "msclkid", "hsa_acc", "hsa_cam", "hsa_grp", "hsa_ad", "hsa_src", "hsa_tgt", "hsa_kw", "hsa_mt", "hsa_net", "hsa_ver",
+    "mc_cid", "mc_eid", "_bta_c", "_bta_tid", "vero_id", "fpr", "irclickid", "aff_id", "affiliate", "partner_id",
+    "ref", "source", "srsltid", "gad_source", "campaignid", "adgroupid",
+]
+#: With these a tracking parameter of a variant begins.
+TRACKING_PREFIXES = ["utm_", "ref", "referrer", "fbclid", "gclid", "msclkid", "mc_cid", "mc_eid", "_hsenc", "_hsmi", "hsctatracking", "igshid", "src", "source", "campaign"]
+#: Words that a slug leaves out unless they come first.
+SLUG_STOP = ["the", "a", "an", "of", "for", "to", "and", "by", "in", "on", "with", "your", "how", "what"]
+#: Paths of protocol files, of assets and of a site's machinery.
+PROTOCOL_FILE = r"(?i)(/\.well-known/|/(robots\.txt|security\.txt|ads\.txt|humans\.txt|favicon\.ico|manifest\.json|browserconfig\.xml|sitemap[\w-]*\.xml|sitemap[\w-]*\.xml\.gz)$)"
+ASSET = (
+    r"(?i)\.(?:png|jpe?g|gif|webp|avif|svg|ico|bmp|tiff?|woff2?|ttf|otf|eot|css|js|mjs|cjs|map|"
+    r"mp4|webm|mov|avi|wmv|mp3|wav|ogg|m4a|zip|gz|tgz|tar|rar|7z|dmg|exe|pkg)$"
+)
+MACHINE = r"(?i)^/(?:wp-json|wp-admin|wp-includes|wp-content|xmlrpc\.php|_next/static|_nuxt|_vercel|cdn-cgi|ghost/api|admin/api|api/v\d+|graphql)(?:/|$)"
 
 
 def _parts(url: Column) -> tuple[Column, Column, Column]:
     bare = F.regexp_replace(F.trim(url), r"#.*$", "")
-    host = F.lower(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1))
+    host = F.lower(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?:]*)", 1))
     path = F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1)
     query = F.regexp_extract(bare, r"\?(.*)$", 1)
     return host, path, query
 
 
+def path_of(url: Column) -> Column:
+    return _parts(url)[1]
+
+
 def host(url: Column) -> Column:
     return F.regexp_replace(_parts(url)[0], r"^www\.", "")
 
 
 def _name(pair: Column) -> Column:
-    return F.lower(F.regexp_extract(pair, r"^([^=]*)", 1))
+    return F.regexp_extract(pair, r"^([^=]*)", 1)
+
+
+def _path(path: Column) -> Column:
+    bare = F.regexp_replace(path, r"/+$", "")
+    return F.when(bare == "", "/").otherwise(bare)
 
 
 def match_key(url: Column) -> Column:
-    """One key for spellings of one page: https, no www, no fragment, no tracking parameters, no slash at the end; order of parameters kept."""
+    """One key for spellings of one page.
+
+    https, no www, port or fragment, no tracking parameters, of a repeated parameter the first, no slash at
+    the end of a path but the root's, escapes in upper case; the order of parameters is kept.
+    """
     _, path, query = _parts(url)
     kept = F.filter(F.split(query, "&"), lambda p: (p != "") & ~_name(p).isin(TRACKING))
-    path = F.regexp_replace(path, r"/+$", "")
-    for hi in "abcdef":  # escapes in upper case
+    kept = F.filter(kept, lambda p, i: ~F.array_contains(F.transform(F.slice(kept, F.lit(1), i), _name), _name(p)))
+    path = _path(path)
+    for hi in "abcdef":
         path = F.regexp_replace(path, f"%{hi}([0-9A-Fa-f])", f"%{hi.upper()}$1")
         path = F.regexp_replace(path, f"%([0-9A-F]){hi}", f"%$1{hi.upper()}")
     tail = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
-    return F.concat(F.lit("https://"), host(url), F.when((path == "") & (F.size(kept) == 0), "/").otherwise(path), tail)
+    return F.concat(F.lit("https://"), host(url), path, tail)
+
+
+def _form(text: Column) -> Column:
+    """Form encoding in which a tilde stays and an asterisk doesn't."""
+    return F.replace(F.replace(F.url_encode(text), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
+def _unform(text: Column) -> Column:
+    return F.coalesce(F.try_url_decode(text), text)
 
 
 def canon_url(url: Column) -> Column:
     """host and path, and the parameters sorted, without those whose name begins like a tracking one."""
     _, path, query = _parts(url)
-    tracked = lambda p: F.exists(F.array(*map(F.lit, TRACKING_PREFIXES)), lambda t: F.startswith(_name(p), t))
-    kept = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~tracked(p)))
-    return F.concat(host(url), F.regexp_replace(path, r"/+$", ""), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
+    tracked = lambda p: F.exists(F.array(*map(F.lit, TRACKING_PREFIXES)), lambda t: F.startswith(F.lower(p["k"]), t))
+    pairs = F.transform(F.filter(F.split(query, "&"), lambda p: p != ""), lambda p: F.struct(_unform(_name(p)).alias("k"), _unform(F.regexp_extract(p, r"=(.*)$", 1)).alias("v")))
+    kept = F.array_sort(F.filter(pairs, lambda p: ~tracked(p)))
+    shown = F.array_join(F.transform(kept, lambda p: F.concat(_form(p["k"]), F.lit("="), _form(p["v"]))), "&")
+    return F.concat(host(url), _path(path), F.when(F.size(kept) > 0, F.concat(F.lit("?"), shown)).otherwise(""))
+
+
+def stored(url: Column) -> Column:
+    """A URL as it is kept: scheme and host in lower case, no default port, no dot segments, / for an empty path, no fragment.
+
+    Escapes are in upper case, those of letters, digits and -._~ are spelled out. What has no scheme and host is only trimmed.
+    """
+    text = F.trim(url)
+    whole = text.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+")
+    bare = F.regexp_replace(text, "#.*$", "")
+    scheme = F.lower(F.regexp_extract(bare, "^([^:]*)", 1))
+    place = F.lower(F.regexp_extract(bare, "^[^:]*://([^/?]*)", 1))
+    place = F.when(scheme == "http", F.regexp_replace(place, ":80$", "")).when(scheme == "https", F.regexp_replace(place, ":443$", "")).otherwise(place)
+    steps = F.split(F.regexp_extract(bare, "^[^:]*://[^/?]*([^?]*)", 1), "/")
+    kept = F.aggregate(
+        F.filter(steps, lambda s: s != "."), F.array().cast("array<string>"),
+        lambda got, s: F.when(s != "..", F.concat(got, F.array(s))).when(F.size(got) > 1, F.slice(got, F.lit(1), F.size(got) - 1)).otherwise(got),
+    )
+    path = F.array_join(kept, "/")
+    path = F.when(F.element_at(steps, -1).isin(".", "..") & ~F.endswith(path, F.lit("/")), F.concat(path, F.lit("/"))).otherwise(path)
+    for hi in "abcdef":
+        path = F.regexp_replace(path, f"%{hi}([0-9A-Fa-f])", f"%{hi.upper()}$1")
+        path = F.regexp_replace(path, f"%([0-9A-F]){hi}", f"%$1{hi.upper()}")
+    for code in (*range(48, 58), *range(65, 91), *range(97, 123), 45, 46, 95, 126):
+        path = F.replace(path, F.lit(f"%{code:02X}"), F.lit(chr(code)))
+    query = F.regexp_extract(bare, r"(\?.*)$", 1)
+    return F.when(whole, F.concat(scheme, F.lit("://"), place, F.when(path == "", "/").otherwise(path), query)).otherwise(text)
+
+
+def not_content(url: Column) -> Column:
+    """Whether a URL is a protocol file, an asset or machinery rather than a page."""
+    path = path_of(url)
+    return path.rlike(PROTOCOL_FILE) | path.rlike(ASSET) | path.rlike(MACHINE)
+
+
+def near_domain(dead: Column, live: Column) -> Column:
+    """Whether a live domain is plainly that of a dead one: alike but for dots, hyphens and what follows com, or for the ending."""
+    flat = lambda d: F.regexp_replace(d, "[.-]", "")
+    stem = F.replace(F.split(dead, r"\.")[0], F.lit("-"), F.lit(""))
+    head = F.split(flat(live), "com")[0]
+    return F.startswith(flat(live), flat(dead)) | F.startswith(flat(dead), head) | ((F.length(stem) >= 4) & F.startswith(flat(live), stem))
 
 
 def segments(url: Column) -> Column:
@@ -61,11 +143,17 @@ def on_domain(url: Column, domain: Column) -> Column:
     return (host(url) == domain) | F.endswith(host(url), F.concat(F.lit("."), domain))
 
 
-def slug(title: Column, stop: list[str], words: int = 5) -> Column:
-    """Lower-case ASCII words before a colon, stop words out but for the first, at most so many, joined by hyphens."""
-    parts = F.filter(F.split(F.lower(F.regexp_replace(F.split(title, ":")[0], r"[^A-Za-z0-9]+", " ")), " "), lambda w: w != "")
-    kept = F.filter(parts, lambda w, i: (i == 0) | ~w.isin(stop))
-    return F.array_join(F.slice(kept, 1, words), "-")
+def slug(title: Column, stop: list[str] = SLUG_STOP, words: int = 5, longest: int = 45) -> Column:
+    """Lower-case ASCII words before a colon, joined by hyphens; "topic" if none.
+
+    Stop words are left out but for the first word. No word follows once there are so many or the words
+    before it are so long; then the slug is cut to that length.
+    """
+    parts = F.filter(F.split(F.regexp_replace(F.lower(F.split(title, ":")[0]), r"[^a-z0-9\s-]", " "), r"\s+"), lambda w: w != "")
+    kept = F.slice(F.filter(parts, lambda w, i: (i == 0) | ~w.isin(stop)), 1, words)
+    kept = F.filter(kept, lambda w, i: (i == 0) | (F.length(F.array_join(F.slice(kept, F.lit(1), i), "-")) < longest))
+    out = F.trim(F.substring(F.array_join(kept, "-"), 1, longest), F.lit("-"))
+    return F.when(out == "", "topic").otherwise(out)
 
 
 def suffixes(host: Column) -> Column:

@@ -15,8 +15,8 @@ def first_match(rules: list[tuple[str, Column]], otherwise: str | None = None) -
 
 
 def in_range(volume: Column, least: float, difficulty: Column, most: float, null_passes: bool) -> Column:
-    """volume >= least and difficulty <= most, an unknown difficulty passing or failing as told."""
-    fits = difficulty <= most
+    """volume >= least and difficulty in range: an unknown one passes, and so does `most`, or neither does, as told."""
+    fits = difficulty <= most if null_passes else difficulty < most
     return (volume >= least) & (F.coalesce(fits, F.lit(True)) if null_passes else F.coalesce(fits, F.lit(False)))
 
 
@@ -72,3 +72,12 @@ def survivors(df: DataFrame, body: str, row: str, *order: Column) -> DataFrame:
     hashed = df.withColumn("sha", F.sha2(F.col(body), 256))
     best = hashed.groupBy("sha").agg(F.min_by(row, F.struct(*order)).alias("survivor"), F.count("*").alias("copies"))
     return hashed.join(best.withColumnRenamed("sha", "_sha"), F.col("sha").eqNullSafe(F.col("_sha"))).drop("_sha")
+
+
+#: Rows of a small side that are sent to all executors at most; a larger one is shuffled.
+SMALL = 500_000
+
+
+def sent(df: DataFrame, most: int = SMALL) -> DataFrame:
+    """df, marked for broadcasting if it is small."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -1,8 +1,9 @@
 """Summaries, pools, ledgers and roll-ups."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import word_count
 from .registry import query
 
 
@@ -94,16 +95,50 @@ def provenance_union(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return provenance(layers, "doc_id").groupBy(F.array_join("sources", "+").alias("sources")).agg(F.count("*").alias("pages"), F.count_if(F.size("sources") == 1).alias("only_here"))
 
 
-@query("documents", sql="""
-WITH l AS (SELECT DISTINCT doc_id, lang, trim(x) AS line FROM (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS x FROM documents) WHERE trim(x) <> ''),
-g AS (SELECT lang, count(DISTINCT doc_id) AS n FROM documents GROUP BY 1 HAVING count(DISTINCT doc_id) >= 8)
-SELECT l.lang, line, count(*) AS docs FROM l JOIN g ON l.lang = g.lang GROUP BY l.lang, line, n HAVING count(*) >= greatest(5, floor(0.01 * n))""")
-def boilerplate_lines(documents: DataFrame) -> DataFrame:
-    """Lines that at least five texts of a language, and one in a hundred, share; groups of under 8 texts are left out."""
+_BOILER = """
+l AS (SELECT DISTINCT doc_id, lang, trim(x) AS line FROM (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS x FROM documents) WHERE trim(x) <> ''),
+g AS (SELECT lang, count(DISTINCT doc_id) AS n FROM documents GROUP BY 1 HAVING count(DISTINCT doc_id) >= 8),
+f AS (SELECT l.lang, line, count(*) AS docs FROM l JOIN g ON l.lang = g.lang GROUP BY l.lang, line, n HAVING count(*) >= greatest(5, floor({} * n)))"""
+
+
+def boilerplate(documents: DataFrame, share: float = 0.75) -> DataFrame:
+    """(lang, line, docs): lines on at least five texts of a language and such a share of them; groups of under 8 texts are left out."""
     size = documents.groupBy("lang").agg(F.count_distinct("doc_id").alias("n")).where("n >= 8")
     lines = documents.select("doc_id", "lang", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), lambda x: F.trim(x)))).alias("line")).where("line != ''")
     counts = lines.groupBy("lang", "line").agg(F.count_distinct("doc_id").alias("docs"))
-    return counts.join(size, "lang").where(F.col("docs") >= F.greatest(F.lit(5), F.floor(0.01 * F.col("n")))).select("lang", "line", "docs")
+    return counts.join(size, "lang").where(F.col("docs") >= F.greatest(F.lit(5), F.floor(F.lit(share) * F.col("n")))).select("lang", "line", "docs")
+
+
+@query("documents", sql=f"WITH {_BOILER.format(0.75)} SELECT * FROM f")
+def boilerplate_lines(documents: DataFrame) -> DataFrame:
+    return boilerplate(documents)
+
+
+_SWITCH = "(length(line) <= 3 AND line = upper(line) AND line <> lower(line)) OR (NOT contains(line, ' ') AND regexp_matches(line, '^(?:Dansk|Deutsch|English|Españ|Franç|Italiano|日本語|Nederlands|Norsk|Polski|Portugu|Svenska){2,}'))"
+
+
+def switcher(line: Column) -> Column:
+    """Whether a line is a language code alone or the names of languages glued together."""
+    names = "^(?:Dansk|Deutsch|English|Españ|Franç|Italiano|日本語|Nederlands|Norsk|Polski|Portugu|Svenska){2,}"
+    code = (F.length(line) <= 3) & (line == F.upper(line)) & (line != F.lower(line))
+    return code | (~F.contains(line, F.lit(" ")) & line.rlike(names))
+
+
+@query("documents", sql=f"""
+WITH {_BOILER.format(0.02)}, x AS (SELECT doc_id, lang, pos, trim(line) AS line FROM (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)),
+k AS (SELECT x.*, line <> '' AND f.line IS NULL AND NOT ({_SWITCH.replace("line", "x.line")}) AS keep FROM x LEFT JOIN f USING (lang, line))
+SELECT doc_id, coalesce(sum(len(list_filter(string_split(regexp_replace(line, '\\s+', ' ', 'g'), ' '), lambda w: w <> ''))) FILTER (WHERE keep), 0)::BIGINT AS words, count(*) FILTER (WHERE keep) AS lines, count(*) FILTER (WHERE NOT keep AND line <> '') AS removed FROM k GROUP BY 1""")
+def deboilerplated(documents: DataFrame) -> DataFrame:
+    """What is left of each text without lines that 2 % of its language share, and without switchers.
+
+    The published share is 75 %, which no line of these texts reaches; boilerplate_lines has that.
+    """
+    lines = documents.select("doc_id", "lang", F.posexplode(F.split("text", "\n")).alias("pos", "raw")).withColumn("line", F.trim("raw"))
+    common = boilerplate(documents, 0.02).select("lang", "line", F.lit(True).alias("common"))
+    keep = (F.col("line") != "") & F.col("common").isNull() & ~switcher(F.col("line"))
+    marked = lines.join(common, ["lang", "line"], "left").withColumn("keep", keep)
+    words = F.sum(F.when(F.col("keep"), word_count(F.col("line"))).otherwise(0)).cast("long")
+    return marked.groupBy("doc_id").agg(words.alias("words"), F.count_if("keep").alias("lines"), F.count_if(~F.col("keep") & (F.col("line") != "")).alias("removed"))
 
 
 @query("orders", sql="""

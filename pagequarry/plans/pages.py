@@ -7,28 +7,41 @@ from ..functions import urls as U
 from ..functions.text import html_to_text as plain_text
 from .registry import query
 
-_HOST = r"regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\.', '')"
 _BARE = "regexp_replace(trim(url), '#.*$', '')"
+_HOST = rf"regexp_replace(lower(regexp_extract({_BARE}, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?:]*)', 1)), '^www\.', '')"
 _PATH = f"regexp_replace(regexp_extract({_BARE}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '')"
+_ROOTED = f"CASE WHEN {_PATH} = '' THEN '/' ELSE {_PATH} END"
 _QUERY = rf"string_split(regexp_extract({_BARE}, '\?(.*)$', 1), '&')"
-_NAME = "lower(regexp_extract(p, '^([^=]*)', 1))"
+_NAME = "regexp_extract(p, '^([^=]*)', 1)"
+_TRACKED = ", ".join(f"'{t}'" for t in U.TRACKING)
+_BEGINS = " OR ".join(f"starts_with(lower(x.k), '{t}')" for t in U.TRACKING_PREFIXES)
 LANGS = ["de", "fr", "es"]
 
 
 @query("pages", sql=rf"""
-WITH k AS (SELECT page_id, {_HOST} AS h, {_PATH} AS p0, list_filter({_QUERY}, lambda p: p <> '' AND {_NAME} NOT IN ({", ".join(f"'{t}'" for t in U.TRACKING)})) AS q FROM pages)
-SELECT page_id, 'https://' || h || CASE WHEN p0 = '' AND len(q) = 0 THEN '/' ELSE p0 END || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS match_key FROM k""")
+WITH k AS (SELECT page_id, {_HOST} AS h, {_ROOTED} AS p0, list_filter({_QUERY}, lambda p: p <> '' AND {_NAME} NOT IN ({_TRACKED})) AS q FROM pages),
+u AS (SELECT *, list_filter(q, lambda p, i: NOT list_contains(list_transform(q[1:i - 1], lambda o: regexp_extract(o, '^([^=]*)', 1)), {_NAME})) AS one FROM k)
+SELECT page_id, 'https://' || h || p0 || CASE WHEN len(one) > 0 THEN '?' || array_to_string(one, '&') ELSE '' END AS match_key FROM u""")
 def url_match_key(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", U.match_key(F.col("url")).alias("match_key"))
 
 
 @query("pages", sql=rf"""
-WITH k AS (SELECT page_id, {_HOST} AS h, {_PATH} AS p0, list_sort(list_filter({_QUERY}, lambda p: p <> '' AND NOT regexp_matches({_NAME}, '^(utm_|gclid|fbclid|msclkid|ref)'))) AS q FROM pages)
-SELECT page_id, h || p0 || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS canon FROM k""")
+WITH k AS (SELECT page_id, {_HOST} AS h, {_ROOTED} AS p0, list_transform(list_filter({_QUERY}, lambda p: p <> ''), lambda p: struct_pack(k := url_decode(replace({_NAME}, '+', ' ')), v := url_decode(replace(regexp_extract(p, '=(.*)$', 1), '+', ' ')))) AS q FROM pages),
+s AS (SELECT page_id, h, p0, list_sort(list_filter(q, lambda x: NOT ({_BEGINS}))) AS q FROM k)
+SELECT page_id, h || p0 || CASE WHEN len(q) > 0 THEN '?' || array_to_string(list_transform(q, lambda x: replace(url_encode(x.k) || '=' || url_encode(x.v), '%20', '+')), '&') ELSE '' END AS canon FROM s""")
 def url_canon(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", U.canon_url(F.col("url")).alias("canon"))
 
 
+@query("pages", sql=rf"""
+SELECT page_id, lower(regexp_extract({_BARE}, '^([^:]*)', 1)) || '://' || lower(regexp_extract({_BARE}, '^[^:]*://([^/?]*)', 1))
+  || CASE WHEN regexp_extract({_BARE}, '^[^:]*://[^/?]*([^?]*)', 1) = '' THEN '/' ELSE regexp_extract({_BARE}, '^[^:]*://[^/?]*([^?]*)', 1) END || regexp_extract({_BARE}, '(\?.*)$', 1) AS stored FROM pages""")
+def url_stored(pages: DataFrame) -> DataFrame:
+    """The form that is kept; the SQL covers what these URLs need of it, a test the rest."""
+    return pages.select("page_id", U.stored(F.col("url")).alias("stored"))
+
+
 @query("pages", sql=rf"""
 SELECT page_id, lower(list_filter(string_split({_PATH}, '/'), lambda s: s <> '')[1]) AS locale FROM pages WHERE lower(list_filter(string_split({_PATH}, '/'), lambda s: s <> '')[1]) IN ('de', 'fr', 'es')""")
 def locale_filter(pages: DataFrame) -> DataFrame:
@@ -42,18 +55,26 @@ def url_parts(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", U.host(url).alias("host"), F.coalesce(F.try_element_at(U.segments(url), F.lit(-1)), F.lit("")).alias("label"), U.on_domain(url, F.lit("example.com")).alias("own"))
 
 
-@query("pages", sql=r"""
-SELECT CASE WHEN regexp_matches(url, '(?i)\.(png|jpe?g|gif|css|js|pdf|xml)(\?|#|$)') THEN 'asset' WHEN regexp_matches(url, '(?i)/(wp-json|feed|api)(/|$)') THEN 'machine' WHEN contains(url, '?') THEN 'query' ELSE 'content' END AS kind, count(*) AS n FROM pages GROUP BY 1""")
+@query("pages", sql=rf"""
+WITH p AS (SELECT url, regexp_extract({_BARE}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1) AS path FROM pages)
+SELECT CASE WHEN regexp_matches(path, '{U.PROTOCOL_FILE}') OR regexp_matches(path, '{U.ASSET}') OR regexp_matches(path, '{U.MACHINE}') THEN 'other' WHEN contains(url, '?') THEN 'query' ELSE 'content' END AS kind, count(*) AS n FROM p GROUP BY 1""")
 def content_urls(pages: DataFrame) -> DataFrame:
     u = F.col("url")
-    kind = F.when(u.rlike(r"(?i)\.(png|jpe?g|gif|css|js|pdf|xml)(\?|#|$)"), "asset").when(u.rlike("(?i)/(wp-json|feed|api)(/|$)"), "machine").when(F.contains(u, F.lit("?")), "query").otherwise("content")
+    kind = F.when(U.not_content(u), "other").when(F.contains(u, F.lit("?")), "query").otherwise("content")
     return pages.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query("part", sql=r"""
-SELECT p_partkey, array_to_string(list_filter(string_split(lower(regexp_replace(split_part(p_name, ':', 1), '[^A-Za-z0-9]+', ' ', 'g')), ' '), lambda x: x <> '')[1:5], '-') AS slug FROM part""")
+_STOPPED = ", ".join(f"'{w}'" for w in U.SLUG_STOP)
+
+
+@query("part", sql=rf"""
+WITH w AS (SELECT p_partkey, list_filter(regexp_split_to_array(regexp_replace(lower(split_part('The ' || p_name || ' and ' || p_type || ' of ' || p_brand, ':', 1)), '[^a-z0-9\s-]', ' ', 'g'), '\s+'), lambda x: x <> '') AS w FROM part),
+k AS (SELECT p_partkey, list_filter(w, lambda x, i: i = 1 OR x NOT IN ({_STOPPED}))[1:5] AS k FROM w),
+c AS (SELECT p_partkey, list_filter(k, lambda x, i: i = 1 OR length(array_to_string(k[1:i - 1], '-')) < 45) AS k FROM k)
+SELECT p_partkey, coalesce(nullif(trim(left(array_to_string(k, '-'), 45), '-'), ''), 'topic') AS slug FROM c""")
 def slugs(part: DataFrame) -> DataFrame:
-    return part.select("p_partkey", U.slug(F.col("p_name"), []).alias("slug"))
+    title = F.concat(F.lit("The "), "p_name", F.lit(" and "), "p_type", F.lit(" of "), "p_brand")
+    return part.select("p_partkey", U.slug(title).alias("slug"))
 
 
 @query("pages", sql="""

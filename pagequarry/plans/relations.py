@@ -7,7 +7,6 @@ from ..functions.text import title_key
 from ..operators import relational as R
 from .registry import query
 
-STOP = ["the", "a", "of", "and", "for", "to"]
 _CASE = """CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'bad status' WHEN o_totalprice < 20000 THEN 'too small' WHEN o_orderpriority LIKE '5%' THEN 'low priority' WHEN o_orderdate < TIMESTAMP '1993-01-01' THEN 'too old' END"""
 
 
@@ -30,8 +29,9 @@ def keyword_filter_null_pass(part: DataFrame) -> DataFrame:
     return part.where(R.in_range(F.col("p_size") * 10, 100, F.nullif(F.col("p_partkey") % 50, F.lit(0)), 40, True)).select("p_partkey")
 
 
-@query("part", sql="SELECT p_partkey FROM part WHERE p_size * 10 >= 100 AND nullif(p_partkey % 50, 0) <= 40")
+@query("part", sql="SELECT p_partkey FROM part WHERE p_size * 10 >= 100 AND nullif(p_partkey % 50, 0) < 40")
 def keyword_filter_null_fail(part: DataFrame) -> DataFrame:
+    """Nulls fail, and so does the bound itself, unlike in keyword_filter_null_pass."""
     return part.where(R.in_range(F.col("p_size") * 10, 100, F.nullif(F.col("p_partkey") % 50, F.lit(0)), 40, False)).select("p_partkey")
 
 
@@ -80,11 +80,11 @@ def body_cluster_action(documents: DataFrame) -> DataFrame:
 
 
 @query("part", sql="""
-WITH k AS (SELECT p_partkey, p_size, array_to_string(list_sort(list_distinct(list_transform(list_filter(string_split(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '' AND x NOT IN ('the', 'a', 'of', 'and', 'for', 'to')),
-  lambda x: CASE WHEN length(x) > 3 THEN regexp_replace(x, 's$', '') ELSE x END))), ' ') AS key FROM part)
+WITH k AS (SELECT p_partkey, p_size, array_to_string(list_sort(list_transform(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda x: x NOT IN ('the', 'a', 'an', 'for', 'of', 'and', 'with', 'to', 'in', 'on', 'your', 'our', 'free')),
+  lambda x: CASE WHEN length(x) > 4 THEN regexp_replace(x, 's$', '') ELSE x END)), ' ') AS key FROM part)
 SELECT key, count(*) AS titles, min(p_partkey) AS first_id, array_to_string(list_sort(list(DISTINCT p_size)), ' ') AS slices FROM k GROUP BY 1""")
 def title_key_merge(part: DataFrame) -> DataFrame:
-    return part.groupBy(title_key(F.col("p_name"), STOP).alias("key")).agg(F.count("*").alias("titles"), F.min("p_partkey").alias("first_id"), F.array_join(F.array_sort(F.collect_set("p_size")).cast("array<string>"), " ").alias("slices"))
+    return part.groupBy(title_key(F.col("p_name")).alias("key")).agg(F.count("*").alias("titles"), F.min("p_partkey").alias("first_id"), F.array_join(F.array_sort(F.collect_set("p_size")).cast("array<string>"), " ").alias("slices"))
 
 
 @query("documents", "labels", sql="""

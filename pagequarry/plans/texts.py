@@ -27,13 +27,41 @@ def sentence_stats(documents: DataFrame) -> DataFrame:
     return n.groupBy("doc_id").agg(F.count("*").alias("sentences"), F.round(F.avg("n"), 4).alias("average"), F.round(F.stddev_pop("n"), 4).alias("spread"), F.round(F.avg((F.col("n") >= 18).cast("int")), 4).alias("long_share"))
 
 
+_VOWELS = "len(regexp_extract_all(v, '[aeiouy]+'))"
+_SOUNDS = f"CASE WHEN v = '' THEN 0 ELSE greatest(1, {_VOWELS} - (ends_with(v, 'e') AND {_VOWELS} > 1 AND NOT ends_with(v, 'le') AND NOT ends_with(v, 'ee'))::INT) END"
+
+
 @query("conversations", sql=f"""
-WITH t AS (SELECT conv_id, turn, len({_SENT}) AS s, {_WORDS.format("text")} AS w, {_WORDS.format("lower(text)")} AS lw FROM conversations),
-y AS (SELECT *, list_sum(list_transform(lw, lambda x: greatest(1, len(regexp_extract_all(x, '[aeiouy]+')) - regexp_matches(x, '[^aeiouy]e[^a-z]*$')::INT))) AS y FROM t)
-SELECT conv_id, turn, len(w) AS words, y::BIGINT AS syllables, round_even(206.835::DOUBLE - 1.015::DOUBLE * len(w) / nullif(s, 0) - 84.6::DOUBLE * y / nullif(len(w), 0), 1) AS ease FROM y""")
+WITH t AS (SELECT conv_id, turn, len(list_filter({_SENT}, lambda s: len(string_split(s, ' ')) > 2)) AS s, regexp_extract_all(text, '[A-Za-z][A-Za-z''-]*') AS w FROM conversations),
+y AS (SELECT *, coalesce(list_sum(list_transform(list_transform(w, lambda x: lower(regexp_replace(x, '[^A-Za-z]', '', 'g'))), lambda v: {_SOUNDS})), 0) AS y FROM t)
+SELECT conv_id, turn, len(w) AS words, y::BIGINT AS syllables, coalesce(round_even(206.835::DOUBLE - 1.015::DOUBLE * (len(w) / nullif(s, 0)) - 84.6::DOUBLE * (y / nullif(len(w), 0)), 1), 0) AS ease FROM y""")
 def reading_ease(conversations: DataFrame) -> DataFrame:
     t = F.col("text")
-    return conversations.select("conv_id", "turn", X.word_count(t).cast("long").alias("words"), X.syllables(t).cast("long").alias("syllables"), X.reading_ease(t).alias("ease"))
+    found = X.plain_words(t)
+    sounds = F.aggregate(F.transform(found, X.syllables), F.lit(0), lambda a, b: a + b)
+    return conversations.select("conv_id", "turn", F.size(found).cast("long").alias("words"), sounds.cast("long").alias("syllables"), X.reading_ease(t).alias("ease"))
+
+
+@query("documents", sql=f"""
+WITH w AS (SELECT lower(unnest(regexp_extract_all(text, '[A-Za-z][A-Za-z''-]*'))) AS word FROM documents), v AS (SELECT word, regexp_replace(word, '[^a-z]', '', 'g') AS v FROM w)
+SELECT word, count(*) AS n FROM v WHERE {_SOUNDS} >= 4 GROUP BY 1 ORDER BY n DESC, word LIMIT 22""")
+def hard_words(documents: DataFrame) -> DataFrame:
+    """The 22 commonest words of four syllables or more."""
+    found = documents.select(F.explode(X.plain_words(F.col("text"))).alias("w")).where(X.syllables(F.col("w")) >= 4)
+    return found.groupBy(F.lower("w").alias("word")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(22)
+
+
+@query("documents", sql=rf"""
+WITH p AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '\n\s*\n', '␟', 'g'), '␟')) AS text FROM documents),
+s AS (SELECT doc_id, text, {_SENT} AS s FROM p)
+SELECT doc_id, coalesce(sum(len(list_filter(s, lambda x: len(string_split(x, ' ')) > 25 AND NOT contains(x, '|') AND NOT regexp_matches(x, '^[-*]')))), 0)::BIGINT AS long_sentences,
+  count(*) FILTER (WHERE len(s) > 5 AND NOT regexp_matches(trim(text), '^(?:[-*+]\s|\d+[.)]\s)')) AS fat_paragraphs FROM s GROUP BY 1""")
+def long_and_fat(documents: DataFrame) -> DataFrame:
+    """Sentences of over 25 words, rows of tables and items left out, and paragraphs of over five sentences, lists left out."""
+    parts = documents.select("doc_id", F.explode(F.split("text", r"\n\s*\n")).alias("p")).select("doc_id", "p", X.sentences(F.col("p")).alias("s"))
+    long = F.size(F.filter("s", lambda x: (X.word_count(x) > 25) & ~F.contains(x, F.lit("|")) & ~x.rlike("^[-*]")))
+    fat = (F.size("s") > 5) & ~F.trim("p").rlike(r"^(?:[-*+]\s|\d+[.)]\s)")
+    return parts.groupBy("doc_id").agg(F.sum(long).cast("long").alias("long_sentences"), F.count_if(fat).alias("fat_paragraphs"))
 
 
 @query("documents", sql=r"""
@@ -88,7 +116,7 @@ def prose_lines(documents: DataFrame) -> DataFrame:
 
 @query("conversations", sql=f"""
 WITH w AS (SELECT unnest({_WORDS.format("lower(text)")}) AS w FROM conversations)
-SELECT CASE WHEN w LIKE '%ing' AND length(w) >= 6 THEN left(w, -3) WHEN w LIKE '%ed' AND length(w) >= 5 THEN left(w, -2) WHEN w LIKE '%es' AND length(w) >= 5 THEN left(w, -2) WHEN w LIKE '%s' AND length(w) >= 4 THEN left(w, -1) ELSE w END AS stem, count(*) AS n FROM w GROUP BY 1""")
+SELECT CASE {" ".join(f"WHEN w LIKE '%{x}' AND length(w) > {len(x) + 2} THEN left(w, -{len(x)})" for x in X.SUFFIXES)} ELSE w END AS stem, count(*) AS n FROM w GROUP BY 1""")
 def stems(conversations: DataFrame) -> DataFrame:
     w = conversations.select(F.explode(X.words(F.lower("text"))).alias("w"))
     return w.groupBy(X.stem(F.col("w")).alias("stem")).agg(F.count("*").alias("n"))
@@ -96,7 +124,7 @@ def stems(conversations: DataFrame) -> DataFrame:
 
 @query("documents")
 def scrub(documents: DataFrame) -> DataFrame:
-    return documents.select("doc_id", X.scrub("text").alias("text"))
+    return documents.select("doc_id", X.scrub(F.col("text")).alias("text"))
 
 
 @query("conversations")

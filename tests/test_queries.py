@@ -72,28 +72,69 @@ def value(spark, column):
 
 
 def test_url_keys(spark):
-    assert value(spark, U.match_key(F.lit("http://WWW.Ex.com/a/%e3/?utm_source=x&p=1#f"))) == "https://ex.com/a/%E3?p=1"
-    assert value(spark, U.canon_url(F.lit("https://www.ex.com/a/?b=2&utm_x=1&a=1"))) == "ex.com/a?a=1&b=2"
+    for url, key in {
+        "http://WWW.Ex.com/a/%e3/?utm_source=x&p=1#f": "https://ex.com/a/%E3?p=1",
+        "http://ex.com/?p=1": "https://ex.com/?p=1",
+        "HTTP://u:p@ex.com:8080": "https://ex.com/",
+        "http://ex.com/a?b=1&b=2&gclid=z&UTM_source=k": "https://ex.com/a?b=1&UTM_source=k",
+    }.items():
+        assert value(spark, U.match_key(F.lit(url))) == key
+    for url, key in {"https://www.ex.com/a/?b=2&utm_x=1&a=1": "ex.com/a?a=1&b=2", "http://ex.com:80?x&REFerral=1&y=a%20b+c*": "ex.com/?x=&y=a+b+c%2A", "http://ex.com": "ex.com/"}.items():
+        assert value(spark, U.canon_url(F.lit(url))) == key
+    for url, kept in {
+        " HTTP://Ex.com:80/a/./b/../c%7e%3a#f ": "http://ex.com/a/c~%3A",
+        "https://ex.com:443?q=A": "https://ex.com/?q=A",
+        "https://ex.com/../a/..": "https://ex.com/",
+        " not a url #x": "not a url #x",
+    }.items():
+        assert value(spark, U.stored(F.lit(url))) == kept
+    assert value(spark, U.near_domain(F.lit("maki.people"), F.lit("makipeople.com"))) and not value(spark, U.near_domain(F.lit("abc.io"), F.lit("xyz.net")))
+    assert [value(spark, U.not_content(F.lit("http://a.b" + p))) for p in ("/x.PNG", "/wp-json/v2", "/sitemap-1.xml", "/x.html", "/a/wp-json")] == [True, True, True, False, False]
+    assert value(spark, U.slug(F.lit("The Recruiting Metrics of the Benchmark Report: all"))) == "the-recruiting-metrics-benchmark-report"
+    assert value(spark, U.slug(F.lit("!!: x"))) == "topic" and len(value(spark, U.slug(F.lit("w" * 30 + " " + "v" * 30)))) == 45
 
 
 def test_text(spark):
-    assert value(spark, X.tag_ids(F.lit("x [c221-c223, c5] y [c9-c2]"))) == [221, 222, 223, 5, 9, 2]
-    assert value(spark, X.title_key(F.lit("Free Python Skills Test"), ["free"])) == value(spark, X.title_key(F.lit("Python Skills Test (Free)"), ["free"])) == "python skill test"
+    assert value(spark, X.tag_ids(F.lit("x [c221-c223, c5] y [c9-c2] [C1\u20133, 7] [8]"))) == [221, 222, 223, 5, 9, 2, 1, 2, 3, 7]
+    assert value(spark, X.merge_tags(F.lit("a [c2675][c3709] [c2675]. [c1]"))) == "a [c2675, c3709]. [c1]"
+    assert value(spark, X.drop_tags(F.lit("a [c1-c3] b [c2] . of .42"), F.array(F.lit(2).cast("long")))) == "a [c1, c3] b. of .42"
+    assert value(spark, X.whole_sentences(F.lit("A [2, 1]. B [3][1][3]! C un"))) == "A [2] [1]. B [1][3]!"
+    assert value(spark, X.remap_citations(F.lit("a [1] [2] [10] [9]"), F.create_map(F.lit("1"), F.lit(2), F.lit("2"), F.lit(1), F.lit("10"), F.lit(3)))) == "a [2] [1] [3] [9]"
+    assert value(spark, X.title_key(F.lit("Free Python Skills Test"))) == value(spark, X.title_key(F.lit("Python Skills Test (Free)"))) == "python skill test"
     assert [value(spark, X.body_status(F.lit("x" * n))) for n in (249, 250, 399, 400)] == ["failed", "stub", "stub", "ok"]
     assert value(spark, X.chunk_starts(F.lit("x" * 5000))) == [0, 4200]
     assert value(spark, X.chunk_starts(F.lit("x" * 4800))) == [0]
-    for text in ("60–90 min — ok", "a b  c https://x.y/a—b [c1–c2]", ""):
-        assert X.scrubbed(X.scrubbed(text)) == X.scrubbed(text)
-    assert X.scrubbed("60–90 min — ok") == "60 to 90 min, ok"
-    assert X.plain("<p>a<script>x</p></script>b<h2>c</h2>") == "ab\n## c"
+    assert [value(spark, X.stem(F.lit(w))) for w in ("Screenings", "screening", "screeners", "screened", "is", "uses", "being", "axes")] == ["screen", "screen", "screen", "screen", "is", "use", "being", "axe"]
+    assert [value(spark, X.syllables(F.lit(w))) for w in ("make", "table", "free", "the", "I'll", "-")] == [1, 2, 1, 1, 1, 0]
+    scrubs = {
+        "60–90 min — ok": "60 to 90 min, ok",
+        "of .42": "of .42",
+        "a – b – c": "a-b-c",
+        "role\u2011specific \u201cq\u201d 85\u202f% x\u200b , y": "role-specific \u201cq\u201d 85% x, y",
+        "see https://x.y/a\u2014b  and [l\u2014l](u) [c1, c2]": "see https://x.y/a\u2014b and [l\u2014l](u) [c1, c2]",
+        "  lead  in \n\n\n\nx  \n": "  lead in\n\nx",
+        "": "",
+    }
+    for text, want in scrubs.items():
+        assert value(spark, X.scrub(F.lit(text))) == want and value(spark, X.scrub(F.lit(want))) == want
+    assert value(spark, X.scrub(F.lit(None).cast("string"))) is None
+    assert X.plain("<p>a<script>x</p></script>b<h2>c</h2><ul><li>g</ul><footer>h</footer>") == "ab\n## c\n\n- g"
+    hidden = X.plain("<div hidden>d<div>e</div></div><p style='display: none'>f</p><form>i</form><span aria-hidden=true>j</span>k<iframe>l</iframe>")
+    assert hidden == "k"
 
 
 def test_null_rules(spark):
     df = spark.createDataFrame([(100, None), (99, 10), (100, 40), (100, 41)], "v int, k int")
-    for passes, n in ((True, 2), (False, 1)):
+    for passes, n in ((True, 2), (False, 0)):
         assert df.where(R.in_range(F.col("v"), 100, F.col("k"), 40, passes)).count() == n
 
 
+def test_small_and_large_sides(spark):
+    """Whether a side is sent or shuffled, the rows are the same."""
+    left, right = spark.range(50), spark.range(0, 100, 3)
+    assert left.join(R.sent(right, 5), "id").count() == left.join(R.sent(right), "id").count() == 17
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(10, 40)] + [(5, 5), (100, 102), (102, 101), (None, 3)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(chain, "src long, dst long")).collect()}
