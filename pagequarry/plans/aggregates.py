@@ -70,10 +70,10 @@ def ledger_rollup(events: DataFrame) -> DataFrame:
 
 
 @query("events", sql="""
-SELECT event_type AS step, round(sum(value), 4) AS seconds, count(*) AS runs, round_even(100 * sum(value) / sum(sum(value)) OVER (), 2) AS share FROM events GROUP BY 1""")
+SELECT event_type AS step, user_id % 3 AS phase, round(sum(value), 4) AS seconds, count(*) AS runs, round_even(100 * sum(value) / sum(sum(value)) OVER (), 2) AS share FROM events GROUP BY 1, 2""")
 def timing_share(events: DataFrame) -> DataFrame:
-    by = events.groupBy(F.col("event_type").alias("step")).agg(F.sum("value").alias("s"), F.count("*").alias("runs"))
-    return by.select("step", F.round("s", 4).alias("seconds"), "runs", F.bround(100 * F.col("s") / F.sum("s").over(Window.partitionBy()), 2).alias("share"))
+    by = events.groupBy(F.col("event_type").alias("step"), (F.col("user_id") % 3).alias("phase")).agg(F.sum("value").alias("s"), F.count("*").alias("runs"))
+    return by.select("step", "phase", F.round("s", 4).alias("seconds"), "runs", F.bround(100 * F.col("s") / F.sum("s").over(Window.partitionBy()), 2).alias("share"))
 
 
 @query("documents", sql="""
@@ -154,14 +154,14 @@ def fan_in_alert(lineitem: DataFrame) -> DataFrame:
 
 
 @query("conversations", sql="""
-SELECT word, array_to_string(list_sort(list(DISTINCT conv_id)), ' ') AS posts FROM (SELECT conv_id, unnest(regexp_extract_all(lower(text), '[a-z]{12,}')) AS word FROM conversations) GROUP BY 1""")
+SELECT word, array_to_string(list_sort(list(DISTINCT conv_id)), ' ') AS posts FROM (SELECT conv_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}]+')) AS word FROM conversations) GROUP BY 1""")
 def posting_list(conversations: DataFrame) -> DataFrame:
-    found = conversations.select("conv_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{12,}"), F.lit(0))).alias("word"))
+    found = conversations.select("conv_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))).alias("word"))
     return found.groupBy("word").agg(F.array_join(F.array_sort(F.collect_set("conv_id")).cast("array<string>"), " ").alias("posts"))
 
 
 @query("conversations")
 def posting_list_all(conversations: DataFrame) -> DataFrame:
-    """posting_list over words of any length and letters; tested against Python, without SQL."""
+    """The same as posting_list; tested against Python."""
     found = conversations.select("conv_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))).alias("word"))
     return found.groupBy("word").agg(F.array_join(F.array_sort(F.collect_set("conv_id")).cast("array<string>"), " ").alias("posts"))

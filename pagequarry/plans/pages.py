@@ -49,10 +49,10 @@ def locale_filter(pages: DataFrame) -> DataFrame:
 
 
 @query("pages", sql=rf"""
-SELECT page_id, {_HOST} AS host, coalesce(list_filter(string_split({_PATH}, '/'), lambda s: s <> '')[-1], '') AS label, {_HOST} = 'example.com' OR ends_with({_HOST}, '.example.com') AS own FROM pages""")
+SELECT page_id, {_HOST} AS host, coalesce(list_filter(string_split({_PATH}, '/'), lambda s: s <> '')[-1], '')[:60] AS label, {_HOST} = 'thther.example.org' AS own FROM pages""")
 def url_parts(pages: DataFrame) -> DataFrame:
     url = F.col("url")
-    return pages.select("page_id", U.host(url).alias("host"), F.coalesce(F.try_element_at(U.segments(url), F.lit(-1)), F.lit("")).alias("label"), U.on_domain(url, F.lit("example.com")).alias("own"))
+    return pages.select("page_id", U.host(url).alias("host"), F.left(F.coalesce(F.try_element_at(U.segments(url), F.lit(-1)), F.lit("")), F.lit(60)).alias("label"), (U.host(url) == "thther.example.org").alias("own"))
 
 
 @query("pages", sql=rf"""

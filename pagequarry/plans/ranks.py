@@ -9,12 +9,13 @@ from .registry import query
 
 
 @query("customer", sql="""
-SELECT c_custkey, row_number() OVER (ORDER BY CASE c_mktsegment WHEN 'BUILDING' THEN 0 WHEN 'MACHINERY' THEN 1 ELSE 2 END, c_acctbal DESC, c_custkey) AS rank FROM customer QUALIFY rank <= 40""")
+WITH r AS (SELECT c_custkey, row_number() OVER (ORDER BY CASE c_mktsegment WHEN 'BUILDING' THEN 0 WHEN 'MACHINERY' THEN 1 ELSE 2 END, c_acctbal DESC, c_custkey) AS rank FROM customer) SELECT *, CASE WHEN rank <= 40 THEN 'NOW' ELSE 'LATER' END AS turn FROM r""")
 def ranked_ideas(customer: DataFrame) -> DataFrame:
-    """The first forty by tier, then score; a top-k report."""
+    """All by tier, then score; the first forty are for now, the others for later."""
     tier = F.when(F.col("c_mktsegment") == "BUILDING", 0).when(F.col("c_mktsegment") == "MACHINERY", 1).otherwise(2)
-    top = customer.select("c_custkey", tier.alias("tier"), "c_acctbal").orderBy("tier", F.desc("c_acctbal"), "c_custkey").limit(40)
-    return top.select("c_custkey", F.row_number().over(Window.orderBy("tier", F.desc("c_acctbal"), "c_custkey")).alias("rank"))
+    rows = customer.select("c_custkey", tier.alias("tier"), (-F.col("c_acctbal")).alias("low"))
+    placed = K.numbered(rows, [], ["tier", "low", "c_custkey"], "rank")
+    return placed.select("c_custkey", F.col("rank").cast("long").alias("rank"), F.when(F.col("rank") <= 40, "NOW").otherwise("LATER").alias("turn"))
 
 
 @query("orders", sql="SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) = 1")
@@ -39,7 +40,8 @@ def top_n_per_group(orders: DataFrame) -> DataFrame:
 WITH r AS (SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS rn FROM customer) SELECT *, row_number() OVER (PARTITION BY rn ORDER BY c_nationkey) AS place FROM r""")
 def round_robin(customer: DataFrame) -> DataFrame:
     """Rounds over the groups, the best of each first: (rn, place) is the order."""
-    ranked = K.top_n(customer.select("c_nationkey", "c_custkey", "c_acctbal"), ["c_nationkey"], 1 << 30, F.desc("c_acctbal"), F.col("c_custkey")).drop("c_acctbal")
+    low = customer.select("c_nationkey", "c_custkey", (-F.col("c_acctbal")).alias("low"))
+    ranked = K.numbered(low, ["c_nationkey"], ["low", "c_custkey"], "rn").select("c_nationkey", "c_custkey", F.col("rn").cast("long").alias("rn"))
     return ranked.withColumn("place", F.row_number().over(Window.partitionBy("rn").orderBy("c_nationkey")))
 
 
@@ -87,7 +89,7 @@ def type_sequence(events: DataFrame) -> DataFrame:
 @query("part", sql="""
 SELECT p_partkey, s || CASE WHEN n > 1 THEN '-' || n ELSE '' END AS slug FROM (SELECT p_partkey, s, row_number() OVER (PARTITION BY s ORDER BY p_partkey) AS n FROM (SELECT p_partkey, regexp_replace(lower(p_type), '[^a-z0-9]+', '-', 'g') AS s FROM part))""")
 def unique_suffix(part: DataFrame) -> DataFrame:
-    n = K.occurrence(part.select("p_partkey", F.regexp_replace(F.lower("p_type"), "[^a-z0-9]+", "-").alias("s")), ["s"], F.col("p_partkey"))
+    n = K.numbered(part.select("p_partkey", F.regexp_replace(F.lower("p_type"), "[^a-z0-9]+", "-").alias("s")), ["s"], ["p_partkey"], "occurrence")
     return n.select("p_partkey", F.concat("s", F.when(F.col("occurrence") > 1, F.concat(F.lit("-"), "occurrence")).otherwise("")).alias("slug"))
 
 
@@ -96,10 +98,10 @@ WITH r AS (SELECT p_partkey, p_brand, row_number() OVER w AS rn, count(*) OVER (
 SELECT p_partkey, p_brand, ((rn - 1) * CAST(ceil(n / 15.0) AS BIGINT)) // n + 1 AS part_no, CAST(ceil(n / 15.0) AS BIGINT) AS parts FROM r""")
 def balanced_chunks(part: DataFrame) -> DataFrame:
     """Each group in the fewest even parts of at most 15."""
-    w = Window.partitionBy("p_brand")
-    parts = F.ceil(F.count("*").over(w) / 15.0)
-    rn = F.row_number().over(w.orderBy("p_partkey"))
-    return part.select("p_partkey", "p_brand", (F.floor((rn - 1) * parts / F.count("*").over(w)) + 1).alias("part_no"), parts.alias("parts"))
+    size = part.groupBy("p_brand").agg(F.count("*").alias("n"))
+    rows = K.numbered(part.select("p_partkey", "p_brand"), ["p_brand"], ["p_partkey"], "rn").join(size, "p_brand")
+    parts = F.ceil(F.col("n") / 15.0)
+    return rows.select("p_partkey", "p_brand", (F.floor((F.col("rn") - 1) * parts / F.col("n")) + 1).alias("part_no"), parts.alias("parts"))
 
 
 @query("lineitem", sql="SELECT l_orderkey, l_linenumber, round(CASE WHEN sum(l_quantity) OVER w > 0 THEN l_quantity / sum(l_quantity) OVER w ELSE 1.0 / count(*) OVER w END, 6) AS share FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)")
@@ -108,9 +110,14 @@ def share_of_total(lineitem: DataFrame) -> DataFrame:
 
 
 @query("orders", "customer", sql="""
-WITH a AS (SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) <= 30 AS top, o_totalprice < 5000 AS shallow FROM orders)
-SELECT o_orderkey, CASE WHEN top THEN 'traffic' ELSE 'shallow' END AS why FROM a WHERE top OR shallow""")
+WITH a AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) <= 30 AS top, o_totalprice < 5000 AS shallow FROM orders),
+d AS (SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS rn FROM a WHERE NOT top AND NOT shallow AND o_totalprice < 20000)
+SELECT o_orderkey, CASE WHEN top THEN 'traffic' ELSE 'shallow' END AS why FROM a WHERE top OR shallow UNION ALL SELECT o_orderkey, 'deep' FROM d WHERE rn <= 10""")
 def stratified_candidates(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    w = Window.partitionBy("o_orderpriority").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    a = orders.select("o_orderkey", (F.row_number().over(w) <= 30).alias("top"), (F.col("o_totalprice") < 5000).alias("shallow"))
-    return a.where("top or shallow").select("o_orderkey", F.when(F.col("top"), "traffic").otherwise("shallow").alias("why"))
+    """The 30 strongest of each group, all shallow ones, and the first ten of the deeper ones."""
+    a = orders.select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate")
+    top = K.top_n(a, ["o_orderpriority"], 30, F.desc("o_totalprice"), F.col("o_orderkey")).select("o_orderkey", F.lit("traffic").alias("why"))
+    rest = a.join(top, "o_orderkey", "left_anti")
+    shallow = rest.where("o_totalprice < 5000").select("o_orderkey", F.lit("shallow").alias("why"))
+    deep = K.top_n(rest.where("o_totalprice >= 5000 and o_totalprice < 20000"), ["o_orderpriority"], 10, F.col("o_orderdate"), F.col("o_orderkey"))
+    return top.union(shallow).union(deep.select("o_orderkey", F.lit("deep")))

@@ -71,27 +71,27 @@ def number_sets(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.size(n).cast("long").alias("n"), F.array_join(F.array_sort(n), " ").alias("numbers"))
 
 
-@query("documents", sql=r"SELECT doc_id, md5(regexp_replace(regexp_replace(lower(text), '(\d),(\d)', '\1\2', 'g'), '[^a-z0-9%]+', ' ', 'g')) AS key FROM documents WHERE lang = 'en'")
+@query("documents", sql=r"SELECT doc_id, md5(regexp_replace(regexp_replace(lower(text), '(\d),(\d)', '\1\2', 'g'), '[^a-z0-9%]+', ' ', 'g')) AS key FROM documents")
 def number_normalise(documents: DataFrame) -> DataFrame:
-    return documents.where("lang = 'en'").select("doc_id", F.md5(X.normal_number(F.col("text"))).alias("key"))
+    return documents.select("doc_id", F.md5(X.normal_number(F.col("text"))).alias("key"))
 
 
 @query("documents", sql=r"""
-SELECT doc_id, len(regexp_extract_all(lower(text), '\bof[\s-]+the\b')) AS of_the, len(regexp_extract_all(lower(text), '\band\b')) AS and_n FROM documents WHERE lang = 'en'""")
+SELECT doc_id, len(regexp_extract_all(lower(text), '\bof[\s-]+the\b')) AS of_the, len(regexp_extract_all(lower(text), '\band\b')) AS and_n FROM documents""")
 def phrase_counts(documents: DataFrame) -> DataFrame:
     t = F.col("text")
-    return documents.where("lang = 'en'").select("doc_id", X.phrase_count(t, "of the").cast("long").alias("of_the"), X.phrase_count(t, "and").cast("long").alias("and_n"))
+    return documents.select("doc_id", X.phrase_count(t, "of the").cast("long").alias("of_the"), X.phrase_count(t, "and").cast("long").alias("and_n"))
 
 
 @query("documents")
 def number_normalise_all(documents: DataFrame) -> DataFrame:
-    """number_normalise over all languages; tested against Python, without SQL."""
+    """The same as number_normalise; tested against Python."""
     return documents.select("doc_id", F.md5(X.normal_number(F.col("text"))).alias("key"))
 
 
 @query("documents")
 def phrase_counts_all(documents: DataFrame) -> DataFrame:
-    """phrase_counts over all languages; tested against Python, without SQL."""
+    """The same as phrase_counts; tested against Python."""
     t = F.col("text")
     return documents.select("doc_id", X.phrase_count(t, "of the").cast("long").alias("of_the"), X.phrase_count(t, "and").cast("long").alias("and_n"))
 

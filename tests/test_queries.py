@@ -198,3 +198,26 @@ def test_resume_and_lease(spark, tmp_path):
     frontier = spark.createDataFrame(rows, "u long, c string").select("u", F.to_timestamp("c").alias("claimed_at"))
     done = spark.createDataFrame([(4,)], "u long")
     assert sorted(r.u for r in pending(frontier, done, "u", "2024-01-01 00:16:00").collect()) == [1, 2]
+
+
+def test_vector_clusters(spark):
+    """Every vector is with the mean that is nearest to it, and reruns agree."""
+    rows = {r.vec_id: r.cluster for r in plans.queries()["vector_clusters"](spark, FOLDER).collect()}
+    assert rows == {r.vec_id: r.cluster for r in plans.queries()["vector_clusters"](spark, FOLDER).collect()}
+    v = {r.vec_id: np.array(r.embedding, float) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()}
+    assert set(rows) == set(v) and max(rows.values()) < 45
+    unit = np.array([v[k] / np.linalg.norm(v[k]) for k in rows])
+    own = np.array(list(rows.values()))
+    used = np.unique(own)
+    means = np.array([unit[own == c].mean(axis=0) for c in used])
+    nearest = used[((unit[:, None] - means[None]) ** 2).sum(axis=2).argmin(axis=1)]
+    assert (nearest == own).mean() > 0.9
+
+
+def test_topic_pages(spark):
+    from pagequarry.plans.evidence import topic_pages
+
+    pages = spark.createDataFrame([(f"http://h/{i}", "Skill tests" if i < 35 else "Generic", i) for i in range(130)] + [("http://H/1/", "skill test", 200)], "url string, title string, pos long")
+    words = spark.createDataFrame([(1, 0, "skills testing"), (1, 1, "generic"), (2, 0, "of x"), (3, 0, None)], "idea long, pos long, keyword string")
+    got = {r.idea: r.cell for r in topic_pages(words, pages).collect()}
+    assert set(got) == {1} and got[1].startswith("Skill tests — http://h/0; Skill tests — http://h/1;") and got[1].endswith("; (+5 more of 35)")
