@@ -1,6 +1,6 @@
 """Named queries over the driver's tables, each beside its SQL oracle."""
 
-from . import aggregates, checks, citations, evidence, extract, filters, guards, pages, pools, ranks, relations, search, texts  # noqa: F401
+from . import aggregates, checks, citations, evidence, extract, filters, guards, merges, pages, pools, ranks, relations, search, texts  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
