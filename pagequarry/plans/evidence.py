@@ -85,7 +85,7 @@ def card_sources(benchmark: DataFrame, documents: DataFrame) -> DataFrame:
     added = F.concat("text", F.lit(" in "), 1990 + F.col("doc_id") % 60, F.lit(" about "), 10 + F.col("doc_id") % 80, F.lit(" percent"))
     cards = trigrams(benchmark.select("item_id", card.alias("text")), "item_id")
     snippets = trigrams(documents.select("doc_id", F.when(F.col("doc_id") % 3 == 0, added).otherwise(F.col("text")).alias("text")), "doc_id")
-    shared = snippets.join(sent(cards), "g").withColumn("figure", F.exists(F.split("g", " "), numeric))
+    shared = snippets.join(sent(cards.distinct()), "g").distinct().withColumn("figure", F.exists(F.split("g", " "), numeric))
     best = shared.groupBy("item_id", "doc_id").agg(F.count("*").alias("shared"), F.bool_or("figure").alias("figure"))
     top = best.groupBy("item_id").agg(F.max(F.struct("shared", -F.col("doc_id"), "doc_id", "figure")).alias("b")).select("item_id", "b.doc_id", "b.shared", "b.figure")
     return top.where("shared >= 3 and figure").select("item_id", "doc_id", "shared")

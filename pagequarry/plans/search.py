@@ -14,10 +14,11 @@ _TRI = """SELECT DISTINCT {0}, array_to_string(w[i:i+2], ' ') AS g FROM (SELECT
 
 
 def trigrams(df: DataFrame, key: str) -> DataFrame:
-    """(key, g): the different runs of three words."""
-    w = df.select(key, words(normal_number(F.col("text"))).alias("w")).where(F.size("w") >= 3)
-    grams = F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.array_join(F.slice("w", i, 3), " "))
-    return w.select(key, F.explode(F.array_distinct(grams)).alias("g"))
+    """(key, g): the runs of three words, as often as they occur; a set of long texts' runs in one row would be slow to make."""
+    w = df.select(key, words(normal_number(F.col("text"))).alias("w"))
+    later = lambda start: F.slice("w", F.lit(start), F.size("w"))
+    three = w.select(key, F.inline(F.arrays_zip("w", later(2), later(3)))).toDF(key, "a", "b", "c")
+    return three.where("c is not null").select(key, F.concat_ws(" ", "a", "b", "c").alias("g"))
 
 
 @query("benchmark", "documents", sql=f"""
@@ -29,7 +30,7 @@ def shingle_match(benchmark: DataFrame, documents: DataFrame) -> DataFrame:
 
     Few trigrams of items are sent to all executors, so those of texts meet them before any shuffle.
     """
-    shared = trigrams(documents, "doc_id").join(sent(trigrams(benchmark, "item_id")), "g").groupBy("item_id", "doc_id").agg(F.count("*").alias("shared")).where("shared >= 8")
+    shared = trigrams(documents, "doc_id").join(sent(trigrams(benchmark, "item_id").distinct()), "g").distinct().groupBy("item_id", "doc_id").agg(F.count("*").alias("shared")).where("shared >= 8")
     w = Window.partitionBy("item_id").orderBy(F.desc("shared"), "doc_id")
     return shared.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
 
