@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 import re
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -14,6 +15,11 @@ from pyspark.sql.types import DoubleType, StringType
 MARK = "␞"
 
 
+def held(value: Column, use) -> Column:
+    """use(value), the value worked out once though lambdas of other functions read it for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def sentences(text: Column, least_words: int = 1) -> Column:
     """Split behind . ! ? and white space; pieces of fewer words go."""
     pieces = F.split(F.regexp_replace(text, r"([.!?])\s+", f"$1{MARK}"), MARK)
@@ -112,10 +118,11 @@ def tag_ids(text: Column, most: int = 60) -> Column:
     return F.flatten(F.transform(F.regexp_extract_all(text, F.lit(TAG_BLOCK), F.lit(0)), lambda b: block_ids(b, most)))
 
 
-def _rewritten(text: Column, pattern: str, replace) -> Column:
+def rewritten(text: Column, pattern: str, replace) -> Column:
     """Text in which each match is replaced by replace(match)."""
-    found, rest = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    return F.array_join(F.flatten(F.transform(rest, lambda part, i: F.array(part, F.coalesce(replace(F.get(found, i)), F.lit(""))))), "")
+    rest = F.split(text, pattern, -1)
+    join = lambda found: F.array_join(F.flatten(F.transform(rest, lambda part, i: F.array(part, F.coalesce(replace(F.get(found, i)), F.lit(""))))), "")
+    return held(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), join)
 
 
 TAG_RUN = rf"{TAG_BLOCK}(?:\s*{TAG_BLOCK})*"
@@ -128,12 +135,12 @@ def _tag(ids: Column) -> Column:
 def merge_tags(text: Column) -> Column:
     """Touching tags become one, each id once; single tags stay as they are."""
     pattern = rf"{TAG_BLOCK}(?:\s*{TAG_BLOCK})+"
-    return _rewritten(text, pattern, lambda run: _tag(F.array_distinct(block_ids(run))))
+    return rewritten(text, pattern, lambda run: _tag(F.array_distinct(block_ids(run))))
 
 
 def drop_tags(text: Column, unwanted: Column) -> Column:
     """Text without these ids: tags left empty go, spaces they leave close up, but never before a stop that a digit follows."""
-    merged = _rewritten(merge_tags(text), TAG_BLOCK, lambda b: _tag(F.filter(block_ids(b), lambda i: ~F.array_contains(unwanted, i))))
+    merged = rewritten(merge_tags(text), TAG_BLOCK, lambda b: _tag(F.filter(block_ids(b), lambda i: ~F.array_contains(unwanted, i))))
     return F.trim(F.regexp_replace(F.regexp_replace(merged, r"[ \t]{2,}", " "), r"\s+([.,;:])(?!\d)", "$1"))
 
 
@@ -147,13 +154,13 @@ def citation_indices(text: Column) -> Column:
 
 def remap_citations(text: Column, numbers: Column) -> Column:
     """[n] by the new number in the map (from number as text to number); others stay."""
-    return _rewritten(text, r"\[\d+\]", lambda c: F.concat(F.lit("["), F.coalesce(numbers[F.regexp_replace(c, r"[\[\]]", "")].cast("string"), F.regexp_replace(c, r"[\[\]]", "")), F.lit("]")))
+    return rewritten(text, r"\[\d+\]", lambda c: F.concat(F.lit("["), F.coalesce(numbers[F.regexp_replace(c, r"[\[\]]", "")].cast("string"), F.regexp_replace(c, r"[\[\]]", "")), F.lit("]")))
 
 
 def whole_sentences(text: Column) -> Column:
     """Text up to the last stop and a citation behind it; [1, 2] becomes [1] [2], runs of citations are sorted, each once; as it is without a stop."""
-    single = _rewritten(text, r"\[[0-9, ]+\]", lambda g: F.array_join(F.transform(F.split(F.regexp_replace(g, r"[\[\]]", ""), ", "), lambda n: F.concat(F.lit("["), n, F.lit("]"))), " "))
-    ordered = _rewritten(
+    single = rewritten(text, r"\[[0-9, ]+\]", lambda g: F.array_join(F.transform(F.split(F.regexp_replace(g, r"[\[\]]", ""), ", "), lambda n: F.concat(F.lit("["), n, F.lit("]"))), " "))
+    ordered = rewritten(
         single, r"(?:\[\d+\])+",
         lambda run: F.array_join(F.transform(F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(run, F.lit(r"\d+"), F.lit(0)), lambda n: n.try_cast("long")))), lambda n: F.concat(F.lit("["), n.cast("string"), F.lit("]"))), ""),
     )
@@ -243,6 +250,12 @@ def plain(html: str | None) -> str:
     return re.sub(r"\n{3,}", "\n\n", re.sub(r" ?\n ?", "\n", text)).strip()
 
 
+@F.pandas_udf(StringType())
+def unescaped(text: pd.Series) -> pd.Series:
+    """Text with its character references spelled out, named and numbered ones."""
+    return text.map(unescape, na_action="ignore")
+
+
 @F.pandas_udf(StringType())
 def html_to_text(html: pd.Series) -> pd.Series:
     return html.map(plain)
@@ -260,7 +273,6 @@ def scrub(text: Column) -> Column:
     Links, URLs and tags are left as they are, and so are curly quotes. A stop that a digit follows keeps the
     space before it. Scrubbing twice changes nothing more.
     """
-    held = F.regexp_extract_all(text, F.lit(_KEPT), F.lit(0))
     t = F.regexp_replace(F.replace(text, F.lit("\0"), F.lit("")), _KEPT, "\0")
     t = F.translate(t, _SPACES + _LOOKALIKES, " " * len(_SPACES) + _PLAIN)
     for pattern, to in (
@@ -277,7 +289,8 @@ def scrub(text: Column) -> Column:
     ):
         t = F.regexp_replace(t, pattern, to)
     t = F.when(text.rlike(r"^\n") | text.rlike(r"\n\z"), F.trim(t, F.lit("\n"))).otherwise(t)
-    return F.array_join(F.flatten(F.transform(F.split(t, "\0", -1), lambda part, i: F.array(part, F.coalesce(F.get(held, i), F.lit(""))))), "")
+    join = lambda kept: F.array_join(F.flatten(F.transform(F.split(t, "\0", -1), lambda part, i: F.array(part, F.coalesce(F.get(kept, i), F.lit(""))))), "")
+    return held(F.regexp_extract_all(text, F.lit(_KEPT), F.lit(0)), join)
 
 
 @F.pandas_udf(DoubleType())

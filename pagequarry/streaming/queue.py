@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,19 @@ def pending(frontier: DataFrame, done: DataFrame, key: str, now: str, lease_seco
     return frontier.where(free).join(done.select(key), key, "left_anti")
 
 
+def snapshot(spark: SparkSession, folder: str, stage: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The rows of a named stage of a job: those an earlier run wrote, else made and written now."""
+    path = f"{folder.rstrip('/')}/{stage}"
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # neither unwritten nor broken off
+            raise
+    made = make()
+    made.write.mode("overwrite").parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def windowed(events: DataFrame, width: str = "10 minutes", late: str = "30 minutes") -> DataFrame:
     """Beyond the reference: counts and sums by tumbling windows of event time, late rows up to a watermark."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
