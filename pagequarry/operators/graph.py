@@ -69,6 +69,24 @@ def depths_and_kept(tree: DataFrame) -> DataFrame:
     raise ValueError("the tree has a loop")
 
 
+def only_children_merged(tree: DataFrame) -> DataFrame:
+    """(node, into) of a tree (node, parent): an only child goes into the nearest node above that is none, others into themselves.
+
+    A parent that the table lacks counts as none. Pointers double their length each round. Loops raise an error.
+    """
+    known = tree.select(F.col("node").alias("parent"))
+    only = tree.join(known, "parent", "left_semi").groupBy("parent").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1").select("node", "parent")
+    at = written(tree.select("node").join(only, "node", "left").select("node", F.coalesce("parent", "node").alias("into"), F.col("parent").isNotNull().alias("only")))
+    for _ in range(40):
+        above = at.where("into != node").select(F.col("node").alias("into"), F.col("into").alias("higher"))
+        if at.join(above, "into", "left_semi").isEmpty():
+            if at.where("only and into = node").isEmpty():
+                return at.select("node", "into")
+            break
+        at = written(at.join(above, "into", "left").select("node", F.coalesce("higher", "into").alias("into"), "only"))
+    raise ValueError("the tree has a loop")
+
+
 def apply_merges(pairs: DataFrame) -> DataFrame:
     """(seq, keep, gone, done): decisions in order of seq, skipping those with an end that was merged away before.
 

@@ -174,6 +174,36 @@ def tree_paths(part: DataFrame) -> DataFrame:
     return G.depths_and_kept(tree)
 
 
+@query("part", sql=f"""
+WITH RECURSIVE t AS ({_TREE}), o AS (SELECT min(node) AS node FROM t WHERE parent IN (SELECT node FROM t) GROUP BY parent HAVING count(*) = 1),
+u AS (SELECT node, node AS up FROM t UNION ALL SELECT u.node, t.parent FROM u JOIN t ON u.up = t.node WHERE t.node IN (SELECT node FROM o))
+SELECT node, up AS "into" FROM u WHERE up NOT IN (SELECT node FROM o)""")
+def tree_merged(part: DataFrame) -> DataFrame:
+    """The node of a tree that each node ends up in when only children are merged with their parents."""
+    size = F.col("p_size")
+    tree = part.where(size > 0).select(F.col("p_partkey").alias("node"), F.when(F.col("p_partkey") > size, F.col("p_partkey") - size).alias("parent"))
+    return G.only_children_merged(tree)
+
+
+@query("events", sql="""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS back FROM events)
+SELECT user_id, count(*) FILTER (WHERE event_type = 'view') AS views, count(*) FILTER (WHERE event_type = 'click') AS clicks, coalesce(string_agg(event_id::VARCHAR, ' ' ORDER BY rn) FILTER (WHERE event_type = 'view' AND rn <= 10), '') AS top,
+  max(event_id) FILTER (WHERE event_type = 'click' AND back = 1) AS snippet, coalesce(string_agg(event_id::VARCHAR, ' ' ORDER BY rn) FILTER (WHERE event_type = 'purchase' AND back <= 4), '') AS related FROM r GROUP BY 1""")
+def typed_extract(events: DataFrame) -> DataFrame:
+    """For each user how many items of two types there are, the first ten of one, the last of another and the last four of a third."""
+    place = Window.partitionBy("user_id", "event_type")
+    ranked = events.withColumn("rn", F.row_number().over(place.orderBy("ts", "event_id"))).withColumn("back", F.row_number().over(place.orderBy(F.desc("ts"), F.desc("event_id"))))
+    kind = lambda name: F.col("event_type") == name
+    listed = lambda fits: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(fits, F.struct("rn", "event_id")))), lambda x: x["event_id"].cast("string")), " ")
+    return ranked.groupBy("user_id").agg(
+        F.count_if(kind("view")).alias("views"),
+        F.count_if(kind("click")).alias("clicks"),
+        listed(kind("view") & (F.col("rn") <= 10)).alias("top"),
+        F.max(F.when(kind("click") & (F.col("back") == 1), F.col("event_id"))).alias("snippet"),
+        listed(kind("purchase") & (F.col("back") <= 4)).alias("related"),
+    )
+
+
 @query("orders", "customer")
 def merge_decisions(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Who survives when pairs are merged in order and a row that was merged away takes part no more."""

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagequarry.functions.forum import parsed_comments
+from pagequarry.operators.graph import only_children_merged
 from pagequarry.plans import drafts as D
 from pagequarry.plans.forum import evidence_window, posts
 from pagequarry.streaming.queue import snapshot
@@ -123,3 +124,10 @@ def test_snapshot(spark, tmp_path):
     folder = f"file://{tmp_path}"
     assert snapshot(spark, folder, "first", make).count() == 3
     assert snapshot(spark, folder, "first", make).count() == 3 and len(made) == 1
+
+
+def test_only_children_merged(spark):
+    tree = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 3), (5, 3), (6, 5), (7, 99)], "node int, parent int")
+    assert {r.node: r.into for r in only_children_merged(tree).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 5, 7: 7}
+    with pytest.raises(ValueError):
+        only_children_merged(spark.createDataFrame([(1, 2), (2, 1)], "node int, parent int"))
