@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import warc
+from . import hard_negatives, lexical, url_filter, warc
 from .ctw import context_tree_scores
 from .lattice_dedup import lattice_dedup
 from .media import image_copies, rendered
@@ -76,9 +76,21 @@ def op10_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return image_copies(rendered(_table(spark, sf_dir, "embeddings")))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.lexical_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), most=50)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(hard_negatives.query_rows(_table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter(_table(spark, sf_dir, "pages")).drop("score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_lattice_dedup, op3_mix_sources, op4_warc_fixity, op5_simhash_dedup, op6_window_dedup, op7_toxicity, op8_context_tree, op9_pack, op10_image_copies)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_lattice_dedup, op3_mix_sources, op4_warc_fixity, op5_simhash_dedup, op6_window_dedup, op7_toxicity, op8_context_tree, op9_pack, op10_image_copies, op11_lexical_search, op12_hard_negatives, op13_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc_fixity": warc.SQL}
+    return {"op4_warc_fixity": warc.SQL, "op11_lexical_search": lexical.SQL, "op12_hard_negatives": hard_negatives.SQL, "op13_url_filter": url_filter.SQL}
