@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import rewritten
+
 #: Query parameters that only tell how a visitor came.
 TRACKING = [
     "utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "utm_source_platform", "utm_creative_format",
@@ -51,6 +53,11 @@ def _path(path: Column) -> Column:
     return F.when(bare == "", "/").otherwise(bare)
 
 
+def _escapes(path: Column, replace) -> Column:
+    """A path with each percent escape replaced, in one pass, so none is made of what another leaves."""
+    return F.when(F.contains(path, F.lit("%")), rewritten(path, "%[0-9A-Fa-f]{2}", replace)).otherwise(path)
+
+
 def match_key(url: Column) -> Column:
     """One key for spellings of one page.
 
@@ -60,10 +67,7 @@ def match_key(url: Column) -> Column:
     _, path, query = _parts(url)
     kept = F.filter(F.split(query, "&"), lambda p: (p != "") & ~_name(p).isin(TRACKING))
     kept = F.filter(kept, lambda p, i: ~F.array_contains(F.transform(F.slice(kept, F.lit(1), i), _name), _name(p)))
-    path = _path(path)
-    for hi in "abcdef":
-        path = F.regexp_replace(path, f"%{hi}([0-9A-Fa-f])", f"%{hi.upper()}$1")
-        path = F.regexp_replace(path, f"%([0-9A-F]){hi}", f"%$1{hi.upper()}")
+    path = _escapes(_path(path), F.upper)
     tail = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
     return F.concat(F.lit("https://"), host(url), path, tail)
 
@@ -105,11 +109,8 @@ def stored(url: Column) -> Column:
     )
     path = F.array_join(kept, "/")
     path = F.when(F.element_at(steps, -1).isin(".", "..") & ~F.endswith(path, F.lit("/")), F.concat(path, F.lit("/"))).otherwise(path)
-    for hi in "abcdef":
-        path = F.regexp_replace(path, f"%{hi}([0-9A-Fa-f])", f"%{hi.upper()}$1")
-        path = F.regexp_replace(path, f"%([0-9A-F]){hi}", f"%$1{hi.upper()}")
-    for code in (*range(48, 58), *range(65, 91), *range(97, 123), 45, 46, 95, 126):
-        path = F.replace(path, F.lit(f"%{code:02X}"), F.lit(chr(code)))
+    char = lambda e: F.char(F.conv(F.substr(e, F.lit(2)), 16, 10).cast("int"))
+    path = _escapes(path, lambda e: F.when(char(e).rlike("[A-Za-z0-9._~-]"), char(e)).otherwise(F.upper(e)))
     query = F.regexp_extract(bare, r"(\?.*)$", 1)
     return F.when(whole, F.concat(scheme, F.lit("://"), place, F.when(path == "", "/").otherwise(path), query)).otherwise(text)
 

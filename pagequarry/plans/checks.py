@@ -31,18 +31,18 @@ def edit_verdict(before: Column, after: Column, title_before: Column, title_afte
     return kept(block), kept(warn)
 
 
-_EDITED = "CASE turn % 5 WHEN 0 THEN before WHEN 1 THEN '' WHEN 2 THEN before || ' 99' WHEN 3 THEN left(text, 60) || ' [c2] 10 10 x' ELSE left(text, 60) || ' [c1, c2, c3, c4] 10' END"
+_EDITED = "CASE turn % 5 WHEN 0 THEN before WHEN 1 THEN '' WHEN 2 THEN before || ' 99' WHEN 3 THEN text || ' [c2] 10 10 x' ELSE text || ' [c1, c2, c3, c4] 10' END"
 
 
 @query("conversations", sql=rf"""
-WITH b AS (SELECT conv_id, turn, text, left(text, 60) || ' [c1, c2, c3, c4] [c5] 10' AS before FROM conversations), e AS (SELECT *, {_EDITED} AS after_ FROM b),
+WITH b AS (SELECT conv_id, turn, text, text || ' [c1, c2, c3, c4] [c5] 10' AS before FROM conversations), e AS (SELECT *, {_EDITED} AS after_ FROM b),
 m AS (SELECT *, regexp_extract_all(before, '{_NUMBER}') AS fb, regexp_extract_all(after_, '{_NUMBER}') AS fa, len(list_filter(string_split(regexp_replace(before, '\s+', ' ', 'g'), ' '), lambda w: w <> '')) AS wb,
   len(list_filter(string_split(regexp_replace(after_, '\s+', ' ', 'g'), ' '), lambda w: w <> '')) AS wa, 5 - CASE turn % 5 WHEN 0 THEN 5 WHEN 1 THEN 0 WHEN 2 THEN 5 WHEN 3 THEN 1 ELSE 4 END AS lost FROM e)
 SELECT conv_id, turn, array_to_string(list_filter([CASE WHEN conv_id % 7 = 0 THEN 'title changed' END, CASE WHEN trim(after_) = '' THEN 'left empty' END, CASE WHEN len(list_filter(fa, lambda x: NOT list_contains(fb, x))) > 0 THEN 'figure invented' END, CASE WHEN lost > 1.25 THEN 'tags stripped' END], lambda x: x IS NOT NULL), '; ') AS block,
   array_to_string(list_filter([CASE WHEN lost BETWEEN 1 AND 1.25 THEN 'tags lost' END, CASE WHEN list_sort(fa) <> list_sort(fb) THEN 'figures changed' END, CASE WHEN abs(wa - wb) > 0.1 * wb THEN 'length moved' END], lambda x: x IS NOT NULL), '; ') AS warn FROM m""")
 def tiered_guards(conversations: DataFrame) -> DataFrame:
     """Edits of texts with tags, some left alone, emptied, with a figure too many, without most tags, without one."""
-    head, k = F.left("text", F.lit(60)), F.col("turn") % 5
+    head, k = F.col("text"), F.col("turn") % 5
     before = F.concat(head, F.lit(" [c1, c2, c3, c4] [c5] 10"))
     after = F.when(k == 0, before).when(k == 1, "").when(k == 2, F.concat(before, F.lit(" 99"))).when(k == 3, F.concat(head, F.lit(" [c2] 10 10 x"))).otherwise(F.concat(head, F.lit(" [c1, c2, c3, c4] 10")))
     rows = conversations.select("conv_id", "turn", before.alias("before"), after.alias("after"), F.when(F.col("conv_id") % 7 == 0, "new").otherwise("old").alias("title"))

@@ -7,7 +7,7 @@ from ..functions import text as X
 from .registry import query
 
 #: Texts with tags put in: a range, touching tags, one too wide and one reversed.
-_TAGGED = "left(text, 50) || ' [c' || conv_id || '–c' || (conv_id + turn) || ', 7]. More [c5][ c' || turn || ', c5 ] here [c9-c2] and [c1-c90] .42 [12]'"
+_TAGGED = "text || ' [c' || conv_id || '–c' || (conv_id + turn) || ', 7]. More [c5][ c' || turn || ', c5 ] here [c9-c2] and [c1-c90] .42 [12]'"
 _DASHES = r"\s*[-\x{2010}-\x{2015}]\s*[cC]?\s*"
 _SPELLED = rf"""flatten(list_transform(list_filter(regexp_split_to_array(§, '[,\[\]]'), lambda p: regexp_matches(p, '\d')), lambda p: CASE
   WHEN NOT regexp_matches(p, '\d{_DASHES}\d') THEN [regexp_extract(p, '(\d+)', 1)::BIGINT]
@@ -19,7 +19,7 @@ _BLOCK = rf"\[\s*[cC]\s*\d+(?:{_DASHES}\d+)?(?:\s*,\s*[cC]?\s*\d+(?:{_DASHES}\d+
 
 def _tagged(conversations: DataFrame) -> DataFrame:
     c, t = F.col("conv_id"), F.col("turn")
-    text = F.concat(F.left("text", F.lit(50)), F.lit(" [c"), c, F.lit("–c"), c + t, F.lit(", 7]. More [c5][ c"), t, F.lit(", c5 ] here [c9-c2] and [c1-c90] .42 [12]"))
+    text = F.concat(F.col("text"), F.lit(" [c"), c, F.lit("–c"), c + t, F.lit(", 7]. More [c5][ c"), t, F.lit(", c5 ] here [c9-c2] and [c1-c90] .42 [12]"))
     return conversations.select("conv_id", "turn", text.alias("t"))
 
 
@@ -32,7 +32,7 @@ def tag_references(conversations: DataFrame) -> DataFrame:
 
 
 @query("conversations", sql="""
-SELECT conv_id, turn, left(text, 50) || ' [c' || conv_id || '–c' || (conv_id + turn) || ', 7]. More ' || CASE WHEN turn = 5 THEN '[c5]' ELSE '[c5, c' || turn || ']' END || ' here [c9-c2] and [c1-c90] .42 [12]' AS merged FROM conversations""")
+SELECT conv_id, turn, text || ' [c' || conv_id || '–c' || (conv_id + turn) || ', 7]. More ' || CASE WHEN turn = 5 THEN '[c5]' ELSE '[c5, c' || turn || ']' END || ' here [c9-c2] and [c1-c90] .42 [12]' AS merged FROM conversations""")
 def merged_tags(conversations: DataFrame) -> DataFrame:
     """Touching tags become one, each id once."""
     return _tagged(conversations).select("conv_id", "turn", X.merge_tags(F.col("t")).alias("merged"))
@@ -41,7 +41,7 @@ def merged_tags(conversations: DataFrame) -> DataFrame:
 @query("conversations", sql=f"""
 WITH t AS (SELECT conv_id, turn, {_TAGGED} AS t FROM conversations), b AS (SELECT conv_id, turn, {_SPELLED.replace("§", "regexp_extract(t, '" + _BLOCK + "')")} AS own FROM t),
 k AS (SELECT *, list_filter(own, lambda i: i NOT IN (5, 7, 9, 2)) AS kept, turn NOT IN (5, 7, 9, 2) AS other FROM b)
-SELECT conv_id, turn, trim(regexp_replace(regexp_replace(left(text, 50) || ' ' || CASE WHEN len(kept) > 0 THEN '[' || array_to_string(list_transform(kept, lambda i: 'c' || i), ', ') || ']' ELSE '' END || '. More ' || CASE WHEN other THEN '[c' || turn || ']' ELSE '' END
+SELECT conv_id, turn, trim(regexp_replace(regexp_replace(text || ' ' || CASE WHEN len(kept) > 0 THEN '[' || array_to_string(list_transform(kept, lambda i: 'c' || i), ', ') || ']' ELSE '' END || '. More ' || CASE WHEN other THEN '[c' || turn || ']' ELSE '' END
   || ' here ' || ' and [c1, c90] .42 [12]', '[ \\t]{{2,}}', ' ', 'g'), '\\s+([.,;:])([^0-9]|$)', '\\1\\2', 'g')) AS left_over FROM k JOIN conversations USING (conv_id, turn)""")
 def dropped_tags(conversations: DataFrame) -> DataFrame:
     """Texts without the ids 5, 7, 9 and 2; a full stop before a digit keeps its space."""
@@ -60,21 +60,21 @@ def provenance(conversations: DataFrame) -> DataFrame:
 
 
 @query("conversations", sql=r"""
-WITH s AS (SELECT conv_id, turn, unnest(string_split(regexp_replace(left(text, 200) || ' [c' || turn || ']', '([.!?])\s', '\1␞', 'g'), '␞')) AS s FROM conversations)
+WITH s AS (SELECT conv_id, turn, unnest(string_split(regexp_replace(text || ' [c' || turn || ']', '([.!?])\s', '\1␞', 'g'), '␞')) AS s FROM conversations)
 SELECT conv_id, turn, right(trim(regexp_extract(s, '(?s)^(.*)\[c\d+\]$', 1)), 160) AS claim FROM s WHERE regexp_matches(s, '\[c\d+\]$')""")
 def tag_claims(conversations: DataFrame) -> DataFrame:
     """The sentence before each tag, at most its last 160 characters."""
-    text = F.concat(F.left("text", F.lit(200)), F.lit(" [c"), "turn", F.lit("]"))
+    text = F.concat(F.col("text"), F.lit(" [c"), "turn", F.lit("]"))
     part = conversations.select("conv_id", "turn", F.explode(F.split(F.regexp_replace(text, r"([.!?])\s", f"$1{X.MARK}"), X.MARK)).alias("s")).where(F.col("s").rlike(r"\[c\d+\]$"))
     return part.select("conv_id", "turn", F.right(F.trim(F.regexp_extract("s", r"(?s)^(.*)\[c\d+\]$", 1)), F.lit(160)).alias("claim"))
 
 
-_NUMBERED = "left(text, 40) || ' [' || (turn + 3) || '] and [2, 4] then [' || conv_id || '][3] [' || (turn + 3) || ']'"
+_NUMBERED = "text || ' [' || (turn + 3) || '] and [2, 4] then [' || conv_id || '][3] [' || (turn + 3) || ']'"
 
 
 def _numbered(conversations: DataFrame) -> DataFrame:
     c, t = F.col("conv_id"), F.col("turn")
-    text = F.concat(F.left("text", F.lit(40)), F.lit(" ["), t + 3, F.lit("] and [2, 4] then ["), c, F.lit("][3] ["), t + 3, F.lit("]"))
+    text = F.concat(F.col("text"), F.lit(" ["), t + 3, F.lit("] and [2, 4] then ["), c, F.lit("][3] ["), t + 3, F.lit("]"))
     return conversations.select("conv_id", "turn", text.alias("t"))
 
 
@@ -98,7 +98,7 @@ def first_uses(texts: DataFrame, key: list[str], order: list[str], text: str) ->
 WITH t AS (SELECT conv_id, turn, {_NUMBERED} AS t FROM conversations), i AS (SELECT conv_id, turn, unnest(regexp_extract_all(t, '\[(\d+)\]', 1))::BIGINT AS old, generate_subscripts(regexp_extract_all(t, '\[(\d+)\]', 1), 1) AS pos FROM t),
 f AS (SELECT conv_id, old, min(turn * 1000 + pos) AS at_ FROM i GROUP BY 1, 2), n AS (SELECT conv_id, old, row_number() OVER (PARTITION BY conv_id ORDER BY at_) AS new_ FROM f),
 m AS (SELECT t.conv_id, t.turn, a.new_ AS a, b.new_ AS b, c.new_ AS c FROM t JOIN n a ON a.conv_id = t.conv_id AND a.old = t.turn + 3 JOIN n b ON b.conv_id = t.conv_id AND b.old = t.conv_id JOIN n c ON c.conv_id = t.conv_id AND c.old = 3)
-SELECT conv_id, turn, left(text, 40) || ' [' || a || '] and [2, 4] then [' || b || '][' || c || '] [' || a || ']' AS t FROM m JOIN conversations USING (conv_id, turn)""")
+SELECT conv_id, turn, text || ' [' || a || '] and [2, 4] then [' || b || '][' || c || '] [' || a || ']' AS t FROM m JOIN conversations USING (conv_id, turn)""")
 def renumbered(conversations: DataFrame) -> DataFrame:
     """Citations numbered by first use over a conversation, texts rewritten so; a citation keeps its number in all its places."""
     t = _numbered(conversations)
@@ -118,9 +118,9 @@ def unused_references(conversations: DataFrame) -> DataFrame:
 
 
 @query("conversations", sql=r"""
-SELECT conv_id, turn, md5(CASE WHEN regexp_matches(left(text, 150), '[.!?]') THEN trim(regexp_extract(left(text, 150), '(?s)^(.*[.!?]\s*)', 1)) ELSE left(text, 150) END) AS whole FROM conversations""")
+SELECT conv_id, turn, md5(CASE WHEN regexp_matches(text, '[.!?]') THEN trim(regexp_extract(text, '(?s)^(.*[.!?]\s*)', 1)) ELSE text END) AS whole FROM conversations""")
 def last_whole_sentence(conversations: DataFrame) -> DataFrame:
-    return conversations.select("conv_id", "turn", F.md5(X.whole_sentences(F.left("text", F.lit(150)))).alias("whole"))
+    return conversations.select("conv_id", "turn", F.md5(X.whole_sentences(F.col("text"))).alias("whole"))
 
 
 def limited_words(text, most: int):

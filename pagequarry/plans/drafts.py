@@ -156,10 +156,10 @@ def first_json(text: Column) -> Column:
 
 
 @query("documents", sql=r"""
-SELECT doc_id, CASE WHEN doc_id % 4 <> 3 THEN md5(to_json(struct_pack(id := doc_id, body := ['say "{" \ ]', left(text, 300)]))) END AS json FROM documents""")
+SELECT doc_id, CASE WHEN doc_id % 4 <> 3 THEN md5(to_json(struct_pack(id := doc_id, body := ['say "{" \ ]', text]))) END AS json FROM documents""")
 def json_in_prose(documents: DataFrame) -> DataFrame:
     """What comes back of JSON put into fences, prose, nothing, or cut short."""
-    whole = F.to_json(F.struct(F.col("doc_id").alias("id"), F.array(F.lit('say "{" \\ ]'), F.left("text", F.lit(300))).alias("body")))
+    whole = F.to_json(F.struct(F.col("doc_id").alias("id"), F.array(F.lit('say "{" \\ ]'), F.col("text")).alias("body")))
     kind = F.col("doc_id") % 4
     fenced = F.concat(F.lit('Here [you] are:\n```json\n'), whole, F.lit("\n```\nThat is {all}."))
     noisy = F.when(kind == 0, fenced).when(kind == 1, F.concat(F.lit("Sure: "), whole, F.lit(" and ] more }"))).when(kind == 2, whole).otherwise(F.expr("'x ' || left(text, 5) || ' {\"a\": [1'"))
@@ -181,11 +181,11 @@ def with_anchor(prose: Column, anchor: Column, url: Column) -> Column:
 
 
 @query("conversations", sql=r"""
-WITH t AS (SELECT conv_id, turn, left(text, 60) || ' [big cost study](https://a.example/b) ' AS pre, CASE turn % 3 WHEN 0 THEN 'Big, (cost) study' WHEN 1 THEN 'BIG-cost  study' ELSE 'big cost of study' END AS hit, ' and big cost study ' || left(text, 20) AS post FROM conversations)
+WITH t AS (SELECT conv_id, turn, text || ' [big cost study](https://a.example/b) ' AS pre, CASE turn % 3 WHEN 0 THEN 'Big, (cost) study' WHEN 1 THEN 'BIG-cost  study' ELSE 'big cost of study' END AS hit, ' and big cost study ' || text AS post FROM conversations)
 SELECT conv_id, turn, CASE WHEN turn % 3 < 2 THEN pre || '[' || hit || '](https://c.example/d)' || post ELSE pre || hit || ' and [big cost study](https://c.example/d) ' || substr(post, 21) END AS linked FROM t""")
 def anchors_laid(conversations: DataFrame) -> DataFrame:
     hit = F.when(F.col("turn") % 3 == 0, "Big, (cost) study").when(F.col("turn") % 3 == 1, "BIG-cost  study").otherwise("big cost of study")
-    prose = F.concat(F.left("text", F.lit(60)), F.lit(" [big cost study](https://a.example/b) "), hit, F.lit(" and big cost study "), F.left("text", F.lit(20)))
+    prose = F.concat(F.col("text"), F.lit(" [big cost study](https://a.example/b) "), hit, F.lit(" and big cost study "), F.col("text"))
     return conversations.select("conv_id", "turn", with_anchor(prose, F.lit("big cost study"), F.lit("https://c.example/d")).alias("linked"))
 
 

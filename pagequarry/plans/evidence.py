@@ -124,12 +124,12 @@ def best_overlap(wanted: DataFrame, named: DataFrame) -> DataFrame:
 
 
 @query("documents", "part", sql="""
-WITH d AS (SELECT doc_id AS want, unnest(list_distinct(regexp_extract_all(lower(left(text, 80) || ' ' || CASE doc_id % 3 WHEN 0 THEN 'Small Widget' WHEN 1 THEN 'cold bolt brand' ELSE '' END), '[a-z0-9]+'))) AS word FROM documents),
+WITH d AS (SELECT doc_id AS want, unnest(list_distinct(regexp_extract_all(lower(text || ' ' || CASE doc_id % 3 WHEN 0 THEN 'Small Widget' WHEN 1 THEN 'cold bolt brand' ELSE '' END), '[a-z0-9]+'))) AS word FROM documents),
 n AS (SELECT name, unnest(list_distinct(regexp_extract_all(lower(name), '[a-z0-9]+'))) AS word FROM (SELECT DISTINCT p_name AS name FROM part))
 SELECT want, name, count(*) AS shared FROM d JOIN n USING (word) GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY want ORDER BY count(*) DESC, name) = 1""")
 def fuzzy_lookup(documents: DataFrame, part: DataFrame) -> DataFrame:
     kind = F.col("doc_id") % 3
-    said = F.concat(F.left("text", F.lit(80)), F.lit(" "), F.when(kind == 0, "Small Widget").when(kind == 1, "cold bolt brand").otherwise(""))
+    said = F.concat(F.col("text"), F.lit(" "), F.when(kind == 0, "Small Widget").when(kind == 1, "cold bolt brand").otherwise(""))
     return best_overlap(documents.select(F.col("doc_id").alias("want"), said.alias("text")), part.select(F.col("p_name").alias("name")).distinct())
 
 
@@ -170,12 +170,12 @@ def clause(text: Column) -> Column:
 
 
 @query("conversations", sql=r"""
-WITH c AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN left(text, 60) || '; costs rose by ' || (10 + turn) || ' percent | and ' || left(text, 20) ELSE left(text, 60) END AS t FROM conversations),
+WITH c AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN text || '; costs rose by ' || (10 + turn) || ' percent | and ' || text ELSE text END AS t FROM conversations),
 p AS (SELECT *, string_split(regexp_replace(regexp_replace(t, '([.;:])\s+', '\1␞', 'g'), '\s[–—-]\s|\|', '␞', 'g'), '␞') AS p FROM c)
 SELECT conv_id, turn, trim(coalesce(list_filter(p, lambda x: regexp_matches(x, '\d') AND len(list_filter(string_split(regexp_replace(x, '\s+', ' ', 'g'), ' '), lambda w: w <> '')) >= 3)[1], t)) AS clause FROM p""")
 def number_clauses(conversations: DataFrame) -> DataFrame:
-    head = F.left("text", F.lit(60))
-    made = F.when(F.col("turn") % 2 == 0, F.concat(head, F.lit("; costs rose by "), 10 + F.col("turn"), F.lit(" percent | and "), F.left("text", F.lit(20)))).otherwise(head)
+    head = F.col("text")
+    made = F.when(F.col("turn") % 2 == 0, F.concat(head, F.lit("; costs rose by "), 10 + F.col("turn"), F.lit(" percent | and "), F.col("text"))).otherwise(head)
     return conversations.select("conv_id", "turn", clause(made).alias("clause"))
 
 
@@ -283,14 +283,14 @@ def mapped(df: DataFrame, columns: list[str], **values: Column) -> DataFrame:
 @query("part", "supplier", "conversations", sql="""
 SELECT * FROM (SELECT 'M1' AS Sources, p_type AS fit, CASE WHEN p_size % 9 = 0 THEN ' ' ELSE p_name END AS asset, p_brand AS format, '' AS angle, p_size::VARCHAR AS pages FROM part
 UNION ALL SELECT 'M2', CASE WHEN s_nationkey < 12 THEN 'CORE' ELSE 'SKIP' END, s_name, '', '', '' FROM supplier
-UNION ALL SELECT 'M3', role, CASE WHEN turn = 1 THEN '' ELSE left(text, 30) END, '', trim('[' || conv_id || '] ' || turn), '' FROM conversations) WHERE trim(asset) <> ''""")
+UNION ALL SELECT 'M3', role, CASE WHEN turn = 1 THEN '' ELSE text END, '', trim('[' || conv_id || '] ' || turn), '' FROM conversations) WHERE trim(asset) <> ''""")
 def stacked_ideas(part: DataFrame, supplier: DataFrame, conversations: DataFrame) -> DataFrame:
     """Three sources of ideas in one table, without those that have no asset."""
     c = F.col
     m1 = mapped(part, IDEA, **{"Sources": F.lit("M1"), "Brand fit": c("p_type"), "Asset": F.when(c("p_size") % 9 == 0, " ").otherwise(c("p_name")), "Format": c("p_brand"), "# pages": c("p_size")})
     m2 = mapped(supplier, IDEA, **{"Sources": F.lit("M2"), "Brand fit": F.when(c("s_nationkey") < 12, "CORE").otherwise("SKIP"), "Asset": c("s_name")})
     angle = F.trim(F.concat(F.lit("["), c("conv_id"), F.lit("] "), c("turn")))
-    m3 = mapped(conversations, IDEA, **{"Sources": F.lit("M3"), "Brand fit": c("role"), "Asset": F.when(c("turn") == 1, "").otherwise(F.left("text", F.lit(30))), "Distinct angle": angle})
+    m3 = mapped(conversations, IDEA, **{"Sources": F.lit("M3"), "Brand fit": c("role"), "Asset": F.when(c("turn") == 1, "").otherwise(F.col("text")), "Distinct angle": angle})
     ideas = m1.unionByName(m2).unionByName(m3).where(F.trim("Asset") != "")
     return ideas.select("Sources", F.col("Brand fit").alias("fit"), F.col("Asset").alias("asset"), F.col("Format").alias("format"), F.col("Distinct angle").alias("angle"), F.col("`# pages`").alias("pages"))
 

@@ -217,13 +217,13 @@ def written_sections(conversations: DataFrame) -> DataFrame:
 
 
 @query("conversations", sql=r"""
-WITH o AS (SELECT conv_id, turn, 'noise' || chr(10) || '  Reuse verdict: ★ ' || CASE turn % 4 WHEN 0 THEN 'Reuse as is' WHEN 1 THEN 'partly REUSE it' WHEN 2 THEN 'New' ELSE 'maybe' END || chr(10) || 'Chosen links: https://a.b/' || conv_id || ', x' || chr(10) || 'Why: ' || left(text, 40) AS o FROM conversations)
-SELECT conv_id, turn, CASE turn % 4 WHEN 2 THEN 'New' ELSE 'Reuse' END AS verdict, 'https://a.b/' || conv_id || ', x' AS links, trim(left(text, 40)) AS why
+WITH o AS (SELECT conv_id, turn, 'noise' || chr(10) || '  Reuse verdict: ★ ' || CASE turn % 4 WHEN 0 THEN 'Reuse as is' WHEN 1 THEN 'partly REUSE it' WHEN 2 THEN 'New' ELSE 'maybe' END || chr(10) || 'Chosen links: https://a.b/' || conv_id || ', x' || chr(10) || 'Why: ' || text AS o FROM conversations)
+SELECT conv_id, turn, CASE turn % 4 WHEN 2 THEN 'New' ELSE 'Reuse' END AS verdict, 'https://a.b/' || conv_id || ', x' AS links, trim(text) AS why
 FROM conversations WHERE turn % 4 <> 3""")
 def labelled_lines(conversations: DataFrame) -> DataFrame:
     """Verdict, links and reason out of answers with labelled lines; answers without a known verdict are dropped."""
     said = F.element_at(F.array(*map(F.lit, ["Reuse as is", "partly REUSE it", "New", "maybe"])), (F.col("turn") % 4 + 1).cast("int"))
-    answer = F.concat(F.lit("noise\n  Reuse verdict: ★ "), said, F.lit("\nChosen links: https://a.b/"), "conv_id", F.lit(", x\nWhy: "), F.left("text", F.lit(40)))
+    answer = F.concat(F.lit("noise\n  Reuse verdict: ★ "), said, F.lit("\nChosen links: https://a.b/"), "conv_id", F.lit(", x\nWhy: "), F.col("text"))
     rows = conversations.select("conv_id", "turn", answer.alias("answer"))
     verdict = F.lower(F.regexp_replace(F.regexp_extract("answer", r"(?im)^[ \t]*Reuse verdict:[ \t]*(.+?)[ \t]*$", 1), "^[^A-Za-z]*", ""))
     known = F.filter(F.array(F.lit("Reuse"), F.lit("New")), lambda v: F.contains(verdict, F.lower(v)))

@@ -7,10 +7,10 @@ from ..functions import text as X
 from ..functions import urls as U
 from ..operators.ranking import top_n
 from ..operators.relational import sent
-from .pages import _BARE, _HOST, _NAME, _QUERY, _ROOTED, _TRACKED
+from .pages import _BARE, _HOST, _NAME, _QUERY, _RAISED, _TRACKED
 from .registry import query
 
-_KEY = f"""'https://' || {_HOST} || {_ROOTED} || CASE WHEN len(list_filter({_QUERY}, lambda p: p <> '' AND {_NAME} NOT IN ({_TRACKED}))) > 0
+_KEY = f"""'https://' || {_HOST} || {_RAISED} || CASE WHEN len(list_filter({_QUERY}, lambda p: p <> '' AND {_NAME} NOT IN ({_TRACKED}))) > 0
   THEN '?' || array_to_string(list_filter({_QUERY}, lambda p: p <> '' AND {_NAME} NOT IN ({_TRACKED})), '&') ELSE '' END"""
 
 
@@ -62,7 +62,7 @@ _CODES = ", ".join(f"'{c}'" for c in LOCALES)
 
 
 @query("pages", sql=rf"""
-WITH p AS (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN replace(url, '://', '://De.') ELSE url END AS url FROM pages), s AS (SELECT page_id, split_part({_HOST}, '.', 1) AS sub, len(string_split({_HOST}, '.')) > 2 AS deep, lower(list_filter(string_split({_ROOTED}, '/'), lambda x: x <> '')[1]) AS step FROM p)
+WITH p AS (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN replace(url, '://', '://De.') ELSE url END AS url FROM pages), s AS (SELECT page_id, split_part({_HOST}, '.', 1) AS sub, len(string_split({_HOST}, '.')) > 2 AS deep, lower(list_filter(string_split({_RAISED}, '/'), lambda x: x <> '')[1]) AS step FROM p)
 SELECT page_id, CASE WHEN deep AND sub IN ({_CODES}) THEN sub ELSE step END AS locale FROM s WHERE deep AND sub IN ({_CODES}) OR step IN ({_CODES})""")
 def foreign_pages(pages: DataFrame) -> DataFrame:
     """Pages in another language by their sub-domain or the first step of their path; every fourth URL gets such a sub-domain."""
@@ -133,25 +133,26 @@ def samples_by_size(orders: DataFrame) -> DataFrame:
 
 
 @query("documents", "labels", sql="""
-WITH v AS (SELECT d.doc_id, d.source, CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN quality = 1 THEN 'good' ELSE 'bad' END AS verdict FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
-SELECT source, count(*) FILTER (WHERE verdict = 'good') AS good, count(*) FILTER (WHERE verdict = 'bad') AS bad, count(*) FILTER (WHERE verdict = 'missing') AS missing, array_to_string(list_sort(list(doc_id) FILTER (WHERE verdict = 'bad' AND doc_id < 500)), ' ') AS misses FROM v GROUP BY 1""")
+WITH v AS (SELECT d.doc_id, d.source, CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN quality = 1 THEN 'good' ELSE 'bad' END AS verdict FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+c AS (SELECT source, count(*) FILTER (WHERE verdict = 'good') AS good, count(*) FILTER (WHERE verdict = 'bad') AS bad, count(*) FILTER (WHERE verdict = 'missing') AS missing FROM v GROUP BY 1),
+m AS (SELECT source, doc_id // 1000 AS part, string_agg(doc_id::VARCHAR, ' ' ORDER BY doc_id) AS misses FROM v WHERE verdict = 'bad' GROUP BY 1, 2)
+SELECT c.*, part, misses FROM c LEFT JOIN m ON m.source IS NOT DISTINCT FROM c.source""")
 def verdict_report(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Verdicts of each source counted, and the ids of the early ones that missed."""
-    v = documents.join(labels.select("doc_id", "quality"), "doc_id", "left")
+    """Verdicts of each source counted, and the ids of all that missed, those of a thousand ids to a row; sources without misses once."""
     verdict = F.when(F.col("quality").isNull(), "missing").when(F.col("quality") == 1, "good").otherwise("bad")
-    v = v.withColumn("verdict", verdict)
-    missed = F.array_sort(F.collect_list(F.when((F.col("verdict") == "bad") & (F.col("doc_id") < 500), F.col("doc_id"))))
-    counts = [F.count_if(F.col("verdict") == k).alias(k) for k in ("good", "bad", "missing")]
-    out = v.groupBy("source").agg(*counts, missed.alias("m"))
-    return out.select("source", "good", "bad", "missing", F.when(F.size("m") > 0, F.array_join(F.col("m").cast("array<string>"), " ")).alias("misses"))
+    v = documents.select("doc_id", "source").join(labels.select("doc_id", "quality"), "doc_id", "left").withColumn("verdict", verdict)
+    counts = v.groupBy("source").agg(*[F.count_if(F.col("verdict") == k).alias(k) for k in ("good", "bad", "missing")])
+    missed = v.where("verdict = 'bad'").groupBy(F.col("source").alias("of"), F.expr("doc_id div 1000").alias("part")).agg(F.array_sort(F.collect_list("doc_id")).alias("m"))
+    out = counts.join(missed, F.col("source").eqNullSafe(F.col("of")), "left")
+    return out.select("source", "good", "bad", "missing", "part", F.array_join(F.col("m").cast("array<string>"), " ").alias("misses"))
 
 
 @query("conversations", sql="""
-WITH r AS (SELECT conv_id, turn, left(text, 30) AS t, row_number() OVER (PARTITION BY conv_id ORDER BY length(text) DESC, turn) AS rn FROM conversations WHERE role <> 'system')
+WITH r AS (SELECT conv_id, turn, text AS t, row_number() OVER (PARTITION BY conv_id ORDER BY length(text) DESC, turn) AS rn FROM conversations WHERE role <> 'system')
 SELECT conv_id, string_agg(t, ' || ' ORDER BY rn) AS body, count(*) AS n FROM r WHERE rn <= 15 GROUP BY 1""")
 def joined_top(conversations: DataFrame) -> DataFrame:
     """The fifteen strongest comments of each thread as one text, the strongest first."""
-    rows = conversations.where("role != 'system'").select("conv_id", F.left("text", F.lit(30)).alias("t"), F.length("text").alias("score"), "turn")
+    rows = conversations.where("role != 'system'").select("conv_id", F.col("text").alias("t"), F.length("text").alias("score"), "turn")
     top = top_n(rows, ["conv_id"], 15, F.desc("score"), F.col("turn"))
     return top.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "t"))), lambda x: x["t"]), " || ").alias("body"), F.count("*").alias("n"))
 

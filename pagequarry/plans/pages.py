@@ -11,6 +11,16 @@ _BARE = "regexp_replace(trim(url), '#.*$', '')"
 _HOST = rf"regexp_replace(lower(regexp_extract({_BARE}, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?:]*)', 1)), '^www\.', '')"
 _PATH = f"regexp_replace(regexp_extract({_BARE}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '')"
 _ROOTED = f"CASE WHEN {_PATH} = '' THEN '/' ELSE {_PATH} END"
+_ESCAPE = "'%[0-9A-Fa-f]{2}'"
+
+
+def _escaped(path: str, replace: str) -> str:
+    """SQL of a path with each escape e replaced."""
+    rest, found = f"regexp_split_to_array({path}, {_ESCAPE})", f"list_transform(regexp_extract_all({path}, {_ESCAPE}), lambda e: {replace})"
+    return f"array_to_string(list_transform({rest}, lambda part, i: part || coalesce(({found})[i], '')), '')"
+
+
+_RAISED = _escaped(f"({_ROOTED})", "upper(e)")
 _QUERY = rf"string_split(regexp_extract({_BARE}, '\?(.*)$', 1), '&')"
 _NAME = "regexp_extract(p, '^([^=]*)', 1)"
 _TRACKED = ", ".join(f"'{t}'" for t in U.TRACKING)
@@ -18,12 +28,25 @@ _BEGINS = " OR ".join(f"starts_with(lower(x.k), '{t}')" for t in U.TRACKING_PREF
 LANGS = ["de", "fr", "es"]
 
 
+_DIGITS = "0123456789abcdef", "0123456789ABCDEF"
+_DIGIT = "substr('{}', (1 + page_id // {} % 16)::INT, 1)"
+_ESCAPING = "SELECT page_id, regexp_replace(url, '^([^:]*://[^/?#]*)', '\\1/%' || {} || {} || '%' || {} || {}) AS url FROM pages".format(*(_DIGIT.format(_DIGITS[d], k) for d, k in ((0, 16), (1, 1), (1, 1), (0, 16))))
+
+
+def _escaping():
+    """URLs with two escapes behind their host, told by the page's id, with one digit in small letters and one in capitals."""
+    digit = lambda case, k: F.substr(F.lit(_DIGITS[case]), (1 + F.floor(F.col("page_id") / k) % 16).cast("int"), F.lit(1))
+    put = F.concat(F.lit("$1/%"), digit(0, 16), digit(1, 1), F.lit("%"), digit(1, 1), digit(0, 16))
+    return F.regexp_replace("url", F.lit("^([^:]*://[^/?#]*)"), put)
+
+
 @query("pages", sql=rf"""
-WITH k AS (SELECT page_id, {_HOST} AS h, {_ROOTED} AS p0, list_filter({_QUERY}, lambda p: p <> '' AND {_NAME} NOT IN ({_TRACKED})) AS q FROM pages),
+WITH k AS (SELECT page_id, {_HOST} AS h, {_RAISED} AS p0, list_filter({_QUERY}, lambda p: p <> '' AND {_NAME} NOT IN ({_TRACKED})) AS q FROM ({_ESCAPING})),
 u AS (SELECT *, list_filter(q, lambda p, i: NOT list_contains(list_transform(q[1:i - 1], lambda o: regexp_extract(o, '^([^=]*)', 1)), {_NAME})) AS one FROM k)
 SELECT page_id, 'https://' || h || p0 || CASE WHEN len(one) > 0 THEN '?' || array_to_string(one, '&') ELSE '' END AS match_key FROM u""")
 def url_match_key(pages: DataFrame) -> DataFrame:
-    return pages.select("page_id", U.match_key(F.col("url")).alias("match_key"))
+    """The key of each URL, with two escapes put behind its host, of all 256 and in any letters."""
+    return pages.select("page_id", U.match_key(_escaping()).alias("match_key"))
 
 
 @query("pages", sql=rf"""
@@ -34,12 +57,16 @@ def url_canon(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", U.canon_url(F.col("url")).alias("canon"))
 
 
+_WAY = f"regexp_extract({_BARE}, '^[^:]*://[^/?]*([^?]*)', 1)"
+_SPELLED = "CASE WHEN regexp_matches(chr(('0x' || e[2:3])::INT), '[A-Za-z0-9._~-]') THEN chr(('0x' || e[2:3])::INT) ELSE upper(e) END"
+
+
 @query("pages", sql=rf"""
 SELECT page_id, lower(regexp_extract({_BARE}, '^([^:]*)', 1)) || '://' || lower(regexp_extract({_BARE}, '^[^:]*://([^/?]*)', 1))
-  || CASE WHEN regexp_extract({_BARE}, '^[^:]*://[^/?]*([^?]*)', 1) = '' THEN '/' ELSE regexp_extract({_BARE}, '^[^:]*://[^/?]*([^?]*)', 1) END || regexp_extract({_BARE}, '(\?.*)$', 1) AS stored FROM pages""")
+  || CASE WHEN {_WAY} = '' THEN '/' ELSE {_escaped(_WAY, _SPELLED)} END || regexp_extract({_BARE}, '(\?.*)$', 1) AS stored FROM ({_ESCAPING})""")
 def url_stored(pages: DataFrame) -> DataFrame:
-    """The form that is kept; the SQL covers what these URLs need of it, a test the rest."""
-    return pages.select("page_id", U.stored(F.col("url")).alias("stored"))
+    """The form that is kept, of URLs with two escapes behind their host; the SQL leaves out dot segments and ports, which a test has."""
+    return pages.select("page_id", U.stored(_escaping()).alias("stored"))
 
 
 @query("pages", sql=rf"""

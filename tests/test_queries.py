@@ -221,3 +221,16 @@ def test_topic_pages(spark):
     words = spark.createDataFrame([(1, 0, "skills testing"), (1, 1, "generic"), (2, 0, "of x"), (3, 0, None)], "idea long, pos long, keyword string")
     got = {r.idea: r.cell for r in topic_pages(words, pages).collect()}
     assert set(got) == {1} and got[1].startswith("Skill tests — http://h/0; Skill tests — http://h/1;") and got[1].endswith("; (+5 more of 35)")
+
+
+def test_all_escapes(spark):
+    """Each of the 256 escapes, in all four spellings, gives one key and one stored form."""
+    spell = lambda a, b: {f"{x}{y}" for x in (a.lower(), a.upper()) for y in (b.lower(), b.upper())}
+    rows = [(f"{k:02X}", f"https://ex.com/a%{e}b%{e}") for k in range(256) for e in spell(*f"{k:02x}")] + [("2541", "https://ex.com/%2541"), ("%", "https://ex.com/%%341%zz")]
+    df = spark.createDataFrame(rows, "code string, url string").select("code", U.match_key(F.col("url")).alias("key"), U.stored(F.col("url")).alias("stored"))
+    for r in df.collect():
+        if r.code in ("2541", "%"):  # what an escape leaves makes none
+            assert r.stored == {"2541": "https://ex.com/%2541", "%": "https://ex.com/%41%zz"}[r.code]
+            continue
+        kept = chr(int(r.code, 16)) if re.match(r"[A-Za-z0-9._~-]\Z", chr(int(r.code, 16))) else f"%{r.code}"
+        assert r.key == f"https://ex.com/a%{r.code}b%{r.code}" and r.stored == f"https://ex.com/a{kept}b{kept}"
