@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,9 +40,9 @@ def bounds_of(whole: DataFrame) -> DataFrame:
 
     def partial(batches):
         for batch in batches:
-            sizes = pa.compute.list_value_length(batch.column(0))
-            for dim in pa.compute.unique(sizes).to_pylist():
-                v = np.asarray(batch.filter(pa.compute.equal(sizes, dim)).column(0).flatten()).reshape(-1, dim)
+            sizes = pc.list_value_length(batch.column(0))
+            for dim in pc.unique(sizes).to_pylist():
+                v = np.asarray(batch.filter(pc.equal(sizes, dim)).column(0).flatten()).reshape(-1, dim)
                 yield pa.record_batch([pa.array([dim], pa.int32()), pa.array([v.min(0)], pa.list_(pa.int64())), pa.array([v.max(0)], pa.list_(pa.int64()))], ["dim", "lows", "highs"])
 
     parts = whole.select("v").mapInArrow(partial, "dim int, lows array<long>, highs array<long>")
@@ -55,9 +56,9 @@ def file_of(whole: DataFrame, rows: int = 4096) -> DataFrame:
 
     def pack(batches):
         for batch in batches:
-            sizes = pa.compute.list_value_length(batch.column("v"))
-            for dim in pa.compute.unique(sizes).to_pylist():
-                part = batch.filter(pa.compute.equal(sizes, dim))
+            sizes = pc.list_value_length(batch.column("v"))
+            for dim in pc.unique(sizes).to_pylist():
+                part = batch.filter(pc.equal(sizes, dim))
                 for at in range(0, part.num_rows, rows):
                     own = part.slice(at, rows)
                     v = np.asarray(own.column("v").flatten()).reshape(-1, dim)
@@ -163,9 +164,9 @@ def _anchor_blocks(anchors: DataFrame, at_once: int) -> DataFrame:
 
     def pack(batches):
         for batch in batches:
-            sizes = pa.compute.list_value_length(batch.column("v"))
-            for dim in pa.compute.unique(sizes).to_pylist():
-                part = batch.filter(pa.compute.equal(sizes, dim))
+            sizes = pc.list_value_length(batch.column("v"))
+            for dim in pc.unique(sizes).to_pylist():
+                part = batch.filter(pc.equal(sizes, dim))
                 for lo in range(0, part.num_rows, at_once):
                     own = part.slice(lo, at_once)
                     told = [(k, p["vec_id"], p["score"]) for k, ps in enumerate(own.column("told").to_pylist()) for p in ps or ()]

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -161,7 +162,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
                 X.release()
 
         for batch in batches:
-            ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0)))
+            ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0)))
             lo = 0
             while lo < batch.num_rows:
                 before = ends[lo - 1] if lo else 0

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import word_count
+from ..operators.ranking import medians
 from .registry import query
 
 
@@ -16,9 +17,10 @@ def format_summary(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     q = F.col("l_quantity")
     out = rows.groupBy(F.col("p_brand").alias("format")).agg(
         F.count("*").alias("pages"), F.sum(q).cast("long").alias("links"), F.bround(F.avg(q), 1).alias("avg_links"), F.max(q).alias("max_links"), F.count_distinct("l_suppkey").alias("competitors"),
-        F.median(F.when(F.col("l_discount") > 0.05, q)).alias("median_discounted"), F.date_format(F.min("l_shipdate"), "yyyy").alias("first_year"),
+        F.date_format(F.min("l_shipdate"), "yyyy").alias("first_year"),
     )
-    return out.orderBy(F.desc("links"), "format")
+    typical = medians(rows.where("l_discount > 0.05"), ["p_brand"], q, "median_discounted")
+    return out.join(typical, F.col("format").eqNullSafe(F.col("p_brand")), "left").drop("p_brand").orderBy(F.desc("links"), "format")
 
 
 @query("events", sql="""
@@ -47,10 +49,11 @@ def pool_ideas(lineitem: DataFrame) -> DataFrame:
     w = Window.partitionBy("l_suppkey").orderBy(F.desc("count"), "l_returnflag")
     mode = votes.withColumn("k", F.row_number().over(w)).where("k = 1").select("l_suppkey", F.col("l_returnflag").alias("fit"))
     pooled = lineitem.groupBy("l_suppkey").agg(
-        F.sum("l_quantity").cast("long").alias("strength"), F.count_distinct("l_partkey").alias("hosts"), F.median(F.when(F.col("l_tax") > 0, F.col("l_quantity"))).alias("typical"),
+        F.sum("l_quantity").cast("long").alias("strength"), F.count_distinct("l_partkey").alias("hosts"),
         F.array_join(F.array_sort(F.collect_set("l_linestatus")), " ; ").alias("sources"),
     )
-    return pooled.join(mode, "l_suppkey").withColumnRenamed("l_suppkey", "idea")
+    typical = medians(lineitem.where("l_tax > 0"), ["l_suppkey"], F.col("l_quantity"), "typical")
+    return pooled.join(mode, "l_suppkey").join(typical, "l_suppkey", "left").withColumnRenamed("l_suppkey", "idea")
 
 
 @query("orders", sql="""
@@ -81,7 +84,8 @@ WITH m AS (SELECT lang, median(n_chars) AS typical, count(*) AS n FROM documents
 SELECT doc_id, d.lang, n_chars, typical, n_chars < 0.25 * typical AND n >= 8 AS thin FROM documents d JOIN m ON d.lang = m.lang""")
 def median_flag(documents: DataFrame) -> DataFrame:
     """Texts shorter than a quarter of the median of their group, groups of at least 8."""
-    per = documents.groupBy("lang").agg(F.median("n_chars").alias("typical"), F.count("*").alias("n"))
+    typical = medians(documents, ["lang"], F.col("n_chars"), "typical")
+    per = documents.groupBy("lang").agg(F.count("*").alias("n")).join(typical, "lang", "left")
     return documents.join(per, "lang").select("doc_id", "lang", "n_chars", "typical", ((F.col("n_chars") < 0.25 * F.col("typical")) & (F.col("n") >= 8)).alias("thin"))
 
 
