@@ -58,3 +58,45 @@ def share(value: Column, keys: list[str]) -> Column:
     w = Window.partitionBy(*keys)
     total = F.sum(value).over(w)
     return F.when(total > 0, value / total).otherwise(1 / F.count("*").over(w))
+
+
+def running(df: DataFrame, keys: list[str], order: list[str], **what: tuple[str, Column]) -> DataFrame:
+    """df with running sums or maxima, ("sum" or "max", column) by name, over each key's rows in this order, each row's own among them.
+
+    As `numbered`: rows are dealt by ranges of keys and order and written; what is carried from range to range is one
+    row for each of them and key, so neither all rows nor a key with most of them is one task. The order should
+    tell rows of a key apart; those that it doesn't are in any order. Nulls add nothing.
+    """
+    spark, op = df.sparkSession, {"sum": F.sum, "max": F.max}
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    held = written(df.withColumns({f"_v_{n}": c for n, (_, c) in what.items()}).repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()))
+    totals = held.groupBy("_part", *keys).agg(*[op[o](f"_v_{n}").alias(f"_t_{n}") for n, (o, _) in what.items()])
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(F.col("_part").alias("_at"), *[F.col(k).alias(f"_k_{k}") for k in keys], *[op[o](f"_t_{n}").over(before).alias(f"_b_{n}") for n, (o, _) in what.items()])
+    same = F.col("_part") == F.col("_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    inside = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+
+    own = held.withColumns({f"_i_{n}": op[o](f"_v_{n}").over(inside) for n, (o, _) in what.items()})
+    return own.join(carried, same).select(*df.columns, *[(F.greatest(f"_i_{n}", f"_b_{n}") if o == "max" else F.coalesce(f"_i_{n}", F.lit(0)) + F.coalesce(f"_b_{n}", F.lit(0))).alias(n) for n, (o, _) in what.items()])
+
+
+def medians(df: DataFrame, keys: list[str], value: Column, name: str) -> DataFrame:
+    """(keys, name): the exact median of each key's values, nulls left out; keys without values are missing.
+
+    Equal values are counted before the shuffle; the counts are summed up in order over ranges of values, and the
+    one or two values in the middle are those whose sums reach over it. So a group of all rows is no single task, as
+    it is for an aggregate that holds a group's values.
+    """
+    counts = df.select(*keys, value.alias("_x")).where("_x is not null").groupBy(*keys, "_x").agg(F.count("*").alias("_n"))
+    summed = running(counts, keys, ["_x"], _upto=("sum", F.col("_n")))
+    sizes = summed.groupBy(*keys).agg(F.max("_upto").alias("_all"))
+    for k in keys:
+        sizes = sizes.withColumnRenamed(k, f"_s_{k}")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+    reaches = lambda rank: (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
+    middle = summed.join(sizes if keys else F.broadcast(sizes), same).where(reaches(F.expr("(_all - 1) div 2")) | reaches(F.expr("_all div 2")))
+    return middle.groupBy(*keys).agg(((F.min("_x") + F.max("_x")) / 2).cast("double").alias(name))
