@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import word_count
 from ..operators.ranking import medians
+from ..session import written
 from .registry import query
 
 
@@ -164,6 +165,53 @@ def posting_list(conversations: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.array_join(F.array_sort(F.collect_set("conv_id")).cast("array<string>"), " ").alias("posts"))
 
 
+_WORDS = "SELECT DISTINCT conv_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}]+')) AS word FROM conversations"
+
+
+def posting_blocks_of(found: DataFrame, size: int = 1024) -> DataFrame:
+    """(word, block, first, n, gaps) of (word, id): the ids of a word in order, those of each run of `size` ids one row, as steps from one to the next.
+
+    A row is bounded by the size of a run, however many ids a word has; equal pairs are one before the shuffle.
+    """
+    held = found.where("id is not null").distinct().groupBy("word", F.floor(F.col("id") / size).alias("block")).agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    steps = F.zip_with(F.slice("ids", 2, size), F.slice("ids", F.lit(1), F.size("ids") - 1), lambda b, a: b - a)
+    return held.select("word", "block", F.get("ids", F.lit(0)).alias("first"), F.size("ids").cast("long").alias("n"), steps.alias("gaps"))
+
+
+def ids_of_block(first: Column, gaps: Column) -> Column:
+    return F.aggregate(gaps, F.array(first), lambda got, step: F.concat(got, F.array(F.element_at(got, -1) + step)))
+
+
+def common_ids(blocks: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, n): in how many ids both words of a pair are; blocks of the same run meet, and only those."""
+    read = blocks.select("word", "block", ids_of_block(F.col("first"), F.col("gaps")).alias("ids"))
+    one, two = read.toDF("a", "block", "ids_a"), read.toDF("b", "block", "ids_b")
+    met = pairs.join(one, "a").join(two, ["b", "block"])
+    return met.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("ids_a", "ids_b"))).cast("long").alias("n")).where("n > 0")
+
+
+def _said(conversations: DataFrame) -> DataFrame:
+    return conversations.select(F.col("conv_id").alias("id"), F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))).alias("word"))
+
+
+@query("conversations", sql=f"""
+WITH w AS ({_WORDS}), g AS (SELECT word, conv_id, conv_id // 64 AS block, conv_id - lag(conv_id) OVER (PARTITION BY word, conv_id // 64 ORDER BY conv_id) AS gap FROM w)
+SELECT word, block, min(conv_id) AS "first", count(*) AS n, coalesce(string_agg(gap::VARCHAR, ' ' ORDER BY conv_id) FILTER (WHERE gap IS NOT NULL), '') AS gaps FROM g GROUP BY 1, 2""")
+def posting_blocks(conversations: DataFrame) -> DataFrame:
+    """The conversations of each word in blocks, one for each 64 ids, as the first and the steps to the next."""
+    return posting_blocks_of(_said(conversations), 64).withColumn("gaps", F.array_join(F.col("gaps").cast("array<string>"), " "))
+
+
+@query("conversations", sql=f"""
+WITH w AS ({_WORDS}), t AS (SELECT word FROM w GROUP BY 1 ORDER BY count(*) DESC, word LIMIT 12)
+SELECT x.word AS a, y.word AS b, count(*) AS n FROM w x JOIN w y ON x.conv_id = y.conv_id AND x.word < y.word WHERE x.word IN (FROM t) AND y.word IN (FROM t) GROUP BY 1, 2""")
+def posting_intersections(conversations: DataFrame) -> DataFrame:
+    """In how many conversations both of any two of the twelve commonest words are, by meeting their blocks."""
+    blocks = written(posting_blocks_of(_said(conversations), 64))
+    top = blocks.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(12).select(F.col("word").alias("a"))
+    return common_ids(blocks, top.join(top.select(F.col("a").alias("b")), F.col("a") < F.col("b")))
+
+
 @query("conversations")
 def posting_list_all(conversations: DataFrame) -> DataFrame:
     """The same as posting_list; tested against Python."""

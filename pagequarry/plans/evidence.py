@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import urls as U
+from ..operators.patterns import containing, near_domains
 from ..operators.ranking import numbered
 from ..operators.relational import sent
 from ..operators.similarity import cosine_top_k
+from ..session import written
 from .registry import query
 from .search import trigrams
 
@@ -83,8 +85,13 @@ def card_sources(benchmark: DataFrame, documents: DataFrame) -> DataFrame:
     """For each card the snippet that shares most runs of three words, if it shares three at least and one of them holds a figure."""
     card = F.concat("text", F.lit(" in "), 1990 + F.col("item_id"), F.lit(" about "), 10 + F.col("item_id") % 80, F.lit(" percent"))
     added = F.concat("text", F.lit(" in "), 1990 + F.col("doc_id") % 60, F.lit(" about "), 10 + F.col("doc_id") % 80, F.lit(" percent"))
-    cards = trigrams(benchmark.select("item_id", card.alias("text")), "item_id")
-    snippets = trigrams(documents.select("doc_id", F.when(F.col("doc_id") % 3 == 0, added).otherwise(F.col("text")).alias("text")), "doc_id")
+    snippets = documents.select("doc_id", F.when(F.col("doc_id") % 3 == 0, added).otherwise(F.col("text")).alias("text"))
+    return by_runs(benchmark.select("item_id", card.alias("text")), snippets)
+
+
+def by_runs(cards: DataFrame, texts: DataFrame) -> DataFrame:
+    """(item_id, doc_id, shared): for each card the text that shares most runs of three words, the first on a tie, if three and a figure in one of them."""
+    cards, snippets = trigrams(cards, "item_id"), trigrams(texts, "doc_id")
     shared = snippets.join(sent(cards.distinct()), "g").distinct().withColumn("figure", F.exists(F.split("g", " "), numeric))
     best = shared.groupBy("item_id", "doc_id").agg(F.count("*").alias("shared"), F.bool_or("figure").alias("figure"))
     top = best.groupBy("item_id").agg(F.max(F.struct("shared", -F.col("doc_id"), "doc_id", "figure")).alias("b")).select("item_id", "b.doc_id", "b.shared", "b.figure")
@@ -100,20 +107,37 @@ def number_windows(text: Column, pad: int = 16) -> Column:
     return F.array_distinct(F.filter(cut, lambda w: F.size(F.filter(F.split(w, " "), lambda t: t.rlike("^[a-z]+$"))) >= 2))
 
 
-@query("benchmark", "documents", sql=f"""
-WITH c AS (SELECT item_id, {_NORM.format("'total cost was ' || (20 + item_id) || ' euro per month'")} AS n FROM benchmark),
-s AS (SELECT doc_id, {_NORM.format("CASE WHEN doc_id % 9 = 0 THEN left(text, 30) || ': Total cost was ' || (20 + doc_id % 97) || ' Euro per month.' ELSE text END")} AS n FROM documents)
-SELECT item_id, min(doc_id) AS doc_id FROM c JOIN s ON contains(s.n, trim(substr(c.n, 1, 33))) GROUP BY 1""")
+_CLAIM = "CASE WHEN item_id % 2 = 0 THEN 'total cost was ' || (20 + item_id) || ' euro per month' ELSE '| Cost was | ' || (20 + item_id) || ' euro' END"
+_TOLD = "CASE WHEN doc_id % 9 = 0 THEN text || ': Total cost was ' || (20 + doc_id % 97) || ' Euro per month.' ELSE text END"
+_AT = r"coalesce(list_sum(list_transform(regexp_split_to_array(n, '\d+%?')[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(regexp_extract_all(n, '\d+%?')[1:i - 1], lambda x: length(x))), 0)"
+
+
+@query("benchmark", "documents", sql=rf"""
+WITH c AS (SELECT item_id, {_CLAIM} AS t FROM benchmark), s AS (SELECT doc_id, {_TOLD} AS t FROM documents), a AS ({_GRAMS.format("item_id", "c", _NORM.format("t"))}), b AS ({_GRAMS.format("doc_id", "s", _NORM.format("t"))}),
+m AS (SELECT item_id, doc_id, count(*) AS shared, bool_or(len(list_filter(string_split(a.g, ' '), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g')) >= 2)) > 0) AS figure FROM a JOIN b ON a.g = b.g GROUP BY 1, 2),
+one AS (SELECT item_id, doc_id FROM m QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY shared DESC, doc_id) = 1 AND shared >= 3 AND figure),
+n AS (SELECT item_id, {_NORM.format("t")} AS n FROM c ANTI JOIN one USING (item_id)), i AS (SELECT item_id, n, unnest(range(1, len(regexp_extract_all(n, '\d+%?')) + 1)) AS i FROM n),
+p AS (SELECT item_id, n, i, ({_AT})::BIGINT AS b, length(regexp_extract_all(n, '\d+%?')[i]) AS k FROM i),
+w AS (SELECT item_id, i, trim(substr(n, greatest(b - 16, 0) + 1, least(b + k + 16, length(n)) - greatest(b - 16, 0))) AS w FROM p),
+f AS (SELECT * FROM w WHERE len(list_filter(string_split(w, ' '), lambda t: regexp_full_match(t, '[a-z]+'))) >= 2),
+two AS (SELECT item_id, doc_id, w FROM f JOIN (SELECT doc_id, {_NORM.format("t")} AS n FROM s) t ON contains(t.n, w) QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY doc_id, i) = 1)
+SELECT item_id, doc_id, NULL AS evidence FROM one UNION ALL SELECT * FROM two""")
 def number_window_sources(benchmark: DataFrame, documents: DataFrame) -> DataFrame:
-    """For each short claim the first text that holds a number of it with 16 characters on both sides.
+    """For each claim a text that proves it: the one that shares most runs of three words, a figure among them, or else a surrounding of a number.
 
-    The claims are a stated set asked of all texts: each text is gone through once for all windows.
+    Only claims that no text matched by its runs are looked for again: the first text that holds a number of
+    the claim with 16 characters on both sides, and the first such surrounding in it, is their source and evidence.
     """
-    claims = benchmark.select("item_id", X.normal_number(F.concat(F.lit("total cost was "), 20 + F.col("item_id"), F.lit(" euro per month"))).alias("n"))
-    windows = claims.select("item_id", F.explode(number_windows(F.trim("n"))).alias("w"))
-    added = F.concat(F.left("text", F.lit(30)), F.lit(": Total cost was "), 20 + F.col("doc_id") % 97, F.lit(" Euro per month."))
-    texts = documents.select("doc_id", F.trim(X.normal_number(F.when(F.col("doc_id") % 9 == 0, added).otherwise(F.col("text")))).alias("n"))
-    return texts.join(sent(windows), F.contains("n", F.col("w"))).groupBy("item_id").agg(F.min("doc_id").alias("doc_id"))
+    count = 20 + F.col("item_id")
+    claims = benchmark.select("item_id", F.when(F.col("item_id") % 2 == 0, F.concat(F.lit("total cost was "), count, F.lit(" euro per month"))).otherwise(F.concat(F.lit("| Cost was | "), count, F.lit(" euro"))).alias("text"))
+    added = F.concat("text", F.lit(": Total cost was "), 20 + F.col("doc_id") % 97, F.lit(" Euro per month."))
+    texts = documents.select("doc_id", F.when(F.col("doc_id") % 9 == 0, added).otherwise(F.col("text")).alias("text"))
+    matched = written(by_runs(claims, texts).select("item_id", "doc_id"))
+    left = claims.join(matched, "item_id", "left_anti").select("item_id", F.posexplode(number_windows(F.trim(X.normal_number(F.col("text"))))).alias("i", "w"))
+    left = written(left)
+    met = containing(texts.select("doc_id", X.normal_number(F.col("text")).alias("n")), left, "doc_id", "n", "w").join(left, "w")
+    first = met.groupBy("item_id").agg(F.min_by(F.struct("doc_id", "w"), F.struct("doc_id", "i")).alias("b")).select("item_id", "b.doc_id", F.col("b.w").alias("evidence"))
+    return matched.withColumn("evidence", F.lit(None).cast("string")).unionByName(first)
 
 
 def best_overlap(wanted: DataFrame, named: DataFrame) -> DataFrame:
@@ -193,11 +217,14 @@ def clean_queries(part: DataFrame) -> DataFrame:
 
 
 @query("pages", sql=r"""
-SELECT page_id FROM pages WHERE NOT list_has_any([true], list_transform(['spam', 'ththth', '.net'], lambda d: contains(lower(regexp_extract(url, '^[^:]*://([^/?#]*)', 1)), d)))""")
+WITH p AS (SELECT page_id, lower(regexp_extract(url, '^[^:]*://([^/?#]*)', 1)) AS place FROM pages), d AS (SELECT DISTINCT regexp_extract(place, '([^.]+)\.example\.', 1) AS word FROM p WHERE page_id % 25 = 0)
+SELECT page_id FROM p WHERE NOT EXISTS (SELECT 1 FROM d WHERE word <> '' AND contains(place, word))""")
 def denied_hosts(pages: DataFrame) -> DataFrame:
-    """Pages whose host holds none of the words of a list."""
-    place = F.lower(F.regexp_extract("url", "^[^:]*://([^/?#]*)", 1))
-    return pages.where(~F.exists(F.array(*map(F.lit, ["spam", "ththth", ".net"])), lambda d: F.contains(place, d))).select("page_id")
+    """Pages whose host holds none of the words of a list, which is a table: names of the sites of every 25th page."""
+    placed = pages.select("page_id", F.lower(F.regexp_extract("url", "^[^:]*://([^/?#]*)", 1)).alias("place"))
+    words = placed.where("page_id % 25 = 0").select(F.regexp_extract("place", r"([^.]+)\.example\.", 1).alias("word"))
+    hosts = placed.select("place", F.col("place").alias("text")).distinct()
+    return placed.join(containing(hosts, words, "place", "text", "word"), "place", "left_anti").select("page_id")
 
 
 @query("events", sql="SELECT event_id, event_type AS intent FROM events WHERE event_type IN ('purchase', 'signup')")
@@ -264,8 +291,7 @@ def domain_repair(pages: DataFrame) -> DataFrame:
     """For each dead domain the first live one that is plainly its own; the dead ones are the stated set that is asked."""
     live = pages.select(U.host(F.col("url")).alias("live")).distinct()
     dead = live.where(F.length("live") % 3 == 0).select(F.regexp_replace("live", r"\.(com|net|org)$", "").alias("dead")).distinct()
-    met = live.join(sent(dead), (F.col("live") != F.col("dead")) & U.near_domain(F.col("dead"), F.col("live")))
-    return met.groupBy("dead").agg(F.min("live").alias("live"))
+    return near_domains(dead, live)
 
 
 #: The columns of an idea.
