@@ -100,3 +100,19 @@ def medians(df: DataFrame, keys: list[str], value: Column, name: str) -> DataFra
     reaches = lambda rank: (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
     middle = summed.join(sizes if keys else F.broadcast(sizes), same).where(reaches(F.expr("(_all - 1) div 2")) | reaches(F.expr("_all div 2")))
     return middle.groupBy(*keys).agg(((F.min("_x") + F.max("_x")) / 2).cast("double").alias(name))
+
+
+def schedule(requests: DataFrame, host: str, order: list[str], arrival: Column, blocked: Column, first: int = 400, most: int = 8000) -> DataFrame:
+    """requests with `starts`: when each may start, in the unit of arrival, if a host is asked one request at a time.
+
+    A request starts when it arrives or, if that is later, the host's delay after the start of the one before. The delay
+    is `first`, and each answer that is a block doubles it for good, up to `most`. With the delays summed up
+    before each request, a start is that sum and the greatest of all arrivals so far less their own sums: running sums and
+    a running maximum, so a host with most of the requests is no single task.
+    """
+    doubled = F.least(F.lit(most).cast("long"), F.lit(first) * F.pow(F.lit(2.0), F.least(F.col("_b") - F.col("_block"), F.lit(30))).cast("long"))
+    told = requests.withColumn("_block", F.coalesce(blocked.cast("long"), F.lit(0))).withColumn("_arrival", arrival.cast("long"))
+    delayed = running(told, [host], order, _b=("sum", F.col("_block"))).withColumn("_delay", doubled)
+    summed = running(delayed, [host], order, _s=("sum", F.col("_delay"))).withColumn("_before", F.col("_s") - F.col("_delay"))
+    late = running(summed, [host], order, _m=("max", F.col("_arrival") - F.col("_before")))
+    return late.select(*requests.columns, (F.col("_m") + F.col("_before")).alias("starts"))

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators.ranking import share
+from ..operators.ranking import schedule, share
 from .registry import query
 
 _NUMBER = r"\d[\d,]*\.?\d*%?"
@@ -166,6 +166,17 @@ def paced_requests(events: DataFrame) -> DataFrame:
     return rows.select("event_id", F.least(F.lit(8.0), 0.4 * F.pow(F.lit(2.0), blocks)).alias("delay"))
 
 
+@query("events", sql="""
+WITH e AS (SELECT event_id, user_id, ts, epoch_ms(ts) // 20000 AS arrival, (event_type = 'error')::INT AS b FROM events),
+d AS (SELECT *, least(8000, 400 * 2 ** least(sum(b) OVER w - b, 30))::BIGINT AS delay FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, (sum(delay) OVER w - delay)::BIGINT AS before FROM d WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT event_id, arrival, (before + max(arrival - before) OVER (PARTITION BY user_id ORDER BY ts, event_id))::BIGINT AS starts FROM s""")
+def request_schedule(events: DataFrame) -> DataFrame:
+    """When each request may start, its host asked one at a time: 0.4 s apart, doubled for good at each block, 8 s at most; in milliseconds."""
+    asked = events.select("event_id", "user_id", "ts", "event_type", F.floor(F.unix_millis(F.col("ts").cast("timestamp")) / 20000).alias("arrival"))
+    return schedule(asked, "user_id", ["ts", "event_id"], F.col("arrival"), F.col("event_type") == "error").select("event_id", "arrival", "starts")
+
+
 @query("events", sql="""
 SELECT user_id AS key, arg_max(value, (ts, event_id)) AS value, max(ts) AS stored FROM events GROUP BY 1""")
 def latest_by_key(events: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..sources.sitemaps import sitemap_kind, walk
 from .registry import query
 
 _HEAD = "regexp_extract(html, '(?is)<head[^>]*>(.*?)</head>', 1)"
@@ -123,20 +124,6 @@ def language_keys(pages: DataFrame) -> DataFrame:
     return pages.groupBy(language_key(told, F.col("url")).alias("lang")).agg(F.count("*").alias("pages"))
 
 
-def sitemap_kind(body: Column) -> Column:
-    """index, urlset, txt, html or bad, by what the document begins with."""
-    head = F.lower(F.left(F.ltrim(body, F.lit(" \t\r\n")), F.lit(2048)))
-    root = F.regexp_extract(F.regexp_replace(head, r"(?s)^(\s*<[?!][^>]*>\s*)+", ""), r"^\s*<(?:[\w-]+:)?([\w-]+)", 1)
-    first = F.slice(F.filter(F.transform(F.split(body, "\n"), lambda x: F.trim(x, F.lit(" \t\r"))), lambda x: x != ""), 1, 20)
-    lines = (F.size(first) > 0) & F.forall(first, lambda x: x.rlike("^https?://"))
-    unsafe = F.contains(head, F.lit("<!entity")) | (F.contains(head, F.lit("<!doctype")) & ~F.contains(head, F.lit("<!doctype html")))
-    return (
-        F.when(~F.startswith(head, F.lit("<")), F.when(lines, "txt").otherwise("bad"))
-        .when(unsafe, "bad").when(root == "sitemapindex", "index").when(root == "urlset", "urlset")
-        .when(F.contains(head, F.lit("<html")) | F.contains(head, F.lit("<!doctype html")), "html").otherwise("bad")
-    )
-
-
 @query("pages", sql="""
 SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'index' WHEN 1 THEN 'urlset' WHEN 2 THEN 'txt' WHEN 3 THEN 'bad' WHEN 4 THEN 'bad' ELSE 'html' END AS kind FROM pages""")
 def sitemap_kinds(pages: DataFrame) -> DataFrame:
@@ -153,6 +140,42 @@ def sitemap_kinds(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", sitemap_kind(body).alias("kind"))
 
 
+_NESTED = """
+WITH RECURSIVE n AS (SELECT page_id AS k, url AS page, 'https://ex.com/sm/' || page_id || '.xml' AS sm FROM pages),
+e AS (SELECT k AS src, unnest(CASE WHEN k % 10 <= 4 THEN [k + 1, k + 7, k - k % 50] WHEN k % 10 <= 6 THEN [k + 3] ELSE [] END) AS dst FROM n),
+r AS (SELECT k, 0 AS depth FROM n WHERE k % 50 = 0 UNION SELECT dst, depth + 1 FROM r JOIN e ON src = k WHERE depth < {}), d AS (SELECT k, min(depth) AS depth FROM r GROUP BY 1)"""
+
+
+@query("pages", sql=f"""
+{_NESTED.format(6)} SELECT 'https://ex.com/sm/' || d.k || '.xml' AS sitemap, depth, CASE WHEN depth > 5 THEN 'too deep' WHEN n.k IS NULL THEN 'not fetched' WHEN d.k % 10 <= 4 THEN 'index' WHEN d.k % 10 <= 6 THEN 'urlset' WHEN d.k % 10 = 7 THEN 'txt' WHEN d.k % 10 = 8 THEN 'html' ELSE 'HTTP 404' END AS outcome
+FROM d LEFT JOIN n USING (k)""")
+def sitemap_visits(pages: DataFrame) -> DataFrame:
+    """Every sitemap that those declared lead to, by the fewest steps, and what it turned out to be."""
+    return walk(*_nested_sitemaps(pages))[0]
+
+
+@query("pages", sql=f"""
+{_NESTED.format(5)}, u AS (SELECT sm, depth, unnest(CASE WHEN k % 10 BETWEEN 5 AND 6 THEN [struct_pack(loc := page, lastmod := '2024-01-0' || (1 + k % 9))] WHEN k % 10 = 7 THEN [struct_pack(loc := page, lastmod := ''), struct_pack(loc := 'https://ex.com/p/' || k, lastmod := '')] ELSE [] END) AS x FROM d JOIN n USING (k))
+SELECT x.loc, x.lastmod, sm AS sitemap, depth FROM u QUALIFY row_number() OVER (PARTITION BY x.loc ORDER BY depth, sm, x.lastmod) = 1""")
+def sitemap_pages(pages: DataFrame) -> DataFrame:
+    """The pages that the sitemaps list, each with the sitemap nearest to those declared."""
+    return walk(*_nested_sitemaps(pages))[1]
+
+
+def _nested_sitemaps(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A document made of each page, an index, a list, lines, the page itself or none, that names others and in a loop one before it; every 50th is declared."""
+    k = F.col("page_id")
+    at = lambda n: F.concat(F.lit("https://ex.com/sm/"), n, F.lit(".xml"))
+    loc = lambda tag, *inner: F.concat(F.lit(f"<{tag}>\n  <loc> "), inner[0], F.lit(" </loc>"), *inner[1:], F.lit(f"</{tag}>"))
+    index = F.concat(F.lit('<?xml version="1.0"?><!-- <sitemap><loc>no</loc></sitemap> --><sitemapindex xmlns="s">'), loc("sitemap", at(k + 1)), loc("sitemap", at(k + 7)), loc("sitemap", F.concat(at(k - k % 50), F.lit("/"))), F.lit("</sitemapindex>"))
+    escaped = F.replace("url", F.lit("&"), F.lit("&amp;"))
+    urlset = F.concat(F.lit("<s:urlset>"), loc("s:url", escaped, F.lit("<lastmod>2024-01-0"), 1 + k % 9, F.lit("</lastmod>")), loc("s:url", at(k + 3)), F.lit("</s:urlset>"))
+    lines = F.concat("url", F.lit("\r\n\nhttps://ex.com/p/"), k)
+    body = F.when(k % 10 <= 4, index).when(k % 10 <= 6, urlset).when(k % 10 == 7, lines).when(k % 10 == 8, F.concat(F.lit("<html>"), "html"))
+    fetched = pages.select(at(k).alias("url"), F.lit(None).cast("string").alias("final_url"), F.when(k % 10 == 9, 404).otherwise(200).alias("status"), body.alias("body"))
+    return fetched, pages.where(k % 50 == 0).select(at(k).alias("url"))
+
+
 def sections(texts: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     """(key, pos, h1, h2, h3, line): each line of a text below the headings that hold for it.
 

@@ -1,8 +1,13 @@
 """Paths of a content-addressed store, rows inside cells, and what a frontier of work takes in."""
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.vector_store import VectorStore
+from ..session import shared_dir
+from ..sources.keyed import KeyedTable
 from ..sources.tables import blob_path, sub_rows
 from .registry import query
 
@@ -39,3 +44,39 @@ def frontier_counts(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     state = F.when(F.col("o_orderstatus") == "F", "done").when(F.col("o_orderstatus") == "O", "in_progress").otherwise("failed")
     frontier = orders.where("o_totalprice > 50000").select(F.col("o_orderkey").alias("k"), state.alias("state"))
     return admitted(frontier, lineitem.select(F.col("l_orderkey").alias("k")), "k").groupBy("state").agg(F.count("*").alias("n"), F.min("k").alias("first"))
+
+
+def _path(df: DataFrame, name: str) -> str:
+    return f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("events", sql="""
+WITH l AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 3 DESC, ts DESC, event_id DESC) AS rn FROM events)
+SELECT user_id || '/' || event_type AS url, value, event_id FROM l WHERE rn = 1""")
+def upserted_values(events: DataFrame) -> DataFrame:
+    """A table on disk after three runs that put rows in by key: a later run replaces what an earlier one put, within a run the latest row holds."""
+    table = KeyedTable(events.sparkSession, _path(events, "values"), "url", "url string, value double, event_id long, ts timestamp", 16)
+    rows = events.select(F.concat_ws("/", "user_id", "event_type").alias("url"), "value", "event_id", "ts")
+    for run in range(3):
+        table.put(rows.where(F.col("event_id") % 3 == run), F.struct("ts", "event_id"))
+    return table.rows().drop("ts")
+
+
+@query("documents", sql="""
+WITH h AS (SELECT sha256(lower(coalesce(source, '') || text)) AS sha, doc_id, doc_id % 2 AS run FROM documents WHERE text IS NOT NULL), f AS (SELECT sha, min(run) AS run FROM h GROUP BY 1)
+SELECT sha, run, max(doc_id) AS made_for FROM h JOIN f USING (sha, run) GROUP BY 1, 2""")
+def cached_by_content(documents: DataFrame) -> DataFrame:
+    """What a cache keyed by the hash of contents holds after two runs: the second works only on contents that the first lacked."""
+    cache = KeyedTable(documents.sparkSession, _path(documents, "cache"), "sha", "sha string, run long, made_for long", 16)
+    hashed = documents.where("text is not null").select(F.sha2(F.lower(F.concat(F.coalesce("source", F.lit("")), "text")), 256).alias("sha"), (F.col("doc_id") % 2).alias("run"), F.col("doc_id").alias("made_for"))
+    for run in range(2):
+        cache.put(hashed.where(F.col("run") == run), F.col("made_for"), keep_old=True)
+    return cache.rows()
+
+
+@query("embeddings")
+def store_neighbours(embeddings: DataFrame) -> DataFrame:
+    """The ten nearest of every vector, from a store that was made of three quarters of the rows and had the others put in. A test measures recall."""
+    store = VectorStore.made(embeddings.where("vec_id % 4 != 0"), _path(embeddings, "vectors"))
+    store.put(embeddings.where("vec_id % 4 = 0"))
+    return store.search(embeddings).select("query_id", F.col("id").alias("vec_id"), F.round("sim", 4).alias("sim"), "rn")
