@@ -9,6 +9,7 @@ from ..operators.vector_store import VectorStore
 from ..session import shared_dir
 from ..sources.keyed import KeyedTable
 from ..sources.tables import blob_path, sub_rows
+from ..streaming.frontier import replay
 from .registry import query
 
 
@@ -80,3 +81,25 @@ def store_neighbours(embeddings: DataFrame) -> DataFrame:
     store = VectorStore.made(embeddings.where("vec_id % 4 != 0"), _path(embeddings, "vectors"))
     store.put(embeddings.where("vec_id % 4 = 0"))
     return store.search(embeddings).select("query_id", F.col("id").alias("vec_id"), F.round("sim", 4).alias("sim"), "rn")
+
+
+_DEEDS = "CASE event_type WHEN 'view' THEN 'add' WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'fail' ELSE 'claim' END"
+_FREE = "e.event = 'claim' AND (r.state = 'pending' OR r.state = 'in_progress' AND r.claimed < e.at - 900)"
+
+
+@query("events", sql=f"""
+WITH RECURSIVE e AS (SELECT user_id::VARCHAR AS url, epoch(ts) AS at, {_DEEDS} AS event, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+r AS (SELECT url, rn, CASE WHEN event = 'add' THEN 'pending' END AS state, CASE WHEN event = 'add' THEN 0 END AS attempts, NULL::DOUBLE AS claimed, (event = 'add')::INT AS took FROM e WHERE rn = 1
+UNION ALL SELECT e.url, e.rn, CASE WHEN e.event = 'add' THEN coalesce(r.state, 'pending') WHEN r.state IS NULL THEN NULL WHEN {_FREE} THEN 'in_progress' WHEN e.event = 'done' THEN 'done' WHEN e.event = 'fail' THEN 'failed' ELSE r.state END,
+  CASE WHEN e.event = 'add' AND r.state IS NULL THEN 0 WHEN {_FREE} THEN r.attempts + 1 ELSE r.attempts END, CASE WHEN {_FREE} THEN e.at ELSE r.claimed END,
+  r.took + CASE WHEN e.event = 'add' THEN (r.state IS NULL)::INT WHEN r.state IS NULL THEN 0 WHEN e.event = 'claim' THEN coalesce({_FREE}, FALSE)::INT ELSE 1 END FROM r JOIN e ON e.url = r.url AND e.rn = r.rn + 1)
+SELECT url, arg_max(state, rn) AS state, arg_max(attempts, rn) AS attempts, max(took)::BIGINT AS took FROM r GROUP BY 1""")
+def claimed_frontier(events: DataFrame) -> DataFrame:
+    """What a frontier of work holds of each URL after all that was asked of it, run as a stream with keyed state; and how many of its events took effect."""
+    spark, folder = events.sparkSession, _path(events, "frontier")
+    deed = F.when(F.col("event_type") == "view", "add").when(F.col("event_type") == "purchase", "done").when(F.col("event_type") == "error", "fail").otherwise("claim")
+    rows = events.select(F.col("user_id").cast("string").alias("url"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("seq"), deed.alias("event"))
+    rows.write.parquet(f"{folder}/in")
+    told = replay(spark, f"{folder}/in", "url string, at timestamp, seq long, event string", f"{folder}/out", f"{folder}/checkpoint", files=0).where("seq is not null")
+    last = F.struct("at", "seq")
+    return told.groupBy("url").agg(F.max_by("state", last).alias("state"), F.max_by("attempts", last).alias("attempts"), F.count_if("granted").alias("took"))
