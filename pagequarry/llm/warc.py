@@ -3,8 +3,8 @@
 Pages become WARC records; equal records are stored once with a count. A record's key is a hash of its id
 and its digest; the key says in which archive the record lies, and records lie in order of their keys, so
 they have offsets. The first two hex digits of the rest of the key name one of 256 offset ranges of an archive,
-the first digit one of 16 branches above. A range's node hashes the digests, lengths and offsets (from
-the start of the range) of its records, a branch's node its ranges, a root its branches. An audit holds
+the first digit one of 16 branches above. A range's node hashes the digests, lengths, offsets (from
+the start of the range) and copies of its records, a branch's node its ranges, a root its branches. An audit holds
 the roots of two replicas, each a table of pages, against each other, goes down only below nodes that
 differ, and joins records only in ranges that differ: those that one replica lacks are missing or added,
 and a missing and an added one of the same id are one that was altered. A record that is lost, added or of
@@ -54,7 +54,7 @@ def manifest(pages: DataFrame, archives: int | None = None, page_id: str = "page
 
 def ranges(leaves: DataFrame) -> DataFrame:
     """(archive, range, hash): the lowest nodes of the trees of a manifest."""
-    parts = F.array_sort(F.collect_list(F.struct("position", F.concat_ws(":", "start", "length", "digest").alias("said"))))
+    parts = F.array_sort(F.collect_list(F.struct("position", F.concat_ws(":", "start", "length", "copies", "digest").alias("said"))))
     return leaves.groupBy("archive", "range").agg(F.sha2(F.array_join(F.transform(parts, lambda x: x["said"]), ","), 256).alias("hash"))
 
 
@@ -90,9 +90,9 @@ def audit(pages: DataFrame, replica: DataFrame, **columns: str) -> DataFrame:
     """Holds a replica, a table of pages like the first, against pages.
 
     Returns the manifest of pages, with `root` (of its archive) and `state`: intact, altered (the replica
-    has another record of this id in its place) or missing; and the records that only the replica has, as
-    added, with null positions, offsets and roots. How often a record is repeated is not compared. Null columns are empty texts in
-    a record; null ids are ids like any other; very long texts are hashed like others; an empty table gives
+    has another record of this id in its place), missing, or fewer or more (the replica has it in fewer or more
+    copies); and the records that only the replica has, as added, with null positions, offsets and roots. Null
+    columns are empty texts in a record; null ids are ids like any other; very long texts are hashed like others; an empty table gives
     no rows but those added; other columns, whatever their names, are ignored.
     """
     mine = written(manifest(pages, None, **columns))
@@ -106,10 +106,12 @@ def audit(pages: DataFrame, replica: DataFrame, **columns: str) -> DataFrame:
     lost = written(here.join(there, same(here, there), "left_anti"))
     found = written(there.join(here, same(there, here), "left_anti"))
     swapped = found.select(F.col("page_id").alias("id")).distinct().withColumn("altered", F.lit(True))
-    gone = lost.join(swapped, lost.page_id.eqNullSafe(swapped.id), "left").select("archive", F.col("digest").alias("of"), F.col("page_id").alias("id"), F.coalesce("altered", F.lit(False)).alias("altered"))
+    gone = lost.join(swapped, lost.page_id.eqNullSafe(swapped.id), "left").select("archive", F.col("digest").alias("of"), F.col("page_id").alias("id"), F.when(F.col("altered"), "altered").otherwise("missing").alias("found"))
+    uneven = here.join(there, same(here, there)).where(here.copies != there.copies).select(here.archive, here.digest.alias("of"), here.page_id.alias("id"), F.when(there.copies < here.copies, "fewer").otherwise("more").alias("found"))
+    gone = written(gone.union(uneven))
     roots = one[2].select(F.col("archive").alias("a"), F.col("hash").alias("root"))
     out = mine.join(gone, (mine.archive == gone.archive) & (mine.digest == gone.of) & mine.page_id.eqNullSafe(gone.id), "left").drop(gone.archive).join(roots, F.col("archive") == F.col("a"), "left")
-    state = F.when(F.col("of").isNull(), "intact").when(F.col("altered"), "altered").otherwise("missing")
+    state = F.coalesce("found", F.lit("intact"))
     names = ["page_id", "archive", "position", "offset", "length", "copies", "digest", "root", "state"]
     out = out.withColumn("state", state).select(names)
     known = lost.select(F.col("page_id").alias("id")).distinct()
@@ -171,14 +173,15 @@ def read_archives(table: DataFrame, content: str = "content") -> DataFrame:
 def query_audit(pages: DataFrame) -> DataFrame:
     """Audits pages against a replica of its own.
 
-    In the replica, pages whose record's digest ends in 00 end in other bytes, those in 01 are left out, and
-    those in 02 stand a second time, under an id below zero.
+    In the replica, pages whose record's digest ends in 00 end in other bytes, those in 01 are left out,
+    those in 02 stand a second time, under an id below zero, and those in 03 under their own.
     """
     sign = F.right(F.sha2(record(F.col("page_id"), F.col("url"), F.col("html")), 256), F.lit(2))
     held = pages.select("page_id", "url", "html", sign.alias("sign"))
     kept = held.where("sign != '01'").select("page_id", "url", F.when(F.col("sign") == "00", F.concat(F.coalesce("html", F.lit("")), F.lit("####"))).otherwise(F.col("html")).alias("html"))
     twice = held.where("sign = '02'").select((-1 - F.col("page_id")).alias("page_id"), "url", "html")
-    return audit(pages.select("page_id", "url", "html"), kept.union(twice))
+    again = held.where("sign = '03'").select("page_id", "url", "html")
+    return audit(pages.select("page_id", "url", "html"), kept.union(twice).union(again))
 
 
 def _sql() -> str:
@@ -193,12 +196,12 @@ k AS (SELECT d.*, md5(coalesce(page_id::VARCHAR, '') || '|' || digest) AS key FR
 a AS (SELECT k.*, ('0x' || substr(key, 1, 8))::BIGINT % n.n AS archive, substr(key, 9, 2) AS r FROM k CROSS JOIN n),
 l AS (SELECT *, row_number() OVER w - 1 AS position, sum(length) OVER w - length AS "offset" FROM a WINDOW w AS (PARTITION BY archive ORDER BY substr(key, 9, 24), key, page_id NULLS FIRST, digest ROWS UNBOUNDED PRECEDING)),
 s AS (SELECT *, "offset" - min("offset") OVER (PARTITION BY archive, r) AS start FROM l),
-t0 AS (SELECT archive, r, sha256(string_agg(start::BIGINT || ':' || length || ':' || digest, ',' ORDER BY position)) AS hash FROM s GROUP BY 1, 2),
+t0 AS (SELECT archive, r, sha256(string_agg(start::BIGINT || ':' || length || ':' || copies || ':' || digest, ',' ORDER BY position)) AS hash FROM s GROUP BY 1, 2),
 t1 AS (SELECT archive, substr(r, 1, 1) AS b, sha256(string_agg(r || ':' || hash, ',' ORDER BY r)) AS hash FROM t0 GROUP BY 1, 2),
 t2 AS (SELECT archive, sha256(string_agg(b || ':' || hash, ',' ORDER BY b)) AS root FROM t1 GROUP BY 1),
 e AS (SELECT -1 - page_id AS page_id, replace({text}, '<urn:page:' || coalesce(page_id::VARCHAR, '') || '>', '<urn:page:' || (-1 - page_id) || '>') AS t FROM p WHERE ends_with(digest, '02')),
 f AS (SELECT page_id, sha256(t) AS digest, strlen(t)::BIGINT AS length, count(*) AS copies FROM e GROUP BY ALL)
-SELECT page_id, l.archive, position, "offset"::BIGINT AS "offset", length, copies, digest, root, CASE right(digest, 2) WHEN '00' THEN 'altered' WHEN '01' THEN 'missing' ELSE 'intact' END AS state FROM l JOIN t2 ON t2.archive = l.archive
+SELECT page_id, l.archive, position, "offset"::BIGINT AS "offset", length, copies, digest, root, CASE right(digest, 2) WHEN '00' THEN 'altered' WHEN '01' THEN 'missing' WHEN '03' THEN 'more' ELSE 'intact' END AS state FROM l JOIN t2 ON t2.archive = l.archive
 UNION ALL
 SELECT page_id, ('0x' || substr(md5(page_id::VARCHAR || '|' || digest), 1, 8))::BIGINT % n.n, NULL, NULL, length, copies, digest, NULL, 'added' FROM f CROSS JOIN n
 """

@@ -184,6 +184,15 @@ def test_warc(spark, monkeypatch):
     assert bad <= 6 + 2 * 8 + 4 and mine.where("start < 0 or start > offset").count() == 0
 
 
+def test_warc_copies(spark):
+    """A copy that was lost or added is told of, in a range that otherwise agrees."""
+    row = lambda k: (k, f"http://x/{k}", "t")
+    frame = lambda ids: spark.createDataFrame([row(k) for k in ids], "page_id long, url string, html string")
+    pages, replica = frame([1, 1, 2, 3, 3, 4, None, None]), frame([1, 2, 2, 3, 3, None, 5])
+    got = sorted(((r.page_id, r.copies, r.state) for r in warc.audit(pages, replica).collect()), key=str)
+    assert got == sorted([(1, 2, "fewer"), (2, 1, "more"), (3, 2, "intact"), (4, 1, "missing"), (None, 2, "fewer"), (5, 1, "added")], key=str)
+
+
 def test_warc_parse():
     def one(body, name=b"Content-Length", n=None):
         return b"WARC/1.1\r\nWARC-Record-ID: <r>\r\n%s: %d\r\n\r\n%s\r\n\r\n" % (name, len(body) if n is None else n, body)
