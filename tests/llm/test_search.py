@@ -5,10 +5,11 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pagequarry.llm import hard_negatives, lexical, url_filter
+from pagequarry.llm import hard_negatives, lexical, toxicity, url_filter
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, item_id string, score int, shard int, term string, n long, rank int"
@@ -161,3 +162,74 @@ def test_url_models(spark):
     # what rules allow must score above what they block, judged by models that saw neither
     good, bad = held.score[held.verdict == "allow"].to_numpy(), held.score[held.verdict == "block"].to_numpy()
     assert (good[:, None] > bad[None]).mean() > 0.98
+
+
+def test_toxicity_scores(spark):
+    """Scores against a forward pass written out window by window, word by word and character by character."""
+    rng = np.random.default_rng(8)
+    word = ["alpha", "Beta!!", "scum", "(scum)", "gämma", "x", "***", "lo" * 30, "the"]
+    texts = [" ".join(rng.choice(word, n)) for n in (1, 5, 31, 32, 33, 56, 57, 200)] + ["", "  \n", "!" * 60]
+    net = toxicity.Net(3, seed=5)
+    p = net.p
+    p["out_b"] = np.array([0.3], np.float32)
+    cut = lambda w: pieces_of(w.encode())
+    hashed = {}
+
+    def pieces_of(raw):
+        data = np.array([toxicity._LOWER[c] for c in raw], np.uint8)
+        block = toxicity.Block(pa.table({"doc_id": pa.array([0], pa.int64()), "text": pa.array([raw.decode()])}))
+        words = toxicity.Words(block)
+        toxicity.pieces(words, block, data)
+        return [bytes(data[a:b]) for a, b in zip(words.starts, words.ends)]
+
+    def core(piece):
+        return piece.strip(bytes(k for k in range(128) if toxicity._JOINT[k])) or piece
+
+    def hash_of(piece):
+        block = toxicity.Block(pa.table({"doc_id": pa.array([0], pa.int64()), "text": pa.array([piece.decode()])}))
+        return int(toxicity.Words(block).hashes(block.bytes)[0])
+
+    known = np.sort(np.array([hash_of(b"scum"), hash_of(b"beta")], np.uint64))
+    row = {int(h): k + 1 for k, h in enumerate(known)}
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+
+    def steps(inputs, u):
+        h, out, k = np.zeros(u.shape[0]), [], u.shape[0]
+        for v in inputs:
+            a = h @ u
+            z, r = sigmoid(v[:k] + a[:k]), sigmoid(v[k : 2 * k] + a[k : 2 * k])
+            new = np.tanh(v[2 * k :] + r * a[2 * k :])
+            h = new + z * (h - new)
+            out.append(h)
+        return out
+
+    def vector(piece):
+        if piece not in hashed:
+            kinds = [int(toxicity._CLASS[c]) for c in piece]
+            ends = [steps([p["chars"][d][c] for c in (kinds if d == 0 else kinds[::-1])], p["char_u"][d])[-1] for d in (0, 1)]
+            hashed[piece] = np.concatenate([p["words"][row.get(hash_of(core(piece)), 0)], *ends])
+        return hashed[piece]
+
+    def score(text):
+        words = [x for w in text.split() for x in cut(w)]
+        best = -np.inf
+        for at in range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE):
+            own = [vector(x) for x in words[at : at + toxicity.WINDOW]]
+            both = [steps([v @ p["in"][d] + p["in_b"][d] for v in (own if d == 0 else own[::-1])], p["u"][d]) for d in (0, 1)]
+            h = np.array([np.concatenate([f, b]) for f, b in zip(both[0], both[1][::-1])]).reshape(len(own), 2 * toxicity.H)
+            e = np.tanh(h @ p["att"]) @ p["att_v"]
+            a = np.exp(e - e.max()) / np.exp(e - e.max()).sum() if len(own) else e
+            best = max(best, float((a[:, None] * h).sum(axis=0) @ p["out"] + p["out_b"][0]))
+        return sigmoid(best)
+
+    got = toxicity.Scorer(p, known).texts(pa.array(texts))
+    assert np.allclose(got, [score(t) for t in texts], atol=1e-5)
+
+
+def test_toxicity_keeps_settings_and_texts_aside(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(k, "you scum" if k % 3 == 0 else "a fine day") for k in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 0, int(k % 3 == 0)) for k in range(200)], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(docs, labels).where("predicted != if(doc_id % 3 = 0, 1, 0)").count() == 0
+    assert spark.conf.get(key) == before
