@@ -91,6 +91,36 @@ def canon_url(url: Column) -> Column:
     return F.concat(host(url), _path(path), F.when(F.size(kept) > 0, F.concat(F.lit("?"), shown)).otherwise(""))
 
 
+def undotted(path: Column) -> Column:
+    """A path without . and .. segments; what they lead above the root for is dropped."""
+    steps = F.split(path, "/")
+    kept = F.aggregate(
+        F.filter(steps, lambda s: s != "."), F.array().cast("array<string>"),
+        lambda got, s: F.when(s != "..", F.concat(got, F.array(s))).when(F.size(got) > 1, F.slice(got, F.lit(1), F.size(got) - 1)).otherwise(got),
+    )
+    out = F.array_join(kept, "/")
+    return F.when(F.element_at(steps, -1).isin(".", "..") & ~F.endswith(out, F.lit("/")), F.concat(out, F.lit("/"))).otherwise(out)
+
+
+#: What files end in that are no pages to crawl.
+BINARY = [".pdf", ".jpg", ".jpeg", ".png", ".gif", ".webp", ".svg", ".ico", ".css", ".js", ".zip", ".gz", ".mp3", ".mp4", ".webm", ".woff", ".woff2", ".xml", ".json"]
+_SPLIT = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?"
+
+
+def resolved(base: Column, href: Column) -> Column:
+    """What a link on a page leads to: http and https alone, without fragment; null if it is none, or a file that is no page."""
+    link = F.trim(href, F.lit(" \t\r\n\f"))
+    scheme, place, path, query = (F.regexp_extract(link, _SPLIT, k) for k in range(1, 5))
+    on_scheme, on_place, on_path, on_query = (F.regexp_extract(base, _SPLIT, k) for k in range(1, 5))
+    folder = F.regexp_replace(on_path, "[^/]*$", "")
+    merged = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), path))
+    here = F.concat(on_place, F.when(path == "", on_path).otherwise(undotted(merged)), F.when((path == "") & (query == ""), on_query).otherwise(query))
+    whole = F.when(scheme != "", F.concat(F.lower(scheme), F.lit("://"), place, path, query)).when(F.startswith(link, F.lit("//")), F.concat(F.lower(on_scheme), F.lit("://"), place, path, query)).otherwise(F.concat(F.lower(on_scheme), F.lit("://"), here))
+    ends = F.lower(F.regexp_extract(whole, r"^[^:]*://[^/?]*([^?]*)", 1)).rlike("(" + "|".join(BINARY).replace(".", r"\.") + ")$")
+    fits = (link != "") & ~F.startswith(link, F.lit("#")) & ((scheme == "") | F.lower(scheme).isin("http", "https") & F.startswith(F.substr(link, F.length(scheme) + 2), F.lit("//"))) & ~ends
+    return F.when(fits, whole)
+
+
 def stored(url: Column) -> Column:
     """A URL as it is kept: scheme and host in lower case, no default port, no dot segments, / for an empty path, no fragment.
 
@@ -102,19 +132,20 @@ def stored(url: Column) -> Column:
     scheme = F.lower(F.regexp_extract(bare, "^([^:]*)", 1))
     place = F.lower(F.regexp_extract(bare, "^[^:]*://([^/?]*)", 1))
     place = F.when(scheme == "http", F.regexp_replace(place, ":80$", "")).when(scheme == "https", F.regexp_replace(place, ":443$", "")).otherwise(place)
-    steps = F.split(F.regexp_extract(bare, "^[^:]*://[^/?]*([^?]*)", 1), "/")
-    kept = F.aggregate(
-        F.filter(steps, lambda s: s != "."), F.array().cast("array<string>"),
-        lambda got, s: F.when(s != "..", F.concat(got, F.array(s))).when(F.size(got) > 1, F.slice(got, F.lit(1), F.size(got) - 1)).otherwise(got),
-    )
-    path = F.array_join(kept, "/")
-    path = F.when(F.element_at(steps, -1).isin(".", "..") & ~F.endswith(path, F.lit("/")), F.concat(path, F.lit("/"))).otherwise(path)
+    path = undotted(F.regexp_extract(bare, "^[^:]*://[^/?]*([^?]*)", 1))
     char = lambda e: F.char(F.conv(F.substr(e, F.lit(2)), 16, 10).cast("int"))
     path = _escapes(path, lambda e: F.when(char(e).rlike("[A-Za-z0-9._~-]"), char(e)).otherwise(F.upper(e)))
     query = F.regexp_extract(bare, r"(\?.*)$", 1)
     return F.when(whole, F.concat(scheme, F.lit("://"), place, F.when(path == "", "/").otherwise(path), query)).otherwise(text)
 
 
+def header_canonical(link: Column) -> Column:
+    """The URL that a Link header names as canonical, the first if several, empty if none."""
+    parts = F.filter(F.split(F.coalesce(link, F.lit("")), ","), lambda p: F.lower(p).rlike('rel="canonical"|rel=canonical'))
+    named = F.filter(F.transform(parts, lambda p: F.trim(F.regexp_extract(p, "<([^>]+)>", 1))), lambda u: u != "")
+    return F.coalesce(F.get(named, F.lit(0)), F.lit(""))
+
+
 def not_content(url: Column) -> Column:
     """Whether a URL is a protocol file, an asset or machinery rather than a page."""
     path = path_of(url)

@@ -296,8 +296,9 @@ def domain_repair(pages: DataFrame) -> DataFrame:
 
 #: The columns of an idea.
 IDEA = [
-    "Sources", "Brand fit", "Asset", "Format", "Tool escalation", "Distinct angle", "What it'd be", "Beatability", "Effort",
-    "# pages", "# words", "Total domains", "# comps", "# posts", "Proof URLs",
+    "Sources", "Brand fit", "Asset", "Format", "Tool escalation", "Distinct angle", "What it'd be",
+    "# pages", "# words", "Total domains", "# comps", "# posts", "Beatability", "Effort", "Proof URLs",
+    "RAG candidates", "Topic pages we own", "Reference links", "Reuse verdict", "Chosen links", "Why",
 ]
 
 
@@ -321,6 +322,33 @@ def stacked_ideas(part: DataFrame, supplier: DataFrame, conversations: DataFrame
     return ideas.select("Sources", F.col("Brand fit").alias("fit"), F.col("Asset").alias("asset"), F.col("Format").alias("format"), F.col("Distinct angle").alias("angle"), F.col("`# pages`").alias("pages"))
 
 
+_BLANK = ", ".join(f"'' AS \"{c}\"" for c in IDEA[15:])
+_NAMED = lambda *values: ", ".join(f"coalesce(({v})::VARCHAR, '') AS \"{c}\"" for c, v in zip(IDEA, values))
+
+
+@query("part", "supplier", "conversations", sql=f"""
+SELECT * FROM (SELECT {_NAMED("'M1'", "p_type", "CASE WHEN p_size % 9 = 0 THEN ' ' ELSE p_name END", "p_name", "CASE WHEN p_size % 2 = 0 THEN p_brand END", "p_brand", "''", "p_size", "p_size * 10", "p_partkey % 90", "p_size % 7", "''", "''", "''", "'https://p/' || p_partkey")}, {_BLANK} FROM part
+UNION ALL SELECT {_NAMED("'M2'", "CASE WHEN s_nationkey < 12 THEN 'CORE' ELSE 'SKIP' END", "s_name", "'list'", "''", "s_suppkey % 3", "s_name || '!'", "''", "''", "''", "''", "''", "s_nationkey % 4", "CASE WHEN s_suppkey % 5 <> 0 THEN 'low' END", "'https://s/' || s_suppkey")}, {_BLANK} FROM supplier
+UNION ALL SELECT {_NAMED("'M3'", "role", "CASE WHEN turn = 1 THEN '' ELSE text END", "''", "''", "trim(CASE WHEN turn % 2 = 0 THEN '[' || conv_id || '] ' ELSE '' END || CASE WHEN turn % 3 = 0 THEN '' ELSE role END)", "turn % 4", "''", "''", "''", "''", "conv_id % 8", "''", "''", "'https://c/' || conv_id")}, {_BLANK} FROM conversations)
+WHERE trim("Asset") <> ''""")
+def stacked_columns(part: DataFrame, supplier: DataFrame, conversations: DataFrame) -> DataFrame:
+    """Three sources in the 21 columns of an idea, each with what it has of them; rows without an asset go."""
+    c, x = F.col, F.lit
+    m1 = mapped(part, IDEA, **{
+        "Sources": x("M1"), "Brand fit": c("p_type"), "Asset": F.when(c("p_size") % 9 == 0, " ").otherwise(c("p_name")), "Format": c("p_name"), "Tool escalation": F.when(c("p_size") % 2 == 0, c("p_brand")), "Distinct angle": c("p_brand"),
+        "# pages": c("p_size"), "# words": c("p_size") * 10, "Total domains": c("p_partkey") % 90, "# comps": c("p_size") % 7, "Proof URLs": F.concat(x("https://p/"), "p_partkey"),
+    })
+    m2 = mapped(supplier, IDEA, **{
+        "Sources": x("M2"), "Brand fit": F.when(c("s_nationkey") < 12, "CORE").otherwise("SKIP"), "Asset": c("s_name"), "Format": x("list"), "Distinct angle": c("s_suppkey") % 3, "What it'd be": F.concat("s_name", x("!")),
+        "Beatability": c("s_nationkey") % 4, "Effort": F.when(c("s_suppkey") % 5 != 0, "low"), "Proof URLs": F.concat(x("https://s/"), "s_suppkey"),
+    })
+    angle = F.trim(F.concat(F.when(c("turn") % 2 == 0, F.concat(x("["), "conv_id", x("] "))).otherwise(""), F.when(c("turn") % 3 == 0, "").otherwise(c("role"))))
+    m3 = mapped(conversations, IDEA, **{
+        "Sources": x("M3"), "Brand fit": c("role"), "Asset": F.when(c("turn") == 1, "").otherwise(c("text")), "Distinct angle": angle, "What it'd be": c("turn") % 4, "# posts": c("conv_id") % 8, "Proof URLs": F.concat(x("https://c/"), "conv_id"),
+    })
+    return m1.unionByName(m2).unionByName(m3).where(F.trim("Asset") != "")
+
+
 @query("customer", "nation", sql="""
 WITH kept AS (SELECT n_name AS name FROM nation WHERE n_nationkey % 4 <> 0), told AS (SELECT n_name AS name, [lower(n_name), substr(n_name, 1, 3)] AS aliases FROM nation WHERE n_nationkey % 8 = 0), asked AS (SELECT DISTINCT lower(n_name) AS alias FROM customer JOIN nation ON n_nationkey = c_nationkey)
 SELECT name, FALSE AS added FROM kept UNION ALL SELECT DISTINCT name, TRUE FROM (SELECT name, unnest(aliases) AS alias FROM told) t WHERE alias IN (SELECT alias FROM asked) AND name NOT IN (SELECT name FROM kept)""")
