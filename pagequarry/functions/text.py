@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
 import re
 from html import unescape
 from html.parser import HTMLParser
@@ -10,7 +9,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import StringType
 
 MARK = "␞"
 
@@ -291,9 +290,3 @@ def scrub(text: Column) -> Column:
     t = F.when(text.rlike(r"^\n") | text.rlike(r"\n\z"), F.trim(t, F.lit("\n"))).otherwise(t)
     join = lambda kept: F.array_join(F.flatten(F.transform(F.split(t, "\0", -1), lambda part, i: F.array(part, F.coalesce(F.get(kept, i), F.lit(""))))), "")
     return held(F.regexp_extract_all(text, F.lit(_KEPT), F.lit(0)), join)
-
-
-@F.pandas_udf(DoubleType())
-def word_ratio(before: pd.Series, after: pd.Series) -> pd.Series:
-    """Likeness of two texts as sequences of words, 0 to 1."""
-    return pd.Series([round(difflib.SequenceMatcher(None, (a or "").split(), (b or "").split(), autojunk=False).ratio(), 6) for a, b in zip(before, after)])

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators.ranking import schedule, share
+from ..operators.ranking import running, schedule, share
 from .registry import query
 
 _NUMBER = r"\d[\d,]*\.?\d*%?"
@@ -159,11 +159,10 @@ n AS (SELECT *, count(*) FILTER (WHERE blocked) OVER (PARTITION BY user_id, stre
 SELECT event_id, least(8.0, 0.4 * 2 ** blocks)::DOUBLE AS delay FROM n""")
 def paced_requests(events: DataFrame) -> DataFrame:
     """How long to wait behind each request to a host: 0.4 s, doubled for each block in a row, 8 s at most."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     rows = events.select("event_id", "user_id", "ts", (F.col("event_type") == "error").alias("blocked"))
-    rows = rows.withColumn("streak", F.sum((~F.col("blocked")).cast("int")).over(w))
-    blocks = F.sum(F.col("blocked").cast("int")).over(Window.partitionBy("user_id", "streak").orderBy("ts", "event_id"))
-    return rows.select("event_id", F.least(F.lit(8.0), 0.4 * F.pow(F.lit(2.0), blocks)).alias("delay"))
+    rows = running(rows, ["user_id"], ["ts", "event_id"], streak=("sum", (~F.col("blocked")).cast("int")))
+    rows = running(rows, ["user_id", "streak"], ["ts", "event_id"], blocks=("sum", F.col("blocked").cast("int")))
+    return rows.select("event_id", F.least(F.lit(8.0), 0.4 * F.pow(F.lit(2.0), F.col("blocks"))).alias("delay"))
 
 
 @query("events", sql="""

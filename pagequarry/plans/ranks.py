@@ -64,8 +64,8 @@ def log_score(part: DataFrame) -> DataFrame:
 SELECT conv_id, turn, thread FROM (SELECT *, (sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING))::BIGINT AS thread FROM conversations) WHERE thread BETWEEN 1 AND 2""")
 def first_threads(conversations: DataFrame) -> DataFrame:
     """The first two top-level threads with all that hangs below them."""
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    return conversations.withColumn("thread", F.sum((F.col("role") == "user").cast("int")).over(w)).where("thread between 1 and 2").select("conv_id", "turn", "thread")
+    held = conversations.select("conv_id", "turn", "role")
+    return K.running(held, ["conv_id"], ["turn"], thread=("sum", (F.col("role") == "user").cast("long"))).where("thread between 1 and 2").select("conv_id", "turn", "thread")
 
 
 @query("lineitem", sql="""

@@ -1,10 +1,11 @@
 """Joins, anti-joins, classifiers, duplicates and set accounting."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import title_key
 from ..operators import relational as R
+from ..operators.ranking import running
 from .registry import query
 
 _CASE = """CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'bad status' WHEN o_totalprice < 20000 THEN 'too small' WHEN o_orderpriority LIKE '5%' THEN 'low priority' WHEN o_orderdate < TIMESTAMP '1993-01-01' THEN 'too old' END"""
@@ -138,8 +139,7 @@ WITH s AS (SELECT *, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER
 SELECT user_id, max(n) AS longest, max(n) >= 2 AS tripped FROM (SELECT user_id, island, count(*) FILTER (WHERE event_type = 'error') AS n FROM s GROUP BY 1, 2) GROUP BY 1""")
 def breaker_streaks(events: DataFrame) -> DataFrame:
     """The longest run of failures of each key; two in a row trip the breaker."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    islands = events.withColumn("island", F.sum(F.when(F.col("event_type") == "error", 0).otherwise(1)).over(w))
+    islands = running(events, ["user_id"], ["ts", "event_id"], island=("sum", F.when(F.col("event_type") == "error", 0).otherwise(1)))
     runs = islands.groupBy("user_id", "island").agg(F.count_if(F.col("event_type") == "error").alias("n"))
     return runs.groupBy("user_id").agg(F.max("n").alias("longest"), (F.max("n") >= 2).alias("tripped"))
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions.diff import word_edits
 from .registry import query
 
 _SENT = r"list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1␞', 'g'), '␞'), lambda s: trim(regexp_replace(s, '\s+', ' ', 'g'))), lambda s: s <> '')"
@@ -127,8 +128,19 @@ def scrub(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", X.scrub(F.col("text")).alias("text"))
 
 
+def _edited(conversations: DataFrame) -> DataFrame:
+    before = conversations.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("before"))
+    return conversations.join(before, ["conv_id", "turn"]).select("conv_id", "turn", word_edits("before", "text").alias("d"))
+
+
 @query("conversations")
 def word_diff(conversations: DataFrame) -> DataFrame:
-    """How alike each turn is to the one before it."""
-    before = conversations.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("before"))
-    return conversations.join(before, ["conv_id", "turn"]).select("conv_id", "turn", X.word_ratio("before", "text").alias("ratio"))
+    """How alike each turn is to the one before it: twice the words that stay, in order, by those of both."""
+    return _edited(conversations).select("conv_id", "turn", F.col("d.similarity").alias("ratio"))
+
+
+@query("conversations")
+def section_edits(conversations: DataFrame) -> DataFrame:
+    """What was changed from each turn to the next, in order, as words that were and words that are now. Tested against a table of all pairs, without SQL."""
+    edits = _edited(conversations).select("conv_id", "turn", "d.similarity", F.posexplode("d.edits").alias("pos", "e"))
+    return edits.select("conv_id", "turn", "similarity", "pos", "e.op", "e.was", "e.now")
