@@ -148,7 +148,8 @@ def lattice_dedup(vectors: DataFrame, least: float = 0.9, tables: int = 5, probe
     Returns one row per row of vectors: vec_id, n_links (other rows linked directly), component_id (smallest
     id reachable), kept (vec_id = component_id). Vectors of different numbers of components don't link; those
     that are null, empty, zero or hold null or non-finite components link with nothing, as do rows with a
-    null id (component null, kept null). Repeated rows link with each other; an empty table gives no rows.
+    null id (component null, kept null). Repeated rows link with each other; of ties the smallest id names the
+    component; an empty table gives no rows; further columns, whatever their names, are ignored.
     """
     v = F.col(embedding)
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v"))

@@ -1,10 +1,11 @@
 """SimHash fingerprints, and exact comparison of fingerprints in tiles.
 
-Fingerprints of equal bits meet first, so copies cost one row. Two fingerprints within the radius agree
-wholly in at least one of radius + 1 blocks of bits (more blocks, agreeing in several, once there are so
-many fingerprints that one block is too coarse); rows with equal blocks form a run. A run is sorted by
-population count and compared tile against tile with exclusive-or and bit counts; tile pairs whose
-population counts differ beyond the radius are skipped. A run of more than TILE rows is cut into tiles by
+Fingerprints of equal bits meet first, so copies cost one row. All of few fingerprints are one run. Of more, two
+within the radius agree wholly in at least one of radius + 1 blocks of bits, so those that agree in the first bits
+of a block, as many as leave some RUN rows together, form a run (once whole blocks are too coarse, there are more of
+them, and several must agree). A run is sorted by population count and compared tile against tile with
+exclusive-or and bit counts; tile pairs whose population counts differ beyond the radius are skipped, which is some
+third of those in a run. A run of more than TILE rows is cut into tiles by
 population count and hash before it is shuffled, each pair of tiles to a task of its own. A task reports
 a spanning forest of its links, not all of them.
 """
@@ -25,6 +26,8 @@ from ..session import written
 
 #: Rows of one run that one task compares.
 TILE = 8192
+#: Rows of a run that even fingerprints are dealt into, of some tiles.
+RUN = 2048
 
 
 def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
@@ -59,21 +62,22 @@ def fingerprints(docs: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(each, "doc_id long, fp long")
 
 
-def _blocks(n: int, radius: int) -> tuple[int, int]:
-    """So many blocks, and so many of them that must agree, that a run holds a tile of n even fingerprints."""
+def _blocks(n: int, radius: int) -> tuple[int, int, int]:
+    """So many blocks, so many of them that must agree, and in so many of their first bits, that a run holds some tiles of n even fingerprints."""
     for agree in range(1, 4):
         blocks = radius + agree
         if n >> (64 * agree // blocks) <= TILE or agree == 3:
-            return blocks, agree
-    raise AssertionError
+            break
+    bits = max(0, round(math.log2(max(1, n) / RUN))) if agree == 1 else 64
+    return blocks, agree, bits
 
 
 def _runs(fp: Column, radius: int, n: int) -> Column:
-    blocks, agree = _blocks(n, radius)
+    blocks, agree, bits = _blocks(n, radius)
     cuts = [round(64 * i / blocks) for i in range(blocks + 1)]
     out = []
-    for which in combinations(range(blocks), agree):
-        mask = sum(((1 << (cuts[i + 1] - cuts[i])) - 1) << cuts[i] for i in which)
+    for which in combinations(range(blocks), agree) if bits else [()]:
+        mask = sum(((1 << min(bits, cuts[i + 1] - cuts[i])) - 1) << cuts[i] for i in which)
         mask -= (mask >> 63) << 64
         out.append(F.struct(F.lit(len(out)).alias("band"), fp.bitwiseAND(F.lit(mask)).alias("value")))
     return F.array(*out)
@@ -93,23 +97,25 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def compare_tiles(fp: np.ndarray, radius: int, tile: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+def near_tiles(count: np.ndarray, radius: int, tile: int) -> list[tuple[int, int]]:
+    """Where the pairs of tiles begin whose population counts, in ascending order, come within the radius of each other."""
+    starts = range(0, len(count), tile)
+    return [(i, j) for i in starts for j in range(i, len(count), tile) if count[j] <= count[min(i + tile, len(count)) - 1] + radius]
+
+
+def compare_tiles(fp: np.ndarray, radius: int, tile: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of indices whose values differ in at most radius bits."""
     count = np.bitwise_count(fp).astype(np.int64)
     order = np.argsort(count, kind="stable")
     fp, count = fp[order], count[order]
     left, right = [], []
-    for i in range(0, len(fp), tile):
-        most = count[min(i + tile, len(fp)) - 1] + radius
-        for j in range(i, len(fp), tile):
-            if count[j] > most:
-                break
-            near = np.bitwise_count(fp[i : i + tile, None] ^ fp[None, j : j + tile]) <= radius
-            if i == j:
-                near = np.triu(near, 1)
-            x, y = np.nonzero(near)
-            left.append(order[x + i])
-            right.append(order[y + j])
+    for i, j in near_tiles(count, radius, tile):
+        near = np.bitwise_count(fp[i : i + tile, None] ^ fp[None, j : j + tile]) <= radius
+        if i == j:
+            near = np.triu(near, 1)
+        x, y = np.nonzero(near)
+        left.append(order[x + i])
+        right.append(order[y + j])
     return (np.concatenate(left), np.concatenate(right)) if left else (order[:0], order[:0])
 
 
@@ -159,8 +165,10 @@ def simhash_dedup(docs: DataFrame, radius: int = 4, shingle: int = 4, doc_id: st
     """Returns one row per row of docs: doc_id, fp (64 bits as a long), component_id.
 
     component_id is the smallest id that links of at most radius differing bits reach. A null text is
-    empty; texts without words have fingerprint 0 and link like any other. Rows with a null id get their
-    fingerprint, link with nothing and have a null component; an empty table gives no rows.
+    empty; texts without words have fingerprint 0 and link like any other; a very long text is read whole by one
+    task. Rows with a null id get their fingerprint, link with nothing and have a null component; rows that share an id
+    or a text link like others, and of ties the smallest id names the component; an empty table gives no rows;
+    other columns, whatever their names, are ignored.
     """
     prints = written(fingerprints(docs, shingle, doc_id, text))
     fps = written(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")))

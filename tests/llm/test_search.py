@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pagequarry.llm import hard_negatives, lexical, toxicity, url_filter
+from pagequarry.llm import hard_negatives, lexical, simhash, toxicity, url_filter
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, item_id string, score int, shard int, term string, n long, rank int"
@@ -233,3 +233,34 @@ def test_toxicity_keeps_settings_and_texts_aside(spark):
     labels = spark.createDataFrame([(k, 0, int(k % 3 == 0)) for k in range(200)], "doc_id long, quality int, toxic int")
     assert toxicity.toxicity(docs, labels).where("predicted != if(doc_id % 3 = 0, 1, 0)").count() == 0
     assert spark.conf.get(key) == before
+
+
+def test_simhash_runs(spark):
+    """Tile pairs are skipped in the runs of a real table, and runs of any size give the links of all pairs."""
+    docs = spark.read.parquet(f"{FOLDER}/../sf0.1/documents.parquet")
+    fps = np.array([r.fp for r in simhash.fingerprints(docs).select("fp").distinct().collect()], np.int64).view(np.uint64)
+    blocks, agree, bits = simhash._blocks(len(fps), 4)
+    mask = np.uint64((1 << bits) - 1)
+    held = whole = 0
+    for value in np.unique(fps & mask):
+        count = np.sort(np.bitwise_count(fps[fps & mask == value]).astype(np.int64))
+        tiles = -(-len(count) // 256)
+        held, whole = held + len(simhash.near_tiles(count, 4, 256)), whole + tiles * (tiles + 1) // 2
+    assert 0 < held < 0.9 * whole and len(fps) / (1 << bits) >= 1024
+    rng = np.random.default_rng(9)
+    some = rng.integers(0, 1 << 63, 700, np.int64)
+    for k in range(1, 5):
+        some = np.append(some, some[:150] ^ (1 << rng.integers(0, 63, 150)))
+    want = {int(x): 0 for x in some}
+    u = np.unique(some).view(np.uint64)
+    a, b = np.nonzero(np.bitwise_count(u[:, None] ^ u[None]) <= 4)
+    root = simhash.forest(a, b, len(u))
+    frame = spark.createDataFrame([(int(x), k) for k, x in enumerate(np.unique(some))], "fp long, rep long")
+    for run in (1, 64, 1 << 20):  # whole blocks, some bits of each, one run
+        simhash.RUN, before = run, simhash.RUN
+        try:
+            links = simhash.near_fingerprints(frame, 4).collect()
+        finally:
+            simhash.RUN = before
+        got = simhash.forest(np.array([r.src for r in links]), np.array([r.dst for r in links]), len(u))
+        assert (got == root).all() and len(want) == len(u)
