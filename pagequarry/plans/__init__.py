@@ -1,6 +1,6 @@
 """Named queries over the driver's tables, each beside its SQL oracle."""
 
-from . import aggregates, checks, citations, drafts, evidence, extract, filters, forum, guards, merges, pages, pools, ranks, relations, rules, search, stores, texts  # noqa: F401
+from . import aggregates, checks, citations, drafts, evidence, extract, filters, formats, forum, guards, merges, pages, pools, ranks, relations, rules, search, stores, texts  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
