@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def first_match(rules: list[tuple[str, Column]], otherwise: str | None = None) -> Column:
     """The name of the first rule that holds; the order is part of the meaning."""
@@ -74,10 +76,19 @@ def survivors(df: DataFrame, body: str, row: str, *order: Column) -> DataFrame:
     return hashed.join(best.withColumnRenamed("sha", "_sha"), F.col("sha").eqNullSafe(F.col("_sha"))).drop("_sha")
 
 
-#: Rows of a small side that are sent to all executors at most; a larger one is shuffled.
-SMALL = 500_000
+#: Bytes of a small side that are sent to all executors at most; a larger one is shuffled.
+SMALL = 64 << 20
 
 
 def sent(df: DataFrame, most: int = SMALL) -> DataFrame:
-    """df, marked for broadcasting if it is small."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    """df, written once to the shared folder, so that what made it runs once, and marked for broadcasting if it has at most so many bytes.
+
+    Texts count by their bytes, other columns of plain types as 16, nested ones as long as they are in JSON.
+    """
+    held = written(df)
+    size = F.lit(0)
+    for name, kind in held.dtypes:
+        c = F.col(f"`{name}`")
+        nested = kind.startswith(("array", "map", "struct"))
+        size = size + 16 + (F.coalesce(F.octet_length(F.to_json(F.struct(c)) if nested else c), F.lit(0)) if nested or kind in ("string", "binary") else F.lit(0))
+    return F.broadcast(held) if (held.agg(F.sum(size)).first()[0] or 0) <= most else held
