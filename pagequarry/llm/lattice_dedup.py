@@ -28,6 +28,10 @@ from .exchange import mix
 from .simhash import forest
 
 TILE = 4096
+#: (up to so many different vectors, tables, neighbouring cells, width): finer cells in more tables as vectors grow more.
+#: Each finds some 98 % of the links at a cosine of 0.9 and all but some at more, and compares a random pair with a
+#: chance of 0.014, 0.0031 and 0.0018.
+LEVELS = ((100_000, 5, 4, 0.55), (1_000_000, 8, 8, 0.38), (math.inf, 14, 8, 0.32))
 
 
 def roots() -> np.ndarray:
@@ -142,9 +146,11 @@ def _meet(table: pa.Table, lattice: Lattice, least: float, dtype: str) -> pa.Tab
 MET = pa.schema([("src", pa.int64()), ("dst", pa.int64()), ("n", pa.int64())])
 
 
-def lattice_dedup(vectors: DataFrame, least: float = 0.9, tables: int = 5, probes: int = 4, width: float = 0.55, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def lattice_dedup(vectors: DataFrame, least: float = 0.9, level: tuple[int, int, float] | None = None, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """Links vectors whose cosine is at least `least`.
 
+    level: tables, neighbouring cells and width; by default those of LEVELS for as many different vectors.
+
     Returns one row per row of vectors: vec_id, n_links (other rows linked directly), component_id (smallest
     id reachable), kept (vec_id = component_id). Vectors of different numbers of components don't link; those
     that are null, empty, zero or hold null or non-finite components link with nothing, as do rows with a
@@ -159,6 +165,8 @@ def lattice_dedup(vectors: DataFrame, least: float = 0.9, tables: int = 5, probe
     checked = rows.withColumn("good", F.coalesce(good, F.lit(False)))
     valid = checked.where("good").select("vec_id", "v")
     distinct = written(valid.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
+    n = distinct.count()
+    tables, probes, width = level or next(x[1:] for x in LEVELS if n <= x[0])
 
     def place(batches):
         for whole in batches:
@@ -189,7 +197,7 @@ def lattice_dedup(vectors: DataFrame, least: float = 0.9, tables: int = 5, probe
     mine = F.pmod(F.xxhash64("rep"), tiles).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), tiles - 1), lambda o: F.struct(F.least(mine, o).alias("one"), F.greatest(mine, o).alias("other"), mine.alias("mine")))
     tiled = entries.join(crowded, ["dim", "tab", "cell"], "left").select("dim", "tab", "cell", "home", "rep", "copies", "vec", F.inline(pairs))
-    slots = max(1, math.ceil(distinct.count() * tables * (1 + probes) / 20_000))
+    slots = max(1, math.ceil(n * tables * (1 + probes) / 20_000))
     slot = F.pmod(F.xxhash64("tab", "cell", "one", "other"), F.lit(slots)).cast("int")
     met = written(tiled.withColumn("slot", slot).groupBy("dim", "slot").applyInArrow(lambda t: _meet(t, lattice_of(t.column("dim")[0].as_py(), tables, probes, width), least, dtype), "src long, dst long, n long"))
     found = connected_components(met.where("n < 0").select("src", "dst"))
