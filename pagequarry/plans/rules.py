@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..functions import urls as U
 from ..operators.graph import reach
 from ..operators.ranking import numbered
@@ -177,3 +178,139 @@ def crawl_capped(part: DataFrame) -> DataFrame:
 def first_reached(links: DataFrame, roots: DataFrame, most: int = 6, pages: int = 5000) -> DataFrame:
     """(node, depth): of the nodes within so many links of the roots the first `pages`, nearer ones first, then in order."""
     return reach(links, roots, most).orderBy("depth", "node").limit(pages)
+
+
+_PARTS = "|".join(rf"<{t}[^>]*>.*?</{t}>" for t in ("script", "style", "head", "nav", "footer"))
+_STEPS = [
+    (rf"(?is){_PARTS}", " "), (r"(?is)<!--.*?-->", " "), *[step for n in (1, 2, 3) for step in ((rf"(?is)<h{n}[^>]*>", "\n" + "#" * n + " "), (rf"(?is)</h{n}>", "\n"))],
+    (r"(?is)<li[^>]*>", "\n- "), (r"(?is)<(?:p|br|/p|div|/div|tr)[^>]*>", "\n"), (r"(?is)<[^>]+>", " "),
+]
+_TIDY = [(r"[ \t]+", " "), (r"\n\s*\n\s*\n+", "\n\n")]
+
+
+def _in_sql(text: str, steps) -> str:
+    for pattern, to in steps:
+        text = f"regexp_replace({text}, '{pattern}', '{to}', 'g')"
+    return text
+
+
+_PLAINED = _in_sql("html", _STEPS)
+for _reference, _sign in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    _PLAINED = f"replace({_PLAINED}, '{_reference}', '{_sign}')"
+
+
+@query("pages", sql=f"SELECT page_id, md5(trim({_in_sql(_PLAINED, _TIDY)}, chr(10) || chr(13) || chr(9) || chr(11) || chr(12) || ' ')) AS md5 FROM pages")
+def html_markdown(pages: DataFrame) -> DataFrame:
+    """The text of each page by patterns alone: marks for three levels of headings and for items, lines for blocks, references spelled out; a hash of it."""
+    text = F.col("html")
+    for pattern, to in _STEPS:
+        text = F.regexp_replace(text, pattern, to)
+    text = X.unescaped(text)
+    for pattern, to in _TIDY:
+        text = F.regexp_replace(text, pattern, to)
+    return pages.select("page_id", F.md5(F.trim(text, F.lit(" \n\r\t\x0b\x0c"))).alias("md5"))
+
+
+def signatures(text: Column) -> dict[str, Column]:
+    """What an edit may not change: figures as a set, tags as often as they are, headings, and rows of tables and lists in order."""
+    lines = F.transform(F.split(text, "\n"), lambda x: F.trim(x, F.lit(" \t\r")))
+    figures = F.transform(F.regexp_extract_all(text, F.lit(r"\d[\d,\.]*"), F.lit(0)), lambda n: F.rtrim(n, F.lit(",.")))
+    return {
+        "figures": F.array_sort(F.array_distinct(figures)),
+        "tags": F.array_sort(F.regexp_extract_all(text, F.lit(r"\[c\d+\]"), F.lit(0))),
+        "headings": F.filter(lines, lambda x: F.startswith(x, F.lit("#"))),
+        "structure": F.filter(lines, lambda x: x.rlike(r"^(\||[-*+] |\d+\.\s)")),
+    }
+
+
+_BEFORE = "text || chr(10) || '# Head 1' || chr(10) || ' - item' || chr(10) || '| row |' || chr(10) || 'Of 28, out of 40. [c1]'"
+_AFTER = "text || chr(10) || CASE turn % 5 WHEN 2 THEN '# Head 2' ELSE '# Head 1' END || chr(10) || CASE turn % 5 WHEN 4 THEN '- items' ELSE '- item' END || chr(10) || '| row |' || chr(10) || CASE turn % 5 WHEN 0 THEN 'Of 28. The same 28 out of 40. [c1]' WHEN 1 THEN 'Out of 40. [c1]' WHEN 3 THEN 'Of 28, out of 40. [c1][c1]' ELSE 'Of 28 out of 40 [c1]' END"
+_SIGNED = {
+    "figures": "list_sort(list_distinct(list_transform(regexp_extract_all({0}, '\\d[\\d,\\.]*'), lambda n: rtrim(n, ',.'))))",
+    "tags": "list_sort(regexp_extract_all({0}, '\\[c\\d+\\]'))",
+    "headings": "list_filter(list_transform(string_split({0}, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: starts_with(x, '#'))",
+    "structure": "list_filter(list_transform(string_split({0}, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: regexp_matches(x, '^(\\||[-*+] |\\d+\\.\\s)'))",
+}
+
+
+@query("conversations", sql=f"""
+WITH e AS (SELECT conv_id, turn, {_BEFORE} AS b, {_AFTER} AS a FROM conversations)
+SELECT conv_id, turn, {", ".join(f"{v.format('a')} IS DISTINCT FROM {v.format('b')} AS {n}" for n, v in _SIGNED.items())} FROM e WHERE b IS NOT NULL""")
+def changed_signatures(conversations: DataFrame) -> DataFrame:
+    """Which of the things that an edit may not change each edit changed."""
+    text, k = F.col("text"), F.col("turn") % 5
+    before = F.concat(text, F.lit("\n# Head 1\n - item\n| row |\nOf 28, out of 40. [c1]"))
+    last = F.when(k == 0, "Of 28. The same 28 out of 40. [c1]").when(k == 1, "Out of 40. [c1]").when(k == 3, "Of 28, out of 40. [c1][c1]").otherwise("Of 28 out of 40 [c1]")
+    after = F.concat(text, F.when(k == 2, "\n# Head 2\n").otherwise("\n# Head 1\n"), F.when(k == 4, "- items").otherwise("- item"), F.lit("\n| row |\n"), last)
+    one, two = signatures(F.col("b")), signatures(F.col("a"))
+    edits = conversations.select("conv_id", "turn", before.alias("b"), after.alias("a")).where("b is not null")
+    return edits.select("conv_id", "turn", *[(~one[n].eqNullSafe(two[n])).alias(n) for n in one])
+
+
+@query("documents", "labels", sql="""
+WITH c AS (SELECT d.doc_id, d.lang, list_distinct([d.source, 's' || d.doc_id % 7, CASE WHEN d.doc_id % 5 = 0 THEN 'rival' END]) AS sources, l.quality FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+g AS (SELECT DISTINCT lang FROM documents UNION ALL SELECT 'xx'), t AS (SELECT lang, count(*) AS cards, count(*) FILTER (WHERE list_contains(sources, 'rival')) AS dropped, count(*) FILTER (WHERE quality IS NULL) AS unscored FROM c GROUP BY 1),
+u AS (SELECT lang, count(DISTINCT s) AS sources FROM (SELECT lang, unnest(sources) AS s FROM c) WHERE s IS NOT NULL GROUP BY 1)
+SELECT g.lang, coalesce(cards, 0) AS cards, coalesce(sources, 0) AS sources, CASE WHEN cards > 0 THEN round(100.0 * dropped / cards, 2) ELSE 0 END AS dropped_pct, CASE WHEN cards > 0 THEN round(100.0 * unscored / cards, 2) ELSE 0 END AS unscored_pct,
+  coalesce(100.0 * dropped / cards > 20 OR 100.0 * unscored / cards > 62, FALSE) AS flag FROM g LEFT JOIN t ON t.lang IS NOT DISTINCT FROM g.lang LEFT JOIN u ON u.lang IS NOT DISTINCT FROM g.lang""")
+def drop_shares(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """Cards of each language, their different sources, and what share was dropped or never scored, 0 where there are no cards; a flag where either is too much."""
+    k = F.col("doc_id")
+    listed = F.array_distinct(F.array("source", F.concat(F.lit("s"), k % 7), F.when(k % 5 == 0, "rival")))
+    cards = documents.join(labels.select("doc_id", "quality"), "doc_id", "left").select("lang", listed.alias("sources"), "quality")
+    groups = documents.select("lang").distinct().union(documents.sparkSession.createDataFrame([("xx",)], "lang string")).withColumnRenamed("lang", "of")
+    totals = cards.groupBy("lang").agg(F.count("*").alias("cards"), F.count_if(F.array_contains("sources", "rival")).alias("dropped"), F.count_if(F.col("quality").isNull()).alias("unscored"))
+    different = cards.select("lang", F.explode("sources").alias("s")).where("s is not null").groupBy("lang").agg(F.count_distinct("s").alias("sources")).withColumnRenamed("lang", "l")
+    all_ = groups.join(totals, F.col("of").eqNullSafe(F.col("lang")), "left").join(different, F.col("of").eqNullSafe(F.col("l")), "left")
+    share = lambda c: 100.0 * F.col(c) / F.col("cards")
+    percent = lambda c: F.when(F.col("cards") > 0, F.round(share(c), 2)).otherwise(0.0)
+    flag = F.coalesce((share("dropped") > 20) | (share("unscored") > 62), F.lit(False))
+    return all_.select(F.col("of").alias("lang"), F.coalesce("cards", F.lit(0)).alias("cards"), F.coalesce("sources", F.lit(0)).alias("sources"), percent("dropped").alias("dropped_pct"), percent("unscored").alias("unscored_pct"), flag.alias("flag"))
+
+
+_SITE = r"regexp_replace(lower(regexp_extract(url, '^[^:]*://([^/?#]*)', 1)), '^www\.', '')"
+
+
+@query("pages", sql=f"""
+WITH c AS (SELECT page_id // 10 AS answer, {_SITE} AS host FROM pages), h AS (SELECT host, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, host) AS place FROM c WHERE host <> '' GROUP BY 1)
+SELECT answer, bool_or(c.host = 'thther.example.org' OR ends_with(c.host, '.thther.example.org')) AS ours, count(DISTINCT c.host) AS hosts, count(DISTINCT c.host) FILTER (WHERE place <= 10) AS common FROM c LEFT JOIN h USING (host) GROUP BY 1""")
+def cited_brands(pages: DataFrame) -> DataFrame:
+    """Whether each answer cites a brand's domain or one below it, how many hosts it cites, and how many of the ten that all answers cite most."""
+    cited = pages.select(F.floor(F.col("page_id") / 10).alias("answer"), U.host(F.col("url")).alias("host"))
+    common = cited.where("host != ''").groupBy("host").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "host").limit(10).select("host", F.lit(True).alias("top"))
+    own = (F.col("host") == "thther.example.org") | F.endswith("host", F.lit(".thther.example.org"))
+    both = cited.join(F.broadcast(common), "host", "left")
+    return both.groupBy("answer").agg(F.bool_or(own).alias("ours"), F.count_distinct("host").alias("hosts"), F.count_distinct(F.when(F.col("top"), F.col("host"))).alias("common"))
+
+
+_NESTED_ITEM = """CASE event_id % 5 WHEN 0 THEN '{"keyword_data": null, "ranked_serp_element": {"serp_item": {"url": "u' || user_id % 40 || '", "etv": ' || event_id % 97 || '}}}' WHEN 1 THEN '{"ranked_serp_element": {"serp_item": null}}'
+  WHEN 2 THEN '{"keyword_data": {"keyword": "k' || event_id % 13 || '", "keyword_properties": {"core_keyword": null}}, "ranked_serp_element": {"serp_item": {"url": "u' || user_id % 40 || '"}}}'
+  ELSE '{"keyword_data": {"keyword": "k' || event_id % 13 || '", "search_intent_info": {"main_intent": "' || event_type || '"}, "keyword_properties": {"core_keyword": "c' || event_id % 5 || '", "is_another_language": ' || CASE WHEN event_id % 3 = 0 THEN 'true' ELSE 'false' END || '}}, "ranked_serp_element": {"serp_item": {"url": "u' || user_id % 40 || '", "etv": ' || event_id % 97 || '.5}}}' END"""
+
+
+@query("events", sql=f"""
+WITH j AS (SELECT event_id, {_NESTED_ITEM} AS j FROM events),
+p AS (SELECT event_id, json_extract_string(j, '$.ranked_serp_element.serp_item.url') AS url, coalesce(json_extract_string(j, '$.ranked_serp_element.serp_item.etv')::DOUBLE, 0) AS etv, coalesce(json_extract_string(j, '$.keyword_data.keyword'), '') AS keyword,
+  coalesce(json_extract_string(j, '$.keyword_data.search_intent_info.main_intent'), '') AS intent, coalesce(json_extract_string(j, '$.keyword_data.keyword_properties.core_keyword'), json_extract_string(j, '$.keyword_data.keyword'), '') AS core,
+  coalesce(json_extract_string(j, '$.keyword_data.keyword_properties.is_another_language') = 'true', FALSE) AS other FROM j),
+c AS (SELECT url, sum(m) AS clean FROM (SELECT url, core, max(etv) AS m FROM p WHERE NOT other GROUP BY 1, 2) GROUP BY 1)
+SELECT url, sum(etv) AS raw, coalesce(any_value(clean), 0) AS clean, arg_max(keyword, (etv, -event_id)) AS keyword, arg_max(intent, (etv, -event_id)) AS intent FROM p LEFT JOIN c USING (url) WHERE coalesce(url, '') <> '' GROUP BY 1""")
+def nested_traffic(events: DataFrame) -> DataFrame:
+    """Traffic of each page out of nested records in which any level may be null or missing: raw, clean (each core keyword once, other languages left out), and the best keyword with its intent."""
+    k, e = F.col("event_id"), F.col("event_id") % 5
+    url = F.concat(F.lit('"url": "u'), F.col("user_id") % 40, F.lit('"'))
+    word = F.concat(F.lit('{"keyword_data": {"keyword": "k'), k % 13, F.lit('", '))
+    whole = F.concat(word, F.lit('"search_intent_info": {"main_intent": "'), "event_type", F.lit('"}, "keyword_properties": {"core_keyword": "c'), e, F.lit('", "is_another_language": '), F.when(k % 3 == 0, "true").otherwise("false"), F.lit("}}, "), F.lit('"ranked_serp_element": {"serp_item": {'), url, F.lit(', "etv": '), k % 97, F.lit(".5}}}"))
+    item = F.when(e == 0, F.concat(F.lit('{"keyword_data": null, "ranked_serp_element": {"serp_item": {'), url, F.lit(', "etv": '), k % 97, F.lit("}}}"))).when(e == 1, '{"ranked_serp_element": {"serp_item": null}}')
+    item = item.when(e == 2, F.concat(word, F.lit('"keyword_properties": {"core_keyword": null}}, "ranked_serp_element": {"serp_item": {'), url, F.lit("}}}"))).otherwise(whole)
+    shape = "keyword_data struct<keyword: string, search_intent_info: struct<main_intent: string>, keyword_properties: struct<core_keyword: string, is_another_language: boolean>>, ranked_serp_element struct<serp_item: struct<url: string, etv: double>>"
+    j = events.select("event_id", F.from_json(item, shape).alias("j")).where("coalesce(j.ranked_serp_element.serp_item.url, '') != ''")
+    word = F.coalesce("j.keyword_data.keyword", F.lit(""))
+    rows = j.select(
+        "event_id", F.col("j.ranked_serp_element.serp_item.url").alias("url"), F.coalesce("j.ranked_serp_element.serp_item.etv", F.lit(0.0)).alias("etv"), word.alias("keyword"),
+        F.coalesce("j.keyword_data.search_intent_info.main_intent", F.lit("")).alias("intent"), F.coalesce("j.keyword_data.keyword_properties.core_keyword", word).alias("core"),
+        F.coalesce("j.keyword_data.keyword_properties.is_another_language", F.lit(False)).alias("other"),
+    )
+    first = F.struct("etv", (-F.col("event_id")).alias("early"))
+    by = rows.groupBy("url", "core").agg(F.sum("etv").alias("raw"), F.max(F.when(~F.col("other"), F.col("etv"))).alias("best"), F.max(F.struct(first.alias("at"), "keyword", "intent")).alias("top"))
+    return by.groupBy("url").agg(F.sum("raw").alias("raw"), F.coalesce(F.sum("best"), F.lit(0.0)).alias("clean"), F.max("top").alias("t")).select("url", "raw", "clean", "t.keyword", "t.intent")
