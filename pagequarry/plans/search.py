@@ -93,8 +93,13 @@ def canonical_chain(part: DataFrame) -> DataFrame:
 
 @query("embeddings")
 def linked_vectors(embeddings: DataFrame) -> DataFrame:
-    """Each vector with its cluster by average linkage at a mean cosine of 0.85. Tested against a loop that joins one pair at a time, without SQL."""
-    return average_linkage(embeddings, 0.85)
+    """Each vector, and two more that are bent from it a little and more, with its cluster by average linkage at a mean cosine of 0.85.
+
+    Tested against a loop that joins one pair at a time, without SQL.
+    """
+    each = embeddings.select("vec_id", "embedding", F.explode(F.array(*map(F.lit, range(3)))).alias("k"))
+    bent = F.transform("embedding", lambda x, i: x * (1 + 0.35 * F.col("k") * F.cos(i * (F.col("k") + 1) + F.col("vec_id"))))
+    return average_linkage(each.withColumn("bent", bent).withColumn("id", 3 * F.col("vec_id") + F.col("k")), 0.85, "id", "bent").withColumnRenamed("id", "vec_id")
 
 
 @query("embeddings")

@@ -80,3 +80,16 @@ def test_nearest_in_tiles(spark):
     want = {k: int(sim[k].argmax()) for k in range(300) if sim[k].max() >= 0.8}
     for pivots, tile in ((1, 64), (20, 16)):
         assert {r.id: r.other for r in nearest_above(df, 0.8, pivots, tile).collect()} == want
+
+
+def test_linked_vectors(spark):
+    """The query against the loop, on the first of its vectors; clusters never join what stands apart, so each three are their own."""
+    from pagequarry import plans
+
+    rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").where("embedding is not null").orderBy("vec_id").limit(150).collect()
+    bent = {3 * r.vec_id + k: np.array(r.embedding, float) * (1 + 0.35 * k * np.cos(np.arange(len(r.embedding)) * (k + 1) + r.vec_id)) for r in rows for k in range(3)}
+    ids = sorted(bent)
+    want = plain_linkage(np.array([bent[i] for i in ids]), 0.85)
+    frame = spark.createDataFrame([(r.vec_id, r.embedding) for r in rows], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.cluster for r in plans.search.linked_vectors(frame).collect()}
+    assert got == {ids[k]: ids[c] for k, c in want.items()} and {1, 2, 3} <= set(np.bincount(list(want.values())))
