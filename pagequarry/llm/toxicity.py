@@ -15,14 +15,13 @@ word rather than for each occurrence.
 
 from __future__ import annotations
 
-from copy import copy
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .exchange import Block, release
+from .lexical import hashes
 from .words import Words
 
 WINDOW, STRIDE = 32, 24
@@ -222,16 +221,17 @@ def pieces(words: Words, block: Block, data: np.ndarray) -> None:
     words.n = len(words.starts)
 
 
-def cores(words: Words, data: np.ndarray, start: np.ndarray, length: np.ndarray, inside: np.ndarray) -> np.ndarray:
+def cores(data: np.ndarray, start: np.ndarray, length: np.ndarray, inside: np.ndarray) -> np.ndarray:
     """A hash of each word without the ASCII bytes at its ends that are neither letters nor digits; of the whole word if it has no others."""
     if not len(start):
         return np.zeros(0, np.uint64)
     solid = ~_JOINT[data[np.minimum(start[:, None] + np.arange(LONGEST), len(data) - 1)]] & inside
     some = solid.any(axis=1)
     head, tail = solid.argmax(axis=1), LONGEST - solid[:, ::-1].argmax(axis=1)
-    bare = copy(words)
-    bare.starts, bare.ends = np.where(some, start + head, start).astype(np.int64), np.where(some, start + tail, start + length).astype(np.int64)
-    return bare.hashes(data)
+    starts, ends = np.where(some, start + head, start).astype(np.int64), np.where(some, start + tail, start + length).astype(np.int64)
+    out, order = np.empty(len(starts), np.uint64), np.argsort(starts, kind="stable")
+    out[order] = hashes(data, starts[order], ends[order])
+    return out
 
 
 class Texts:
@@ -241,12 +241,12 @@ class Texts:
         data = _LOWER[block.bytes]
         words = Words(block)
         pieces(words, block, data)
-        self.hash, first, word = np.unique(words.hashes(data), return_index=True, return_inverse=True)
+        self.hash, first, word = np.unique(hashes(data, words.starts, words.ends), return_index=True, return_inverse=True)
         word = word.astype(np.int32)
         start, length = words.starts[first].astype(np.int32), (words.ends - words.starts)[first].astype(np.int32)
         at = np.arange(LONGEST, dtype=np.int32)
         inside = at < length[:, None]
-        self.core = cores(words, data, start, length, inside)
+        self.core = cores(data, start, length, inside)
         self.chars = np.where(inside, _CLASS[data[np.minimum(start[:, None] + at, max(0, len(data) - 1))]], np.uint8(0)) if len(data) else np.zeros((0, LONGEST), np.uint8)
         n = np.diff(words.bound)
         per = np.maximum(1, -(-(n - WINDOW) // STRIDE) + 1)
