@@ -121,6 +121,6 @@ def evidence_windows(documents: DataFrame) -> DataFrame:
 WITH t AS (SELECT page_id, regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g') AS t FROM pages)
 SELECT page_id, trim(replace(replace(replace(replace(replace(replace(replace(t, '&copy;', '©'), '&middot;', '·'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')) AS text FROM t""")
 def tags_stripped(pages: DataFrame) -> DataFrame:
-    """Pages without tags, character references spelled out, white space squeezed."""
+    """Pages without tags, character references spelled out, &nbsp; as a plain space, white space squeezed."""
     bare = F.regexp_replace(F.regexp_replace("html", "<[^>]+>", " "), r"\s+", " ")
-    return pages.select("page_id", F.trim(X.unescaped(bare)).alias("text"))
+    return pages.select("page_id", F.trim(X.unescaped(F.replace(bare, F.lit("&nbsp;"), F.lit(" ")))).alias("text"))
