@@ -171,8 +171,9 @@ d AS (SELECT *, least(8000, 400 * 2 ** least(sum(b) OVER w - b, 30))::BIGINT AS
 s AS (SELECT *, (sum(delay) OVER w - delay)::BIGINT AS before FROM d WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT event_id, arrival, (before + max(arrival - before) OVER (PARTITION BY user_id ORDER BY ts, event_id))::BIGINT AS starts FROM s""")
 def request_schedule(events: DataFrame) -> DataFrame:
-    """When each request may start, its host asked one at a time: 0.4 s apart, doubled for good at each block, 8 s at most; in milliseconds."""
-    asked = events.select("event_id", "user_id", "ts", "event_type", F.floor(F.unix_millis(F.col("ts").cast("timestamp")) / 20000).alias("arrival"))
+    """When each request may start, its host asked one at a time: 0.4 s apart, doubled for good at each block, 8 s at most; in milliseconds, to which times are rounded."""
+    micros = F.round(F.unix_micros(F.col("ts").cast("timestamp")), -3)
+    asked = events.select("event_id", "user_id", "ts", "event_type", (micros / 20_000_000).cast("long").alias("arrival"))
     return schedule(asked, "user_id", ["ts", "event_id"], F.col("arrival"), F.col("event_type") == "error").select("event_id", "arrival", "starts")
 
 

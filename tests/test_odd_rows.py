@@ -1,12 +1,13 @@
 """Queries against their SQL on rows that the smallest tables lack."""
 
 from collections import Counter
+from datetime import datetime
 
 import duckdb
 import pyarrow as pa
 
 from pagequarry import plans
-from pagequarry.plans import forum, rules
+from pagequarry.plans import checks, forum, rules
 
 
 def by_sql(name, **tables):
@@ -28,3 +29,12 @@ def test_references_without_semicolon(spark):
     assert by_spark(forum.tags_stripped(frame)) == by_sql("tags_stripped", pages=pages)
     assert by_spark(rules.html_markdown(frame)) == by_sql("html_markdown", pages=pages)
     assert [r.text for r in forum.tags_stripped(spark.createDataFrame([(1, "&eacute;&#233;&#xE9;&#233 &hellip;")], "page_id long, html string")).collect()] == ["ééé&#233 …"]
+
+
+def test_arrivals_are_rounded(spark):
+    """Times half a millisecond before a boundary and later arrive behind it, as in SQL."""
+    times = [datetime(2024, 1, 3, 3, 42, 19, 999601), datetime(2024, 1, 3, 3, 42, 19, 999499), datetime(2024, 1, 3, 3, 42, 19, 999500), datetime(1969, 12, 31, 23, 59, 39, 999499), datetime(1969, 12, 31, 23, 59, 59, 999500)]
+    rows = [(k, 1 + k % 2, t, "error" if k % 3 else "view") for k, t in enumerate(times)]
+    events = pa.table(dict(zip(("event_id", "user_id", "ts", "event_type"), map(list, zip(*rows)))))
+    frame = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string")
+    assert by_spark(checks.request_schedule(frame)) == by_sql("request_schedule", events=events)
