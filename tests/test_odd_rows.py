@@ -7,7 +7,7 @@ import duckdb
 import pyarrow as pa
 
 from pagequarry import plans
-from pagequarry.plans import checks, forum, rules
+from pagequarry.plans import checks, forum, merges, rules
 
 
 def by_sql(name, **tables):
@@ -38,3 +38,12 @@ def test_arrivals_are_rounded(spark):
     events = pa.table(dict(zip(("event_id", "user_id", "ts", "event_type"), map(list, zip(*rows)))))
     frame = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string")
     assert by_spark(checks.request_schedule(frame)) == by_sql("request_schedule", events=events)
+
+
+def test_titles_of_one_spelling(spark):
+    """Several pages of one layer with one spelling: the title is the least page's, whatever the order of rows."""
+    urls = [(k, f"http{'s' * (k % 2)}://a.example.org/{'x' if k < 60 else 'y'}") for k in range(3, 120)]
+    pages = pa.table({"page_id": pa.array([k for k, _ in urls], pa.int64()), "url": [u for _, u in urls]})
+    want = by_sql("union_by_key", pages=pages)
+    for frame in (urls, urls[::-1], sorted(urls, key=lambda r: r[0] * 7919 % 127)):
+        assert by_spark(merges.union_by_key(spark.createDataFrame(frame, "page_id long, url string").repartition(4))) == want
