@@ -24,56 +24,91 @@ def _matrix(column, dim: int) -> np.ndarray:
     return np.asarray(pc.list_flatten(column), dtype=np.float64).reshape(-1, dim)
 
 
-def nearest_above(clusters: DataFrame, least: float, pivots: int = 0, tile: int = 2048) -> DataFrame:
+def _best(a: np.ndarray, ids: np.ndarray, b: np.ndarray, others: np.ndarray, least: float) -> list[tuple]:
+    """(ids, others, products) for rows of two blocks, or of one with itself, each by id: what is nearest to each row of either, `least` or more.
+
+    Single precision finds the rows that may have such a product; of these all are worked out in double precision.
+    """
+    same = ids[0] == others[0]
+    at = np.arange(len(ids))
+    if not same:  # rows that stand too far from all of the other block's, seen from its middle
+        middle = _unit(b.mean(axis=0, keepdims=True))[0]
+        angle = lambda m: np.arccos(np.clip(_unit(m) @ middle, -1, 1))
+        at = np.flatnonzero(angle(a) <= angle(b).max() + math.acos(max(-1.0, min(1.0, least) - 1e-9)) + 1e-6)
+    out, top, first = [], np.full(len(others), -np.inf), np.zeros(len(others), np.int64)
+    rough, wide = b.astype(np.float32).T, 1e-6 * (b.shape[1] + 1)
+    for lo in range(0, len(at), 256):
+        part = at[lo : lo + 256]
+        sim = a[part].astype(np.float32) @ rough
+        if same:
+            sim[np.arange(len(part)), part] = -np.inf
+        may = part[sim.max(axis=1) >= least - wide]
+        for low in range(0, len(may), 64):
+            rows = may[low : low + 64]
+            sim = np.round(a[rows] @ b.T, 9)
+            if same:
+                sim[np.arange(len(rows)), rows] = -np.inf
+            best = sim.argmax(axis=1)
+            value = sim[np.arange(len(rows)), best]
+            hit = value >= least
+            out.append((ids[rows[hit]], others[best[hit]], value[hit]))
+            if not same:
+                best = sim.argmax(axis=0)
+                value = sim[best, np.arange(len(others))]
+                more = (value >= least) & (value > top)
+                top[more], first[more] = value[more], ids[rows[best[more]]]
+    found = np.isfinite(top)
+    return [*out, (others[found], first[found], top[found])]
+
+
+def nearest_above(clusters: DataFrame, least: float, pivots: int = 0, tile: int = 8192, lanes: int = 32) -> DataFrame:
     """(id, other, sim): for each (id, mean) the other one with the greatest inner product of means, if it is `least` or more.
 
-    Exact. Some rows, `pivots` of them at most 256, are centres of cells. Means have length 1 at most, so a product of
-    `least` needs an angle of at most its arc cosine, and by the inequality of triangles a row with such a
-    neighbour stands no more than twice that angle farther from the neighbour's centre than from its own. So a row
-    is at home in its nearest cell, visits the others within that, and finds its nearest among the guests of its home.
-    Cells of many rows are cut into tiles, each pair of tiles to a task of its own. Ties go to the smaller id.
+    Exact. Rows are ordered by the nearest of some of them, `pivots`, at most 256, and packed into blocks of up to `tile`, so
+    that no row is held more than once. Each two blocks meet once, for both, as a product of two parts of at most
+    `lanes` each, which ships blocks pair by pair and keeps none. Means have length 1 at most, so a product of `least` needs an
+    angle of at most its arc cosine, and a row that stands that and the other block's width away from its middle is
+    left out. Ties go to the smaller id.
     """
     n, dim = clusters.agg(F.count("*"), F.max(F.size("mean"))).first()
     if n < 2:
         return clusters.sparkSession.createDataFrame([], NEAR_SQL)
     chosen = clusters.orderBy(F.xxhash64("id"), "id").limit(pivots or min(256, max(1, n // 1000))).select("mean").collect()
     centres = _unit(np.array([r.mean for r in chosen], float))
-    reach = 2 * math.acos(min(1.0, least)) + 1e-9
+    blocks = -(-n // tile)
 
     def place(batches):
         for batch in batches:
-            angle = np.arccos(np.clip(_unit(_matrix(batch.column(1), dim)) @ centres.T, -1, 1))
-            home = angle.argmin(axis=1)
-            row, cell = np.nonzero(angle - angle[np.arange(len(home)), home][:, None] <= reach)
-            yield pa.record_batch([batch.column(0).take(pa.array(row)), pa.array(cell.astype(np.int32)), pa.array(home[row] == cell), batch.column(1).take(pa.array(row))], ["id", "cell", "home", "mean"])
-
-    placed = written(clusters.select("id", "mean").mapInArrow(place, "id long, cell int, home boolean, mean array<double>"))
-    tiles = placed.groupBy("cell").agg(F.greatest(F.ceil(F.count_if("home") / tile), F.lit(1)).cast("int").alias("hs"), F.ceil(F.count("*") / tile).cast("int").alias("vs"))
-    sized = placed.join(F.broadcast(tiles), "cell")  # at most one row for each centre
-    h, v = F.pmod(F.xxhash64("id"), F.col("hs")).cast("int"), F.pmod(F.xxhash64("id"), F.col("vs")).cast("int")
-    hosts = sized.where("home").select("cell", h.alias("h"), F.explode(F.sequence(F.lit(0), F.col("vs") - 1)).alias("v"), F.lit(True).alias("host"), "id", "mean")
-    guests = sized.select("cell", F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("h"), v.alias("v"), F.lit(False).alias("host"), "id", "mean")
-
-    def compare(table: pa.Table) -> pa.Table:
-        mine, all_ = table.filter(table.column("host")), table.filter(pc.invert(table.column("host")))
-        out = ([], [], [])
-        if mine.num_rows and all_.num_rows:
-            a, b = _matrix(mine.column("mean").combine_chunks(), dim), _matrix(all_.column("mean").combine_chunks(), dim)
-            ids, others = mine.column("id").to_numpy(), all_.column("id").to_numpy()
-            order = np.argsort(others)
-            b, others = b[order], others[order]
-            for lo in range(0, len(a), 512):
-                sim = np.round(a[lo : lo + 512] @ b.T, 9)
-                sim[ids[lo : lo + 512, None] == others[None]] = -np.inf
-                best = sim.argmax(axis=1)
-                top = sim[np.arange(len(best)), best]
-                hit = top >= least
-                for column, values in zip(out, (ids[lo : lo + 512][hit], others[best[hit]], top[hit])):
-                    column.append(values)
-        flat = [np.concatenate(c) if c else np.zeros(0) for c in out]
-        return pa.table([pa.array(flat[0].astype(np.int64)), pa.array(flat[1].astype(np.int64)), pa.array(flat[2].astype(float))], ["id", "other", "sim"])
-
-    found = hosts.unionByName(guests).groupBy("cell", "h", "v").applyInArrow(compare, NEAR_SQL)
+            cell = (_unit(_matrix(batch.column(1), dim)) @ centres.T).argmax(axis=1)
+            yield pa.record_batch([batch.column(0), pa.array(cell.astype(np.int32)), batch.column(1)], ["id", "cell", "mean"])
+
+    def packed(ids, rows):
+        order = np.argsort(ids)
+        return pa.record_batch([pa.array([int(ids.min())]), pa.array([ids[order].tobytes()]), pa.array([rows[order].tobytes()])], ["block", "ids", "m"])
+
+    def pack(batches):
+        ids, rows = np.zeros(0, np.int64), np.zeros((0, dim))
+        for batch in batches:
+            ids, rows = np.concatenate([ids, batch.column(0).to_numpy()]), np.concatenate([rows, _matrix(batch.column(1), dim)])
+            while len(ids) >= tile:
+                yield packed(ids[:tile], rows[:tile])
+                ids, rows = ids[tile:], rows[tile:]
+        if len(ids):
+            yield packed(ids, rows)
+
+    placed = clusters.select("id", "mean").mapInArrow(place, "id long, cell int, mean array<double>").repartitionByRange(blocks, "cell", "id").sortWithinPartitions("cell", "id")
+    held = written(placed.select("id", "mean").mapInArrow(pack, "block long, ids binary, m binary"))
+    side = lambda c: held.select(*[F.col(n).alias(f"{n}_{c}") for n in held.columns]).repartition(min(blocks, lanes))
+    pairs = side("a").crossJoin(side("b")).where("block_a <= block_b").select("ids_a", "m_a", "ids_b", "m_b")
+
+    def compare(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                ids, a, others, b = (np.frombuffer(c[k].as_buffer(), t) for c, t in zip(batch.columns, (np.int64, float) * 2))
+                for one, two, sim in _best(a.reshape(-1, dim), ids, b.reshape(-1, dim), others, least):
+                    yield pa.record_batch([pa.array(one), pa.array(two), pa.array(sim)], ["id", "other", "sim"])
+
+    found = pairs.mapInArrow(compare, NEAR_SQL)
     return found.groupBy("id").agg(F.max(F.struct("sim", (-F.col("other")).alias("first"))).alias("b")).select("id", (-F.col("b.first")).alias("other"), "b.sim")
 
 
