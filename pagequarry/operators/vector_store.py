@@ -16,6 +16,8 @@ from ..sources.keyed import KeyedTable, held_rows, rewrite
 ROWS = "id long, v array<float>, cell int"
 #: Rows that centres are fitted to, and that choose the number of probes, at most.
 SAMPLE, ASKED = 50_000, 500
+#: Bytes of rows with their cells, and of likenesses to centres, that one task makes at a time.
+PLACED_BYTES = 8 << 20
 
 
 def _unit(column) -> np.ndarray:
@@ -94,7 +96,8 @@ class VectorStore:
         centres, _ = self._centres()
 
         def place(batches):
-            for batch in batches:
+            step = max(1, PLACED_BYTES // (4 * centres.shape[1] * min(most, len(centres)) + 8 * len(centres))) if len(centres) else 1024
+            for batch in (b.slice(lo, step) for b in batches for lo in range(0, b.num_rows, step)):
                 order = np.argsort(-(_unit(batch.column(1)) @ centres.T), axis=1, kind="stable")[:, :most]
                 at = pa.array(np.repeat(np.arange(batch.num_rows), order.shape[1]))
                 yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array(order.reshape(-1).astype(np.int32))], ["id", "v", "cell"])

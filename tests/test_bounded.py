@@ -1,9 +1,13 @@
 """What a step holds or ships at a time, and that results stay the same."""
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from pagequarry.operators import linkage
+from pagequarry.functions import diff, text
+from pagequarry.operators import linkage, similarity
+from pagequarry.operators.vector_store import VectorStore
 
 
 def test_no_row_is_held_twice(spark, monkeypatch):
@@ -23,3 +27,67 @@ def test_no_row_is_held_twice(spark, monkeypatch):
     assert {k: o for k, (o, _) in got.items()} == {k: o for k, (o, _) in want.items()} and len(want) > 150
     held = tables[0].count() if "m" not in tables[0].columns else tables[0].agg(F.sum(F.octet_length("ids")) / 8).first()[0]
     assert held == 400
+
+
+class Captured:
+    """Stands in for a table and keeps what runs in its tasks."""
+
+    def select(self, *_):
+        return self
+
+    crossJoin = select
+
+    def mapInArrow(self, f, _):
+        self.task = f
+        raise StopIteration
+
+
+def task_of(call, table):
+    with pytest.raises(StopIteration):
+        call(table)
+    return table.task
+
+
+def test_rows_with_cells_leave_in_slices(monkeypatch):
+    """A batch whose every row goes to most cells isn't made whole; rows and cells are the same."""
+    rng = np.random.default_rng(3)
+    centres, v = rng.normal(size=(256, 16)), rng.normal(size=(6000, 16)).astype(np.float32)
+    monkeypatch.setattr(VectorStore, "_centres", lambda self: (centres, 200))
+    store = VectorStore.__new__(VectorStore)
+    batch = pa.record_batch([pa.array(range(6000), pa.int64()), pa.array(list(v), pa.list_(pa.float32()))], ["id", "v"])
+    out = list(task_of(lambda rows: store._placed(rows, 200), Captured())([batch]))
+    assert max(b.nbytes for b in out) <= 24 << 20 and len(out) > 1
+    cells = np.concatenate([b.column("cell").to_numpy() for b in out]).reshape(6000, 200)
+    unit = v / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    assert (cells == np.argsort(-(unit @ centres.T), axis=1, kind="stable")[:, :200]).all()
+    assert [x for b in out for x in b.column("id").to_pylist()] == [k for k in range(6000) for _ in range(200)]
+
+
+def test_pairs_of_blocks_leave_one_by_one(monkeypatch):
+    """What one pair of blocks found leaves before the next is looked at."""
+    rng = np.random.default_rng(5)
+    blocks = [(list(range(lo, lo + 30)), rng.normal(size=(30, 8))) for lo in (0, 30, 60)]
+    monkeypatch.setattr(similarity, "_blocks", lambda *_: table)
+    table, seen = Captured(), []
+    search = task_of(lambda _: similarity.cosine_top_k(table, table, 5, "vec_id", "embedding"), table)
+    ids, m = pa.array([i for i, _ in blocks], pa.list_(pa.int64())), pa.array([x.tobytes() for _, x in blocks], pa.binary())
+    batch = pa.record_batch([pa.array([blocks[0][0]] * 3, pa.list_(pa.int64())), pa.array([blocks[0][1].tobytes()] * 3, pa.binary()), ids, m], ["q_ids", "q_m", "r_ids", "r_m"])
+    for b in search([batch]):
+        seen.append({(q, r): s for q, r, s in zip(*(b.column(c).to_pylist() for c in range(3)))})
+    assert [len(s) for s in seen] == [150] * 3
+    for (others, rows), got in zip(blocks, seen):
+        sim = np.round(blocks[0][1] @ rows.T, 6)
+        for q in range(30):
+            want = sorted(((-sim[q, k], r) for k, r in enumerate(others) if r != q))[:5]
+            assert [(q, r) for _, r in want] == [k for k in got if k[0] == q] and all(got[q, r] == -s for s, r in want)
+
+
+def test_texts_are_read_out_of_arrow():
+    """Pages and pairs of texts come as Arrow arrays, slices too, and nulls are empty."""
+    pages = pa.array(["<h1>a</h1><p>b&amp;c</p>", None, "<ul><li>x</ul>"])
+    assert text.html_to_text.func(pages).to_pylist() == ["# a\n\nb&c", "", "- x"]
+    assert text.html_to_text.func(pages.slice(2)).to_pylist() == ["- x"]
+    old, new = pa.array(["a b c", None, "x"] * 200), pa.array(["a c", None, "x y"] * 200)
+    got = diff.word_edits.func(old, new)
+    assert len(got) == 600 and got.field("similarity").to_pylist()[:3] == [0.8, 1.0, 0.667] and [len(e) for e in got.field("edits").to_pylist()] == [1, 0, 1] * 200
+    assert len(diff.word_edits.func(old.slice(0, 0), new.slice(0, 0))) == 0
