@@ -66,10 +66,17 @@ def tidy(text: Column) -> Column:
     """Text without builders' tokens, without what stands before the first heading or long line behind a skip link, and with single blank lines."""
     lines = F.filter(F.transform(F.split(text, "\n", -1), lambda x: F.rtrim(F.replace(x, F.lit("\t"), F.lit(" ")))), lambda x: ~x.rlike(TEMPLATE_TOKEN))
     at = lambda some: F.array_min(some)
-    skip = at(F.filter(F.transform(F.slice(lines, 1, 80), lambda x, i: F.when(x.rlike(SKIP_LINK), i)), lambda i: i.isNotNull()))
-    to = at(F.filter(F.transform(lines, lambda x, i: F.when((i > skip) & (F.startswith(F.trim(x), F.lit("#")) | (F.length(F.trim(x)) > 60)), i)), lambda i: i.isNotNull()))
-    rest = F.when(to.isNull(), lines).otherwise(F.slice(lines, F.coalesce(to, F.lit(0)) + 1, F.greatest(F.size(lines), F.lit(1))))
-    kept = F.filter(rest, lambda x, i: (F.trim(x) != "") | ((i > 0) & (F.trim(F.get(rest, i - 1)) != "")))
+
+    def opened(lines: Column, skip: Column) -> Column:
+        to = at(F.filter(F.transform(lines, lambda x, i: F.when((i > skip) & (F.startswith(F.trim(x), F.lit("#")) | (F.length(F.trim(x)) > 60)), i)), lambda i: i.isNotNull()))
+        return X.held(to, lambda k: F.when(k.isNull(), lines).otherwise(F.slice(lines, F.coalesce(k, F.lit(0)) + 1, F.greatest(F.size(lines), F.lit(1)))))
+
+    def begun(lines: Column) -> Column:
+        skip = at(F.filter(F.transform(F.slice(lines, 1, 80), lambda x, i: F.when(x.rlike(SKIP_LINK), i)), lambda i: i.isNotNull()))
+        return X.held(skip, lambda k: opened(lines, k))
+
+    spaced = lambda rest: F.filter(rest, lambda x, i: (F.trim(x) != "") | ((i > 0) & (F.trim(F.get(rest, i - 1)) != "")))
+    kept = X.held(X.held(lines, begun), spaced)
     return F.trim(F.array_join(F.transform(kept, lambda x: F.when(F.trim(x) == "", "").otherwise(x)), "\n"), F.lit(" \n\t"))
 
 
