@@ -57,14 +57,14 @@ def depths_and_kept(tree: DataFrame) -> DataFrame:
     """
     nodes = tree.select("node", F.coalesce("full", F.lit(False)).alias("full"), "parent")
     known = nodes.select(F.col("node").alias("parent"))
-    up = nodes.join(known, "parent", "left_semi").select("node", F.col("parent").alias("up"), F.lit(1).cast("long").alias("steps"))
-    up = written(nodes.select("node", "full").join(up, "node", "left").select("node", "full", "up", F.coalesce("steps", F.lit(0).cast("long")).alias("steps")))
+    up = nodes.join(known.hint("merge"), "parent", "left_semi").select("node", F.col("parent").alias("up"), F.lit(1).cast("long").alias("steps"))
+    up = written(nodes.select("node", "full").join(up.hint("merge"), "node", "left").select("node", "full", "up", F.coalesce("steps", F.lit(0).cast("long")).alias("steps")))
     for _ in range(40):
         if up.where("up is not null").isEmpty():
             return up.select("node", F.col("steps").alias("depth"), F.col("full").alias("kept"))
         higher = up.select(F.col("node").alias("at"), F.col("up").alias("next"), F.col("steps").alias("more"))
         lifted = up.where("full and up is not null").select(F.col("up").alias("node"), F.lit(True).alias("lifted")).distinct()
-        grown = up.join(higher, F.col("up") == F.col("at"), "left").join(lifted, "node", "left")
+        grown = up.join(higher.hint("merge"), F.col("up") == F.col("at"), "left").join(lifted.hint("merge"), "node", "left")  # as large as the tree, so not for the driver
         up = written(grown.select("node", (F.col("full") | F.coalesce("lifted", F.lit(False))).alias("full"), F.col("next").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0).cast("long"))).alias("steps")))
     raise ValueError("the tree has a loop")
 
