@@ -5,9 +5,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pagequarry.functions import diff, text
+from pagequarry.functions import diff, text, urls
 from pagequarry.operators import linkage, similarity
 from pagequarry.operators.vector_store import VectorStore
+from pagequarry.plans import extract
 
 
 def test_no_row_is_held_twice(spark, monkeypatch):
@@ -91,3 +92,14 @@ def test_texts_are_read_out_of_arrow():
     got = diff.word_edits.func(old, new)
     assert len(got) == 600 and got.field("similarity").to_pylist()[:3] == [0.8, 1.0, 0.667] and [len(e) for e in got.field("edits").to_pylist()] == [1, 0, 1] * 200
     assert len(diff.word_edits.func(old.slice(0, 0), new.slice(0, 0))) == 0
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_and_lines_are_worked_out_once(spark):
+    """What lambdas read for each element stands in the plan once."""
+    df = spark.createDataFrame([("The a: b",)], "t string")
+    assert plan(df.select(urls.slug(F.col("t")).alias("x"))).count("lower(") == 1
+    assert plan(df.select(extract.tidy(F.col("t")).alias("x"))).count("split(") == 1
