@@ -18,6 +18,8 @@ ROWS = "id long, v array<float>, cell int"
 SAMPLE, ASKED = 50_000, 500
 #: Bytes of rows with their cells, and of likenesses to centres, that one task makes at a time.
 PLACED_BYTES = 8 << 20
+#: Bytes of asking vectors and of rows that meet in one group, and how many pairs wait there to be compared exactly.
+ASKED_BYTES, MET_BYTES, WAITING = 4 << 20, 32 << 20, 1 << 18
 
 
 def _unit(column) -> np.ndarray:
@@ -56,6 +58,124 @@ def probes_for(sample: np.ndarray, centres: np.ndarray, k: int, recall: float) -
     return int(np.quantile(rank, recall, method="higher")) + 1 if rank.size else len(centres)
 
 
+def chained(centres: np.ndarray) -> list[int]:
+    """Cells in an order in which each is followed by the one of those left that is nearest to it."""
+    order, left = [], np.ones(len(centres), bool)
+    for _ in range(len(centres)):
+        order.append(int(np.where(left, centres @ centres[order[-1]], -np.inf).argmax()) if order else 0)
+        left[order[-1]] = False
+    return order
+
+
+def dealt(order: list[int], counts: dict[int, int], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each cell the first tile that its rows go to, and to how many: cells that follow each other share one of up to `most` rows, larger cells have some of their own."""
+    first, parts, tile, held = np.zeros(len(order), np.int32), np.ones(len(order), np.int32), 0, 0
+    for cell in order:
+        n = counts.get(cell, 0)
+        if held and held + n > most:
+            tile, held = tile + 1, 0
+        first[cell], parts[cell], held = tile, max(1, -(-n // most)), held + n
+        if parts[cell] > 1:
+            tile, held = tile + int(parts[cell]), 0
+    return first, parts
+
+
+def probed(sim: np.ndarray, probes: int) -> np.ndarray:
+    """Which cells are the nearest, so many, of ties the first, by the likenesses to all centres."""
+    if probes >= sim.shape[1]:
+        return np.ones(sim.shape, bool)
+    least = np.partition(sim, -probes, axis=1)[:, -probes, None]
+    over, ties = sim > least, sim == least
+    return over | ties & (np.cumsum(ties, axis=1) <= probes - over.sum(axis=1, keepdims=True))
+
+
+def _in_run(new: np.ndarray) -> np.ndarray:
+    """How many places each is behind the start of its run."""
+    at = np.arange(len(new))
+    return at - np.maximum.accumulate(np.where(new, at, 0))
+
+
+def _single(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of rows, and the rows at length 1 in single precision, a slice at a time."""
+    length, unit = np.empty(len(m)), np.empty(m.shape, np.float32)
+    for lo in range(0, len(m), 4096):
+        part = m[lo : lo + 4096].astype(float)
+        length[lo : lo + 4096] = np.maximum(np.linalg.norm(part, axis=1), 1e-300)
+        unit[lo : lo + 4096] = part / length[lo : lo + 4096, None]
+    return length, unit
+
+
+def nearest(asked: np.ndarray, one: np.ndarray, near: np.ndarray, ids: np.ndarray, two: np.ndarray, cells: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query ids, ids, cosines to six digits): for each asking vector the k nearest rows of its cells, itself excluded, ties by id.
+
+    Single precision finds the rows that may be among them, as near as the k-th of those met before; of these all are worked out
+    in double precision. Of equal vectors in a cell only the first k + 1 are met, as no other can be among the k.
+    """
+    dim = one.shape[1]
+    wide = 1e-6 + 1.2e-7 * (dim + 4)  # six digits, and what a product in single precision may be off, twice over
+    mark = two.view(np.uint32) @ (np.uint32(2654435761) * np.arange(1, 2 * dim, 2, dtype=np.uint32))  # equal for equal vectors
+    order = np.lexsort((ids, mark, cells))
+    new = (np.diff(cells[order], prepend=-1) != 0) | np.r_[True, (two[order[1:]] != two[order[:-1]]).any(axis=1)]
+    order = order[_in_run(new) <= k]
+    ids, two, cells = ids[order], two[order], cells[order]
+    (length, rough), (size, met) = _single(one), _single(two)
+    least, step = np.full(len(one), -np.inf, np.float32), max(1, ASKED_BYTES // (8 * dim))
+    kept, waiting = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), []
+    n = 0
+
+    def settle():
+        q, r = (np.concatenate(c) for c in zip(*waiting))
+        other = asked[q] != ids[r]
+        q, r = q[other], r[other]
+        exact = [np.zeros(0)]
+        for lo in range(0, len(q), step):
+            i, j = q[lo : lo + step], r[lo : lo + step]
+            exact.append(np.round(np.einsum("ij,ij->i", one[i] / length[i, None], two[j] / size[j, None]), 6))
+        q, r, sim = (np.concatenate(c) for c in zip(kept, (q, r, np.concatenate(exact))))
+        at = np.lexsort((ids[r], -sim, q))
+        q, r, sim = q[at], r[at], sim[at]
+        place = _in_run(np.diff(q, prepend=-1) != 0)
+        last = place == k - 1
+        least[q[last]] = np.maximum(least[q[last]], sim[last] - wide)
+        waiting.clear()
+        return q[place < k], r[place < k], sim[place < k]
+
+    _, starts = np.unique(cells, return_index=True)
+    for lo, hi in zip(starts, [*starts[1:], len(cells)]):
+        mine = np.flatnonzero(near[:, cells[lo]])
+        for part in (mine[at : at + 2048] for at in range(0, len(mine), 2048)):
+            asking = rough[part]
+            for low in range(lo, hi, 512):
+                sim = asking @ met[low : min(hi, low + 512)].T
+                hit = sim >= least[part, None]
+                if sim.shape[1] > k + 1 and np.count_nonzero(hit) > 2 * k * len(part):  # itself may be one of k + 1
+                    least[part] = np.maximum(least[part], np.partition(sim, -k - 1, axis=1)[:, -k - 1] - 2 * wide)
+                    hit = sim >= least[part, None]
+                some = np.flatnonzero(hit.any(axis=1))
+                q, r = np.nonzero(hit[some])
+                if len(q):
+                    waiting.append((part[some[q]], low + r))
+                    n += len(q)
+                if n > WAITING:
+                    kept, n = settle(), 0
+    if waiting:
+        kept = settle()
+    return asked[kept[0]], ids[kept[1]], kept[2]
+
+
+def _packed(keys: list[np.ndarray], columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """Rows with equal keys as one: the keys, and the bytes of what they have in each column."""
+    order = np.lexsort(keys[::-1])
+    cut = np.any([np.diff(key[order]) != 0 for key in keys], axis=0)
+    parts = np.split(order, np.flatnonzero(cut) + 1) if len(order) else []
+    return pa.record_batch([pa.array([int(key[p[0]]) for p in parts], pa.int32()) for key in keys] + [pa.array([c[p].tobytes() for p in parts], pa.binary()) for c in columns], names)
+
+
+def _part(ids: np.ndarray, cell: np.ndarray, tiles: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The tile of each row: one of its cell's, by a hash of the id."""
+    return tiles[0][cell] + ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % tiles[1][cell]
+
+
 class VectorStore:
     """Vectors in cells around centres, one folder for each cell; which cell an id is in is a keyed table beside them.
 
@@ -116,37 +236,61 @@ class VectorStore:
             self.places.put(new.select("id", "cell"), F.col("cell"))
         return touched
 
-    def search(self, asking: DataFrame, k: int = 10, ident: str = "vec_id", vector: str = "embedding", probes: int = 0, tile: int = 4096) -> DataFrame:
-        """(query_id, id, sim, rn): the k nearest rows in the nearest cells of each asking vector, itself excluded, ties by id.
+    def search(self, asking: DataFrame, k: int = 10, ident: str = "vec_id", vector: str = "embedding", probes: int = 0, tile: int = 0) -> DataFrame:
+        """(query_id, id, sim, rn): the k nearest rows in the nearest cells of each asking vector, itself excluded, ties by id; of several with one id the greatest vector asks.
 
-        Asking vectors meet rows by cell; cells of many are cut into tiles on both sides, and each pair of tiles, a task of
-        its own, returns k rows for each asking vector.
+        Asking vectors are dealt into tiles by their nearest cell, rows into larger ones by theirs, both packed into blocks. A tile of asking
+        vectors meets each tile of rows, less those of cells that none of it asks, in a group of its own that returns k rows for each
+        asking vector; a vector is compared with the rows of its own cells alone. `tile`: rows of a tile, 4 and 32 MB of them if 0.
         """
-        asked = self._placed(valid(asking, ident, vector).dropDuplicates(["id"]), probes or max(1, self._centres()[1])).withColumnRenamed("id", "query_id")
-        rows = self.rows()
-        counts = lambda df, n: df.groupBy("cell").agg(F.ceil(F.count("*") / tile).cast("int").alias(n))
-        tiles = counts(asked, "qs").join(counts(rows, "rs"), "cell")  # one row for each cell
-        q, r = F.pmod(F.xxhash64("query_id"), F.col("qs")).cast("int"), F.pmod(F.xxhash64("id"), F.col("rs")).cast("int")
-        left = asked.join(F.broadcast(tiles), "cell").select("cell", q.alias("q"), F.explode(F.sequence(F.lit(0), F.col("rs") - 1)).alias("r"), "query_id", "v")
-        right = rows.join(F.broadcast(tiles), "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("q"), r.alias("r"), "id", "v")
+        centres, held = self._centres()
+        if not len(centres):
+            return self.spark.createDataFrame([], "query_id long, id long, sim double, rn int")
+        cells, dim, probes = len(centres), centres.shape[1], probes or max(1, held)
+        asked = written(self._placed(valid(asking, ident, vector).groupBy("id").agg(F.max("v").alias("v")), 1))
+        asks, rows = ({r.cell: r.n for r in df.groupBy("cell").agg(F.count("*").alias("n")).collect()} for df in (asked, self.rows()))  # 4096 at most
+        order, total = chained(centres), sum(asks.values())
+        asks_to = dealt(order, asks, tile or min(max(1, ASKED_BYTES // (4 * dim)), max(1024, total // 16)))
+        rows_to = dealt(order, rows, tile or max(1, MET_BYTES // (4 * dim)))
+        step = max(1, PLACED_BYTES // (8 * cells))
+
+        def read(batch):
+            return batch.column(0).to_numpy(), np.asarray(pc.list_flatten(batch.column(1)), np.float32).reshape(-1, dim), batch.column(2).to_numpy()
+
+        def ask(batches):
+            for batch in batches:
+                ids, v, cell = read(batch)
+                near = [np.packbits(probed(_unit(batch.column(1).slice(lo, step)) @ centres.T, probes), axis=1) for lo in range(0, len(ids), step)]
+                if near:
+                    yield _packed([_part(ids, cell, asks_to)], [ids, v, np.concatenate(near)], ["q", "asked", "a", "near"])
+
+        def meet(batches):
+            for batch in batches:
+                ids, v, cell = read(batch)
+                yield _packed([_part(ids, cell, rows_to), cell], [ids, v], ["r", "cell", "ids", "b"])
+
+        def needed(batches):
+            for batch in batches:
+                for q, near in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    bits = np.bitwise_or.reduce(np.frombuffer(near.as_buffer(), np.uint8).reshape(-1, -(-cells // 8)))
+                    at = np.flatnonzero(np.unpackbits(bits, count=cells)).astype(np.int32)
+                    yield pa.record_batch([pa.array(np.full(len(at), q, np.int32)), pa.array(at)], ["q", "cell"])
 
         def compare(a: pa.Table, b: pa.Table) -> pa.Table:
-            out = ([], [], [])
+            out = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
             if a.num_rows and b.num_rows:
-                b = b.sort_by("id")
-                qi, ri = a.column("query_id").to_numpy(), b.column("id").to_numpy()
-                one, two = _unit(a.column("v").combine_chunks()), _unit(b.column("v").combine_chunks())
-                for lo in range(0, len(qi), 256):
-                    sim = np.round(one[lo : lo + 256] @ two.T, 6)
-                    sim[qi[lo : lo + 256, None] == ri[None]] = -np.inf
-                    best = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-                    top = np.take_along_axis(sim, best, axis=1)
-                    hit = np.isfinite(top)
-                    for column, values in zip(out, (np.repeat(qi[lo : lo + 256], hit.sum(axis=1)), ri[best[hit]], top[hit])):
-                        column.append(values)
-            flat = [np.concatenate(c) if c else np.zeros(0) for c in out]
-            return pa.table([pa.array(flat[0].astype(np.int64)), pa.array(flat[1].astype(np.int64)), pa.array(flat[2].astype(float))], ["query_id", "id", "sim"])
-
-        found = left.groupBy("cell", "q", "r").cogroup(right.groupBy("cell", "q", "r")).applyInArrow(compare, "query_id long, id long, sim double")
+                whole = lambda t, name, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in t.column(name)])
+                ids, near = whole(a, "asked", np.int64), whole(a, "near", np.uint8)
+                of = np.repeat(b.column("cell").to_numpy(), [len(x.as_buffer()) // 8 for x in b.column("ids")])
+                bits = np.unpackbits(near.reshape(len(ids), -1), axis=1, count=cells).view(bool)
+                out = nearest(ids, whole(a, "a", np.float32).reshape(-1, dim), bits, whole(b, "ids", np.int64), whole(b, "b", np.float32).reshape(-1, dim), of, k)
+            return pa.table([pa.array(c) for c in out], ["query_id", "id", "sim"])
+
+        left = written(asked.mapInArrow(ask, "q int, asked binary, a binary, near binary"))
+        right = written(self.rows().mapInArrow(meet, "r int, cell int, ids binary, b binary"))
+        need = written(left.select("q", "near").mapInArrow(needed, "q int, cell int").distinct())
+        pairs = need.join(right.select("cell", "r").distinct(), "cell").select("q", "r").distinct().toDF("q", "r")
+        tiles = left.join(pairs, "q").groupBy("q", "r").cogroup(right.join(need, "cell").groupBy("q", "r"))
+        found = tiles.applyInArrow(compare, "query_id long, id long, sim double")
         w = Window.partitionBy("query_id").orderBy(F.desc("sim"), "id")
         return found.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)

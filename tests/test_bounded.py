@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagequarry.functions import diff, text, urls
-from pagequarry.operators import linkage, patterns, similarity
+from pagequarry.operators import linkage, patterns, similarity, vector_store
 from pagequarry.operators.vector_store import VectorStore
 from pagequarry.plans import extract
 
@@ -64,6 +64,76 @@ def test_rows_with_cells_leave_in_slices(monkeypatch):
     assert [x for b in out for x in b.column("id").to_pylist()] == [k for k in range(6000) for _ in range(200)]
 
 
+def test_asking_vectors_are_held_once(spark, monkeypatch, tmp_path):
+    """A vector that asks most cells is no row for each of them: it is packed into one block, as each row is, and what is found is the same for all tiles."""
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(1500, 12)).astype(np.float32)
+    v[700:740] = v[3]  # copies, and one that isn't quite
+    v[740] = v[3] * np.float32(1.0001)
+    frame = spark.createDataFrame([(k, [float(x) for x in row]) for k, row in enumerate(v)], "vec_id long, embedding array<float>").repartition(3)
+    store = VectorStore.made(frame, str(tmp_path / "s"))
+    tables = []
+    monkeypatch.setattr(vector_store, "written", lambda df: tables.append(df.cache()) or tables[-1])
+    centres, _ = store._centres()
+    unit = v / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    sim = np.round(unit @ unit.T, 6)
+    np.fill_diagonal(sim, -np.inf)
+    near, own = np.argsort(-(unit @ centres.T), axis=1, kind="stable"), (unit @ centres.T).argmax(axis=1)
+    for probes, tile in ((len(centres) - 3, 0), (len(centres) - 3, 130), (4, 200), (len(centres), 0)):
+        tables.clear()
+        found = store.search(frame, probes=probes, tile=tile)
+        assert "Generate" not in plan(found)
+        blocks = {c: t.agg(F.sum(F.octet_length(c)) / 8).first()[0] for t in tables for c in ("asked", "ids") if c in t.columns}
+        assert blocks == {"asked": 1500, "ids": 1500}
+        got = {}
+        for r in found.collect():
+            got.setdefault(r.query_id, []).append((r.rn, r.id, r.sim))
+        for k in range(1500):
+            may = np.flatnonzero(np.isin(own, near[k, :probes]) & (np.arange(1500) != k))
+            want = may[np.lexsort((may, -sim[k, may]))[:10]]
+            assert sorted(got[k]) == [(n, int(j), sim[k, j]) for n, j in enumerate(want, 1)]
+
+
+def test_of_many_copies_few_are_compared(monkeypatch):
+    """Copies are no square of pairs, and nearly equal vectors leave in pieces; the nearest are the same."""
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(3000, 8)).astype(np.float32)
+    v[500:2500] = v[7]
+    v[2500:] = v[9] + (3e-6 * rng.normal(size=(500, 8))).astype(np.float32)
+    ids, cells = rng.permutation(9000)[:3000].astype(np.int64), np.sort(rng.integers(0, 3, 3000))
+    cells[500:2500] = 1
+    near = rng.random((3000, 3)) < 0.8
+    exact = []
+    monkeypatch.setattr(vector_store, "WAITING", 20_000)
+    monkeypatch.setattr(np, "einsum", lambda how, a, b, f=np.einsum: exact.append(len(a)) or f(how, a, b))
+    got = {}
+    for q, k, s in zip(*vector_store.nearest(ids, v, near, ids, v, cells, 10)):
+        got.setdefault(int(q), []).append((-s, int(k)))
+    unit = v / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    sim = np.round(unit @ unit.T, 6)
+    for k in range(3000):
+        may = np.flatnonzero(near[k][cells] & (ids != ids[k]))
+        assert got.get(int(ids[k]), []) == [(-sim[k, j], int(ids[j])) for j in may[np.lexsort((ids[may], -sim[k, may]))[:10]]]
+    assert sum(exact) < 1_000_000  # 4 million pairs of copies alone
+
+
+def test_nearest_cells_of_equal_centres():
+    """Cells that are equally near count in their order, and no tile has more rows than it may."""
+    sim = np.round(np.random.default_rng(2).normal(size=(200, 40)), 1)
+    for probes in (1, 7, 39, 40, 60):
+        want = np.zeros(sim.shape, bool)
+        np.put_along_axis(want, np.argsort(-sim, axis=1, kind="stable")[:, :probes], True, axis=1)
+        assert (vector_store.probed(sim, probes) == want).all()
+    order, counts = vector_store.chained(sim), {c: (c * 37) % 90 for c in range(200)} | {11: 1000}
+    first, parts = vector_store.dealt(order, counts, 100)
+    assert sorted(order) == list(range(200)) and parts[11] == 10
+    held = {}
+    for c in range(200):
+        for p in range(parts[c]):
+            held[first[c] + p] = held.get(first[c] + p, 0) + counts.get(c, 0) / parts[c]
+    assert max(held.values()) <= 100 and len(held) <= 2 * sum(counts.values()) / 100 + 1
+
+
 def test_pairs_of_blocks_leave_one_by_one(monkeypatch):
     """What one pair of blocks found leaves before the next is looked at."""
     rng = np.random.default_rng(5)
