@@ -34,12 +34,18 @@ def valid(vectors: DataFrame, ident: str, vector: str) -> DataFrame:
     return rows.where(good)
 
 
+def _closest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The nearest centre of each row, a slice at a time."""
+    step = max(1, PLACED_BYTES // (8 * max(1, len(centres))))
+    return np.concatenate([np.zeros(0, np.int64), *((rows[lo : lo + step] @ centres.T).argmax(axis=1) for lo in range(0, len(rows), step))])
+
+
 def fitted(sample: np.ndarray, cells: int, rounds: int = 12, seed: int = 0) -> np.ndarray:
     """Centres of a bounded sample of unit vectors by spherical k-means."""
     rng = np.random.default_rng(seed)
     centres = sample[np.sort(rng.choice(len(sample), min(cells, len(sample)), replace=False))]
     for _ in range(rounds):
-        own = (sample @ centres.T).argmax(axis=1)
+        own = _closest(sample, centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, own, sample)
         size = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -50,11 +56,13 @@ def fitted(sample: np.ndarray, cells: int, rounds: int = 12, seed: int = 0) -> n
 def probes_for(sample: np.ndarray, centres: np.ndarray, k: int, recall: float) -> int:
     """How many nearest cells hold such a share of the k nearest rows, measured on the sample by comparing all."""
     asked = sample[: min(ASKED, len(sample))]
-    sim = asked @ sample.T
-    sim[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
-    near = np.argsort(-sim, axis=1)[:, :k]
+    near = np.zeros((len(asked), min(k, len(sample))), np.int64)
+    for lo in range(0, len(asked), 20):
+        sim = asked[lo : lo + 20] @ sample.T
+        sim[np.arange(len(sim)), np.arange(lo, lo + len(sim))] = -np.inf
+        near[lo : lo + 20] = np.argsort(-sim, axis=1)[:, :k]
     place = np.argsort(np.argsort(-(asked @ centres.T), axis=1), axis=1)
-    rank = place[np.arange(len(asked))[:, None], (sample @ centres.T).argmax(axis=1)[near]]
+    rank = place[np.arange(len(asked))[:, None], _closest(sample, centres)[near]]
     return int(np.quantile(rank, recall, method="higher")) + 1 if rank.size else len(centres)
 
 

@@ -134,6 +134,28 @@ def test_nearest_cells_of_equal_centres():
     assert max(held.values()) <= 100 and len(held) <= 2 * sum(counts.values()) / 100 + 1
 
 
+def test_the_sample_is_compared_in_slices(monkeypatch):
+    """Centres and probes are those of all likenesses at once, of which the driver holds few."""
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    sample = rng.normal(size=(20_000, 8))
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    tracemalloc.start()
+    centres = vector_store.fitted(sample, 300, 2)
+    probes = vector_store.probes_for(sample, centres, 10, 0.95)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20  # 48 MB of likenesses to centres and 240 MB of sorting before
+    sim = sample[:500] @ sample.T
+    np.fill_diagonal(sim, -np.inf)
+    near = np.argsort(-sim, axis=1)[:, :10]
+    place = np.argsort(np.argsort(-(sample[:500] @ centres.T), axis=1), axis=1)
+    rank = np.take_along_axis(place, (sample @ centres.T).argmax(axis=1)[near], axis=1)
+    assert probes == int(np.quantile(rank, 0.95, method="higher")) + 1
+    assert [vector_store.probes_for(sample[:n], centres[:c], 10, 0.95) for n, c in ((0, 5), (1, 1), (3, 2))] == [5, 1, 2]
+
+
 def test_pairs_of_blocks_leave_one_by_one(monkeypatch):
     """What one pair of blocks found leaves before the next is looked at."""
     rng = np.random.default_rng(5)
